@@ -34,7 +34,8 @@ def not_below(field: str, bound) -> Rule:
     return Rule(field, F.col(field) >= bound, f"must not be below {bound}")
 
 
-SALES_RULES = [filled_text("region"), filled_text("month"), positive_number("amount")]
+def sales_rules() -> list[Rule]:
+    return [filled_text("region"), filled_text("month"), positive_number("amount")]
 
 
 def judged(df: DataFrame, rules: list[Rule], name: str = "errors") -> DataFrame:
@@ -151,5 +152,5 @@ def judged_records(records: DataFrame) -> DataFrame:
         part("category", "string").alias("category"),
         (part("category", "string").isNull() | is_text("category")).alias("_text_category"),
     )
-    rules = SALES_RULES + [Rule("category", F.col("_text_category"), "must be text")]
+    rules = sales_rules() + [Rule("category", F.col("_text_category"), "must be text")]
     return judged(typed, rules).drop("_text_category").withColumn("amount", F.expr("try_cast(amount AS double)"))

@@ -143,12 +143,12 @@ def reload_matches(written: DataFrame, reloaded: DataFrame) -> DataFrame:
     return counts.withColumn("same", F.col("written") == F.col("reloaded"))
 
 
-def array_lines(df: DataFrame, chunk: Column, order: str) -> DataFrame:
+def array_lines(df: DataFrame, chunk: Column, order: str, record: Column | None = None) -> DataFrame:
     """Rows as lines of JSON arrays, one array per chunk; chunks are small by construction."""
-    names = df.columns
-    record = F.struct(*names)
+    text = F.to_json(F.struct(*df.columns)) if record is None else record
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), text.alias("_r"))))
     return (
         df.groupBy(chunk.alias("_chunk"))
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), record.alias("_r")))).alias("_rows"))
-        .select(F.to_json(F.col("_rows._r")).alias("value"))
+        .agg(ordered.alias("_rows"))
+        .select(F.concat(F.lit("["), F.array_join("_rows._r", ","), F.lit("]")).alias("value"))
     )

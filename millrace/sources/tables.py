@@ -79,8 +79,9 @@ def rewritten(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def reload_table(df: DataFrame, name: str) -> DataFrame:
-    """Drop and create a catalog table from `df`."""
+def reload_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Drop and create a catalog table from `df`, its files under `path` if one is given."""
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-    df.write.mode("overwrite").saveAsTable(name)
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.goals import merged, registers
+from millrace.operators.goals import current, merged, registers
 from millrace.operators.quality import Rule, error_rows, judged, valid_rows
 
 
@@ -77,9 +77,11 @@ def goal_state(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{path}/version={version}")
 
 
-def last_batch(query: StreamingQuery) -> int | None:
-    """Number of the last batch this run finished; None when there was nothing to read."""
-    return query.lastProgress.batchId if query.lastProgress else None
+def latest_goals(spark: SparkSession, path: str) -> DataFrame:
+    """Goals of the newest version."""
+    versions = spark.read.parquet(path)
+    newest = versions.agg(F.max("version")).first()[0]
+    return current(versions.filter(F.col("version") == newest))
 
 
 # --- continuous validation ---------------------------------------------------------------
