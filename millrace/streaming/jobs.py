@@ -14,10 +14,13 @@ from millrace.operators.quality import Rule, error_rows, judged, valid_rows
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
+    """Parquet files as a stream; the path may be a folder or one file."""
+    folder, _, name = path.rpartition("/")
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    # Spark takes a plain path for a folder, while a pattern may match a file as well.
+    return reader.parquet(f"{folder}/{{{name}}}")
 
 
 def _start(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
