@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.predicates import literal, past_key
 
-SMALL = 20_000
+SMALL = 100_000
 ACCURACY = 10_000
 
 
@@ -62,16 +62,23 @@ def _any(conditions: list[Column]) -> Column:
     return out
 
 
-def _one_row(df: DataFrame, searches: list[_Search], aggregates: list[Column]):
-    """One aggregated row over the rows any search still needs."""
-    return df.filter(_any([s.holds() for s in searches])).agg(*aggregates).first()
+def _needed(df: DataFrame, searches: list[_Search]) -> DataFrame:
+    """The rows any search still looks at."""
+    return df.filter(_any([s.holds() for s in searches]))
 
 
 def _finish(df: DataFrame, searches: list[_Search]) -> None:
-    row = _one_row(df, searches, [
-        F.sort_array(F.collect_list(F.when(s.holds(), F.col(s.column))))[s.rank - s.below].alias(f"v{i}")
-        for i, s in enumerate(searches)
-    ])
+    """Sort what is left; searches over the same rows share one list."""
+    lists: dict[tuple, str] = {}
+    values = []
+    for s in searches:
+        name = lists.setdefault((s.column, s.low, s.high), f"list{len(lists)}")
+        values.append(F.col(name)[s.rank - s.below])
+    holding = {(s.column, s.low, s.high): s.holds() for s in searches}
+    collected = _needed(df, searches).agg(
+        *[F.sort_array(F.collect_list(F.when(holding[key], F.col(key[0])))).alias(name) for key, name in lists.items()]
+    )
+    row = collected.select(*[v.alias(f"v{i}") for i, v in enumerate(values)]).first()
     for i, s in enumerate(searches):
         s.found = row[f"v{i}"]
 
@@ -86,7 +93,7 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
             F.min(value).alias(f"min{i}"),
             F.max(value).alias(f"max{i}"),
         ]
-    row = _one_row(df, searches, proposals)
+    row = _needed(df, searches).agg(*proposals).first()
 
     counts, cuts = [], []
     for i, s in enumerate(searches):
@@ -101,7 +108,7 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
             F.count_if(holds & (c > s.lit(first)) & (c < s.lit(second))).alias(f"mid{i}"),
             F.count_if(holds & (c == s.lit(second)) & (c > s.lit(first))).alias(f"top{i}"),
         ]
-    row = _one_row(df, searches, counts)
+    row = _needed(df, searches).agg(*counts).first()
 
     for i, s in enumerate(searches):
         (first, second), at = cuts[i], s.rank - s.below

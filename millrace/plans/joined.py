@@ -26,7 +26,8 @@ _TIERS = "tiers(region, tier) AS (VALUES ('1-URGENT', 'VIP'), ('2-HIGH', 'VIP'),
 def sales_tier_join(t: Tables) -> DataFrame:
     tiers = literal_table(t.spark, TIERS, "region string, tier string")
     joined = J.with_small(t.sales(), tiers, "region")
-    return joined.select("region", "amount", "category", "tier").orderBy(F.desc("amount"))
+    # The key behind the amount lets a range of equal amounts be split.
+    return joined.orderBy(F.desc("amount"), "sale_id").select("region", "amount", "category", "tier")
 
 
 def _active_star(t: Tables) -> DataFrame:
@@ -45,7 +46,7 @@ def _star_rows(t: Tables) -> DataFrame:
 
 @query(_STAR_ROWS)
 def active_join(t: Tables) -> DataFrame:
-    return _star_rows(t).orderBy(F.desc("monthly_fee"))
+    return _star_rows(t).orderBy(F.desc("monthly_fee"), "cust_name", "plan_name")
 
 
 @query(_STAR_ROWS)

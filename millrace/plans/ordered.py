@@ -62,7 +62,7 @@ def rank_and_dense(t: Tables) -> DataFrame:
 @query("SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS segment, c_acctbal FROM customer")
 def sorted_rows(t: Tables) -> DataFrame:
     customers = t.customer.select("c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"), "c_acctbal")
-    return customers.orderBy(*L.by([("segment", False), ("c_acctbal", True)]))
+    return customers.orderBy(*L.by([("segment", False), ("c_acctbal", True), ("c_custkey", False)]))
 
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal, c_custkey LIMIT 15")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.goals import current, merged, registers
 from millrace.operators.quality import Rule, error_rows, judged, valid_rows
+from millrace.sources.files import read_or_none
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -65,26 +66,38 @@ def latest(spark: SparkSession, path: str, keys: list[str], value: str = "n") ->
 
 # --- goals -------------------------------------------------------------------------------
 
-def fold_goals(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Merge each batch into the goal state before it; batch n reads version n - 1."""
+# Batches between two snapshots of the goal state.
+SNAPSHOT_EVERY = 20
+
+
+def fold_goals(events: DataFrame, path: str, checkpoint: str, every: int = SNAPSHOT_EVERY) -> StreamingQuery:
+    """Write what each batch sets, and now and then the whole state.
+
+    A batch's own settings merge with any others, so a batch does not read the state. Snapshot
+    n holds all batches up to n and is made from the snapshot before it.
+    """
     def batch(df: DataFrame, batch_id: int) -> None:
-        rows = registers(df)
-        if batch_id > 0:
-            rows = rows.unionByName(goal_state(df.sparkSession, path, batch_id - 1))
-        merged(rows).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        merged(registers(df)).write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
+        if (batch_id + 1) % every == 0:
+            state = _goal_state(df.sparkSession, path, batch_id - every, batch_id)
+            state.write.mode("overwrite").parquet(f"{path}/snapshots/upto={batch_id}")
 
     return _start(events, batch, checkpoint, "append")
 
 
-def goal_state(spark: SparkSession, path: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/version={version}")
+def _goal_state(spark: SparkSession, path: str, snapshot: int, upto: int) -> DataFrame:
+    changes = spark.read.parquet(f"{path}/changes").filter(F.col("batch").between(snapshot + 1, upto)).drop("batch")
+    if snapshot >= 0:
+        changes = changes.unionByName(spark.read.parquet(f"{path}/snapshots/upto={snapshot}"))
+    return merged(changes)
 
 
 def latest_goals(spark: SparkSession, path: str) -> DataFrame:
-    """Goals of the newest version."""
-    versions = spark.read.parquet(path)
-    newest = versions.agg(F.max("version")).first()[0]
-    return current(versions.filter(F.col("version") == newest))
+    """The goals after the last batch."""
+    snapshots = read_or_none(lambda: spark.read.parquet(f"{path}/snapshots"), path)
+    newest = -1 if snapshots is None else snapshots.agg(F.max("upto")).first()[0]
+    last = spark.read.parquet(f"{path}/changes").agg(F.max("batch")).first()[0]
+    return current(_goal_state(spark, path, newest, max(last, newest)))
 
 
 # --- continuous validation ---------------------------------------------------------------
