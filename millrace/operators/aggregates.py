@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import average, money, percent_done
-from millrace.operators.ordered import running
+from millrace.operators.ordered import numbered
 from millrace.operators.order_stats import exact_quantiles
 from millrace.operators.paging import by
 
@@ -36,7 +36,7 @@ def lists_by(
     A key's list may be any length, an array may not: piece 0, 1, 2 ... laid end to end are
     the list.
     """
-    placed = running(df.withColumn("_value", value), order, [key], position="_at")
+    placed = numbered(df.withColumn("_value", value), order, [key], "_at")
     piece = F.floor((F.col("_at") - 1) / size).cast("long")
     return (
         placed.groupBy(key, piece.alias("piece"))

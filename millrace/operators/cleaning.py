@@ -10,7 +10,7 @@ from millrace.functions.predicates import outside
 from millrace.operators.aggregates import mode_of
 from millrace.operators.joins import looked_up
 from millrace.operators.order_stats import exact_quantiles
-from millrace.operators.ordered import running
+from millrace.operators.ordered import numbered
 
 
 def fill_with_median(df: DataFrame, column: str) -> DataFrame:
@@ -45,7 +45,7 @@ def iqr_kept(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
 def value_codes(df: DataFrame, column: str) -> DataFrame:
     """Code table: the distinct values numbered from 0 in sorted order."""
     values = df.filter(F.col(column).isNotNull()).select(column).distinct()
-    return running(values, [F.col(column)], position="_at").select(
+    return numbered(values, [F.col(column)], name="_at").select(
         column, (F.col("_at") - 1).cast("int").alias("code")
     )
 

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from millrace.operators.ordered import running
 from millrace.scratch import written
 
-# Movements per chunk, and so the most that one fold holds the state of.
+# Steps per chunk, and chunks of one account that are folded one after another in a round.
 CHUNK_ROWS = 50_000
+STRETCH = 40
 
 
 def apply_transfers(accounts: DataFrame, transfers: DataFrame) -> DataFrame:
@@ -53,13 +54,13 @@ def compare_writes(accounts: DataFrame, writes: DataFrame) -> DataFrame:
 
 # --- ordered movements that may be refused ------------------------------------------------
 #
-# A movement is refused when it would take the balance below zero. Whether it is depends on all
-# earlier ones, yet an account may be far too long for one task, so it is cut into chunks. For
-# a given entering balance a chunk decides some set of refusals; every entering balance in
-# [fits_from, fits_below) decides the same set and so has the same `net`. Chunks are folded in
-# parallel from a guessed entering balance, then the guesses are checked along each account.
-# Only chunks that were entered outside their interval are folded again. The result is exact;
-# a good guess only saves rounds. Chunks that refuse nothing are summed without being folded.
+# A movement is refused when it would take the balance below zero, which depends on all earlier
+# ones, yet an account may be far too long for one task. So it is cut into chunks. A chunk that
+# is entered with at least `needs` refuses nothing, and its effect is a plain sum. Walking the
+# chunks' sums along an account finds the first chunk entered with less; from there a stretch of
+# chunks is folded step by step, and the walk goes on behind it in the next round. Every chunk
+# is folded at most once, a task folds at most one stretch of an account, and only stretches
+# with refusals in them have to wait for one another.
 
 
 def _steps(accounts: DataFrame, movements: DataFrame, unit: str | None) -> DataFrame:
@@ -67,119 +68,106 @@ def _steps(accounts: DataFrame, movements: DataFrame, unit: str | None) -> DataF
     known = movements.join(accounts.select("account"), "account", "left_semi")
     if unit is None:
         return known.select("account", "seq", F.col("delta").alias("net"), F.col("delta").alias("low"))
-    inside = running(known, [F.col("seq")], ["account", unit], totals={"_sum": F.col("delta")})
+    inside = running(known, [F.col("seq")], {"_sum": F.col("delta")}, ["account", unit])
     return inside.groupBy("account", unit).agg(
         F.min("seq").alias("seq"), F.sum("delta").alias("net"), F.min("_sum").alias("low")
     )
 
 
 def _fold(batches: Iterator[pd.DataFrame], rows: bool) -> Iterator[pd.DataFrame]:
-    """Fold chunks that arrive sorted by (account, chunk, at); only the open chunk's state is kept.
+    """Apply steps that arrive sorted by (account, chunk, at); only the balance is kept.
 
-    Yields one summary per chunk, or with `rows` one decision per step.
+    A chunk marked `first` starts from its entering balance, any other goes on from the chunk
+    before. Yields one summary per chunk, or with `rows` one decision per step.
     """
+    names = ["account", "seq", "accepted", "balance"] if rows else ["account", "chunk", "entering", "net", "refused"]
     key = None
-    entering = shift = fits_from = 0
-    fits_below = None
-    refused = 0
-
-    def summary():
-        return (*key, shift, fits_from, fits_below, refused)
-
+    balance = start = refused = 0
     for batch in batches:
         out = []
-        for account, chunk, at, seq, net, low, enters in zip(
-            batch["account"], batch["chunk"], batch["at"], batch["seq"], batch["net"], batch["low"], batch["entering"]
-        ):
+        columns = ("account", "chunk", "seq", "net", "low", "entering", "first")
+        for account, chunk, seq, net, low, entering, first in zip(*(batch[c].tolist() for c in columns)):
             if (account, chunk) != key:
-                if key is not None and not rows:
-                    out.append(summary())
-                key, entering = (account, chunk), int(enters)
-                shift, fits_from, fits_below, refused = 0, 0, None, 0
-            needs = -(shift + int(low))
-            accepted = entering >= needs
+                if key and not rows:
+                    out.append((*key, start, balance - start, refused))
+                key, refused = (account, chunk), 0
+                balance = start = entering if first else balance
+            accepted = balance + low >= 0
             if accepted:
-                fits_from = max(fits_from, needs)
-                shift += int(net)
+                balance += net
             else:
-                fits_below = needs if fits_below is None else min(fits_below, needs)
                 refused += 1
             if rows:
-                out.append((account, seq, accepted, entering + shift))
-        yield _frame(out, rows)
-    if key is not None and not rows:
-        yield _frame([summary()], rows)
-
-
-def _frame(out: list[tuple], rows: bool) -> pd.DataFrame:
-    if rows:
-        return pd.DataFrame(out, columns=["account", "seq", "accepted", "balance"])
-    frame = pd.DataFrame(out, columns=["account", "chunk", "net", "fits_from", "fits_below", "refused"])
-    return frame.astype({"fits_below": "Int64"})
+                out.append((account, seq, accepted, balance))
+        yield pd.DataFrame(out, columns=names)
+    if key and not rows:
+        yield pd.DataFrame([(*key, start, balance - start, refused)], columns=names)
 
 
 def _folded(steps: DataFrame, chunks: DataFrame, rows: bool) -> DataFrame:
-    """Fold the steps of the given chunks(account, chunk, entering)."""
+    """Fold the steps of the given chunks(account, chunk, entering, first)."""
     account = steps.schema["account"].dataType.simpleString()
     seq = steps.schema["seq"].dataType.simpleString()
     schema = (
         f"account {account}, seq {seq}, accepted boolean, balance bigint"
         if rows
-        else f"account {account}, chunk bigint, net bigint, fits_from bigint, fits_below bigint, refused bigint"
+        else f"account {account}, chunk bigint, entering bigint, net bigint, refused bigint"
     )
+    # Decisions need one chunk at a time; a stretch has to stay together.
+    together = ["account", "chunk"] if rows else ["account"]
     placed = (
-        steps.join(chunks.select("account", "chunk", "entering"), ["account", "chunk"])
-        .select("account", "chunk", "at", "seq", "net", "low", "entering")
-        .repartition("account", "chunk")
+        steps.join(chunks.select("account", "chunk", "entering", "first"), ["account", "chunk"])
+        .select("account", "chunk", "at", "seq", "net", "low", "entering", "first")
+        .repartition(*together)
         .sortWithinPartitions("account", "chunk", "at")
     )
     return placed.mapInPandas(lambda batches: _fold(batches, rows), schema)
 
 
-STATE = ["account", "chunk", "opening", "net", "fits_from", "fits_below", "refused"]
+SETTLED, NEXT, WAITING = 0, 1, 2
 
 
-def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Walk each account's chunk summaries, which arrive sorted by (account, chunk).
-
-    `settled` chunks are entered inside their interval and follow settled ones only. From the
-    first other chunk on, entering balances are guesses.
-    """
-    account = None
-    balance, settled = 0, True
+def _walk(batches: Iterator[pd.DataFrame], stretch: int) -> Iterator[pd.DataFrame]:
+    """Carry each account's balance over its chunks, which arrive sorted by (account, chunk)."""
+    account, balance, stopped = None, 0, 0
     for batch in batches:
-        batch = batch.astype({"fits_below": "Int64"})
-        entering, states, fitting = [], [], []
-        for key, opening, net, fits_from, fits_below in zip(
-            batch["account"], batch["opening"], batch["net"], batch["fits_from"], batch["fits_below"]
-        ):
+        entering, status, first = [], [], []
+        columns = ("account", "opening", "net", "needs", "folded")
+        for key, opening, net, needs, folded in zip(*(batch[c].tolist() for c in columns)):
             if key != account:
-                account, balance, settled = key, int(opening), True
-            fits = balance >= fits_from and (pd.isna(fits_below) or balance < fits_below)
-            settled = settled and fits
+                account, balance, stopped = key, opening, 0
             entering.append(balance)
-            fitting.append(fits)
-            states.append(settled)
-            balance = max(0, balance + int(net))
-        yield batch.assign(entering=entering, settled=states, fits=fitting)
+            if stopped or not (folded or balance >= needs):
+                stopped += 1
+                status.append(NEXT if stopped <= stretch else WAITING)
+            else:
+                balance += net
+                status.append(SETTLED)
+            # The balance is known up to where the walk stopped, and not behind that.
+            first.append(stopped <= 1)
+        yield batch.assign(entering=entering, status=status, first=first)
 
 
-def _checked(summaries: DataFrame) -> DataFrame:
-    """Add the entering balance and the state of every chunk.
+CHUNK = ["account", "chunk", "opening", "net", "needs", "refused", "folded"]
 
-    There is one row per chunk here, not per step.
-    """
-    account = summaries.schema["account"].dataType.simpleString()
+
+def _walked(chunks: DataFrame, stretch: int) -> DataFrame:
+    """Add the entering balance and status of every chunk; there is one row per chunk here."""
+    account = chunks.schema["account"].dataType.simpleString()
     schema = (
-        f"account {account}, chunk bigint, opening bigint, net bigint, fits_from bigint, fits_below bigint,"
-        " refused bigint, entering bigint, settled boolean, fits boolean"
+        f"account {account}, chunk bigint, opening bigint, net bigint, needs bigint, refused bigint,"
+        " folded boolean, entering bigint, status bigint, first boolean"
     )
-    placed = summaries.select(*STATE).repartition("account").sortWithinPartitions("account", "chunk")
-    return placed.mapInPandas(_chain, schema)
+    placed = chunks.select(*CHUNK).repartition("account").sortWithinPartitions("account", "chunk")
+    return placed.mapInPandas(lambda batches: _walk(batches, stretch), schema)
 
 
 def apply_in_order(
-    accounts: DataFrame, movements: DataFrame, unit: str | None = None, chunk_rows: int = CHUNK_ROWS
+    accounts: DataFrame,
+    movements: DataFrame,
+    unit: str | None = None,
+    chunk_rows: int = CHUNK_ROWS,
+    stretch: int = STRETCH,
 ) -> tuple[DataFrame, DataFrame]:
     """Apply each account's movements in `seq` order, refusing what would go below zero.
 
@@ -190,50 +178,47 @@ def apply_in_order(
     unit. Movements of unknown accounts are left out.
     """
     steps = running(
-        _steps(accounts, movements, unit), [F.col("seq")], ["account"],
-        position="at", totals={"_sum": F.col("net")},
+        _steps(accounts, movements, unit), [F.col("seq")], {"at": F.lit(1), "_sum": F.col("net")}, ["account"]
     ).withColumn("chunk", F.floor((F.col("at") - 1) / chunk_rows).cast("long"))
     steps = written(steps, "steps")
     openings = accounts.select("account", F.col("balance").cast("long").alias("opening"))
 
-    # What a chunk does when it refuses nothing, and the entering balance it then needs.
-    plain = steps.groupBy("account", "chunk").agg(
+    before = F.col("_sum") - F.col("net")
+    sums = steps.groupBy("account", "chunk").agg(
         F.sum("net").cast("long").alias("net"),
-        F.min(F.col("_sum") - F.col("net") + F.col("low")).alias("_lowest"),
-        F.min_by(F.col("_sum") - F.col("net"), "at").alias("_before"),
+        F.min(before + F.col("low")).alias("_lowest"),
+        F.min_by(before, "at").alias("_before"),
     )
-    plain = plain.select(
-        "account", "chunk", "net",
-        F.greatest(F.lit(0), F.col("_before") - F.col("_lowest")).cast("long").alias("fits_from"),
-        F.lit(None).cast("long").alias("fits_below"),
+    chunks = sums.join(openings, "account").select(
+        "account", "chunk", "opening", "net",
+        F.greatest(F.lit(0), F.col("_before") - F.col("_lowest")).cast("long").alias("needs"),
         F.lit(0).cast("long").alias("refused"),
+        F.lit(False).alias("folded"),
     )
-    plain = written(plain.join(openings, "account"), "chunks")
-    state = written(_checked(plain), "chain")
-    while not state.filter("NOT settled").isEmpty():
-        again = state.filter("NOT fits")
-        fresh = _folded(steps, again, rows=False).join(openings, "account")
-        kept = state.filter("fits").select(*STATE)
-        state = written(_checked(kept.unionByName(fresh)), "chain")
-
-    balances = openings.join(
-        state.groupBy("account").agg(F.sum("net").alias("_net"), F.sum("refused").alias("_refused")),
-        "account",
-        "left",
-    ).select(
+    state = written(_walked(chunks, stretch), "chunks")
+    while not state.filter(F.col("status") != SETTLED).isEmpty():
+        due = state.filter(F.col("status") == NEXT)
+        fresh = (
+            _folded(steps, due, rows=False)
+            .join(openings, "account")
+            .select("account", "chunk", "opening", "net", F.lit(0).cast("long").alias("needs"), "refused", F.lit(True).alias("folded"))
+        )
+        rest = state.filter(F.col("status") != NEXT).select(*CHUNK)
+        state = written(_walked(rest.unionByName(fresh), stretch), "chunks")
+
+    net = state.groupBy("account").agg(F.sum("net").alias("_net"), F.sum("refused").alias("_refused"))
+    balances = openings.join(net, "account", "left").select(
         "account",
         (F.col("opening") + F.coalesce("_net", F.lit(0))).alias("balance"),
         F.coalesce("_refused", F.lit(0)).alias("refused"),
     )
 
-    whole = state.filter("refused = 0").select("account", "chunk", "entering")
-    first = steps.groupBy("account", "chunk").agg(F.min_by(F.col("_sum") - F.col("net"), "at").alias("_before"))
-    untouched = (
-        steps.join(whole.join(first, ["account", "chunk"]), ["account", "chunk"])
-        .select(
-            "account", "seq", F.lit(True).alias("accepted"),
-            (F.col("entering") + F.col("_sum") - F.col("_before")).cast("long").alias("balance"),
-        )
+    # Where nothing was refused the balance follows from the running sum.
+    starts = steps.groupBy("account", "chunk").agg(F.min_by(before, "at").alias("_before"))
+    plain = state.filter("refused = 0").select("account", "chunk", "entering").join(starts, ["account", "chunk"])
+    untouched = steps.join(plain, ["account", "chunk"]).select(
+        "account", "seq", F.lit(True).alias("accepted"),
+        (F.col("entering") + F.col("_sum") - F.col("_before")).cast("long").alias("balance"),
     )
-    decided = _folded(steps, state.filter("refused > 0"), rows=True)
+    decided = _folded(steps, state.filter("refused > 0").withColumn("first", F.lit(True)), rows=True)
     return balances, untouched.unionByName(decided)

@@ -8,8 +8,10 @@ last few rows are sorted once they fit `SMALL`.
 
 from __future__ import annotations
 
+import functools
 import math
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 from fractions import Fraction
 from typing import Any
 
@@ -23,18 +25,16 @@ SMALL = 100_000
 ACCURACY = 10_000
 
 
-@dataclass
-class _Search:
-    """The wanted value lies strictly between `low` and `high`; `below` rows are <= low."""
+@dataclass(frozen=True)
+class _Interval:
+    """Rows of a column strictly between `low` and `high`, `inside` of them; `below` are <= low."""
 
     column: str
     data_type: T.DataType
-    rank: int
     inside: int
     below: int = 0
     low: Any = None
     high: Any = None
-    found: Any = None
 
     def lit(self, value) -> Column:
         return literal(value, self.data_type)
@@ -49,90 +49,96 @@ class _Search:
         return cond
 
 
+# Wanted ranks by the interval that holds them.
+Searches = dict[_Interval, list[int]]
+
+
 def _present(c: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return c.isNotNull() & ~F.isnan(c)
     return c.isNotNull()
 
 
-def _any(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
-
-
-def _needed(df: DataFrame, searches: list[_Search]) -> DataFrame:
-    """The rows any search still looks at."""
-    return df.filter(_any([s.holds() for s in searches]))
-
-
-def _finish(df: DataFrame, searches: list[_Search]) -> None:
-    """Sort what is left; searches over the same rows share one list."""
-    lists: dict[tuple, str] = {}
-    values = []
-    for s in searches:
-        name = lists.setdefault((s.column, s.low, s.high), f"list{len(lists)}")
-        values.append(F.col(name)[s.rank - s.below])
-    holding = {(s.column, s.low, s.high): s.holds() for s in searches}
-    collected = _needed(df, searches).agg(
-        *[F.sort_array(F.collect_list(F.when(holding[key], F.col(key[0])))).alias(name) for key, name in lists.items()]
-    )
-    row = collected.select(*[v.alias(f"v{i}") for i, v in enumerate(values)]).first()
-    for i, s in enumerate(searches):
-        s.found = row[f"v{i}"]
-
-
-def _narrow(df: DataFrame, searches: list[_Search]) -> None:
-    proposals = []
-    for i, s in enumerate(searches):
-        share, slack = (s.rank - s.below) / s.inside, 2 / ACCURACY
-        value = F.when(s.holds(), F.col(s.column))
-        proposals += [
-            F.percentile_approx(value, [max(0.0, share - slack), min(1.0, share + slack)], ACCURACY).alias(f"p{i}"),
-            F.min(value).alias(f"min{i}"),
-            F.max(value).alias(f"max{i}"),
-        ]
-    row = _needed(df, searches).agg(*proposals).first()
-
-    counts, cuts = [], []
-    for i, s in enumerate(searches):
-        smallest, largest = row[f"min{i}"], row[f"max{i}"]
-        # The approximation works on doubles; keep its cut points among the rows searched.
-        first, second = (min(max(v, smallest), largest) for v in row[f"p{i}"])
-        cuts.append((first, second))
-        c, holds = F.col(s.column), s.holds()
-        counts += [
-            F.count_if(holds & (c < s.lit(first))).alias(f"lt{i}"),
-            F.count_if(holds & (c == s.lit(first))).alias(f"eq{i}"),
-            F.count_if(holds & (c > s.lit(first)) & (c < s.lit(second))).alias(f"mid{i}"),
-            F.count_if(holds & (c == s.lit(second)) & (c > s.lit(first))).alias(f"top{i}"),
+def _aggregate(df: DataFrame, intervals: Iterable[_Interval], aggregates: list[Column]) -> DataFrame:
+    """One row over the rows any interval still holds."""
+    needed = [i.holds() for i in intervals]
+    return df.filter(functools.reduce(lambda a, b: a | b, needed)).agg(*aggregates)
+
+
+def _sorted_out(df: DataFrame, searches: Searches) -> dict[tuple[str, int], Any]:
+    """Sort the few rows of each interval and pick the ranks."""
+    lists, picks, keys = [], [], []
+    for n, (interval, ranks) in enumerate(searches.items()):
+        values = F.collect_list(F.when(interval.holds(), F.col(interval.column)))
+        lists.append(F.sort_array(values).alias(f"list{n}"))
+        for rank in ranks:
+            picks.append(F.col(f"list{n}")[rank - interval.below].alias(f"v{len(picks)}"))
+            keys.append((interval.column, rank))
+    row = _aggregate(df, searches, lists).select(*picks).first()
+    return dict(zip(keys, row))
+
+
+def _proposed(df: DataFrame, searches: Searches) -> dict[_Interval, list]:
+    """Cut points around the wanted ranks of every interval, in order and among its rows."""
+    aggregates = []
+    for n, (interval, ranks) in enumerate(searches.items()):
+        shares = [(rank - interval.below) / interval.inside for rank in ranks]
+        around = sorted({min(1.0, max(0.0, s + d)) for s in shares for d in (-2 / ACCURACY, 2 / ACCURACY)})
+        value = F.when(interval.holds(), F.col(interval.column))
+        aggregates += [
+            F.percentile_approx(value, around, ACCURACY).alias(f"p{n}"),
+            F.min(value).alias(f"min{n}"),
+            F.max(value).alias(f"max{n}"),
         ]
-    row = _needed(df, searches).agg(*counts).first()
-
-    for i, s in enumerate(searches):
-        (first, second), at = cuts[i], s.rank - s.below
-        less, equal, middle, top = (row[f"{n}{i}"] for n in ("lt", "eq", "mid", "top"))
-        if at < less:
-            s.high, s.inside = first, less
-        elif at < less + equal:
-            s.found = first
-        elif at < less + equal + middle:
-            s.low, s.high, s.inside, s.below = first, second, middle, s.below + less + equal
-        elif at < less + equal + middle + top:
-            s.found = second
-        else:
-            taken = less + equal + middle + top
-            s.low, s.inside, s.below = second, s.inside - taken, s.below + taken
-
-
-def _solve(df: DataFrame, searches: list[_Search], small: int) -> None:
-    while open_ := [s for s in searches if s.found is None]:
-        ready = [s for s in open_ if s.inside <= small]
+    row = _aggregate(df, searches, aggregates).first()
+    # The approximation works on doubles, so a cut point may lie outside the rows.
+    return {
+        interval: sorted({min(max(v, row[f"min{n}"]), row[f"max{n}"]) for v in row[f"p{n}"]})
+        for n, interval in enumerate(searches)
+    }
+
+
+def _narrowed(df: DataFrame, searches: Searches) -> tuple[Searches, dict[tuple[str, int], Any]]:
+    """Cut every interval, count exactly, and keep the pieces that hold a wanted rank."""
+    cuts = _proposed(df, searches)
+    counts = []
+    for n, (interval, points) in enumerate(cuts.items()):
+        c, holds = F.col(interval.column), interval.holds()
+        for k, point in enumerate(points):
+            after = c > interval.lit(points[k - 1]) if k else F.lit(True)
+            counts.append(F.count_if(holds & after & (c < interval.lit(point))).alias(f"lt{n}_{k}"))
+            counts.append(F.count_if(holds & (c == interval.lit(point))).alias(f"eq{n}_{k}"))
+    row = _aggregate(df, searches, counts).first()
+
+    left, found = {}, {}
+    for n, (interval, points) in enumerate(cuts.items()):
+        waiting, low, below = sorted(searches[interval]), interval.low, interval.below
+        for k, point in enumerate(points):
+            less, equal = row[f"lt{n}_{k}"], row[f"eq{n}_{k}"]
+            piece = replace(interval, low=low, high=point, below=below, inside=less)
+            if ranks := [r for r in waiting if r < below + less]:
+                left[piece] = ranks
+            found |= {(interval.column, r): point for r in waiting if below + less <= r < below + less + equal}
+            low, below = point, below + less + equal
+            waiting = [r for r in waiting if r >= below]
+        if waiting:
+            rest = interval.below + interval.inside - below
+            left[replace(interval, low=low, below=below, inside=rest)] = waiting
+    return left, found
+
+
+def _solve(df: DataFrame, searches: Searches, small: int) -> dict[tuple[str, int], Any]:
+    """Values by (column, rank)."""
+    found = {}
+    while searches:
+        ready = {i: ranks for i, ranks in searches.items() if i.inside <= small}
         if ready:
-            _finish(df, ready)
+            found |= _sorted_out(df, ready)
+            searches = {i: ranks for i, ranks in searches.items() if i not in ready}
         else:
-            _narrow(df, open_)
+            searches, values = _narrowed(df, searches)
+            found |= values
+    return found
 
 
 def _column_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
@@ -144,24 +150,21 @@ def _column_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], small: int = SMALL) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation, nulls and NaN left out; None for an empty column."""
     counts = _column_counts(df, list(wanted))
-    searches: dict[tuple[str, int], _Search] = {}
+    searches: Searches = {}
     for column, shares in wanted.items():
         n = counts[column]
-        for share in shares if n else []:
-            at = Fraction(str(share)) * (n - 1)
-            for rank in {math.floor(at), math.ceil(at)}:
-                searches.setdefault(
-                    (column, rank), _Search(column, df.schema[column].dataType, rank, inside=n)
-                )
-    _solve(df.select(*wanted), list(searches.values()), small)
+        places = [Fraction(str(share)) * (n - 1) for share in shares] if n else []
+        ranks = {r for at in places for r in (math.floor(at), math.ceil(at))}
+        if ranks:
+            searches[_Interval(column, df.schema[column].dataType, inside=n)] = sorted(ranks)
+    found = _solve(df.select(*wanted), searches, small)
 
     def value(column: str, share: float) -> float | None:
         n = counts[column]
         if not n:
             return None
         at = Fraction(str(share)) * (n - 1)
-        low = float(searches[column, math.floor(at)].found)
-        high = float(searches[column, math.ceil(at)].found)
+        low, high = float(found[column, math.floor(at)]), float(found[column, math.ceil(at)])
         return low + (high - low) * float(at - math.floor(at))
 
     return {column: [value(column, share) for share in shares] for column, shares in wanted.items()}
@@ -179,10 +182,10 @@ def row_key_at(df: DataFrame, order: list[tuple[str, bool]], index: int, small:
         if left >= n:
             return None
         data_type = df.schema[name].dataType
-        search = _Search(name, data_type, n - 1 - left if descending else left, inside=n)
-        _solve(ties, [search], small)
-        value = literal(search.found, data_type)
-        key.append(search.found)
+        rank = n - 1 - left if descending else left
+        found = _solve(ties, {_Interval(name, data_type, inside=n): [rank]}, small)[name, rank]
+        value = literal(found, data_type)
+        key.append(found)
         if len(key) < len(order):
             left -= ties.filter(past_key([(name, not descending)], [value])).count()
             ties = ties.filter(F.col(name) == value)

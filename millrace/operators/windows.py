@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import money, month_start
-from millrace.operators.ordered import running
+from millrace.operators.ordered import numbered
 from millrace.operators.paging import top
 
 
@@ -22,7 +22,7 @@ def numbered_in_month(monthly: DataFrame, key: str) -> DataFrame:
 
     A month holds every key, so its positions come from the sliced scan.
     """
-    return running(monthly, [F.col("total").desc(), F.col(key)], ["month"], position="position")
+    return numbered(monthly, [F.col("total").desc(), F.col(key)], ["month"])
 
 
 def with_history(monthly: DataFrame, key: str) -> DataFrame:

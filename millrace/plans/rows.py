@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import predicates as P
 from millrace.functions import scalars as S
 from millrace.functions import udfs
-from millrace.operators.ordered import running
+from millrace.operators.ordered import numbered
 from millrace.operators.paging import by
 from millrace.operators.sequences import before_marker
 from millrace.plans.registry import SALES, query
@@ -46,7 +46,7 @@ def replaced_columns(t: Tables) -> DataFrame:
 @query("SELECT event_id, CAST(row_number() OVER (ORDER BY ts, event_id) - 1 AS BIGINT) AS ordinal FROM events")
 def ordinal_rows(t: Tables) -> DataFrame:
     events = t.events.select("event_id", "ts")
-    placed = running(events, by([("ts", False), ("event_id", False)]), position="_at")
+    placed = numbered(events, by([("ts", False), ("event_id", False)]), name="_at")
     return placed.select("event_id", (F.col("_at") - 1).alias("ordinal"))
 
 

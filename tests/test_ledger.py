@@ -35,13 +35,13 @@ def tables(spark, opening, movements):
 
 
 @pytest.mark.parametrize("by_unit", [False, True])
-@pytest.mark.parametrize("chunk_rows", [11, 50_000])
+@pytest.mark.parametrize("chunk_rows, stretch", [(9, 3), (20, 1), (50_000, 40)])
 @pytest.mark.parametrize("lean", [-8, 2])
-def test_in_order(spark, by_unit, chunk_rows, lean):
+def test_in_order(spark, by_unit, chunk_rows, stretch, lean):
     rng = random.Random(lean)
     opening = {1: 100, 2: 0, 3: 50, 4: 7}
-    movements = [(rng.choice([1, 1, 1, 2, 3, 5]), s, rng.randint(-50 + lean, 50 + lean), s // 25) for s in range(500)]
-    balances, decisions = G.apply_in_order(*tables(spark, opening, movements), "unit" if by_unit else None, chunk_rows)
+    movements = [(rng.choice([1, 1, 1, 2, 3, 5]), s, rng.randint(-50 + lean, 50 + lean), s // 25) for s in range(150)]
+    balances, decisions = G.apply_in_order(*tables(spark, opening, movements), "unit" if by_unit else None, chunk_rows, stretch)
     expected = walk(opening, movements, by_unit)
     assert rows(balances) == expected[0]
     assert rows(decisions) == expected[1]

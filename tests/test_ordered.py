@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.operators.aggregates import lists_by, list_sizes
 from millrace.operators.cleaning import encoded
 from millrace.operators.order_stats import exact_quantiles, row_key_at
-from millrace.operators.ordered import running
+from millrace.operators.ordered import numbered, running
 from millrace.operators.paging import by, keyset_page, offset_page, page_boundary
 
 
@@ -34,9 +34,11 @@ def brute(data, key):
 @pytest.mark.parametrize("descending", [False, True])
 def test_running(spark, hot, descending):
     order = [F.col("v").desc() if descending else F.col("v"), F.col("id")]
-    out = running(hot, order, ["g"], position="n", totals={"s": F.col("v")})
     sign = -1 if descending else 1
-    assert rows(out, "id", "n", "s") == brute(hot.collect(), lambda r: (sign * r.v, r.id))
+    expected = brute(hot.collect(), lambda r: (sign * r.v, r.id))
+    out = running(hot, order, {"n": F.lit(1), "s": F.col("v")}, ["g"])
+    assert rows(out, "id", "n", "s") == expected
+    assert rows(numbered(hot, order, ["g"], "n"), "id", "n") == [(i, n) for i, n, _ in expected]
 
 
 def test_running_cuts_a_hot_group_into_slices(spark):
@@ -44,19 +46,20 @@ def test_running_cuts_a_hot_group_into_slices(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = spark.range(8000).withColumn("g", F.lit(1))
-        out = running(df, [F.col("id")], ["g"], position="n")
-        assert out.filter("n <> id + 1").isEmpty()
-        assert out.count() == 8000
+        out = running(df, [F.col("id")], {"n": F.lit(1)}, ["g"])
+        for placed in (out, numbered(df, [F.col("id")], ["g"], "n")):
+            assert placed.filter("n <> id + 1").isEmpty()
+            assert placed.count() == 8000
         plan = out._jdf.queryExecution().toString()
         assert "hashpartitioning(_slice" in plan and "windowspecdefinition(_slice" in plan
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
-def test_running_without_group_or_rows(spark):
+def test_positions_without_group_or_rows(spark):
     df = spark.createDataFrame([(3,), (1,), (2,)], "id int")
-    assert rows(running(df, [F.col("id")], position="n"), "id", "n") == [(1, 1), (2, 2), (3, 3)]
-    assert running(df.limit(0), [F.col("id")], position="n").count() == 0
+    assert rows(numbered(df, [F.col("id")], name="n"), "id", "n") == [(1, 1), (2, 2), (3, 3)]
+    assert numbered(df.limit(0), [F.col("id")]).count() == 0
 
 
 def test_lists_in_pieces(spark, hot):

@@ -54,12 +54,6 @@ def test_hash_aggregates(spark, folder, name):
     assert aggregates == ("HashAggregate; SortAggregate" if name == "rollup_active" else "HashAggregate")
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_cross_join(spark, folder, name):
-    joins = plan_features(QUERIES[name](spark, folder))["joins"]
-    assert "Cartesian" not in joins and "NestedLoop" not in joins
-
-
 def test_clustered_and_monthly_layouts(spark, orders, tmp_path):
     usage = orders.select(F.col("o_custkey").alias("sub"), F.col("o_orderdate").alias("day"), "o_orderkey")
     clustered = str(tmp_path / "clustered")

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from millrace.operators.layout import plan_features
 from millrace.plans import QUERIES, SQL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -45,6 +46,8 @@ def test_same_as_sql(spark, duck, folder, name):
     assert {f.name: f.dataType.simpleString() for f in df.schema} == types
     assert len(got) == len(expected)
     assert got == expected
+    joins = plan_features(df)["joins"]
+    assert "Cartesian" not in joins and "NestedLoop" not in joins
 
 
 def test_queries_without_sql(spark, folder):
