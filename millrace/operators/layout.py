@@ -16,12 +16,11 @@ def write_clustered(df: DataFrame, path: str, key: str, date: str) -> None:
     df.repartitionByRange(F.col(key), F.col(date)).sortWithinPartitions(key, date).write.mode("overwrite").parquet(path)
 
 
-def write_by_month(df: DataFrame, path: str, date: str, key: str, files: int = 16) -> None:
-    """One folder per month; within it up to `files` files by key, so no month is one task."""
-    month = F.date_format(date, "yyyy-MM")
+def write_by_month(df: DataFrame, path: str, date: str) -> None:
+    """One folder per month; a month of any size is written in files of the advisory size."""
     (
-        df.withColumn("month", month)
-        .repartition(F.col("month"), F.pmod(F.xxhash64(key), F.lit(files)))
+        df.withColumn("month", F.date_format(date, "yyyy-MM"))
+        .hint("rebalance", "month")
         .write.mode("overwrite")
         .partitionBy("month")
         .parquet(path)

@@ -34,7 +34,7 @@ def covered_read(t: Tables) -> DataFrame:
 @query(f"WITH {USAGE} SELECT usage_id, use_dt, strftime(use_dt, '%Y-%m') AS month FROM usage WHERE use_dt >= '1997-03-01' AND use_dt < '1997-06-01'")
 def month_partitions(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "months")
-    O.write_by_month(t.usage(), path, "use_dt", "usage_id")
+    O.write_by_month(t.usage(), path, "use_dt")
     months = t.spark.read.schema("usage_id bigint, use_dt timestamp_ntz, month string").parquet(path)
     return months.filter(F.col("month").between("1997-03", "1997-05")).select("usage_id", "use_dt", "month")
 

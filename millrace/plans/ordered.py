@@ -39,13 +39,15 @@ def monthly_history(t: Tables) -> DataFrame:
     return history.withColumns({c: F.col(c).cast("double") for c in ("total", "change", "so_far")})
 
 
+_FALLING = "OVER (PARTITION BY month ORDER BY mb_rounded DESC)"
+
+
 @query(f"""
 WITH {USAGE}, m AS (
   SELECT sub_id, date_trunc('month', use_dt)::DATE AS month, CAST(round(SUM(CAST(mb AS DECIMAL(18,2))), -3) AS DOUBLE) AS mb_rounded
   FROM usage GROUP BY 1, 2)
-SELECT sub_id, month, mb_rounded, rank() OVER (PARTITION BY month ORDER BY mb_rounded DESC) AS rnk,
-       dense_rank() OVER (PARTITION BY month ORDER BY mb_rounded DESC) AS dense_rnk
-FROM m WHERE month = DATE '1998-08-01' ORDER BY mb_rounded DESC, sub_id LIMIT 8""".replace("rank() OVER", "CAST(rank() OVER").replace("dense_CAST(rank()", "CAST(dense_rank()").replace("DESC) AS rnk", "DESC) AS INTEGER) AS rnk").replace("DESC) AS dense_rnk", "DESC) AS INTEGER) AS dense_rnk"))
+SELECT sub_id, month, mb_rounded, CAST(rank() {_FALLING} AS INTEGER) AS rnk, CAST(dense_rank() {_FALLING} AS INTEGER) AS dense_rnk
+FROM m WHERE month = DATE '1998-08-01' ORDER BY mb_rounded DESC, sub_id LIMIT 8""")
 def rank_and_dense(t: Tables) -> DataFrame:
     """The month is filtered before the sum, on the date itself."""
     august = t.usage().filter(

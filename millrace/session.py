@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +27,39 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+# A shuffle partition should fit in an executor's memory. Columnar files grow about threefold
+# when they are read, and adaptive execution merges partitions that turn out small.
+PARTITION_BYTES = 512 * 2**20
+GROWTH = 3
+MOST_PARTITIONS = 50_000
+
+
+def wanted_partitions(input_bytes: int) -> int:
+    return min(MOST_PARTITIONS, math.ceil(input_bytes * GROWTH / PARTITION_BYTES))
+
+
+def size_shuffles(spark: SparkSession, folder: str) -> SparkSession:
+    """Raise the number of shuffle partitions to what the tables in `folder` call for."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted = wanted_partitions(files.getContentSummary(path).getLength())
+    if wanted > int(spark.conf.get(SHUFFLE_PARTITIONS)):
+        spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
+    return spark
+
+
+@contextmanager
+def at_most_partitions(spark: SparkSession, most: int) -> Iterator[None]:
+    """Fewer shuffle partitions for a while."""
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(min(int(before), most)))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
+
+
 def local_session(cpus: int | str | None = None, app: str = "millrace") -> SparkSession:
     """A session on this machine, for tests and the bench."""
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -48,7 +49,7 @@ def read_assigned_list(
 
     The text is parsed as data and never evaluated. Text without the assignment fails the job.
     """
-    body = F.regexp_extract("value", rf"(?s)^\s*{name}\s*=\s*(\[.*\])\s*$", 1)
+    body = F.regexp_extract("value", rf"(?s)^\s*{re.escape(name)}\s*=\s*(\[.*\])\s*$", 1)
     found = F.when(body != "", body).otherwise(
         F.raise_error(F.lit(f"no list is assigned to {name}")).cast("string")
     )

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.goals import current, merged, registers
 from millrace.operators.quality import Rule, error_rows, judged, valid_rows
+from millrace.session import at_most_partitions
 from millrace.sources.files import read_or_none
 
 
@@ -24,14 +25,19 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
     return reader.parquet(f"{folder}/{{{name}}}")
 
 
+# A stateful stream keeps one state store per shuffle partition for as long as it lives.
+STATE_PARTITIONS = 1_000
+
+
 def _start(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
-    return (
+    writer = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    with at_most_partitions(stream.sparkSession, STATE_PARTITIONS):
+        return writer.start()
 
 
 # --- counts that are updated as events arrive --------------------------------------------

@@ -64,7 +64,7 @@ def test_clustered_and_monthly_layouts(spark, orders, tmp_path):
     assert plan_features(found.select("day"))["read_schema"] == "struct<sub:bigint,day:timestamp_ntz>"
 
     months = str(tmp_path / "months")
-    O.write_by_month(usage, months, "day", "o_orderkey", files=2)
+    O.write_by_month(usage, months, "day")
     one = spark.read.parquet(months).filter(F.col("month") == "1997-03")
     assert "month" in plan_features(one)["partition_filters"]
     assert one.count() == usage.filter("date_format(day, 'yyyy-MM') = '1997-03'").count()
