@@ -15,9 +15,31 @@ def money(c) -> Column:
     return col(c).cast("decimal(18,2)")
 
 
+def _cents(c) -> Column:
+    amount = col(c).cast("double")
+    return F.when(~F.isnan(amount), F.rint(amount * 100)).cast("bigint")
+
+
+# Cents are added in two parts, so that neither sum runs over a long in any group of Spark's
+# making: the lower parts of 2^43 rows fit. A sum that does not fit fails the job.
+LOW_BITS = 20
+
+
+def money_sum(c) -> Column:
+    """Exact sum of amounts in whole cents, null where there is none; amounts up to 10^13.
+
+    Sums of longs run several times faster than sums of decimals.
+    """
+    cents = _cents(c)
+    high = F.sum(F.shiftright(cents, LOW_BITS)).cast("decimal(25,0)")
+    low = F.sum(cents.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))).cast("decimal(25,0)")
+    total = high * F.lit(1 << LOW_BITS).cast("decimal(7,0)") + low
+    return (total * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(38,2)")
+
+
 def average(c) -> Column:
-    """Mean of a money column from its exact sum; null when there is no value."""
-    return (F.sum(money(c)).cast("double") / F.nullif(F.count(c), F.lit(0))).cast("double")
+    """Mean of an amount from its exact sum; null when there is no value."""
+    return money_sum(c).cast("double") / F.nullif(F.count(c), F.lit(0))
 
 
 # --- dates -----------------------------------------------------------------------------

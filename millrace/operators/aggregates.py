@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import average, money, percent_done
+from millrace.functions.scalars import average, money, money_sum, percent_done
 from millrace.operators.ordered import numbered
 from millrace.operators.order_stats import exact_quantiles
 from millrace.operators.paging import by
 
 
 def sum_by(df: DataFrame, keys: list[str], amount: str, name: str = "total") -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum(money(amount)).cast("double").alias(name))
+    return df.groupBy(*keys).agg(money_sum(amount).cast("double").alias(name))
 
 
 def count_by(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
@@ -22,7 +22,7 @@ def count_by(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
 def totals_by(df: DataFrame, keys: list[str], amount: str) -> DataFrame:
     """Sum, mean and row count per key; the mean leaves nulls out, the count does not."""
     return df.groupBy(*keys).agg(
-        F.sum(money(amount)).cast("double").alias("total"),
+        money_sum(amount).cast("double").alias("total"),
         average(amount).alias("avg"),
         F.count("*").alias("cnt"),
     )
@@ -191,7 +191,7 @@ def sum_of_squares(df: DataFrame, column: str, chunk: Column) -> DataFrame:
 
 def heavy(df: DataFrame, key: str, amount: str, name: str = "total") -> DataFrame:
     """Keys whose total is above the mean of all totals."""
-    totals = df.groupBy(key).agg(F.sum(money(amount)).cast("decimal(38,2)").alias(name))
+    totals = df.groupBy(key).agg(money_sum(amount).alias(name))
     mean = totals.agg((F.sum(name).cast("double") / F.count("*")).alias("mean"))
     return totals.withColumn(name, F.col(name).cast("double")).filter(F.col(name) > mean.scalar())
 

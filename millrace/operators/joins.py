@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import money
+from millrace.functions.scalars import money_sum
 
 # A broadcast side is copied to every executor, so its rows are counted up to this first.
 BROADCAST_ROWS = 100_000
@@ -43,7 +43,7 @@ def _keys(children: DataFrame, child_key: str, only: Column | None) -> DataFrame
 
 def with_total(parents: DataFrame, key: str, children: DataFrame, child_key: str, amount: str, name: str = "total") -> DataFrame:
     """Each parent with the sum over its children, null where it has none."""
-    totals = children.groupBy(F.col(child_key).alias("_key")).agg(F.sum(money(amount)).cast("double").alias(name))
+    totals = children.groupBy(F.col(child_key).alias("_key")).agg(money_sum(amount).cast("double").alias(name))
     return parents.join(totals, F.col(key) == F.col("_key"), "left").drop("_key")
 
 

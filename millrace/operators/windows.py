@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import money, month_start
+from millrace.functions.scalars import money_sum, month_start
 from millrace.operators.ordered import numbered
 from millrace.operators.paging import top
 
@@ -13,7 +13,7 @@ from millrace.operators.paging import top
 def monthly_totals(df: DataFrame, key: str, date: str, amount: str) -> DataFrame:
     """One row per key and month."""
     return df.groupBy(key, month_start(date).alias("month")).agg(
-        F.sum(money(amount)).cast("decimal(38,2)").alias("total")
+        money_sum(amount).alias("total")
     )
 
 

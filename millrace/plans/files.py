@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import money
+from millrace.functions.scalars import money_sum
 from millrace.operators.aggregates import totals_by
 from millrace.operators.quality import error_rows, judged, judged_records, positive_number, valid_rows
 from millrace.plans.registry import SALES, query, total
@@ -97,7 +97,7 @@ def read_csv_override(t: Tables) -> DataFrame:
         sales.filter(F.col("region") == "2-HIGH")
         .filter(F.col("amount") > 0)
         .groupBy("category")
-        .agg(F.sum(money("amount")).cast("double").alias("total"), F.count("*").alias("cnt"))
+        .agg(money_sum("amount").cast("double").alias("total"), F.count("*").alias("cnt"))
         .orderBy(F.desc("total"), "category")
     )
 

@@ -84,7 +84,7 @@ def lazy_by_category(t: Tables) -> DataFrame:
         .filter(F.col("region") == "2-HIGH")
         .filter(F.col("amount") > 0)
         .groupBy("category")
-        .agg(F.sum(S.money("amount")).cast("double").alias("total"), F.count("*").alias("cnt"))
+        .agg(S.money_sum("amount").cast("double").alias("total"), F.count("*").alias("cnt"))
         .orderBy(F.desc("total"), "category")
     )
 
@@ -103,7 +103,7 @@ def conditional_totals(t: Tables) -> DataFrame:
     chosen = F.col("region") == "2-HIGH"
     return t.sales().agg(
         F.count_if(chosen).alias("n"),
-        F.sum(F.when(chosen, S.money("amount"))).cast("double").alias("total"),
+        S.money_sum(F.when(chosen, F.col("amount"))).cast("double").alias("total"),
         F.count_if(~F.col("amount").between(100000, 300000)).alias("outside"),
     )
 
@@ -130,7 +130,7 @@ WHERE use_dt >= '1997-01-01' AND use_dt < '1998-01-01' GROUP BY 1""")
 def sum_by_month_text(t: Tables) -> DataFrame:
     """Grouped by the month itself and turned into text afterwards, once per group."""
     months = t.usage().filter(in_year("use_dt", 1997)).groupBy(S.month_start("use_dt").alias("m"))
-    return months.agg(F.sum(S.money("mb")).cast("double").alias("total")).orderBy("m").select(
+    return months.agg(S.money_sum("mb").cast("double").alias("total")).orderBy("m").select(
         S.month_text("m").alias("ym"), "total"
     )
 
@@ -138,7 +138,7 @@ def sum_by_month_text(t: Tables) -> DataFrame:
 @query(f"WITH {USAGE} SELECT sub_id, date_trunc('month', use_dt)::DATE AS month, {total('mb')} AS total FROM usage GROUP BY 1, 2")
 def sum_by_key_month(t: Tables) -> DataFrame:
     return t.usage().groupBy("sub_id", S.month_start("use_dt").alias("month")).agg(
-        F.sum(S.money("mb")).cast("double").alias("total")
+        S.money_sum("mb").cast("double").alias("total")
     )
 
 
@@ -180,9 +180,9 @@ SELECT {total('amount')} AS whole, (SELECT {total('total')} FROM groups) AS part
 FROM sales""")
 def sums_agree(t: Tables) -> DataFrame:
     """The grand total and count next to the sums over the groups."""
-    parts = A.sum_by(t.sales(), ["month", "category"], "amount").agg(F.sum(S.money("total")).cast("double"))
+    parts = A.sum_by(t.sales(), ["month", "category"], "amount").agg(S.money_sum("total").cast("double"))
     counted = A.count_by(t.sales(), ["region"]).agg(F.sum("n"))
-    return t.sales().agg(F.sum(S.money("amount")).cast("double").alias("whole"), F.count("*").alias("n")).select(
+    return t.sales().agg(S.money_sum("amount").cast("double").alias("whole"), F.count("*").alias("n")).select(
         "whole", parts.scalar().alias("parts"), "n", counted.scalar().alias("counted")
     )
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import money, month_start
+from millrace.functions.scalars import money_sum, month_start
 from millrace.operators import paging as L
 from millrace.operators import windows as W
 from millrace.plans.registry import USAGE, query
@@ -54,7 +54,7 @@ def rank_and_dense(t: Tables) -> DataFrame:
         (F.col("use_dt") >= F.lit(dt.date(1998, 8, 1))) & (F.col("use_dt") < F.lit(dt.date(1998, 9, 1)))
     )
     rounded = august.groupBy("sub_id", month_start("use_dt").alias("month")).agg(
-        F.round(F.sum(money("mb")), -3).cast("double").alias("mb_rounded")
+        F.round(money_sum("mb"), -3).cast("double").alias("mb_rounded")
     )
     return W.ranked_top(rounded, "mb_rounded", "sub_id", 8)
 

@@ -1,6 +1,8 @@
 """Small tables with known results."""
 
 import datetime as dt
+import random
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -219,3 +221,13 @@ def test_streaks_and_days(spark):
     assert dense.count() == 84
     levels = {r.day.day: (r.n, r.level) for r in dense.filter("n > 0").collect()}
     assert levels == {6: (1, 1), 8: (2, 2), 9: (4, 3), 10: (3, 3)}
+
+
+def test_money_sums_are_exact(spark):
+    rng = random.Random(2)
+    cents = [rng.randint(-10**15, 10**15) for _ in range(3000)] + [0, 1, -1]
+    df = spark.createDataFrame([(c / 100,) for c in cents] + [(None,), (float("nan"),)], "x double").repartition(7)
+    assert df.select(S.money_sum("x")).first()[0] == Decimal(sum(cents)) / 100
+    assert df.filter("x IS NULL").select(S.money_sum("x"), S.average("x")).first() == (None, None)
+    tenths = spark.range(10).select(F.lit(0.1).alias("x"))
+    assert tenths.select(S.money_sum("x").cast("double")).first()[0] == 1.0
