@@ -72,17 +72,16 @@ def first_rows(t: Tables) -> DataFrame:
     return L.top(t.customer.select("c_custkey", "c_name", "c_acctbal"), [("c_acctbal", False), ("c_custkey", False)], 15)
 
 
-@query("""
-SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) END AS due FROM events
-ORDER BY due NULLS LAST, event_id LIMIT 50""")
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) END AS due FROM events")
 def due_order(t: Tables) -> DataFrame:
+    """Earliest due date first, rows without one last."""
     goals = t.events.select("event_id", F.when(F.col("event_id") % 2 == 0, F.to_date("ts")).alias("due"))
-    return L.top(goals, [("due", False), ("event_id", False)], 50)
+    return goals.orderBy(*L.by([("due", False), ("event_id", False)]))
 
 
-@query("SELECT event_id, ts FROM events ORDER BY event_id DESC LIMIT 50")
+@query("SELECT event_id, ts FROM events")
 def newest_first(t: Tables) -> DataFrame:
-    return L.top(t.events.select("event_id", "ts"), [("event_id", True)], 50)
+    return t.events.select("event_id", "ts").orderBy(*L.by([("event_id", True)]))
 
 
 # --- pages ---------------------------------------------------------------------------------

@@ -9,6 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Declared types, so that no job has to look into the files first.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 @dataclass(frozen=True)
 class Tables:
     """The Parquet tables of one folder, by attribute."""
@@ -22,7 +40,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        reader = self.spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else self.spark.read
+        return reader.parquet(self.path(name))
 
     def sales(self) -> DataFrame:
         """Orders in the role of sales records."""

@@ -116,6 +116,12 @@ def test_pages(spark, hot):
     assert rows(keyset_page(hot, ORDER, boundary, 20)) == rows(offset_page(hot, ORDER, 2500, 20, shallow=10**6))
 
 
+def test_sort_order(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 4), (4, None), (5, 5)], "id int, v int")
+    assert [r.id for r in df.orderBy(*by([("v", False), ("id", False)])).collect()] == [3, 2, 5, 1, 4]
+    assert [r.id for r in df.orderBy(*by([("v", True), ("id", True)])).collect()] == [5, 2, 3, 4, 1]
+
+
 def test_row_key_of_dates(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, d),) for d in range(1, 30)], "day date")
     assert row_key_at(df, [("day", True)], 3, small=1) == [dt.date(2024, 1, 26)]

@@ -81,6 +81,22 @@ def test_daily_windows_over_batches(spark, event_files, tmp_path):
     assert rows(jobs.latest(spark, out, ["day", "user_id"])) == rows(expected)
 
 
+def test_events_behind_the_watermark_are_dropped(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    schema = "ts timestamp_ntz, user_id bigint"
+
+    def run(*stamps):
+        spark.createDataFrame([(s, 1) for s in stamps], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.file_stream(spark, source, spark.createDataFrame([], schema).schema)
+        counts = jobs.completions_by_day(stream, "ts", "user_id", late="1 day")
+        jobs.keep_updates(counts, out, checkpoint).awaitTermination()
+
+    run(dt.datetime(2024, 1, 10, 12), dt.datetime(2024, 1, 10, 13), dt.datetime(2024, 1, 9, 13))
+    run(dt.datetime(2024, 1, 9, 23), dt.datetime(2024, 1, 2, 0), dt.datetime(2024, 1, 11, 0))
+    counts = {r.day.day: r.n for r in jobs.latest(spark, out, ["day", "user_id"]).collect()}
+    assert counts == {9: 2, 10: 2, 11: 1}
+
+
 def test_ingest(spark, tmp_path):
     source, valid, errors, checkpoint = (str(tmp_path / n) for n in ("in", "valid", "errors", "checkpoint"))
     schema = "row bigint, region string, amount string"
