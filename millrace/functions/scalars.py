@@ -20,8 +20,8 @@ def _cents(c) -> Column:
     return F.when(~F.isnan(amount), F.rint(amount * 100)).cast("bigint")
 
 
-# Cents are added in two parts, so that neither sum runs over a long in any group of Spark's
-# making: the lower parts of 2^43 rows fit. A sum that does not fit fails the job.
+# Cents are added in two parts so that the sums stay within a long: the lower parts of 2^43
+# rows fit, and a sum that does not fit fails the job.
 LOW_BITS = 20
 
 

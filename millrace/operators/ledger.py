@@ -63,12 +63,11 @@ def compare_writes(accounts: DataFrame, writes: DataFrame) -> DataFrame:
 # with refusals in them have to wait for one another.
 
 
-def _steps(accounts: DataFrame, movements: DataFrame, unit: str | None) -> DataFrame:
+def _steps(movements: DataFrame, unit: str | None) -> DataFrame:
     """One row per all-or-nothing step: account, seq, net, and the lowest point on the way."""
-    known = movements.join(accounts.select("account"), "account", "left_semi")
     if unit is None:
-        return known.select("account", "seq", F.col("delta").alias("net"), F.col("delta").alias("low"))
-    inside = running(known, [F.col("seq")], {"_sum": F.col("delta")}, ["account", unit])
+        return movements.select("account", "seq", F.col("delta").alias("net"), F.col("delta").alias("low"))
+    inside = running(movements, [F.col("seq")], {"_sum": F.col("delta")}, ["account", unit])
     return inside.groupBy("account", unit).agg(
         F.min("seq").alias("seq"), F.sum("delta").alias("net"), F.min("_sum").alias("low")
     )
@@ -178,7 +177,7 @@ def apply_in_order(
     unit. Movements of unknown accounts are left out.
     """
     steps = running(
-        _steps(accounts, movements, unit), [F.col("seq")], {"at": F.lit(1), "_sum": F.col("net")}, ["account"]
+        _steps(movements, unit), [F.col("seq")], {"at": F.lit(1), "_sum": F.col("net")}, ["account"]
     ).withColumn("chunk", F.floor((F.col("at") - 1) / chunk_rows).cast("long"))
     steps = written(steps, "steps")
     openings = accounts.select("account", F.col("balance").cast("long").alias("opening"))
@@ -189,6 +188,7 @@ def apply_in_order(
         F.min(before + F.col("low")).alias("_lowest"),
         F.min_by(before, "at").alias("_before"),
     )
+    # Steps of unknown accounts go no further than this join.
     chunks = sums.join(openings, "account").select(
         "account", "chunk", "opening", "net",
         F.greatest(F.lit(0), F.col("_before") - F.col("_lowest")).cast("long").alias("needs"),

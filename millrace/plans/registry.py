@@ -21,7 +21,7 @@ def query(sql: str | None = None):
             raise ValueError(f"two queries are named {name}")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(Tables(size_shuffles(prepare(spark), folder), folder))
+            return build(Tables(size_shuffles(prepare(spark), str(folder)), str(folder)))
 
         run.__name__, run.__doc__ = name, build.__doc__
         QUERIES[name] = run
