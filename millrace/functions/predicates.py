@@ -28,7 +28,8 @@ def above(c, bound) -> Column:
 
 def outside(c, low, high) -> Column:
     """Not between the bounds; a null counts as outside."""
-    return ~F.coalesce(col(c).between(low, high), F.lit(False))
+    c = col(c)
+    return c.isNull() | (c < low) | (c > high)
 
 
 def in_year(c, year: int) -> Column:

@@ -7,14 +7,22 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import money_sum
 
-# A broadcast side is copied to every executor, so its rows are counted up to this first.
+# A broadcast side is copied to every executor, so it is measured first.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 2**20
+
+
+def is_small(df: DataFrame) -> bool:
+    """Few enough rows and, as text, few enough bytes to be copied to every executor."""
+    if df.count() > BROADCAST_ROWS:
+        return False
+    text = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return (df.agg(F.sum(text)).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def with_small(facts: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
-    """Join a lookup table, broadcast when counting shows it is small."""
-    fits = small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return facts.join(F.broadcast(small) if fits else small, on, how)
+    """Join a lookup table, broadcast when it proves to be small."""
+    return facts.join(F.broadcast(small) if is_small(small) else small, on, how)
 
 
 def star(facts: DataFrame, dims: list[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -26,12 +34,12 @@ def star(facts: DataFrame, dims: list[tuple[DataFrame, str, str]]) -> DataFrame:
 
 
 def without_match(parents: DataFrame, key: str, children: DataFrame, child_key: str, only: Column | None = None) -> DataFrame:
-    """Parents with no child; `only` restricts which children count."""
+    """Parents with no child; `only` restricts which children count. Parents have unique keys."""
     return parents.join(_keys(children, child_key, only), F.col(key) == F.col("_key"), "left_anti")
 
 
 def with_match(parents: DataFrame, key: str, children: DataFrame, child_key: str, only: Column | None = None) -> DataFrame:
-    """Parents with at least one child."""
+    """Parents, by unique key, with at least one child."""
     return parents.join(_keys(children, child_key, only), F.col(key) == F.col("_key"), "left_semi")
 
 

@@ -148,7 +148,10 @@ def _column_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], small: int = SMALL) -> dict[str, list[float | None]]:
-    """Quantiles with linear interpolation, nulls and NaN left out; None for an empty column."""
+    """Quantiles with linear interpolation, nulls and NaN left out; None for an empty column.
+
+    `df` is read a few times, so write it first if it is costly to compute.
+    """
     counts = _column_counts(df, list(wanted))
     searches: Searches = {}
     for column, shares in wanted.items():
@@ -173,7 +176,8 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], small: int =
 def row_key_at(df: DataFrame, order: list[tuple[str, bool]], index: int, small: int = SMALL) -> list[Any] | None:
     """Key of the row at 0-based `index` in a total order; `order` lists (column, descending).
 
-    The key columns hold no nulls. None when there are not that many rows.
+    The key columns are numbers, dates or timestamps and hold no nulls. None when there are not
+    that many rows.
     """
     left, key = index, []
     ties = df.select(*[name for name, _ in order])

@@ -8,14 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import activity_level
+from millrace.scratch import written
 
 
 def before_marker(df: DataFrame, group: str, order: str, marker: Column) -> DataFrame:
     """Rows of each group before its first marker row; all rows where there is none.
 
-    The first marker is a plain minimum, so no group has to be sorted in one place.
+    The first marker is a plain minimum, so no group has to be sorted in one place. Adaptive
+    execution splits a hot group only where both join sides come straight from a shuffle, which
+    an aggregate on one side would prevent, hence the written table.
     """
     stops = df.filter(marker).groupBy(F.col(group).alias("_group")).agg(F.min(order).alias("_stop"))
+    stops = written(stops, "stops")
     joined = df.join(stops, F.col(group) == F.col("_group"), "left")
     return joined.filter(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).drop("_group", "_stop")
 

@@ -11,6 +11,7 @@ from millrace.operators import layout as O
 from millrace.operators import quality as Q
 from millrace.operators import windows as W
 from millrace.operators.layout import plan_features, plan_text
+from millrace.operators.sequences import before_marker
 from millrace.plans import QUERIES
 
 
@@ -70,6 +71,36 @@ def test_clustered_and_monthly_layouts(spark, orders, tmp_path):
     assert one.count() == usage.filter("date_format(day, 'yyyy-MM') = '1997-03'").count()
 
 
+def rows_scanned(df):
+    """Rows the scan handed on, after whole row groups were skipped."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_clustering_lets_the_scan_skip(spark, tmp_path):
+    usage = spark.range(0, 100_000, 1, 8).select((F.col("id") % 100).alias("sub"), F.col("id").alias("day"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        usage.write.parquet(str(tmp_path / "as_is"))
+        O.write_clustered(usage, str(tmp_path / "clustered"), "sub", "day")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+    def found(name):
+        return spark.read.parquet(str(tmp_path / name)).filter("sub = 42 AND day >= 50000")
+
+    assert found("clustered").count() == found("as_is").count() == 500
+    assert rows_scanned(found("as_is")) >= 50_000
+    assert rows_scanned(found("clustered")) <= 30_000
+
+
+def test_outliers_are_pushed(orders):
+    found = pushed(orders.filter(P.outside("o_totalprice", 1000.0, 2000.0)))
+    assert "IsNull(o_totalprice)" in found and "LessThan(o_totalprice,1000.0)" in found
+
+
 @pytest.fixture
 def tiny_partitions(spark):
     """Settings under which a few kilobytes count as a large, skewed shuffle."""
@@ -104,6 +135,29 @@ def test_hot_key_is_split_in_a_star_join(spark, tiny_partitions):
     assert "skew=true" in plan_text(joined)
 
 
+def test_hot_group_is_split_before_its_marker(spark, tiny_partitions):
+    turns = hot_facts(spark).withColumn("t", F.when(F.col("v") % 59_999 == 59_998, "stop").otherwise("go"))
+    found = before_marker(turns, "k", "v", F.col("t") == "stop")
+    found.collect()
+    assert "skew=true" in plan_text(found)
+    stopped = turns.filter("t = 'stop'").select("k", "v").first()
+    expected = turns.filter((F.col("k") != stopped.k) | (F.col("v") < stopped.v)).count()
+    assert found.count() == expected
+
+
+def test_only_small_tables_are_broadcast(spark, monkeypatch):
+    facts, tiers = spark.range(100).withColumnRenamed("id", "k"), spark.range(5).selectExpr("id AS k", "'x' AS tier")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan_features(J.with_small(facts, tiers, "k"))["joins"] == "BroadcastHashJoin"
+        monkeypatch.setattr(J, "BROADCAST_BYTES", 10)
+        assert plan_features(J.with_small(facts, tiers, "k"))["joins"] == "SortMergeJoin"
+        monkeypatch.setattr(J, "BROADCAST_ROWS", 4)
+        assert not J.is_small(tiers)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_hot_key_meets_checks_as_one_row(spark, tiny_partitions):
     facts = hot_facts(spark)
     parents = spark.range(0, 997).filter("id <> 7").select("id")
