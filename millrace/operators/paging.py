@@ -11,7 +11,7 @@ from millrace.operators.order_stats import row_key_at
 Order = list[tuple[str, bool]]
 
 # Every task of a top-k hands its k rows to one task, so only short prefixes are taken that way.
-SHALLOW = 1_000
+SHALLOW = 100
 
 
 def by(order: Order) -> list[Column]:

@@ -24,9 +24,21 @@ def scratch_root(spark: SparkSession) -> str:
     return _test_root()
 
 
+_made: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path no other run uses."""
-    return f"{scratch_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the folders this process made, once the results that read them are no longer needed."""
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

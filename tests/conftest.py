@@ -5,13 +5,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from millrace import local_session  # noqa: E402
+from millrace import local_session, scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "tests")
     yield session
+    scratch.clear(session)
     session.stop()
 
 

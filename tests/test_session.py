@@ -1,5 +1,7 @@
 """Settings and the folder for intermediate tables."""
 
+import os
+
 import pytest
 
 from millrace import scratch
@@ -42,3 +44,10 @@ def test_written_table_cuts_the_lineage(spark):
     df = scratch.written(spark.range(10).selectExpr("id", "id % 3 AS k"), "test")
     assert df.count() == 10 and df.columns == ["id", "k"]
     assert "Range (" not in df._jdf.queryExecution().toString()
+
+
+def test_clear(spark):
+    before = scratch.written(spark.range(3), "test")
+    [path] = [p for p in scratch._made if p in before.inputFiles()[0]]
+    scratch.clear(spark)
+    assert not os.path.exists(path) and scratch._made == []
