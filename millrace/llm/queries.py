@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, line_dedup
+from millrace.llm import exact_dedup, line_dedup, mixing, quality_rules
 from millrace.llm.common import documents
 from millrace.llm.registry import QUERIES, SQL, query
 
@@ -48,3 +48,113 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256")
     )
+
+
+# Fixed value: the words and white space of every contract, in the SQL twins.
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+@query(f"""
+WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS part
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM texts)),
+again AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, part) AS n FROM windows),
+covered AS (
+  SELECT doc_id, count(DISTINCT p)::BIGINT AS n
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again WHERE n > 1) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) - count(DISTINCT line))::BIGINT AS n_dup
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+stats AS (
+  SELECT t.doc_id, t.source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+  FROM texts t LEFT JOIN covered c USING (doc_id) LEFT JOIN lines l USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         [n_words < 50, 100 * n_repeat_words > 50 * n_words, 10 * n_symbols > n_words, 10 * n_dup_lines > 3 * n_lines,
+          word_chars < 3 * n_words OR word_chars > 10 * n_words] AS failures
+  FROM stats),
+rated AS (
+  SELECT source, rule, count(*)::DOUBLE AS n, sum(failures[rule]::INT)::DOUBLE AS f
+  FROM judged, generate_series(1, 5) r(rule) GROUP BY source, rule),
+priors AS (
+  SELECT rule, sum(f) / sum(n) AS m, sum(n) AS n,
+         sum(f * f / n) / sum(n) - (sum(f) / sum(n)) ** 2
+           - (sum(f) / sum(n)) * (1 - sum(f) / sum(n)) * count(*) / sum(n) AS between_hosts
+  FROM rated GROUP BY rule),
+weights AS (
+  SELECT rule, m, CASE WHEN m <= 0 OR m >= 1 THEN 1.0 WHEN between_hosts > 0
+                       THEN greatest(1.0, m * (1 - m) / between_hosts - 1) ELSE n END AS weight FROM priors),
+shrunk AS (
+  SELECT source, (f + m * weight) / (n + weight) AS p, n + weight + 1 AS heavy FROM rated JOIN weights USING (rule)),
+hosts AS (SELECT source, bool_or(p - 3 * sqrt(p * (1 - p) / heavy) > 0.5) AS rejected FROM shrunk GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT rejected AS kept
+FROM judged j JOIN hosts h ON j.source IS NOT DISTINCT FROM h.source
+""")
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures of every document, the base rules, and the verdict on its host."""
+    done = quality_rules.judged(documents(spark, folder))
+    return done.select(F.col("id").alias("doc_id"), *quality_rules.MEASURES, "base_failed", "kept")
+
+
+@query(f"""
+WITH sized AS (
+  SELECT doc_id, source, len({WORDS})::BIGINT AS size, md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number
+  FROM sized GROUP BY source),
+weighed AS (SELECT *, ([3, 1, 2])[(number - 1) % 3 + 1] AS weight FROM sources),
+ordered AS (
+  SELECT *, sum(source_size) OVER o - source_size AS sizes_before, sum(weight) OVER o - weight AS weights_before,
+         sum(source_size) OVER () AS all_sizes, sum(weight) OVER () AS all_weights
+  FROM weighed WINDOW o AS (ORDER BY source_size / weight, number ROWS UNBOUNDED PRECEDING)),
+rests AS (
+  SELECT *, (150 * all_sizes - 200 * sizes_before)::BIGINT AS left_over, (100 * (all_weights - weights_before))::BIGINT AS rest
+  FROM ordered),
+level AS (
+  SELECT arg_max(left_over, left_over / rest) AS left_over, arg_max(rest, left_over / rest) AS rest FROM rests),
+targets AS (
+  SELECT r.source, source_size, number, least(2.0::DOUBLE * source_size, (l.left_over * weight)::DOUBLE / l.rest) AS target
+  FROM rests r, level l),
+quotients AS (
+  SELECT number, target / (2 * k + 1) AS q, k
+  FROM (SELECT *, unnest(generate_series(0, floor(target / 16)::BIGINT + 21)) AS k FROM targets) WHERE target > 0),
+quotas AS (
+  SELECT number, count(*) AS seats
+  FROM (SELECT *, row_number() OVER (ORDER BY q DESC, number, k) AS place FROM quotients)
+  WHERE place <= (SELECT floor(sum(target) / 16 + 0.5) FROM targets) GROUP BY number),
+dealt AS (
+  SELECT s.*, t.number, t.source_size, t.target,
+         ('0x' || substr(key, 1, 15))::BIGINT % greatest(1, ceil(t.source_size / 65536.0))::BIGINT AS shard
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+shards AS (
+  SELECT number, shard, sum(size)::BIGINT AS shard_size, any_value(source_size) AS source_size,
+         count(*) OVER (PARTITION BY number) AS n_shards
+  FROM dealt GROUP BY number, shard),
+shard_quotients AS (
+  SELECT number, shard, seats, shard_size::DOUBLE / (2 * k + 1) AS q, k
+  FROM (SELECT s.*, seats, unnest(generate_series(0, floor(shard_size::DOUBLE / source_size * seats)::BIGINT + n_shards + 1)) AS k
+        FROM shards s JOIN quotas USING (number) WHERE shard_size > 0)),
+shard_quotas AS (
+  SELECT number, shard, 16 * count(*) AS quota
+  FROM (SELECT *, row_number() OVER (PARTITION BY number ORDER BY q DESC, shard, k) AS place FROM shard_quotients)
+  WHERE place <= seats GROUP BY number, shard),
+placed AS (
+  SELECT d.*, shard_size, least(coalesce(quota, 0), 2 * shard_size) AS quota,
+         sum(size) OVER (PARTITION BY d.number, d.shard ORDER BY key, doc_id NULLS LAST, size) - size AS start
+  FROM dealt d JOIN shards s ON d.number = s.number AND d.shard = s.shard
+  LEFT JOIN shard_quotas q ON d.number = q.number AND d.shard = q.shard)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN shard_size = 0 THEN 0 ELSE
+         quota // shard_size * size + greatest(0, least(size, quota - quota // shard_size * shard_size - start)) END::BIGINT
+         AS taken
+FROM placed
+""")
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that a mix of 150% of all words takes."""
+    done = mixing.mixed(documents(spark, folder))
+    return done.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
