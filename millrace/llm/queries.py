@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, line_dedup, mixing, quality_rules
+from millrace.llm import bpe, exact_dedup, line_dedup, mixing, quality_rules
 from millrace.llm.common import documents
 from millrace.llm.registry import QUERIES, SQL, query
 
@@ -158,3 +161,32 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that a mix of 150% of all words takes."""
     done = mixing.mixed(documents(spark, folder))
     return done.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def _digests(tokenizer, ids: list) -> list[list]:
+    texts = bpe.decode(tokenizer, ids)
+    return [
+        [len(i) for i in ids],
+        [hashlib.sha256(i.tobytes()).hexdigest() for i in ids],
+        [hashlib.sha256(t.encode()).hexdigest() for t in texts],
+    ]
+
+
+DIGESTS = {
+    "n_tokens": ("bigint", pa.int64()),
+    "ids_sha256": ("string", pa.string()),
+    "decoded_sha256": ("string", pa.string()),
+}
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text, and the text they decode to, as digests."""
+    done = bpe.encoded(documents(spark, folder), tokenizer_path(), finish=_digests, columns=DIGESTS)
+    return done.withColumnRenamed("id", "doc_id")
