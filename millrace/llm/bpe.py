@@ -236,6 +236,10 @@ def encoded(
     columns = columns or {"ids": ("array<bigint>", pa.list_(pa.int64()))}
     schema = pa.schema([("id", pa.int64()), *[(n, t) for n, (_, t) in columns.items()]])
     sql = ", ".join(["id bigint", *[f"{n} {t}" for n, (t, _) in columns.items()]])
+
+    def joined(table: pa.Table) -> pa.Table:
+        return _join_row(table, path, finish, schema)
+
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     long = F.char_length("text") > piece_chars
     short = texts.where(~long).mapInArrow(partial(_short, path=path, finish=finish, schema=schema), sql)
@@ -248,5 +252,5 @@ def encoded(
         cut.repartition("row", "piece")
         .mapInArrow(partial(_encode_pieces, path=path), ENCODED_SQL)
         .groupBy("row")
-        .applyInArrow(partial(_join_row, path=path, finish=finish, schema=schema), sql)
+        .applyInArrow(joined, sql)
     )

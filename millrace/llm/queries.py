@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, line_dedup, mixing, quality_rules
+from millrace.llm import bpe, exact_dedup, line_dedup, minhash, mixing, quality_rules
 from millrace.llm.common import documents
 from millrace.llm.registry import QUERIES, SQL, query
 
@@ -190,3 +190,33 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text, and the text they decode to, as digests."""
     done = bpe.encoded(documents(spark, folder), tokenizer_path(), finish=_digests, columns=DIGESTS)
     return done.withColumnRenamed("id", "doc_id")
+
+
+@query(f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM texts WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * s.n >= 85 * (x.n + y.n - s.n)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reached r JOIN both_ways l ON r.b = l.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least l ON d.doc_id = l.doc_id LEFT JOIN sizes s ON d.doc_id = s.doc_id
+""")
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents that share at least 85% of their shingles, by links."""
+    found = minhash.near_groups(documents(spark, folder))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
+    )
