@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, line_dedup, minhash, mixing, quality_rules
+from millrace.llm import bpe, exact_dedup, line_dedup, minhash, mixing, quality_rules, suffix_dedup
 from millrace.llm.common import documents
 from millrace.llm.registry import QUERIES, SQL, query
 
@@ -220,3 +220,16 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
         F.col("id").eqNullSafe(F.col("component")).alias("kept"),
     )
+
+
+def _left_digest(left: bytes) -> tuple:
+    return (hashlib.sha256(left).hexdigest(),)
+
+
+@query()
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes that strings of 400 bytes cover which start more than once."""
+    done = suffix_dedup.repeated_strings(
+        documents(spark, folder), finish=_left_digest, columns={"kept_sha256": ("string", pa.string())}
+    )
+    return done.withColumnRenamed("id", "doc_id")
