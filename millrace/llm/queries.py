@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, suffix_dedup
+from millrace.llm import bpe, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, suffix_dedup, surrogates
 from millrace.llm.common import documents
 from millrace.llm.registry import QUERIES, SQL, query
 
@@ -239,3 +239,10 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probabilities of every text: by unigrams, and by the model."""
     return lm_scoring.scored(documents(spark, folder)).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op7_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text with its personal data replaced. A production run passes a key of its own."""
+    done = surrogates.with_surrogates(documents(spark, folder), key=b"key of the test tables")
+    return done.withColumnRenamed("id", "doc_id")
