@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, suffix_dedup, surrogates
+from millrace.llm import bpe, cotraining, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, suffix_dedup, surrogates
 from millrace.llm.common import documents
 from millrace.llm.registry import QUERIES, SQL, query
 
@@ -246,3 +246,14 @@ def op7_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     """Every text with its personal data replaced. A production run passes a key of its own."""
     done = surrogates.with_surrogates(documents(spark, folder), key=b"key of the test tables")
     return done.withColumnRenamed("id", "doc_id")
+
+
+KEEP_FROM = 0.5
+
+
+@query()
+def op9_cotraining(spark: SparkSession, folder: str) -> DataFrame:
+    """The probability that a document is good, by text and by metadata."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    done = cotraining.quality_scores(documents(spark, folder), labels)
+    return done.select(F.col("id").alias("doc_id"), "score", (F.col("score") >= KEEP_FROM).alias("kept"))
