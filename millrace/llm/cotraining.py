@@ -3,8 +3,8 @@
 One view sees a document's content: its words and their shapes. The other sees what is known about the page: language,
 source, length and layout. Both are logistic regressions over hashed features. They begin with the labelled documents;
 in each round either labels the unlabelled documents it is surest of for the other. Scores of both views are calibrated
-on labelled documents that neither was trained on, and their product, against the share of good documents, scores every
-document.
+on labelled documents that neither was trained on, where the weights are found too by which both views' odds are
+combined to score every document.
 
 The classifiers are fitted on bounded samples, MOST_LABELLED labelled and MOST_UNLABELLED other documents that a hash of
 the identifier chooses; all documents are scored. Null texts count as empty, null metadata as a value of its own. A
@@ -31,7 +31,8 @@ ROUNDS = 4
 SURE = 0.97
 MOST_TAUGHT = 0.1  # of the unlabelled documents, by either view in a round
 CALIBRATION = 5  # every fifth labelled document calibrates
-STEPS = 60
+STEPS = 100
+RIDGE = 0.1
 DECAY = 1e-4
 SEED = "co-training"
 
@@ -119,18 +120,18 @@ def fit(rows: Rows, labels: np.ndarray) -> np.ndarray:
     return model
 
 
-def calibration(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and constant of Platt's sigmoid, by Newton's method on smoothed labels."""
+def calibration(scores: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """A slope for each row of `scores` and a constant: Platt's sigmoid, by Newton's method on smoothed labels."""
     good, bad = labels.sum(), len(labels) - labels.sum()
     target = np.where(labels > 0.5, (good + 1) / (good + 2), 1 / (bad + 2))
-    x = np.stack([scores, np.ones(len(scores))], axis=1)
-    at = np.array([1.0, 0.0])
+    x = np.vstack([scores, np.ones(scores.shape[1])]).T
+    at = begun = np.append(np.full(len(scores), 1 / len(scores)), 0.0)
     for _ in range(30):
         p = sigmoid(x @ at)
-        slope = x.T @ (p - target) + 1e-3 * (at - [1.0, 0.0])
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        slope = x.T @ (p - target) + RIDGE * (at - begun)
+        curve = (x * (p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(at))
         at = at - np.clip(np.linalg.solve(curve, slope), -2, 2)
-    return max(float(at[0]), 0.0), float(at[1])
+    return np.append(np.maximum(at[:-1], 0.0), at[-1])
 
 
 def cotrain(views: list[Rows], labels: np.ndarray, rounds: int = ROUNDS) -> dict | None:
@@ -167,17 +168,15 @@ def cotrain(views: list[Rows], labels: np.ndarray, rounds: int = ROUNDS) -> dict
         if not added:
             break
     scores = [rows.take(held).dot(model) for rows, model in zip(views, models)]
-    return {
-        "models": [m.astype(np.float32) for m in models],
-        "scales": [calibration(s, labels[held]) for s in scores],
-        "prior": math.log(max(share, 1e-6) / max(1 - share, 1e-6)),
-    }
+    scales = [calibration(x[None, :], labels[held]) for x in scores]
+    odds = np.stack([a * x + b for x, (a, b) in zip(scores, scales)])
+    return {"models": [m.astype(np.float32) for m in models], "scales": scales, "both": calibration(odds, labels[held])}
 
 
 def combined(model: dict, views: list[Rows]) -> np.ndarray:
-    """The probability that a document is good: the calibrated views' odds, over the odds both begin with."""
-    odds = [a * rows.dot(m) + b for rows, m, (a, b) in zip(views, model["models"], model["scales"])]
-    return sigmoid(sum(odds) - model["prior"])
+    """The probability that a document is good."""
+    odds = np.stack([a * rows.dot(m) + b for rows, m, (a, b) in zip(views, model["models"], model["scales"])])
+    return sigmoid(model["both"][:-1] @ odds + model["both"][-1])
 
 
 def both_views(texts: list, langs: list, sources: list) -> list[Rows]:
