@@ -64,39 +64,6 @@ PHONE = re.compile(
     r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
     r"|(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4})(?!\d)"
 )
-TITLES = {"先生": "m", "女士": "f", "小姐": "f", "さん": "n"}
-
-# Syllables of surrogate names by script, and their ends by gender.
-SYLLABLES = {
-    "latin": "ba bel cor da del fen gar hal jo kel lan mar nor or pel ra sel tan ul ver wil".split(),
-    "cyrillic": "ба бел вер гар дан ел зар ив кол лан мар нор ол пер рад сел тар ул фен".split(),
-    "greek": "αλ βαρ γεν δελ ερ ζαν θε καλ λαρ μεν νικ ορ παλ ριν σελ ταρ φιλ".split(),
-    "han": list("安博昌德恩方光海和嘉康立明宁平青荣思天文祥雅远志"),
-}
-ENDS = {
-    ("latin", "m"): ["an", "o", "us", "ert"], ("latin", "f"): ["a", "ina", "elle", "ia"], ("latin", "n"): ["is", "en", "el", "in"],
-    ("cyrillic", "m"): ["ов", "ин", "ан"], ("cyrillic", "f"): ["ова", "ина", "ана"], ("cyrillic", "n"): ["ко", "ич", "ен"],
-    ("greek", "m"): ["ος", "ης", "ας"], ("greek", "f"): ["α", "η", "ου"], ("greek", "n"): ["ι", "ις", "ων"],
-    ("han", "m"): list("伟强军刚"), ("han", "f"): list("娜丽芳敏"), ("han", "n"): list("华林晨宇"),
-}
-# Letters that stand for others of their script and case, with the first and the last of them.
-ALPHABETS = {
-    "a": ("a", "z"), "A": ("A", "Z"), "я": ("а", "я"), "Я": ("А", "Я"), "ω": ("α", "ρ"), "Ω": ("Α", "Ρ"),
-    "汉": ("一", "鿿"), "あ": ("か", "ま"), "ア": ("カ", "マ"), "한": ("가", "힣"), "é": ("à", "ö"), "É": ("À", "Ö"),
-}
-DIGITS, FIRST, HEX, UPPER_HEX = "0123456789", "123456789", "0123456789abcdef", "0123456789ABCDEF"
-
-EMAIL = re.compile(r"(?<![\w.+%-])[\w.+%-]{1,64}@(?:[\w-]{1,63}\.){1,8}[^\W\d_]{2,63}")
-IPV4 = re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)")
-IPV6 = re.compile(r"(?<![:\w])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![:\w])")
-LONG_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])")
-SECRET = re.compile(r"(?i)\b(?:api[_-]?key|token|secret|password|passwd|pwd)\b[\"']?\s*[:=]\s*[\"']?([^\s\"']{6,})")
-IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
-CARD = re.compile(r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)")
-SOCIAL = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
-PHONE = re.compile(
-    r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}([-.])\d{3}\1\d{4})(?!\d)"
-)
 TITLES = "|".join(sorted((re.escape(t) for t in MALE + FEMALE + NEUTRAL), key=len, reverse=True))
 PERSON = regex.compile(rf"(?<!\w)({TITLES})\.?\s+(\p{{Lu}}[\p{{L}}'’-]+(?:\s+\p{{Lu}}[\p{{L}}'’-]+){{0,2}})")
 HAN_PERSON = regex.compile(rf"(\p{{Han}}{{2,3}})({'|'.join(HAN_TITLES)})")
