@@ -29,7 +29,7 @@ SEED = "mix-1"
 
 
 def with_targets(sources: DataFrame, weights: tuple[int, ...], percent: int, most: int) -> DataFrame:
-    """`sources` (source, source_size) with number, weight and target.
+    """`sources` (source, source_size) with number, weight, target and part, which is the same for all.
 
     Sources are weighed in order. Each gets `percent` of all sizes by weight, at most `most` times its own size; what is
     left over is shared again. In the order of size to weight the full sources come first, so the level at which the
@@ -50,7 +50,7 @@ def with_targets(sources: DataFrame, weights: tuple[int, ...], percent: int, mos
     ).first()["level"] or (0, 1)
     share = F.lit(level[0]).cast("bigint") * F.col("weight") / F.lit(level[1]).cast("bigint")
     return summed.select(
-        "source", "source_size", "number", "weight",
+        F.lit(0).alias("part"), "source", "source_size", "number", "weight",
         F.least((most * F.col("source_size")).cast("double"), share.cast("double")).alias("target"),
     )
 
@@ -125,7 +125,7 @@ def mixed(
     quotas = stored(
         sainte_lague(
             sources.select(
-                F.lit(0).alias("part"), F.col("number").alias("unit"), F.col("target").alias("votes"),
+                "part", F.col("number").alias("unit"), F.col("target").alias("votes"),
                 F.lit(wanted or 0.0).alias("all_votes"), F.lit(seats).cast("bigint").alias("seats"),
                 F.lit(n_sources).alias("n_units"),
             )
