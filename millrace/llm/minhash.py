@@ -4,11 +4,13 @@ A document is the set of its word shingles. Two permutations make the whole sign
 over 32 bits, the second is shifted by one place for each further coordinate. Bands of coordinates put documents that
 may be alike into buckets. Documents with equal sets are one node from the beginning.
 
-In a bucket not all pairs are looked at. A round picks a centre per bucket, the member that shares most buckets with
-others, and holds all other members against it on their full sets. Confirmed links give components; a bucket whose
-remaining members are all in one component is settled, and so is one with a single member left. The other buckets go
-through another round, with four times as many centres each. So every pair that shares a bucket is either held together
-by confirmed links or compared, whatever the size of the bucket.
+Each bucket has a centre, the member that shares most buckets with others; copies of one text thus have the same centre
+in most of their buckets. All members of a centre's buckets are its star, and two documents that share a bucket are in
+one star at least. A star of bounded size is a task: its members are compared on their full sets, by counting shingles
+in common for all of them at once, and only the edges of a spanning forest of the links come out. A larger star is dealt
+out in parts. Each part is compared within itself and with the centre; then the members that are not yet in the centre's
+component are held against all other parts. Members of the centre's component need not be compared with each other, so
+a group of near copies costs as much as it has members, besides those that are not linked to its centre.
 
 At the default 40 bands of 5 rows two sets of similarity 0.85 share no bucket with a probability of 7e-11, and of
 similarity 0.8 with 1.3e-7.
@@ -26,6 +28,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +40,11 @@ PERCENT = 85
 BANDS = 40
 ROWS = 5
 CHUNK = 1 << 15  # shingles that are permuted at a time
-STAR = 512  # members that one task holds against a centre before another takes over
-MORE_CENTRES = 4
+STAR = 512  # members of a star, or of a part of one
+STAR_SHINGLES = 1_000_000  # of a star's members together
+FEW = 12  # members that are compared one by one
+COMMON = 16  # holders of a shingle from which on holders are counted by a matrix product
+COLUMNS = 2048
 
 # Odd multipliers of the mixing functions.
 M64 = np.uint64(0x9E3779B97F4A7C15)
@@ -125,47 +131,133 @@ def _prepared(batches: Iterator[pa.RecordBatch], words: int, bands: int, rows: i
             )
 
 
-def _starred(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Links (u, v) of the centres and their members; a centre comes right before its members."""
-    centre, own = None, np.empty(0, np.uint64)
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements any two of the sets have in common."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    _, element, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    out = np.zeros((n, n), np.float32)
+    column = np.cumsum(holders >= COMMON) - 1
+    often = holders[element] >= COMMON
+    rows, columns = owner[often], column[element[often]]
+    order = np.argsort(columns, kind="stable")
+    rows, columns = rows[order], columns[order]
+    for first in range(0, int(columns[-1]) + 1 if len(columns) else 0, COLUMNS):
+        low, high = np.searchsorted(columns, [first, first + COLUMNS])
+        part = np.zeros((n, COLUMNS), np.float32)
+        part[rows[low:high], columns[low:high] - first] = 1
+        out += part @ part.T
+    seldom = (holders[element] < COMMON) & (holders[element] > 1)
+    rows, element = owner[seldom], element[seldom]
+    order = np.argsort(element, kind="stable")
+    rows, element = rows[order], element[order]
+    pairs = np.zeros(n * n)
+    for step in range(1, COMMON - 1):
+        same = np.flatnonzero(element[step:] == element[:-step])
+        if not len(same):
+            break
+        pairs += np.bincount(rows[same] * n + rows[same + step], minlength=n * n)
+    pairs = pairs.reshape(n, n)
+    return out + pairs + pairs.T
+
+
+def spanning_links(nodes: list[int], sets: list[np.ndarray], percent: int, outside: list[bool] | None = None) -> list[tuple[int, int]]:
+    """Edges that connect what links connect; of two nodes that are not `outside` no link is looked for."""
+    root = list(range(len(nodes)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    def linked() -> Iterator[tuple[int, int]]:
+        sizes = np.array([len(x) for x in sets])
+        if len(nodes) > FEW:
+            common = common_counts(sets)
+            links = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+            yield from zip(*np.nonzero(np.triu(links, 1)))
+            return
+        for i in range(len(nodes)):
+            for j in range(i + 1, len(nodes)):
+                small, large = sorted((len(sets[i]), len(sets[j])))
+                if 100 * small >= percent * large and find(i) != find(j):
+                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * common >= percent * (small + large - common):
+                        yield i, j
+
+    out = []
+    for i, j in linked():
+        if outside and not (outside[i] or outside[j]):
+            continue
+        x, y = find(int(i)), find(int(j))
+        if x != y:
+            root[y] = x
+            out.append((nodes[int(i)], nodes[int(j)]))
+    return out
+
+
+def _stars(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) of stars or parts of them; rows of one `task` come one after another."""
+    unpack = zstandard.ZstdDecompressor()
+
+    def links(rows: list[tuple]) -> pa.RecordBatch:
+        # A node that is there twice, as centre and as member or in repeated rows, is compared once.
+        once = {node: (packed, outside) for _, node, packed, outside in rows}
+        sets = [shingles(unpack.decompress(packed).decode(), words) for packed, _ in once.values()]
+        found = spanning_links(list(once), sets, percent, [o for _, o in once.values()])
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+    held: list[tuple] = []
     for batch in batches:
-        links = []
-        columns = [batch.column(n).to_pylist() for n in ("centre", "member", "text")]
-        for c, member, text in zip(*columns):
-            if member is None:
-                centre, own = c, shingles(text, words)
-                continue
-            if c != centre:
-                raise ValueError("a member came without its centre")
-            other = shingles(text, words)
-            common = len(np.intersect1d(own, other, assume_unique=True))
-            if 100 * common >= percent * (len(own) + len(other) - common):
-                links.append((c, member))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["u", "v"]
-        )
+        for row in zip(*[batch.column(n).to_pylist() for n in ("task", "node", "packed", "outside")]):
+            if held and row[0] != held[0][0]:
+                yield links(held)
+                held = []
+            held.append(row)
+    if held:
+        yield links(held)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = [pack.compress(t.encode()) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], names=["node", "packed"])
+
+
+def _compared(tasks: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links among the rows (task, node, outside) of each task."""
+    return (
+        tasks.join(texts, "node")
+        .select("task", "node", "packed", "outside")
+        .repartition("task")
+        .sortWithinPartitions("task")
+        .mapInArrow(partial(_stars, words=words, percent=percent), "u bigint, v bigint")
+    )
+
 
+def _across_parts(members: DataFrame) -> DataFrame:
+    """Tasks that hold every member outside its centre's component against all other members of its star.
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (centre, member) that are links. A centre with many members is copied to several tasks."""
-    stars = pairs.groupBy("centre").agg(F.ceil(F.count("*") / STAR).alias("parts"))
-    part = F.pmod(F.xxhash64("member"), F.col("parts")).alias("part")
-    members = (
-        pairs.join(stars, "centre")
-        .select("centre", "member", part)
-        .join(texts, F.col("member") == texts["node"])
-        .select("centre", "part", "member", "text")
+    `members` has (centre, node, n, outside). Outside members make parts of their own, and a task is a pair of parts of
+    which one at least is of these.
+    """
+    parts = lambda n, w: F.ceil(F.greatest(n / STAR, w / STAR_SHINGLES))
+    counted = members.groupBy("centre").agg(
+        F.sum(F.col("outside").cast("int")).alias("n_out"), F.sum(F.when(F.col("outside"), F.col("n")).otherwise(0)).alias("w_out"),
+        F.sum((~F.col("outside")).cast("int")).alias("n_in"), F.sum(F.when(F.col("outside"), 0).otherwise(F.col("n"))).alias("w_in"),
+    ).where("n_out > 0").select(
+        "centre", parts(F.col("n_out"), F.col("w_out")).alias("outer"), parts(F.col("n_in"), F.col("w_in")).alias("inner")
     )
-    centres = (
-        stars.select("centre", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
-        .join(texts, F.col("centre") == texts["node"])
-        .select("centre", "part", F.lit(None).cast("bigint").alias("member"), "text")
+    spread = members.join(counted, "centre").withColumn(
+        "own", F.when(F.col("outside"), F.pmod(F.xxhash64("node"), F.col("outer")))
+        .otherwise(F.col("outer") + F.pmod(F.xxhash64("node"), F.col("inner")))
     )
-    return (
-        members.union(centres)
-        .repartition("centre", "part")
-        .sortWithinPartitions("centre", "part", F.asc_nulls_first("member"))
-        .mapInArrow(partial(_starred, words=words, percent=percent), "u bigint, v bigint")
+    # An outside part meets every part, another one only the outside parts.
+    others = F.sequence(F.lit(0).cast("bigint"), F.when(F.col("outside"), F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1)
+    return spread.select("centre", "node", "outside", "own", F.explode(others).alias("other")).select(
+        F.xxhash64("centre", F.least("own", "other"), F.greatest("own", "other")).alias("task"), "node", "outside"
     )
 
 
@@ -206,52 +298,46 @@ def near_groups(
     meets = members.df.groupBy("node").agg(F.sum("size").alias("meets"))
     needed = meets.select("node").join(classes.select("node", "tag"), "node")
     compared = stored(
-        texts.join(needed, (texts["id"] == needed["node"]) & (texts["tag"] == needed["tag"])).select("node", "text"),
+        texts.join(needed, (texts["id"] == needed["node"]) & (texts["tag"] == needed["tag"])).select("node", "text")
+        .mapInArrow(_packed, "node bigint, packed binary"),
         "compared",
     )
-    open_ = stored(members.df.drop("size").join(meets, "node"), "open")
+    # A bucket's centre, and the stars of all centres.
+    met = members.df.join(meets, "node")
+    best = met.groupBy("bucket").agg(F.max(F.struct("meets", (-F.col("node")).alias("minus"), "n")).alias("best")).select(
+        "bucket", (-F.col("best.minus")).alias("centre"), F.col("best.n").alias("centre_n")
+    )
+    apart = (F.col("size") == 2) & (100 * F.least("n", "centre_n") < percent * F.greatest("n", "centre_n"))
+    star = (
+        members.df.join(best, "bucket").where((F.col("node") != F.col("centre")) & ~apart)
+        .select("centre", "node", "n").distinct()
+    )
+    star = stored(star, "stars")
     discard(spark, members)
-
-    links, settled, centres = None, None, 1
-    while True:
-        part = F.pmod(F.xxhash64("node"), F.lit(centres))
-        chosen = (
-            open_.df.groupBy("bucket", part.alias("part"))
-            .agg(F.max(F.struct("meets", (-F.col("node")).alias("minus"), "n")).alias("best"))
-            .select("bucket", (-F.col("best.minus")).alias("centre"), F.col("best.n").alias("centre_n"))
-        )
-        chosen = stored(chosen, "centres")
-        near = (
-            open_.df.join(chosen.df, "bucket")
-            .where("node != centre")
-            # Sets of too different sizes cannot be alike.
-            .where(f"100 * least(n, centre_n) >= {percent} * greatest(n, centre_n)")
-            .select("centre", F.col("node").alias("member"))
+    sizes = star.df.groupBy("centre").agg(
+        F.ceil(F.greatest(F.count("*") / STAR, F.sum("n") / STAR_SHINGLES)).alias("parts")
+    )
+    parted = stored(star.df.join(sizes, "centre"), "parts")
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    outside = F.lit(True).alias("outside")
+    each = parted.df.select(F.xxhash64("centre", part).alias("task"), "node", outside)
+    centres = sizes.select("centre", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    centres = centres.select(F.xxhash64("centre", "part").alias("task"), F.col("centre").alias("node"), outside)
+    links = stored(_compared(each.union(centres), compared.df, words, percent), "links").df
+    settled = components(links)
+
+    large = parted.df.where("parts > 1").select("centre", "node", "n")
+    if not large.isEmpty():
+        of_centre = settled.df.select(F.col("node").alias("centre"), F.col("component").alias("of_centre"))
+        labelled = large.join(of_centre, "centre", "left").join(settled.df, "node", "left").select(
+            "centre", "node", "n",
+            (F.coalesce("component", "node") != F.coalesce("of_centre", "centre")).alias("outside"),
         )
-        if settled is not None:
-            label = settled.df.select(F.col("node").alias("centre"), F.col("component").alias("of_centre"))
-            of = settled.df.select(F.col("node").alias("member"), F.col("component").alias("of_member"))
-            near = (
-                near.distinct().join(label, "centre", "left").join(of, "member", "left")
-                .where("coalesce(of_centre, centre) != coalesce(of_member, member)")
-            )
-        pairs = stored(near.select("centre", "member").distinct(), "pairs")
-        found = stored(_confirmed(pairs.df, compared.df, words, percent), "links")
-        links = found.df if links is None else links.union(found.df)
-        if settled is not None:
-            discard(spark, settled)
-        settled = components(links)
-        # Members that were no centre, in buckets where they are not all in one component.
-        left = open_.df.join(chosen.df, [open_.df["bucket"] == chosen.df["bucket"], open_.df["node"] == chosen.df["centre"]], "left_anti")
-        labelled = left.join(settled.df, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        after = stored(left.join(mixed.where("low != high").select("bucket"), "bucket", "left_semi").select(open_.df.columns), "open")
-        discard(spark, open_, chosen, pairs)
-        open_ = after
-        if open_.df.isEmpty():
-            break
-        centres *= MORE_CENTRES
-    discard(spark, compared, open_)
+        more = _compared(_across_parts(stored(labelled, "labelled").df), compared.df, words, percent)
+        more = stored(more, "more-links").df
+        discard(spark, settled)
+        settled = components(links.union(more))
+    discard(spark, star, parted, compared)
 
     components_of = classes.select("set_hash", "node").join(settled.df, "node", "left").select(
         "set_hash", F.coalesce("component", "node").alias("component")
