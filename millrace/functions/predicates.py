@@ -47,23 +47,29 @@ def since(c, day: dt.date) -> Column:
     return col(c) >= F.lit(day)
 
 
-def past_key(order: list[tuple[str, bool]], values: list[Column]) -> Column:
+def past_key(order: list[tuple[str, bool]], values: list[Column | None], with_nulls: bool = True) -> Column:
     """Rows after a boundary row in a lexicographic order.
 
-    `order` lists (column, descending). The bound on the leading column stands on its own,
-    since only a plain comparison is pushed to the scan.
+    `order` lists (column, descending), nulls last in both directions; None is the boundary's null. The bound on the
+    leading column stands on its own, since only plain comparisons are pushed to the scan. Without `with_nulls` a row
+    with a null key is never after another.
     """
     def beyond(name, descending, value, inclusive):
         c = F.col(name)
+        if value is None:
+            return c.isNull() if inclusive else F.lit(False)
         if descending:
-            return c <= value if inclusive else c < value
-        return c >= value if inclusive else c > value
+            after = c <= value if inclusive else c < value
+        else:
+            after = c >= value if inclusive else c > value
+        return after | c.isNull() if with_nulls else after
 
     (name, descending), value = order[0], values[0]
     if len(order) == 1:
         return beyond(name, descending, value, False)
-    rest = past_key(order[1:], values[1:])
-    return beyond(name, descending, value, True) & (beyond(name, descending, value, False) | rest)
+    rest = past_key(order[1:], values[1:], with_nulls)
+    same = F.col(name).isNull() if value is None else F.col(name) == value
+    return beyond(name, descending, value, True) & (beyond(name, descending, value, False) | (same & rest))
 
 
 # Fixed pattern: one lower-case letter, one upper-case letter, one digit of any script, one

@@ -38,8 +38,8 @@ def money_sum(c) -> Column:
 
 
 def average(c) -> Column:
-    """Mean of an amount from its exact sum; null when there is no value."""
-    return money_sum(c).cast("double") / F.nullif(F.count(c), F.lit(0))
+    """Mean of an amount from its exact sum; null when there is no value. NaN is no value."""
+    return money_sum(c).cast("double") / F.nullif(F.count(_cents(c)), F.lit(0))
 
 
 # --- dates -----------------------------------------------------------------------------
@@ -84,8 +84,12 @@ def lenient_date(c, pattern: str = "yyyy-MM-dd") -> Column:
 
 # --- text ------------------------------------------------------------------------------
 
+# White space in Unicode and line ends, as scripts in web pages trim them.
+WHITE = "\t\n\x0b\x0c\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 def trimmed(c) -> Column:
-    return F.btrim(col(c), F.lit(" \t\r\n"))
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 def html_escaped(c) -> Column:

@@ -94,9 +94,14 @@ def mode_of(df: DataFrame, column: str) -> DataFrame:
     return counted.orderBy(F.desc("n"), F.asc(column)).limit(1)
 
 
+def missing(df: DataFrame, column: str) -> Column:
+    floating = dict(df.dtypes)[column] in ("double", "float")
+    return F.col(column).isNull() | F.isnan(column) if floating else F.col(column).isNull()
+
+
 def null_report(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Null count and share per column, in one pass."""
-    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    """Count and share of missing values per column, in one pass; NaN is missing too."""
+    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(missing(df, c)).alias(c) for c in columns])
     return (
         counts.unpivot("_rows", columns, "column", "nulls")
         .withColumn("pct", F.col("nulls") * 100.0 / F.nullif("_rows", F.lit(0)))
@@ -122,9 +127,9 @@ QUARTILES = [0.25, 0.5, 0.75]
 
 
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles, one row per column."""
+    """Count, mean, sample deviation, extremes and exact quartiles, one row per column; NaN counts as missing."""
     quartiles = exact_quantiles(df, {c: QUARTILES for c in columns})
-    stats = df.agg(
+    stats = df.select(*[F.when(~missing(df, c), F.col(c)).alias(c) for c in columns]).agg(
         *[
             F.struct(
                 F.count(c).alias("cnt"),

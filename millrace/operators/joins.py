@@ -13,11 +13,10 @@ BROADCAST_BYTES = 32 * 2**20
 
 
 def is_small(df: DataFrame) -> bool:
-    """Few enough rows and, as text, few enough bytes to be copied to every executor."""
-    if df.count() > BROADCAST_ROWS:
-        return False
+    """Few enough rows and, as text, few enough bytes to be copied to every executor; one job over a bounded prefix."""
     text = F.octet_length(F.to_json(F.struct(*df.columns)))
-    return (df.agg(F.sum(text)).first()[0] or 0) <= BROADCAST_BYTES
+    first = df.limit(BROADCAST_ROWS + 1).agg(F.count("*").alias("rows"), F.sum(text).alias("bytes")).first()
+    return first["rows"] <= BROADCAST_ROWS and (first["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def with_small(facts: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
@@ -55,14 +54,9 @@ def with_total(parents: DataFrame, key: str, children: DataFrame, child_key: str
     return parents.join(totals, F.col(key) == F.col("_key"), "left").drop("_key")
 
 
-# A map literal is searched entry by entry for each row.
-MAP_ENTRIES = 100
-
-
 def looked_up(df: DataFrame, column: str, mapping: dict[str, str], name: str) -> DataFrame:
-    """Translate a column; values without an entry become null."""
-    if len(mapping) <= MAP_ENTRIES:
-        pairs = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-        return df.withColumn(name, F.try_element_at(pairs, F.col(column)))
-    table = df.sparkSession.createDataFrame(list(mapping.items()), f"`{column}` string, `{name}` string")
-    return with_small(df, table, column, "left")
+    """Add the translation of a column; values without an entry, null among them, become null."""
+    entries = [(k, v) for k, v in mapping.items() if k is not None]
+    table = df.sparkSession.createDataFrame(entries, "_key string, _value string")
+    found = with_small(df.withColumn("_key", F.col(column)), table, "_key", "left")
+    return found.select(*df.columns, F.col("_value").alias(name))

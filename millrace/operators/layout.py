@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 def write_clustered(df: DataFrame, path: str, key: str, date: str) -> None:
     """Files hold ranges of (key, date) in order, so `key = x AND date >= d` reads few row groups.
 
-    The date is part of the range, which spreads a key that fills many files over all of them.
+    A hash of the row is the last part of the range, so that a key and date which fill many files are spread over all
+    of them.
     """
-    df.repartitionByRange(F.col(key), F.col(date)).sortWithinPartitions(key, date).write.mode("overwrite").parquet(path)
+    df.repartitionByRange(F.col(key), F.col(date), F.xxhash64(*df.columns)).sortWithinPartitions(key, date).write.mode("overwrite").parquet(path)
 
 
 def write_by_month(df: DataFrame, path: str, date: str) -> None:

@@ -16,13 +16,26 @@ CHUNK_ROWS = 50_000
 STRETCH = 40
 
 
+def _known(accounts: DataFrame, transfers: DataFrame) -> DataFrame:
+    """Transfers with whether both their accounts are there."""
+    for end in ("source", "target"):
+        known = accounts.select(F.col("account").alias(end), F.lit(True).alias(f"_{end}"))
+        transfers = transfers.join(known, end, "left")
+    return transfers.withColumn("_both", F.col("_source").isNotNull() & F.col("_target").isNotNull())
+
+
+def refused_transfers(accounts: DataFrame, transfers: DataFrame) -> DataFrame:
+    """Transfers from or to an account that is not there; apply_transfers leaves them out."""
+    return _known(accounts, transfers).where("not _both").select(*transfers.columns)
+
+
 def apply_transfers(accounts: DataFrame, transfers: DataFrame) -> DataFrame:
-    """New balances after all transfers.
+    """New balances after all transfers between known accounts.
 
     accounts(account, balance), transfers(source, target, amount). Every transfer becomes two
     legs; legs are summed per account before they meet the accounts.
     """
-    legs = transfers.select(
+    legs = _known(accounts, transfers).where("_both").select(
         F.explode(
             F.array(
                 F.struct(F.col("source").alias("account"), (-F.col("amount")).alias("delta")),
@@ -36,6 +49,12 @@ def apply_transfers(accounts: DataFrame, transfers: DataFrame) -> DataFrame:
     )
 
 
+def conserved(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: the sums of all balances before and after, and whether they agree."""
+    sums = before.agg(F.sum("balance").alias("before")).withColumn("after", after.agg(F.sum("balance")).scalar())
+    return sums.withColumn("same", F.col("before").eqNullSafe(F.col("after")))
+
+
 def compare_writes(accounts: DataFrame, writes: DataFrame) -> DataFrame:
     """The same log read as absolute writes (the latest wins) and as changes (all count).
 

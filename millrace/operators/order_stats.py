@@ -1,9 +1,9 @@
 """Exact order statistics that never bring a column's values together in one task.
 
-Each round proposes two cut points around the wanted rank from an approximate quantile, then
-counts rows exactly on either side of them, so the cut points only decide how fast the search
-narrows and never what it returns. A round reads the data but shuffles one row per task. The
-last few rows are sorted once they fit `SMALL`.
+Each round proposes two cut points around the wanted rank from an approximate quantile, or for
+text from a sample of the values, then counts rows exactly on either side of them, so the cut
+points only decide how fast the search narrows and never what it returns. A round reads the data
+but shuffles one row per task. The last few rows are sorted once they fit `SMALL`.
 """
 
 from __future__ import annotations
@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.predicates import literal, past_key
+from millrace.functions.predicates import literal
 
 SMALL = 100_000
 ACCURACY = 10_000
+SAMPLE = 4_000  # rows, on average, that cut points of text are taken from
 
 
 @dataclass(frozen=True)
@@ -80,24 +81,43 @@ def _sorted_out(df: DataFrame, searches: Searches) -> dict[tuple[str, int], Any]
 
 def _proposed(df: DataFrame, searches: Searches) -> dict[_Interval, list]:
     """Cut points around the wanted ranks of every interval, in order and among its rows."""
-    aggregates = []
+    aggregates, proposed = [], {}
     for n, (interval, ranks) in enumerate(searches.items()):
         shares = [(rank - interval.below) / interval.inside for rank in ranks]
-        around = sorted({min(1.0, max(0.0, s + d)) for s in shares for d in (-2 / ACCURACY, 2 / ACCURACY)})
+        text = isinstance(interval.data_type, T.StringType)
+        margin = 4 / math.sqrt(SAMPLE) if text else 2 / ACCURACY
+        around = sorted({min(1.0, max(0.0, s + d)) for s in shares for d in (-margin, margin)})
         value = F.when(interval.holds(), F.col(interval.column))
-        aggregates += [
-            F.percentile_approx(value, around, ACCURACY).alias(f"p{n}"),
-            F.min(value).alias(f"min{n}"),
-            F.max(value).alias(f"max{n}"),
-        ]
-    row = _aggregate(df, searches, aggregates).first()
+        if text:
+            proposed[f"p{n}"] = _sampled(df, interval, around)
+        else:
+            aggregates.append(F.percentile_approx(value, around, ACCURACY).alias(f"p{n}"))
+        aggregates += [F.min(value).alias(f"min{n}"), F.max(value).alias(f"max{n}")]
+    row = _aggregate(df, searches, aggregates).first().asDict() | proposed
     # The approximation works on doubles, so a cut point may lie outside the rows.
     return {
-        interval: sorted({min(max(v, row[f"min{n}"]), row[f"max{n}"]) for v in row[f"p{n}"]})
+        interval: _in_order({min(max(v, row[f"min{n}"], key=_sort_key), row[f"max{n}"], key=_sort_key) for v in row[f"p{n}"]})
         for n, interval in enumerate(searches)
     }
 
 
+def _sort_key(value):
+    """Text in the order of its bytes, as Spark compares it."""
+    return value.encode() if isinstance(value, str) else value
+
+
+def _in_order(values) -> list:
+    return sorted(values, key=_sort_key)
+
+
+def _sampled(df: DataFrame, interval: _Interval, shares: list[float]) -> list[str]:
+    """Values near the given shares of an interval, from a sample of about SAMPLE rows."""
+    held = df.filter(interval.holds()).select(interval.column)
+    drawn = held.sample(min(1.0, SAMPLE / interval.inside), seed=interval.inside).limit(4 * SAMPLE).collect()
+    values = _in_order(r[0] for r in drawn) or [held.first()[0]]
+    return [values[min(len(values) - 1, int(s * len(values)))] for s in shares]
+
+
 def _narrowed(df: DataFrame, searches: Searches) -> tuple[Searches, dict[tuple[str, int], Any]]:
     """Cut every interval, count exactly, and keep the pieces that hold a wanted rank."""
     cuts = _proposed(df, searches)
@@ -176,21 +196,36 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], small: int =
 def row_key_at(df: DataFrame, order: list[tuple[str, bool]], index: int, small: int = SMALL) -> list[Any] | None:
     """Key of the row at 0-based `index` in a total order; `order` lists (column, descending).
 
-    The key columns are numbers, dates or timestamps and hold no nulls. None when there are not
-    that many rows.
+    The key columns are numbers, text, dates or timestamps. Nulls come last in both directions, NaN counts as the
+    largest number. None when there are not that many rows.
     """
+    if index < 0:
+        return None
     left, key = index, []
     ties = df.select(*[name for name, _ in order])
     for name, descending in order:
-        n = _column_counts(ties, [name])[name]
-        if left >= n:
+        data_type, c = df.schema[name].dataType, F.col(name)
+        present = _present(c, data_type)
+        counts = ties.agg(F.count_if(present).alias("values"), F.count_if(c.isNotNull() & ~present).alias("nans"), F.count("*").alias("all")).first()
+        if left >= counts["all"]:
             return None
-        data_type = df.schema[name].dataType
-        rank = n - 1 - left if descending else left
-        found = _solve(ties, {_Interval(name, data_type, inside=n): [rank]}, small)[name, rank]
-        value = literal(found, data_type)
+        parts = [("values", counts["values"]), ("nans", counts["nans"]), ("nulls", counts["all"] - counts["values"] - counts["nans"])]
+        if descending:
+            parts[:2] = parts[1::-1]
+        for part, n in parts:
+            if left < n:
+                break
+            left -= n
+        if part == "values":
+            rank = n - 1 - left if descending else left
+            found = _solve(ties, {_Interval(name, data_type, inside=n): [rank]}, small)[name, rank]
+            same = c == literal(found, data_type)
+            if len(key) + 1 < len(order):
+                # Of the values, those before this one; NaN and null have been taken off.
+                left -= ties.filter(present & (c > literal(found, data_type) if descending else c < literal(found, data_type))).count()
+        else:
+            found = None if part == "nulls" else math.nan
+            same = c.isNull() if part == "nulls" else F.isnan(c)
         key.append(found)
-        if len(key) < len(order):
-            left -= ties.filter(past_key([(name, not descending)], [value])).count()
-            ties = ties.filter(F.col(name) == value)
+        ties = ties.filter(same)
     return key

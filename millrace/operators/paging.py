@@ -10,9 +10,6 @@ from millrace.operators.order_stats import row_key_at
 
 Order = list[tuple[str, bool]]
 
-# Every task of a top-k hands its k rows to one task, so only short prefixes are taken that way.
-SHALLOW = 100
-
 
 def by(order: Order) -> list[Column]:
     """Sort columns with nulls last in both directions."""
@@ -30,20 +27,20 @@ def numbered_top(df: DataFrame, order: Order, k: int, name: str = "position") ->
 
 
 def page_boundary(df: DataFrame, order: Order, offset: int) -> list | None:
-    """Key of the last row before the page that starts at `offset`."""
-    return row_key_at(df, order, offset - 1)
+    """Key of the last row before the page that starts at `offset`; None at the start and past the end."""
+    return row_key_at(df, order, offset - 1) if offset > 0 else None
 
 
 def keyset_page(df: DataFrame, order: Order, after: list, k: int) -> DataFrame:
-    """k rows after a known row; the order has to end in a unique key."""
-    values = [literal(v, df.schema[name].dataType) for (name, _), v in zip(order, after)]
+    """k rows after a known row, whose key may have nulls; the order has to end in a unique key."""
+    values = [None if v is None else literal(v, df.schema[name].dataType) for (name, _), v in zip(order, after)]
     return top(df.filter(past_key(order, values)), order, k)
 
 
-def offset_page(df: DataFrame, order: Order, offset: int, k: int, shallow: int = SHALLOW) -> DataFrame:
-    """k rows from position `offset`. A deep page is read as the keyset page behind its boundary."""
-    if offset + k <= shallow:
-        return df.orderBy(*by(order)).offset(offset).limit(k)
+def offset_page(df: DataFrame, order: Order, offset: int, k: int) -> DataFrame:
+    """k rows from position `offset`, read as the keyset page behind its boundary."""
+    if offset <= 0:
+        return top(df, order, k)
     boundary = page_boundary(df, order, offset)
     if boundary is None:
         return df.limit(0)

@@ -24,9 +24,14 @@ def filled_text(field: str) -> Rule:
     return Rule(field, F.length(field) >= 1, "must be text of at least 1 character")
 
 
+# Decimal digits with a sign, a point and an exponent at most; no suffixes, no hexadecimal numbers.
+NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?|nan)\s*$"
+
+
 def positive_number(field: str) -> Rule:
     """A number, or text that reads as one, above zero. NaN fails, infinity passes."""
-    number = F.expr(f"try_cast(`{field}` AS double)")
+    text = F.col(field).cast("string")
+    number = F.when(text.rlike(NUMBER), F.expr(f"try_cast(`{field}` AS double)"))
     return Rule(field, (number > 0) & ~F.isnan(number), "must be a number greater than 0")
 
 

@@ -92,33 +92,24 @@ def fd_violations(t: Tables) -> DataFrame:
 
 # --- one wide table and its narrow tables ----------------------------------------------------
 
-WIDE = ["order_id", "order_dt", "cust_id", "cust_name", "prod_id", "prod_name", "unit_price", "qty"]
-NARROW = {
-    "order_items": ["order_id", "prod_id", "qty"],
-    "orders": ["order_id", "order_dt", "cust_id"],
-    "customers": ["cust_id", "cust_name"],
-    "products": ["prod_id", "prod_name", "unit_price"],
-}
+# What depends on a line, on its order, on a customer and on a part.
+LINES = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
+ORDERS = ["l_orderkey", "o_custkey", "o_orderdate"]
+CUSTOMERS = ["o_custkey", "c_name"]
+PARTS = ["l_partkey", "p_name", "p_retailprice"]
+WIDE = list(dict.fromkeys(LINES + ORDERS + CUSTOMERS + PARTS))
 
 
 def _wide(t: Tables) -> DataFrame:
-    """Order lines with everything about the order, the customer and the product on each row."""
-    lines = t.lineitem.select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("prod_id"), F.col("l_quantity").alias("qty")
-    ).distinct()
-    orders = t.orders.select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_dt"), F.col("o_custkey").alias("cust_id")
-    )
-    customers = t.customer.select(F.col("c_custkey").alias("cust_id"), F.col("c_name").alias("cust_name"))
-    products = t.part.select(
-        F.col("p_partkey").alias("prod_id"), F.col("p_name").alias("prod_name"), F.col("p_retailprice").alias("unit_price")
-    )
-    return Q.rejoined(lines, [(orders, "order_id"), (customers, "cust_id"), (products, "prod_id")], WIDE)
+    """Every order line with all about its order, customer and part."""
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_retailprice")
+    return Q.rejoined(t.lineitem.select(*LINES), [(orders, "l_orderkey"), (customers, "o_custkey"), (parts, "l_partkey")], WIDE)
 
 
-_WIDE = """wide AS (
-  SELECT DISTINCT l_orderkey AS order_id, o_orderdate AS order_dt, c_custkey AS cust_id, c_name AS cust_name,
-         p_partkey AS prod_id, p_name AS prod_name, p_retailprice AS unit_price, l_quantity AS qty
+_WIDE = f"""wide AS (
+  SELECT {', '.join(WIDE)}
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN part ON l_partkey = p_partkey)"""
 
@@ -128,41 +119,40 @@ def four_way_join(t: Tables) -> DataFrame:
     return _wide(t)
 
 
-@query(f"WITH {_WIDE} SELECT DISTINCT order_id, prod_id, qty FROM wide")
+@query(f"WITH {_WIDE} SELECT DISTINCT {', '.join(LINES)} FROM wide")
 def normalised_items(t: Tables) -> DataFrame:
-    return Q.split_tables(_wide(t), NARROW)["order_items"]
+    return Q.split_tables(_wide(t), {"lines": LINES})["lines"]
 
 
-@query(f"WITH {_WIDE} SELECT DISTINCT order_id, order_dt, cust_id FROM wide")
+@query(f"WITH {_WIDE} SELECT DISTINCT {', '.join(ORDERS)} FROM wide")
 def normalised_orders(t: Tables) -> DataFrame:
-    return Q.split_tables(_wide(t), NARROW)["orders"]
+    return Q.split_tables(_wide(t), {"orders": ORDERS})["orders"]
 
 
-@query(f"WITH {_WIDE} SELECT DISTINCT cust_id, cust_name FROM wide")
+@query(f"WITH {_WIDE} SELECT DISTINCT {', '.join(CUSTOMERS)} FROM wide")
 def normalised_customers(t: Tables) -> DataFrame:
-    return Q.split_tables(_wide(t), NARROW)["customers"]
+    return Q.split_tables(_wide(t), {"customers": CUSTOMERS})["customers"]
 
 
-@query(f"WITH {_WIDE} SELECT DISTINCT prod_id, prod_name, unit_price FROM wide")
+@query(f"WITH {_WIDE} SELECT DISTINCT {', '.join(PARTS)} FROM wide")
 def normalised_products(t: Tables) -> DataFrame:
-    return Q.split_tables(_wide(t), NARROW)["products"]
+    return Q.split_tables(_wide(t), {"parts": PARTS})["parts"]
 
 
 @query(f"""
 WITH {_WIDE}, back AS (
-  SELECT i.order_id, o.order_dt, c.cust_id, c.cust_name, p.prod_id, p.prod_name, p.unit_price, i.qty
-  FROM (SELECT DISTINCT order_id, prod_id, qty FROM wide) i
-  JOIN (SELECT DISTINCT order_id, order_dt, cust_id FROM wide) o USING (order_id)
-  JOIN (SELECT DISTINCT cust_id, cust_name FROM wide) c USING (cust_id)
-  JOIN (SELECT DISTINCT prod_id, prod_name, unit_price FROM wide) p USING (prod_id))
+  SELECT {', '.join(WIDE)}
+  FROM (SELECT DISTINCT {', '.join(LINES)} FROM wide) JOIN (SELECT DISTINCT {', '.join(ORDERS)} FROM wide) USING (l_orderkey)
+  JOIN (SELECT DISTINCT {', '.join(CUSTOMERS)} FROM wide) USING (o_custkey)
+  JOIN (SELECT DISTINCT {', '.join(PARTS)} FROM wide) USING (l_partkey))
 SELECT COUNT(*) AS different, COUNT(*) = 0 AS same
 FROM ((SELECT * FROM wide EXCEPT ALL SELECT * FROM back) UNION ALL (SELECT * FROM back EXCEPT ALL SELECT * FROM wide))""")
 def lossless_rejoin(t: Tables) -> DataFrame:
     # Five readers follow, so the join is done once.
     wide = written(_wide(t), "wide")
-    n = Q.split_tables(wide, NARROW)
-    parents = [(n["orders"], "order_id"), (n["customers"], "cust_id"), (n["products"], "prod_id")]
-    return Q.same_rows(wide, Q.rejoined(n["order_items"], parents, WIDE))
+    n = Q.split_tables(wide, {"lines": LINES, "orders": ORDERS, "customers": CUSTOMERS, "parts": PARTS})
+    parents = [(n["orders"], "l_orderkey"), (n["customers"], "o_custkey"), (n["parts"], "l_partkey")]
+    return Q.same_rows(wide, Q.rejoined(n["lines"], parents, WIDE))
 
 
 @query("SELECT c_custkey AS row, 'c_acctbal: must not be below 0' AS error FROM customer WHERE NOT c_acctbal >= 0")
@@ -194,11 +184,9 @@ def same_rows(t: Tables) -> DataFrame:
     return Q.same_rows(orders.filter(F.year("o_orderdate") == 1997), orders.filter(P.in_year("o_orderdate", 1997)))
 
 
-@query(f"WITH {_WIDE} SELECT order_id, prod_id, COUNT(*) - 2 AS surplus FROM wide GROUP BY 1, 2 HAVING COUNT(*) <> 2")
+@query("SELECT l_orderkey, l_partkey, COUNT(*) - 2 AS surplus FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) <> 2")
 def row_differences(t: Tables) -> DataFrame:
-    """Order and product pairs against two copies of each distinct pair."""
-    pairs = t.lineitem.select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("prod_id"), F.col("l_quantity").alias("qty")
-    ).distinct().select("order_id", "prod_id")
+    """Order and part of every line against two copies of each distinct pair."""
+    pairs = t.lineitem.select("l_orderkey", "l_partkey")
     once = pairs.distinct()
     return Q.row_differences(pairs, once.unionAll(once))

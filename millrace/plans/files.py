@@ -62,7 +62,16 @@ def read_csv_text(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "customers")
     gaps = t.customer.withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))
     files.write_csv(gaps, path, CUSTOMER_COLUMNS)
-    return files.load_csv(t.spark, path, CUSTOMER_COLUMNS)
+    return files.csv_if_there(t.spark, path, CUSTOMER_COLUMNS)
+
+
+@query("SELECT doc_id, '  ' || text || chr(10) || ' \"quoted, twice\" ' AS text, '' AS note FROM documents")
+def csv_roundtrip(t: Tables) -> DataFrame:
+    """Whole texts, padded and of many lines, written and read back by header."""
+    path = new_folder(t.spark, "texts")
+    padded = F.concat(F.lit("  "), "text", F.lit('\n "quoted, twice" '))
+    files.write_csv(t.documents.select("doc_id", F.lit("").alias("note"), padded.alias("text")), path, ["note", "text", "doc_id"], multi_line=True)
+    return files.read_csv_typed(t.spark, path, "doc_id bigint, text string, note string", multi_line=True).na.fill("")
 
 
 SALE_FIELDS = "date date, region string, amount bigint, category string"
@@ -164,10 +173,11 @@ def sql_over_file(t: Tables) -> DataFrame:
 
 @query(f"WITH {_GAPPED} SELECT region, SUM(CAST(amount AS DOUBLE)) AS total, COUNT(*) AS cnt FROM gapped WHERE amount > 0 GROUP BY region")
 def sql_over_csv_view(t: Tables) -> DataFrame:
-    tables.csv_view(t.spark, "sales_csv", _sales_csv(t), SALE_FIELDS)
+    name = tables.own_name("sales_csv")
+    tables.csv_view(t.spark, name, _sales_csv(t), SALE_FIELDS)
     return t.spark.sql(
         "SELECT region, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total, COUNT(*) AS cnt"
-        " FROM sales_csv WHERE amount > 0 GROUP BY region"
+        f" FROM {name} WHERE amount > 0 GROUP BY region"
     )
 
 
@@ -175,7 +185,7 @@ def sql_over_csv_view(t: Tables) -> DataFrame:
 def missing_file_skipped(t: Tables) -> DataFrame:
     """Of two sources only one is there."""
     paths = [t.path("orders"), t.path("orders_that_never_came")]
-    found = [files.read_or_none(lambda p=p: t.spark.read.parquet(p), p) for p in paths]
+    found = [t.spark.read.parquet(p) if files.is_there(t.spark, p) else None for p in paths]
     present = [df.select("o_orderkey", "o_custkey") for df in found if df is not None]
     out = present[0]
     for df in present[1:]:
@@ -202,4 +212,4 @@ def reload_count(t: Tables) -> DataFrame:
 
 @query(f"WITH {SALES} SELECT region, {total('amount')} AS total, {total('amount')} / COUNT(amount) AS avg, COUNT(*) AS cnt FROM sales GROUP BY region")
 def sales_view(t: Tables) -> DataFrame:
-    return totals_by(tables.view(t.sales(), "sales"), ["region"], "amount")
+    return totals_by(tables.view(t.sales(), tables.own_name("sales")), ["region"], "amount")

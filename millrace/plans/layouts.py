@@ -1,4 +1,4 @@
-"""Layouts, statistics and plan reports."""
+"""Layouts and statistics."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.predicates import in_year, since
+from millrace.functions.predicates import since
 from millrace.operators import layout as O
 from millrace.plans.registry import USAGE, query
 from millrace.scratch import new_folder
@@ -55,15 +55,3 @@ def table_statistics(t: Tables) -> DataFrame:
     t.spark.sql(f"DROP TABLE {name}")
     return report
 
-
-@query()
-def plan_report(t: Tables) -> DataFrame:
-    """Annual report with a wrapped date against a date range, feature by feature."""
-    usage = t.usage()
-
-    def report(filtered):
-        return filtered.groupBy("sub_id").agg(F.sum("mb").alias("total"))
-
-    pair = O.compare_plans(report(usage.filter(F.year("use_dt") == 1997)), report(usage.filter(in_year("use_dt", 1997))))
-    rows = [(feature, before, after) for feature, (before, after) in pair.items()]
-    return t.spark.createDataFrame(rows, "feature string, before string, after string")

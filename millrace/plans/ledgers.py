@@ -52,6 +52,21 @@ def transfers_applied(t: Tables) -> DataFrame:
     return G.apply_transfers(ids.withColumn("balance", F.lit(OPENING).cast("bigint")), transfers)
 
 
+@query(f"""
+WITH known AS (SELECT DISTINCT user_id FROM events)
+SELECT CAST({OPENING} * COUNT(*) AS BIGINT) AS before, CAST({OPENING} * COUNT(*) AS BIGINT) AS after, TRUE AS same,
+       (SELECT COUNT(*) FROM events WHERE xor(user_id, 1) NOT IN (SELECT user_id FROM known)) AS refused
+FROM known""")
+def transfers_conserved(t: Tables) -> DataFrame:
+    """Money in all accounts before and after, and the transfers to users that are not there."""
+    accounts = _accounts(t)
+    transfers = t.events.select(
+        F.col("user_id").alias("source"), F.col("user_id").bitwiseXOR(F.lit(1)).alias("target"), _cents().alias("amount")
+    )
+    refused = G.refused_transfers(accounts, transfers).agg(F.count("*")).scalar()
+    return G.conserved(accounts, G.apply_transfers(accounts, transfers)).withColumn("refused", refused)
+
+
 # One row per step of each account, in order.
 _STEPS = """steps AS (SELECT account, seq, delta, delta AS low, row_number() OVER (PARTITION BY account ORDER BY seq) AS n FROM log)"""
 _UNITS = """sums AS (SELECT *, SUM(delta) OVER (PARTITION BY account, unit ORDER BY seq) AS so_far FROM log),

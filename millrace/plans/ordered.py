@@ -112,3 +112,25 @@ WITH {USAGE} SELECT * FROM usage WHERE (use_dt, usage_id) < (TIMESTAMP '2001-02-
 ORDER BY use_dt DESC, usage_id DESC LIMIT {PAGE}""")
 def keyset_page(t: Tables) -> DataFrame:
     return L.keyset_page(t.usage(), NEWEST, SEEN, PAGE)
+
+
+# Keys with nulls, text keys, and first pages that are longer than a screen.
+NULLABLE = [("balance", True), ("c_custkey", False)]
+_BALANCES = "(SELECT c_custkey, CASE WHEN c_acctbal > 9000 THEN c_acctbal END AS balance FROM customer)"
+
+
+@query(f"SELECT * FROM {_BALANCES} ORDER BY balance DESC NULLS LAST, c_custkey LIMIT 40 OFFSET 110")
+def page_null_keys(t: Tables) -> DataFrame:
+    """A page that ends among the rows without a key."""
+    balances = t.customer.select("c_custkey", F.when(F.col("c_acctbal") > 9000, F.col("c_acctbal")).alias("balance"))
+    return L.offset_page(balances, NULLABLE, 110, 40)
+
+
+@query("SELECT p_name, p_partkey FROM part ORDER BY p_name, p_partkey LIMIT 25 OFFSET 170")
+def page_text_key(t: Tables) -> DataFrame:
+    return L.offset_page(t.part.select("p_name", "p_partkey"), [("p_name", False), ("p_partkey", False)], 170, 25)
+
+
+@query(f"WITH {USAGE} SELECT * FROM usage ORDER BY use_dt DESC, usage_id DESC LIMIT 300")
+def first_page_long(t: Tables) -> DataFrame:
+    return L.offset_page(t.usage(), NEWEST, 0, 300)

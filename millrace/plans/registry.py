@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import prepare, size_shuffles
+from millrace.session import prepare
 from millrace.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,7 +21,7 @@ def query(sql: str | None = None):
             raise ValueError(f"two queries are named {name}")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(Tables(size_shuffles(prepare(spark), str(folder)), str(folder)))
+            return build(Tables(prepare(spark), str(folder)))
 
         run.__name__, run.__doc__ = name, build.__doc__
         QUERIES[name] = run

@@ -129,7 +129,7 @@ WHERE (CAST(o_orderdate AS TIMESTAMP), o_orderkey) < (TIMESTAMP '1998-03-05', 70
 def before_key(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", "o_orderdate")
     order = [("o_orderdate", True), ("o_orderkey", True)]
-    return orders.filter(P.past_key(order, [F.lit(dt.date(1998, 3, 5)), F.lit(700)]))
+    return orders.filter(P.past_key(order, [F.lit(dt.date(1998, 3, 5)), F.lit(700)], with_nulls=False))
 
 
 _GAPS = """(SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS segment,
@@ -181,7 +181,7 @@ def until_sentinel(t: Tables) -> DataFrame:
 
 @query("SELECT doc_id FROM labels WHERE NOT (toxic = 1)")
 def not_flag(t: Tables) -> DataFrame:
-    return t.labels.filter(~(F.col("toxic") == 1)).select("doc_id")
+    return t.labels.filter(~F.coalesce(F.col("toxic") == 1, F.lit(False))).select("doc_id")
 
 
 @query("SELECT * FROM orders WHERE o_orderkey = 42")

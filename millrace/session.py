@@ -28,24 +28,33 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+# What the session had before any query raised it.
+BEFORE = "millrace.shuffle.partitions.before"
 # A shuffle partition should fit in an executor's memory. Columnar files grow about threefold
 # when they are read, and adaptive execution merges partitions that turn out small.
 PARTITION_BYTES = 512 * 2**20
 GROWTH = 3
-MOST_PARTITIONS = 50_000
 
 
 def wanted_partitions(input_bytes: int) -> int:
-    return min(MOST_PARTITIONS, math.ceil(input_bytes * GROWTH / PARTITION_BYTES))
+    return math.ceil(input_bytes * GROWTH / PARTITION_BYTES)
 
 
-def size_shuffles(spark: SparkSession, folder: str) -> SparkSession:
-    """Raise the number of shuffle partitions to what the tables in `folder` call for."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder; 0 if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    wanted = wanted_partitions(files.getContentSummary(path).getLength())
-    if wanted > int(spark.conf.get(SHUFFLE_PARTITIONS)):
-        spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
+    return files.getContentSummary(path).getLength() if files.exists(path) else 0
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """As many shuffle partitions as the input calls for, and no fewer than the session was given.
+
+    A query calls this anew, so a large input does not raise the number for the queries after it.
+    """
+    before = spark.conf.get(BEFORE, None) or spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(BEFORE, before)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(max(int(before), wanted_partitions(input_bytes))))
     return spark
 
 

@@ -4,17 +4,13 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
-BROKEN = "_broken"
-
 
 def _type(schema: T.DataType | str) -> T.DataType:
     return T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -74,68 +70,95 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 # --- CSV ---------------------------------------------------------------------------------
 
-# A quote inside a quoted field is doubled, as other CSV writers do it.
-CSV_OPTIONS = {"header": True, "escape": '"'}
+# A quote inside a quoted field is doubled, as other CSV writers do it, and white space belongs to its field. The names
+# in a file's header count, not the order that a reader would like.
+CSV_OPTIONS = {
+    "header": True, "escape": '"', "enforceSchema": False, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _csv_fields(spark: SparkSession, path: str, columns: list[str], multi_line: bool) -> DataFrame:
+    """The named columns as text. Files of one path have to agree on their header."""
+    options = CSV_OPTIONS | {"multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    return spark.read.options(**options).schema(schema).csv(path).select(*columns)
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Every field a string, an empty one the empty string."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path).na.fill("")
+def read_csv_text(spark: SparkSession, path: str, columns: list[str], multi_line: bool = False) -> DataFrame:
+    """Every field a string, an empty one the empty string. `multi_line` for fields with line breaks in them."""
+    return _csv_fields(spark, path, columns, multi_line).na.fill("")
 
 
 def read_csv_typed(
-    spark: SparkSession, path: str, schema: T.StructType | str, overrides: dict[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    overrides: dict[str, str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Typed fields, an empty one null; `overrides` replaces the type of single columns."""
-    fields = [
-        T.StructField(f.name, _type(overrides[f.name]) if overrides and f.name in overrides else f.dataType)
-        for f in _type(schema).fields
+    """Typed fields, an empty one null, one that cannot be read an error; `overrides` replaces the type of columns."""
+    fields = _type(schema).fields
+    types = {f.name: (overrides or {}).get(f.name, f.dataType) for f in fields}
+    text = _csv_fields(spark, path, list(types), multi_line)
+    return text.select(*[F.nullif(F.col(n), F.lit("")).cast(t).alias(n) for n, t in types.items()])
+
+
+def csv_misfits(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
+    """Rows (column, value) of the fields that read_csv_typed would fail at."""
+    types = {f.name: f.dataType.simpleString() for f in _type(schema).fields}
+    text = _csv_fields(spark, path, list(types), multi_line)
+    bad = [
+        F.when((F.col(n) != "") & F.expr(f"try_cast(`{n}` AS {t})").isNull(), F.struct(F.lit(n).alias("column"), F.col(n).alias("value")))
+        for n, t in types.items()
     ]
-    return spark.read.options(**CSV_OPTIONS).schema(T.StructType(fields)).csv(path)
+    return text.select(F.explode(F.array_compact(F.array(*bad))).alias("bad")).select("bad.*")
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
-    """Header and a fixed column order."""
-    df.select(*columns).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, columns: list[str], multi_line: bool = False) -> None:
+    """Header and a fixed column order. Fields with line breaks fail the job unless readers are to expect them."""
+    types = dict(df.dtypes)
+    out = df.select(*columns)
+    if not multi_line:
+        refuse = F.raise_error(F.lit("a field has a line break; write and read it with multi_line")).cast("string")
+        out = out.withColumns({
+            c: F.when(F.col(c).rlike(r"[\r\n]"), refuse).otherwise(F.col(c)) for c in columns if types[c] == "string"
+        })
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 # --- missing and broken files --------------------------------------------------------------
 
-def read_or_none(read: Callable[[], DataFrame], path: str) -> DataFrame | None:
-    """The table, or None with a log line when the path is not there."""
-    try:
-        df = read()
-        log.info("loaded %s", path)
-        return df
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        log.error("no file at %s", path)
-        return None
-    finally:
-        log.info("loading ended: %s", path)
-
+def is_there(spark: SparkSession, path: str) -> bool:
+    """Whether a path or pattern leads to anything; a missing one is logged."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    if found:
+        return True
+    log.warning("nothing at %s", path)
+    return False
 
-def load_json(spark: SparkSession, path: str, schema: T.StructType | str, whole_file: bool = True) -> DataFrame | None:
-    """JSON arrays as a table, or None with a log line when a file is missing or not JSON."""
-    wanted = _type(schema)
-    checked = T.StructType(wanted.fields + [T.StructField(BROKEN, T.StringType())])
 
-    def read():
-        return spark.read.schema(checked).option("columnNameOfCorruptRecord", BROKEN).json(path, multiLine=whole_file)
+def json_if_there(spark: SparkSession, path: str, schema: T.StructType | str, whole_file: bool = True) -> DataFrame | None:
+    """Records of JSON arrays with the fields of `schema`; None if the path is missing or a text is not JSON.
 
-    df = read_or_none(read, path)
-    if df is None:
+    A field of another type than wanted is cast if it can be and null otherwise; read_json_records keeps it as it is, for
+    records that have to be judged. Only the syntax is looked at before this returns.
+    """
+    if not is_there(spark, path):
         return None
-    if df.filter(F.col(BROKEN).isNotNull()).take(1):
-        log.error("not JSON: %s", path)
+    texts = spark.read.text(path, wholetext=whole_file)
+    if texts.where(F.try_parse_json("value").isNull() & (F.trim("value") != "")).take(1):
+        log.warning("not JSON: %s", path)
         return None
-    return df.drop(BROKEN)
+    fields = _type(schema).fields
+    records = read_json_records(spark, path, whole_file)
+    return records.select(*[F.try_variant_get("record", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in fields])
 
 
-def load_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame | None:
-    return read_or_none(lambda: read_csv_text(spark, path, columns), path)
+def csv_if_there(spark: SparkSession, path: str, columns: list[str]) -> DataFrame | None:
+    """The file's columns as text, or None if it is missing."""
+    return read_csv_text(spark, path, columns) if is_there(spark, path) else None
 
 
 def reload_matches(written: DataFrame, reloaded: DataFrame) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import path_bytes, size_shuffles
+
 
 # Declared types, so that no job has to look into the files first.
 SCHEMAS = {
@@ -33,6 +36,10 @@ class Tables:
 
     spark: SparkSession
     folder: str
+    sizes: dict[str, int] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        size_shuffles(self.spark, 0)
 
     def path(self, name: str) -> str:
         return f"{self.folder.rstrip('/')}/{name}.parquet"
@@ -40,6 +47,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
+        if name not in self.sizes:  # shuffles are sized by the tables that a query reads
+            self.sizes[name] = path_bytes(self.spark, self.path(name))
+            size_shuffles(self.spark, sum(self.sizes.values()))
         reader = self.spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else self.spark.read
         return reader.parquet(self.path(name))
 
@@ -74,12 +84,16 @@ def sql_over(spark: SparkSession, path: str, sql: str, file_format: str = "parqu
     return spark.sql(sql.format(source=f"{file_format}.`{quoted}`"))
 
 
-def csv_view(spark: SparkSession, name: str, path: str, schema: str) -> None:
-    """A view over a CSV file with a header."""
+def csv_view(spark: SparkSession, name: str, path: str, schema: str, multi_line: bool = False) -> None:
+    """A view over CSV files, whose headers have to name the columns in the order of `schema`."""
     quoted = path.replace("'", "\\'")
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY VIEW {name} ({schema}) USING csv OPTIONS (path '{quoted}', header 'true')"
-    )
+    options = f"header 'true', escape '\"', enforceSchema 'false', multiLine '{str(multi_line).lower()}'"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} ({schema}) USING csv OPTIONS (path '{quoted}', {options})")
+
+
+def own_name(label: str) -> str:
+    """A view's name that no other query of the session uses."""
+    return f"{label}_{uuid.uuid4().hex}"
 
 
 def view(df: DataFrame, name: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.goals import current, merged, registers
 from millrace.operators.quality import Rule, error_rows, judged, valid_rows
 from millrace.session import at_most_partitions
-from millrace.sources.files import read_or_none
+from millrace.sources.files import is_there
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -29,17 +29,26 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
 STATE_PARTITIONS = 1_000
 
 
-def _start(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
+def _start(
+    stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str, stateful: bool = False
+) -> StreamingQuery:
     writer = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
+    if not stateful:
+        return writer.start()
     with at_most_partitions(stream.sparkSession, STATE_PARTITIONS):
         return writer.start()
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that a stream's watermark has dropped so far."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
 # --- counts that are updated as events arrive --------------------------------------------
 
 def completions_by_day(events: DataFrame, ts: str, user: str, late: str = "1 day") -> DataFrame:
@@ -62,7 +71,7 @@ def keep_updates(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     def batch(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return _start(counts, batch, checkpoint, "update")
+    return _start(counts, batch, checkpoint, "update", stateful=True)
 
 
 def latest(spark: SparkSession, path: str, keys: list[str], value: str = "n") -> DataFrame:
@@ -100,8 +109,9 @@ def _goal_state(spark: SparkSession, path: str, snapshot: int, upto: int) -> Dat
 
 def latest_goals(spark: SparkSession, path: str) -> DataFrame:
     """The goals after the last batch."""
-    snapshots = read_or_none(lambda: spark.read.parquet(f"{path}/snapshots"), path)
-    newest = -1 if snapshots is None else snapshots.agg(F.max("upto")).first()[0]
+    newest = -1
+    if is_there(spark, f"{path}/snapshots"):
+        newest = spark.read.parquet(f"{path}/snapshots").agg(F.max("upto")).first()[0]
     last = spark.read.parquet(f"{path}/changes").agg(F.max("batch")).first()[0]
     return current(_goal_state(spark, path, newest, max(last, newest)))
 

@@ -17,16 +17,12 @@ from millrace.operators import quality as Q
 from millrace.operators.sequences import before_marker, daily_activity, streaks
 
 DIRTY = [
-    ("2024-01-05", "서울", 1500, "전자"), ("2024-01-06", "부산", 800, "의류"), ("2024-01-07", "대구", 950, "전자"),
-    ("2024-01-08", "서울", 2100, "전자"), ("2024-01-09", "부산", None, "전자"), ("2024-01-10", "대구", 1100, "의류"),
-    ("2024-01-11", "인천", 1350, None), ("2024-01-12", "광주", 720, "의류"), ("2024-01-13", "대전", 1100, "전자"),
-    ("2024-01-14", "울산", 890, "의류"), ("2024-01-15", "세종", 1400, "전자"), (None, "서울", 450, "식품"),
-    ("2024-01-17", "부산", 380, "식품"), ("2024-01-18", "인천", 950, "의류"), ("2024-01-19", "대구", 510, "식품"),
-    ("2024-01-20", "광주", 1250, "전자"), ("2024-01-21", "대전", 420, "식품"), ("2024-01-22", "울산", 1750, "전자"),
-    ("2024-01-23", "세종", 680, "의류"), ("2024-01-24", "서울", 15000, "전자"),
+    ("2023-03-01", "north", 10, "tea"), ("2023-03-02", "south", 20, "tea"), ("2023-03-03", "east", None, "cocoa"),
+    ("2023-03-04", "north", 30, None), (None, "west", 40, "cocoa"), ("2023-03-06", "east", 50, "tea"),
+    ("2023-03-07", "south", 60, "cocoa"), ("2023-03-08", "west", 70, "tea"), ("2023-03-09", "north", 9000, "tea"),
 ]
-TIERS = [("서울", "VIP"), ("부산", "일반"), ("대구", "일반"), ("인천", "신규"), ("광주", "신규"), ("대전", "일반"), ("울산", "신규"), ("세종", "신규")]
-ENGLISH = {"전자": "electronics", "의류": "clothing", "식품": "food"}
+TIERS = [("north", "gold"), ("south", "silver"), ("east", "silver"), ("west", "bronze")]
+NAMES = {"tea": "Tee", "cocoa": "Kakao"}
 
 
 @pytest.fixture(scope="module")
@@ -38,26 +34,35 @@ def dirty(spark):
 
 def test_null_report(dirty):
     report = {r.column: (r.nulls, r.pct) for r in A.null_report(dirty, dirty.columns).collect()}
-    assert report == {"date": (1, 5.0), "region": (0, 0.0), "amount": (1, 5.0), "category": (1, 5.0)}
+    one = (1, pytest.approx(100 / 9))
+    assert report == {"date": one, "region": (0, 0.0), "amount": one, "category": one}
+
+
+def test_missing_numbers(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "x double")
+    assert A.null_report(df, ["x"]).first().nulls == 2
+    assert df.select(S.average("x")).first()[0] == 2.0
+    [found] = A.describe_numeric(df, ["x"]).collect()
+    assert (found.cnt, found["mean"], found["min"], found.median, found["max"]) == (2, 2.0, 1.0, 2.0, 3.0)
 
 
 def test_median_mode_and_outliers(dirty):
     filled = C.fill_with_mode(C.fill_with_median(dirty, "amount"), "category")
-    assert filled.filter("date = '2024-01-09'").first().amount == 950.0
-    assert filled.filter("date = '2024-01-11'").first().category == "전자"
-    assert A.mode_of(dirty, "category").first().n == 9
+    assert filled.filter("date = '2023-03-03'").first().amount == 45.0
+    assert filled.filter("date = '2023-03-04'").first().category == "tea"
+    assert A.mode_of(dirty, "category").first().n == 5
     dated = filled.na.drop(subset=["date", "amount"])
-    assert dated.count() == 19
-    assert C.iqr_bounds(dated, "amount") == {"q1": 760.0, "q3": 1375.0, "low": -162.5, "high": 2297.5}
-    assert rows(C.iqr_outliers(dated, "amount"), "date", "region", "amount") == [("2024-01-24", "서울", 15000.0)]
-    assert C.iqr_kept(dated, "amount").count() == 18
+    assert dated.count() == 8
+    assert C.iqr_bounds(dated, "amount") == {"q1": 27.5, "q3": 62.5, "low": -25.0, "high": 115.0}
+    assert rows(C.iqr_outliers(dated, "amount"), "date", "region", "amount") == [("2023-03-09", "north", 9000.0)]
+    assert C.iqr_kept(dated, "amount").count() == 7
 
 
 def test_cleaning_in_order(dirty):
-    out = C.cleaned_sales(dirty, ENGLISH)
-    assert out.count() == 18
-    first = out.filter("date = DATE '2024-01-05'").first()
-    assert (first.category_upper, first.year, first.month, first.weekday) == ("ELECTRONICS", 2024, 1, "Friday")
+    out = C.cleaned_sales(dirty, NAMES)
+    assert out.count() == 7
+    first = out.filter("date = DATE '2023-03-01'").first()
+    assert (first.category_upper, first.year, first.month, first.weekday) == ("TEE", 2023, 3, "Wednesday")
 
 
 def test_mode_takes_the_smallest_on_ties(spark):
@@ -69,10 +74,7 @@ def test_mode_takes_the_smallest_on_ties(spark):
 
 def test_totals_by_region(dirty):
     got = {r.region: (r.total, round(r.avg, 2), r.cnt) for r in A.totals_by(dirty.filter("amount > 0"), ["region"], "amount").collect()}
-    assert got["서울"] == (19050.0, 4762.5, 4)
-    assert got["대구"] == (2560.0, 853.33, 3)
-    assert got["부산"] == (1180.0, 590.0, 2)
-    assert len(got) == 8
+    assert got == {"north": (9040.0, 3013.33, 3), "south": (80.0, 40.0, 2), "east": (50.0, 50.0, 1), "west": (110.0, 55.0, 2)}
 
 
 def test_means_leave_nulls_out(spark):
@@ -84,15 +86,15 @@ def test_tier_join(spark, dirty):
     tiers = spark.createDataFrame(TIERS + [(None, "x")], "region string, tier string")
     joined = J.with_small(dirty, tiers, "region").orderBy(F.desc_nulls_last("amount"), "region")
     first = [(r.region, r.amount, r.tier) for r in joined.limit(3).collect()]
-    assert first == [("서울", 15000.0, "VIP"), ("서울", 2100.0, "VIP"), ("울산", 1750.0, "신규")]
-    assert joined.count() == 20
+    assert first == [("north", 9000.0, "gold"), ("west", 70.0, "bronze"), ("south", 60.0, "silver")]
+    assert joined.count() == 9
 
 
 def test_lookup(spark):
     df = spark.createDataFrame([("a",), ("z",), (None,)], "k string")
     assert rows(J.looked_up(df, "k", {"a": "A"}, "v")) == [("a", "A"), ("z", None), (None, None)]
-    wide = {f"k{i}": f"v{i}" for i in range(J.MAP_ENTRIES + 1)} | {"a": "A"}
-    assert rows(J.looked_up(df, "k", wide, "v").select("k", "v")) == [("a", "A"), ("z", None), (None, None)]
+    wide = {f"k{i}": f"v{i}" for i in range(500)} | {"a": "A", None: "B"}
+    assert rows(J.looked_up(df, "k", wide, "v")) == [("a", "A"), ("z", None), (None, None)]
 
 
 def test_rollup_labels_only_the_total(spark):
@@ -116,24 +118,22 @@ def test_squares_do_not_overflow(spark):
 
 
 def test_normal_forms(spark):
-    d = dt.date
+    day = dt.date(2023, 5, 4)
     wide = spark.createDataFrame(
-        [("O1001", d(2024, 6, 1), "C01", "김하늘", "P10", "노트북", 1200000, 1),
-         ("O1001", d(2024, 6, 1), "C01", "김하늘", "P22", "마우스", 25000, 2),
-         ("O1002", d(2024, 6, 3), "C02", "이준호", "P10", "노트북", 1200000, 1)],
-        "order_id string, order_dt date, cust_id string, cust_name string, prod_id string, prod_name string, unit_price int, qty int",
+        [(1, 1, day, 7, "Ann", "p", "pen", 2.0), (1, 2, day, 7, "Ann", "i", "ink", 5.0), (2, 1, day, 8, "Bo", "p", "pen", 2.0)],
+        "number int, line int, day date, buyer int, name string, part string, label string, price double",
     )
     n = Q.split_tables(wide, {
-        "items": ["order_id", "prod_id", "qty"], "orders": ["order_id", "order_dt", "cust_id"],
-        "customers": ["cust_id", "cust_name"], "products": ["prod_id", "prod_name", "unit_price"],
+        "lines": ["number", "line", "part"], "orders": ["number", "day", "buyer"],
+        "buyers": ["buyer", "name"], "parts": ["part", "label", "price"],
     })
-    assert {k: v.count() for k, v in n.items()} == {"items": 3, "orders": 2, "customers": 2, "products": 2}
-    back = Q.rejoined(n["items"], [(n["orders"], "order_id"), (n["customers"], "cust_id"), (n["products"], "prod_id")], wide.columns)
+    assert {k: v.count() for k, v in n.items()} == {"lines": 3, "orders": 2, "buyers": 2, "parts": 2}
+    back = Q.rejoined(n["lines"], [(n["orders"], "number"), (n["buyers"], "buyer"), (n["parts"], "part")], wide.columns)
     assert Q.same_rows(wide, back).first().same
     assert not Q.same_rows(wide, back.unionAll(back.limit(1))).first().same
-    assert Q.key_violations(wide, ["order_id", "prod_id"]).isEmpty()
-    assert rows(Q.dependency_violations(wide, ["order_id"], ["prod_id"])) == [("O1001", 2)]
-    assert Q.dependency_violations(wide, ["prod_id"], ["prod_name", "unit_price"]).isEmpty()
+    assert Q.key_violations(wide, ["number", "part"]).isEmpty()
+    assert rows(Q.dependency_violations(wide, ["number"], ["part"])) == [(1, 2)]
+    assert Q.dependency_violations(wide, ["part"], ["label", "price"]).isEmpty()
 
 
 def test_keys_and_orphans(spark):
@@ -231,3 +231,9 @@ def test_money_sums_are_exact(spark):
     assert df.filter("x IS NULL").select(S.money_sum("x"), S.average("x")).first() == (None, None)
     tenths = spark.range(10).select(F.lit(0.1).alias("x"))
     assert tenths.select(S.money_sum("x").cast("double")).first()[0] == 1.0
+
+
+def test_trimmed_white_space(spark):
+    df = spark.createDataFrame([("\u3000a b\u00a0",), ("\x0b\x0c",), ("\ufeff c\u2003",)], "t string")
+    assert [r[0] for r in df.select(S.trimmed("t")).collect()] == ["a b", "", "c"]
+    assert Q.guarded_titles(df, "t").count() == 2

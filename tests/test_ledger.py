@@ -66,3 +66,12 @@ def test_lost_update(spark):
     accounts = spark.createDataFrame([(101, 100000), (102, 5)], "account int, balance bigint")
     writes = spark.createDataFrame([(101, 2, 100000, -20000), (101, 1, 100000, -10000)], "account int, seq int, read bigint, delta bigint")
     assert rows(G.compare_writes(accounts, writes)) == [(101, 80000, 70000, -10000), (102, 5, 5, 0)]
+
+
+def test_transfers_conserve(spark):
+    accounts = spark.createDataFrame([(1, 100), (2, 50), (3, 0)], "account bigint, balance bigint")
+    moves = spark.createDataFrame([(1, 2, 30), (1, 9, 30), (8, 2, 5), (2, 3, 70), (None, 1, 4)], "source bigint, target bigint, amount bigint")
+    after = G.apply_transfers(accounts, moves)
+    assert rows(after) == [(1, 70), (2, 10), (3, 70)]
+    assert G.conserved(accounts, after).first().same
+    assert rows(G.refused_transfers(accounts, moves)) == [(1, 9, 30), (8, 2, 5), (None, 1, 4)]

@@ -109,11 +109,30 @@ def test_row_key(spark, hot, index):
 
 
 def test_pages(spark, hot):
-    for offset in (5, 2500, 3990, 9000):
-        deep = offset_page(hot, ORDER, offset, 20, shallow=0)
-        assert rows(deep) == rows(hot.orderBy(*by(ORDER)).offset(offset).limit(20))
+    for offset in (0, 5, 100, 2500, 3990, 9000):
+        page = offset_page(hot, ORDER, offset, 20)
+        assert rows(page) == rows(hot.orderBy(*by(ORDER)).offset(offset).limit(20))
     boundary = page_boundary(hot, ORDER, 2500)
-    assert rows(keyset_page(hot, ORDER, boundary, 20)) == rows(offset_page(hot, ORDER, 2500, 20, shallow=10**6))
+    assert rows(keyset_page(hot, ORDER, boundary, 20)) == rows(hot.orderBy(*by(ORDER)).offset(2500).limit(20))
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("kind", ["double", "string", "date"])
+def test_pages_with_null_keys(spark, kind, descending):
+    """Nulls last in either direction; NaN as the largest number; text in the order of its bytes."""
+    value = {
+        "double": lambda i: float("nan") if i % 10 == 3 else float(i % 37),
+        "string": lambda i: ("é", "z", "Z", "")[i % 4] + str(i % 29),
+        "date": lambda i: dt.date(2020, 1, 1 + i % 28),
+    }[kind]
+    df = spark.createDataFrame([(None if i % 7 == 0 else value(i), i) for i in range(700)], f"k {kind}, id int")
+    order = [("k", descending), ("id", False)]
+    want = [r.id for r in df.orderBy(*by(order)).collect()]
+    for offset in (0, 5, 99, 410, 590, 605, 690, 700):
+        assert [r.id for r in offset_page(df, order, offset, 20).collect()] == want[offset : offset + 20]
+    for index in (0, 250, 599, 650):
+        assert row_key_at(df, order, index, small=5)[-1] == want[index]
+    assert row_key_at(df, order, 700, small=5) is None
 
 
 def test_sort_order(spark):

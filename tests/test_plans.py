@@ -10,7 +10,7 @@ from millrace.operators import joins as J
 from millrace.operators import layout as O
 from millrace.operators import quality as Q
 from millrace.operators import windows as W
-from millrace.operators.layout import plan_features, plan_text
+from millrace.operators.layout import compare_plans, plan_features, plan_text
 from millrace.operators.sequences import before_marker
 from millrace.plans import QUERIES
 
@@ -34,6 +34,7 @@ def test_date_ranges_are_pushed(orders):
 def test_keyset_bound_is_pushed(orders):
     after = P.past_key([("o_orderdate", True), ("o_orderkey", True)], [F.lit(dt.date(1998, 1, 1)), F.lit(5)])
     assert "LessThanOrEqual(o_orderdate" in pushed(orders.filter(after))
+    assert "IsNull(o_orderdate" in pushed(orders.filter(after))
 
 
 def test_text_filters_are_pushed(spark, folder):
@@ -71,6 +72,32 @@ def test_clustered_and_monthly_layouts(spark, orders, tmp_path):
     assert one.count() == usage.filter("date_format(day, 'yyyy-MM') = '1997-03'").count()
 
 
+def test_annual_reports_compared(orders):
+    def report(filtered):
+        return filtered.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total"))
+
+    pair = compare_plans(
+        report(orders.filter(F.year("o_orderdate") == 1997)), report(orders.filter(P.in_year("o_orderdate", 1997)))
+    )
+    assert "GreaterThanOrEqual" not in pair["pushed"][0] and "GreaterThanOrEqual" in pair["pushed"][1]
+    assert pair["aggregates"][1] == "HashAggregate"
+
+
+def test_hot_pair_is_spread_over_files(spark, tmp_path):
+    """Half of the rows have one key and one date."""
+    df = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 50).alias("k"),
+        F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") % 70).alias("d"), "id",
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        O.write_clustered(df, str(tmp_path / "t"), "k", "d")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(str(tmp_path / "t")).where("k = 1 and d = 5").groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 3 and max(r["count"] for r in files) < 10_000
+
+
 def rows_scanned(df):
     """Rows the scan handed on, after whole row groups were skipped."""
     df.collect()

@@ -5,15 +5,19 @@ import os
 import pytest
 
 from millrace import scratch
-from millrace.session import SHUFFLE_PARTITIONS, at_most_partitions, size_shuffles, wanted_partitions
+from millrace.session import SHUFFLE_PARTITIONS, at_most_partitions, path_bytes, size_shuffles, wanted_partitions
+from millrace.sources.tables import Tables
 
 
 def test_shuffle_partitions_follow_the_input(spark, folder):
     assert wanted_partitions(4 * 2**20) == 1
     assert wanted_partitions(2**40) == 6144
-    assert wanted_partitions(100 * 2**40) == 50_000
+    assert wanted_partitions(100 * 2**40) == 614_400
     before = spark.conf.get(SHUFFLE_PARTITIONS)
-    size_shuffles(spark, folder)
+    size_shuffles(spark, 100 * 2**40)
+    assert spark.conf.get(SHUFFLE_PARTITIONS) == "614400"
+    assert path_bytes(spark, f"{folder}/orders.parquet") > 0 == path_bytes(spark, f"{folder}/none.parquet")
+    Tables(spark, folder).orders  # the next query starts from what the session had
     assert spark.conf.get(SHUFFLE_PARTITIONS) == before
     with at_most_partitions(spark, 2):
         assert spark.conf.get(SHUFFLE_PARTITIONS) == "2"
