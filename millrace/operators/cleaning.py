@@ -11,6 +11,7 @@ from millrace.operators.aggregates import mode_of
 from millrace.operators.joins import looked_up
 from millrace.operators.order_stats import exact_quantiles
 from millrace.operators.ordered import numbered
+from millrace.scratch import written
 
 
 def fill_with_median(df: DataFrame, column: str) -> DataFrame:
@@ -69,7 +70,8 @@ def cleaned_sales(raw: DataFrame, names: dict[str, str], to_date: Column | None
     category. The quantiles of the filled amounts are those of the rows that are kept, so the
     order of the steps matters.
     """
-    typed = raw.withColumn("date", S.strict_date("date") if to_date is None else to_date)
+    # The searches below read the rows several times, so their dates are read once.
+    typed = written(raw.withColumn("date", S.strict_date("date") if to_date is None else to_date), "typed")
     filled = fill_with_mode(fill_with_median(typed, "amount"), "category")
     dated = filled.na.drop(subset=["date", "amount"])
     kept = iqr_kept(dated, "amount")

@@ -9,7 +9,7 @@ from millrace.functions.scalars import money_sum
 from millrace.operators.aggregates import totals_by
 from millrace.operators.quality import error_rows, judged, judged_records, positive_number, valid_rows
 from millrace.plans.registry import SALES, query, total
-from millrace.scratch import new_folder
+from millrace.scratch import new_folder, written
 from millrace.sources import files, tables
 from millrace.sources.tables import Tables
 
@@ -213,3 +213,29 @@ def reload_count(t: Tables) -> DataFrame:
 @query(f"WITH {SALES} SELECT region, {total('amount')} AS total, {total('amount')} / COUNT(amount) AS avg, COUNT(*) AS cnt FROM sales GROUP BY region")
 def sales_view(t: Tables) -> DataFrame:
     return totals_by(tables.view(t.sales(), tables.own_name("sales")), ["region"], "amount")
+
+
+@query("""
+SELECT COUNT(*) AS records, COUNT(*) FILTER (c_acctbal > 0) AS valid, COUNT(*) FILTER (NOT c_acctbal > 0) AS refused,
+       COUNT(*) FILTER (c_acctbal > 0) AS valid_again, COUNT(*) FILTER (NOT c_acctbal > 0) AS refused_again, TRUE AS agrees
+FROM customer""")
+def load_to_reload(t: Tables) -> DataFrame:
+    """JSON records are loaded and judged; what is valid goes to CSV, the errors to JSON; both are read back and counted."""
+    part = F.floor(F.col("c_custkey") / ARRAY_ROWS).cast("string")
+    record = F.to_json(F.struct(F.col("c_name").alias("region"), part.alias("month"), F.col("c_acctbal").alias("amount")))
+    source = new_folder(t.spark, "to-load")
+    files.array_lines(t.customer, part, "c_custkey", record).write.text(source)
+    checked = written(judged_records(files.read_json_records(t.spark, source, whole_file=False)), "judged")
+    valid, errors = new_folder(t.spark, "valid"), new_folder(t.spark, "errors")
+    files.write_csv(valid_rows(checked), valid, ["region", "month", "amount"])
+    files.write_json_lines(error_rows(checked, "row"), errors)
+    counts = checked.agg(
+        F.count("*").alias("records"), F.count_if(F.size("errors") == 0).alias("valid"), F.count_if(F.size("errors") > 0).alias("refused")
+    )
+    back = files.read_csv_typed(t.spark, valid, "region string, month string, amount double")
+    again = t.spark.read.schema("row bigint, error string").json(errors)
+    return (
+        counts.withColumn("valid_again", back.agg(F.count("*")).scalar())
+        .withColumn("refused_again", again.agg(F.count("*")).scalar())
+        .withColumn("agrees", (F.col("valid") == F.col("valid_again")) & (F.col("refused") == F.col("refused_again")))
+    )

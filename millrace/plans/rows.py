@@ -321,22 +321,29 @@ def joined_words(t: Tables) -> DataFrame:
 
 # --- upper case in three forms -----------------------------------------------------------------
 
-_UPPER = "SELECT p_partkey, upper(p_name) AS name FROM part"
+_UPPER = """
+SELECT l_orderkey, l_linenumber, upper('line ' || l_linenumber || ' of ' || lower(l_returnflag) || lower(l_linestatus)) AS name
+FROM lineitem"""
+
+
+def _line_names(t: Tables, upper) -> DataFrame:
+    name = F.concat(F.lit("line "), "l_linenumber", F.lit(" of "), F.lower("l_returnflag"), F.lower("l_linestatus"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", upper(name).alias("name"))
 
 
 @query(_UPPER)
 def upper_row(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", udfs.upper_per_row("p_name").alias("name"))
+    return _line_names(t, udfs.upper_per_row)
 
 
 @query(_UPPER)
 def upper_vector(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", udfs.upper_per_batch("p_name").alias("name"))
+    return _line_names(t, udfs.upper_per_batch)
 
 
 @query(_UPPER)
 def upper_native(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", udfs.upper_native("p_name").alias("name"))
+    return _line_names(t, udfs.upper_native)
 
 
 @query("SELECT COUNT(*) AS n, TRUE AS same FROM documents")

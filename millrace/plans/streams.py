@@ -27,7 +27,7 @@ def daily_completions_streamed(t: Tables) -> DataFrame:
     out = new_folder(t.spark, "daily")
     # The whole past is read, in files of any order, so nothing may count as late.
     counts = jobs.completions_by_day(_purchases(t), "ts", "user_id", late="36500 days")
-    stream = jobs.keep_updates(counts, f"{out}/rows", f"{out}/checkpoint")
+    stream = jobs.keep_updates(counts, f"{out}/rows", f"{out}/checkpoint", ["day", "user_id"])
     stream.awaitTermination()
     if jobs.dropped_rows(stream):
         raise ValueError("the stream dropped late rows")
@@ -37,7 +37,7 @@ def daily_completions_streamed(t: Tables) -> DataFrame:
 def _streamed_counts(t: Tables) -> DataFrame:
     out = new_folder(t.spark, "points")
     counts = jobs.completions_by_user(_purchases(t), "user_id")
-    jobs.keep_updates(counts, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    jobs.keep_updates(counts, f"{out}/rows", f"{out}/checkpoint", ["user_id"]).awaitTermination()
     return jobs.latest(t.spark, f"{out}/rows", ["user_id"])
 
 

@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.goals import current, merged, registers
 from millrace.operators.quality import Rule, error_rows, judged, valid_rows
 from millrace.session import at_most_partitions
-from millrace.sources.files import is_there
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -66,54 +65,105 @@ def completions_by_user(events: DataFrame, user: str) -> DataFrame:
     return events.groupBy(user).agg(F.count("*").alias("n"))
 
 
-def keep_updates(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write each batch's changed counts."""
-    def batch(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+def keep_updates(counts: DataFrame, path: str, checkpoint: str, keys: list[str], every: int | None = None) -> StreamingQuery:
+    """Write each batch's changed counts, and now and then the last count of every key."""
+    return _kept(counts, path, checkpoint, "update", lambda df: df, lambda rows: _last(rows, keys), every, stateful=True)
+
 
-    return _start(counts, batch, checkpoint, "update", stateful=True)
+def _last(rows: DataFrame, keys: list[str]) -> DataFrame:
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(*[F.max_by(c, "batch").alias(c) for c in values])
 
 
-def latest(spark: SparkSession, path: str, keys: list[str], value: str = "n") -> DataFrame:
+def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """The last count written for every key."""
-    return spark.read.parquet(path).groupBy(*keys).agg(F.max_by(value, "batch").alias(value))
+    return _state(spark, path, lambda rows: _last(rows, keys))
 
 
-# --- goals -------------------------------------------------------------------------------
+# --- batches and snapshots -----------------------------------------------------------------
+#
+# A batch's rows go to changes/batch=n. Snapshot n holds the merged rows of all batches up to n and is made from the
+# snapshot before it, whatever the distance. What the snapshot before covers is then removed; the rest is kept, since a
+# batch that is repeated after a failure makes its snapshot again.
 
-# Batches between two snapshots of the goal state.
+# Batches between two snapshots.
 SNAPSHOT_EVERY = 20
 
 
-def fold_goals(events: DataFrame, path: str, checkpoint: str, every: int = SNAPSHOT_EVERY) -> StreamingQuery:
-    """Write what each batch sets, and now and then the whole state.
+def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers n of the folders name=n, in order; a folder without a finished write does not count."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*/_SUCCESS")) or []
+    return sorted(int(s.getPath().getParent().getName().partition("=")[2]) for s in done)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _rows_since(spark: SparkSession, path: str, snapshot: int, upto: int | None = None) -> DataFrame | None:
+    """The rows of a snapshot and of the batches after it, with their batch."""
+    parts = [(f"{path}/snapshots/upto={snapshot}", snapshot)] if snapshot >= 0 else []
+    parts += [(f"{path}/changes/batch={n}", n) for n in _numbers(spark, f"{path}/changes", "batch") if n > snapshot and (upto is None or n <= upto)]
+    out = None
+    for folder, n in parts:
+        rows = spark.read.parquet(folder).withColumn("batch", F.lit(n).cast("bigint"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _state(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    newest = max(_numbers(spark, f"{path}/snapshots", "upto"), default=-1)
+    rows = _rows_since(spark, path, newest)
+    if rows is None:
+        raise FileNotFoundError(f"no batch has been written to {path}")
+    return merge(rows)
+
+
+def _kept(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: str,
+    reduce: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame], DataFrame],
+    every: int | None,
+    stateful: bool = False,
+) -> StreamingQuery:
+    every = every or SNAPSHOT_EVERY
 
-    A batch's own settings merge with any others, so a batch does not read the state. Snapshot
-    n holds all batches up to n and is made from the snapshot before it.
-    """
     def batch(df: DataFrame, batch_id: int) -> None:
-        merged(registers(df)).write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
-        if (batch_id + 1) % every == 0:
-            state = _goal_state(df.sparkSession, path, batch_id - every, batch_id)
-            state.write.mode("overwrite").parquet(f"{path}/snapshots/upto={batch_id}")
+        spark = df.sparkSession
+        reduce(df).write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
+        before = max((n for n in _numbers(spark, f"{path}/snapshots", "upto") if n < batch_id), default=-1)
+        if batch_id - before < every:
+            return
+        merge(_rows_since(spark, path, before, batch_id)).write.mode("overwrite").parquet(f"{path}/snapshots/upto={batch_id}")
+        for n in _numbers(spark, f"{path}/changes", "batch"):
+            if n <= before:
+                _remove(spark, f"{path}/changes/batch={n}")
+        for n in _numbers(spark, f"{path}/snapshots", "upto"):
+            if n < before:
+                _remove(spark, f"{path}/snapshots/upto={n}")
+
+    return _start(stream, batch, checkpoint, mode, stateful)
 
-    return _start(events, batch, checkpoint, "append")
 
+# --- goals -------------------------------------------------------------------------------
+
+def fold_goals(events: DataFrame, path: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
+    """Write what each batch sets, and now and then the whole state.
 
-def _goal_state(spark: SparkSession, path: str, snapshot: int, upto: int) -> DataFrame:
-    changes = spark.read.parquet(f"{path}/changes").filter(F.col("batch").between(snapshot + 1, upto)).drop("batch")
-    if snapshot >= 0:
-        changes = changes.unionByName(spark.read.parquet(f"{path}/snapshots/upto={snapshot}"))
-    return merged(changes)
+    A batch's own settings merge with any others, so a batch does not read the state.
+    """
+    return _kept(events, path, checkpoint, "append", lambda df: merged(registers(df)), merged, every)
 
 
 def latest_goals(spark: SparkSession, path: str) -> DataFrame:
     """The goals after the last batch."""
-    newest = -1
-    if is_there(spark, f"{path}/snapshots"):
-        newest = spark.read.parquet(f"{path}/snapshots").agg(F.max("upto")).first()[0]
-    last = spark.read.parquet(f"{path}/changes").agg(F.max("batch")).first()[0]
-    return current(_goal_state(spark, path, newest, max(last, newest)))
+    return current(_state(spark, path, merged))
 
 
 # --- continuous validation ---------------------------------------------------------------

@@ -65,18 +65,35 @@ def test_counts_over_batches(spark, event_files, tmp_path):
     path, events = event_files
     stream = jobs.file_stream(spark, path, events.schema, files_per_batch=1)
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
-    jobs.keep_updates(jobs.completions_by_user(stream, "user_id"), out, checkpoint).awaitTermination()
-    assert spark.read.parquet(out).select("batch").distinct().count() == 5
+    jobs.keep_updates(jobs.completions_by_user(stream, "user_id"), out, checkpoint, ["user_id"]).awaitTermination()
+    assert spark.read.parquet(f"{out}/changes").select("batch").distinct().count() == 5
     assert rows(jobs.latest(spark, out, ["user_id"])) == rows(events.groupBy("user_id").count())
 
 
+def test_snapshots_replace_what_they_cover(spark, event_files, tmp_path):
+    """Twelve batches, a snapshot after every fifth; then other distances between snapshots."""
+    path, events = event_files
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    events.repartition(12).write.parquet(source)
+    stream = jobs.file_stream(spark, source, events.schema, files_per_batch=1)
+    counts = jobs.completions_by_user(stream, "user_id")
+    jobs.keep_updates(counts, out, checkpoint, ["user_id"], every=5).awaitTermination()
+    assert jobs._numbers(spark, f"{out}/snapshots", "upto") == [4, 9]
+    assert jobs._numbers(spark, f"{out}/changes", "batch") == list(range(5, 12))
+    assert rows(jobs.latest(spark, out, ["user_id"])) == rows(events.groupBy("user_id").count())
+    events.limit(50).coalesce(1).write.mode("append").parquet(source)
+    jobs.keep_updates(counts, out, checkpoint, ["user_id"], every=2).awaitTermination()
+    assert jobs._numbers(spark, f"{out}/snapshots", "upto") == [9, 12]
+    assert rows(jobs.latest(spark, out, ["user_id"])) == rows(spark.read.parquet(source).groupBy("user_id").count())
+
+
 def test_daily_windows_over_batches(spark, event_files, tmp_path):
     path, events = event_files
     # Files may come in any order, so events may be as late as the whole range.
     stream = jobs.file_stream(spark, path, events.schema, files_per_batch=1)
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     daily = jobs.completions_by_day(stream, "ts", "user_id", late="60 days")
-    jobs.keep_updates(daily, out, checkpoint).awaitTermination()
+    jobs.keep_updates(daily, out, checkpoint, ["day", "user_id"]).awaitTermination()
     expected = events.groupBy(F.to_date("ts").alias("day"), "user_id").count()
     assert rows(jobs.latest(spark, out, ["day", "user_id"])) == rows(expected)
 
@@ -89,10 +106,12 @@ def test_events_behind_the_watermark_are_dropped(spark, tmp_path):
         spark.createDataFrame([(s, 1) for s in stamps], schema).coalesce(1).write.mode("append").parquet(source)
         stream = jobs.file_stream(spark, source, spark.createDataFrame([], schema).schema)
         counts = jobs.completions_by_day(stream, "ts", "user_id", late="1 day")
-        jobs.keep_updates(counts, out, checkpoint).awaitTermination()
+        query = jobs.keep_updates(counts, out, checkpoint, ["day", "user_id"])
+        query.awaitTermination()
+        return jobs.dropped_rows(query)
 
-    run(dt.datetime(2024, 1, 10, 12), dt.datetime(2024, 1, 10, 13), dt.datetime(2024, 1, 9, 13))
-    run(dt.datetime(2024, 1, 9, 23), dt.datetime(2024, 1, 2, 0), dt.datetime(2024, 1, 11, 0))
+    assert run(dt.datetime(2024, 1, 10, 12), dt.datetime(2024, 1, 10, 13), dt.datetime(2024, 1, 9, 13)) == 0
+    assert run(dt.datetime(2024, 1, 9, 23), dt.datetime(2024, 1, 2, 0), dt.datetime(2024, 1, 11, 0)) == 1
     counts = {r.day.day: r.n for r in jobs.latest(spark, out, ["day", "user_id"]).collect()}
     assert counts == {9: 2, 10: 2, 11: 1}
 
