@@ -15,31 +15,37 @@ def money(c) -> Column:
     return col(c).cast("decimal(18,2)")
 
 
-def _cents(c) -> Column:
-    amount = col(c).cast("double")
-    return F.when(~F.isnan(amount), F.rint(amount * 100)).cast("bigint")
+def _units(c, places: int) -> Column:
+    """An amount in whole units of its last place; one that does not fit them fails the job. NaN is no amount."""
+    scaled = col(c).cast("double") * 10.0**places
+    units = F.rint(scaled)
+    # Beyond 2^43 units neighbouring doubles lie further apart than the first term.
+    misfit = F.abs(scaled - units) > F.greatest(F.lit(1e-3), F.abs(units) * 5e-16)
+    wrong = F.raise_error(F.format_string(f"%s has more than {places} places", col(c).cast("string"))).cast("double")
+    return F.when(~F.isnan(scaled), F.when(misfit, wrong).otherwise(units)).cast("bigint")
 
 
-# Cents are added in two parts so that the sums stay within a long: the lower parts of 2^43
+# Units are added in two parts so that the sums stay within a long: the lower parts of 2^43
 # rows fit, and a sum that does not fit fails the job.
 LOW_BITS = 20
 
 
-def money_sum(c) -> Column:
-    """Exact sum of amounts in whole cents, null where there is none; amounts up to 10^13.
+def money_sum(c, places: int = 2) -> Column:
+    """Exact sum of amounts of so many places, null where there is none; up to 10^15 units each.
 
     Sums of longs run several times faster than sums of decimals.
     """
-    cents = _cents(c)
-    high = F.sum(F.shiftright(cents, LOW_BITS)).cast("decimal(25,0)")
-    low = F.sum(cents.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))).cast("decimal(25,0)")
+    units = _units(c, places)
+    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(25,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))).cast("decimal(25,0)")
     total = high * F.lit(1 << LOW_BITS).cast("decimal(7,0)") + low
-    return (total * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(38,2)")
+    unit = F.lit("1e-%d" % places).cast(f"decimal({max(places, 1)},{places})")
+    return (total * unit).cast(f"decimal(38,{places})")
 
 
-def average(c) -> Column:
+def average(c, places: int = 2) -> Column:
     """Mean of an amount from its exact sum; null when there is no value. NaN is no value."""
-    return money_sum(c).cast("double") / F.nullif(F.count(_cents(c)), F.lit(0))
+    return money_sum(c, places).cast("double") / F.nullif(F.count(_units(c, places)), F.lit(0))
 
 
 # --- dates -----------------------------------------------------------------------------

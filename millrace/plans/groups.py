@@ -290,3 +290,23 @@ def remaining_line(t: Tables) -> DataFrame:
     counts = remaining_by_category(t)
     part = F.struct("position", F.concat_ws(" ", "category", "n").alias("text"))
     return counts.agg(F.array_join(F.array_sort(F.collect_list(part))["text"], " · ").alias("line"))
+
+
+@query("""
+SELECT l_returnflag, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) * CAST(l_tax AS DECIMAL(4,2))) AS DOUBLE) AS total
+FROM lineitem GROUP BY 1""")
+def sum_of_six_places(t: Tables) -> DataFrame:
+    """Amounts finer than a cent, added without rounding any of them."""
+    fine = F.col("l_extendedprice") * F.col("l_discount") * F.col("l_tax")
+    return t.lineitem.groupBy("l_returnflag").agg(S.money_sum(fine, 6).cast("double").alias("total"))
+
+
+@query("""
+SELECT o_orderstatus, SUM(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE / COUNT(*) AS avg, COUNT(*) AS cnt
+FROM orders WHERE o_orderkey % 5 <> 0 GROUP BY 1""")
+def mean_of_present(t: Tables) -> DataFrame:
+    """Every fifth amount is NaN or null and takes no part in the mean."""
+    key = F.col("o_orderkey")
+    gaps = F.when(key % 10 == 0, F.lit(float("nan"))).when(key % 5 != 0, F.col("o_totalprice"))
+    amounts = t.orders.select("o_orderstatus", gaps.alias("amount"))
+    return amounts.groupBy("o_orderstatus").agg(S.average("amount").alias("avg"), F.count_if(F.col("amount").isNotNull() & ~F.isnan("amount")).alias("cnt"))

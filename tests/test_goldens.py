@@ -237,3 +237,10 @@ def test_trimmed_white_space(spark):
     df = spark.createDataFrame([("\u3000a b\u00a0",), ("\x0b\x0c",), ("\ufeff c\u2003",)], "t string")
     assert [r[0] for r in df.select(S.trimmed("t")).collect()] == ["a b", "", "c"]
     assert Q.guarded_titles(df, "t").count() == 2
+
+
+def test_places_of_sums(spark):
+    df = spark.createDataFrame([(0.004,)] * 3, "x double")
+    assert df.select(S.money_sum("x", 3)).first()[0] == Decimal("0.012")
+    with pytest.raises(Exception, match="more than 2 places"):
+        df.select(S.money_sum("x")).collect()
