@@ -344,5 +344,5 @@ def near_groups(
     )
     return prepared.join(components_of, "set_hash", "left").select(
         "id", "tag", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id")).alias("component"),
+        F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component"),
     )

@@ -139,6 +139,16 @@ def test_groups_of_near_copies(spark, monkeypatch, percent):
         assert got == brute_components(texts, percent)
 
 
+def test_near_copies_of_odd_rows(odd):
+    found = collections.defaultdict(set)
+    for r in minhash.near_groups(odd).collect():
+        found[r.id].add(r.component)
+    assert found[None] == {None}  # a null identifier is linked with nothing
+    assert found[1] == found[2] == found[3] == {1} and found[8] == {7}
+    assert found[4] == {4} and found[5] == {5} and found[6] == {6}  # no words
+    assert found[11] == found[12] == {11}  # two words are one shingle
+
+
 def test_counts_of_common_elements():
     pick = np.random.default_rng(5)
     sets = [np.unique(pick.integers(0, 400, pick.integers(0, 200), dtype=np.uint64)) for _ in range(30)]
