@@ -13,23 +13,28 @@ them. Repeated rows are encoded each on their own.
 
 from __future__ import annotations
 
+import functools
+import itertools
+import os
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PIECE_CHARS = 1 << 15
+PIECE_CHARS = 1 << 16
 WINDOW_CHARS = 64
 SAME_TOKENS = 4  # in a row, for two encodings to agree
-MOST_WORDS = 300_000  # kept for the next time, then begun anew
+MOST_WORDS = 150_000  # kept for the next time, then begun anew
+TEXTS = 200  # encoded at a time
 
 
 def load(path: str):
-    """The tokenizer without truncation and padding."""
+    """The tokenizer without truncation and padding, in this thread only; Spark runs the tasks side by side."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -38,30 +43,27 @@ def load(path: str):
     return tokenizer
 
 
-class Words(dict):
-    """Ids by word (in UTF-8), worked out when first asked for."""
+class Words:
+    """Ids of words (in UTF-8) as bytes, worked out when first asked for."""
 
     def __init__(self, tokenizer) -> None:
-        super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.known = tokenizer, {}
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) > MOST_WORDS:
-            self.clear()
-        new = [w for w in words if w not in self]
-        for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self[word] = found.ids
+    def learn(self, words: list[bytes]) -> None:
+        if len(self.known) > MOST_WORDS:
+            self.known = {}
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        self.known.update((w, array("I", f.ids).tobytes()) for w, f in zip(words, found))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         split = [text.encode().split() for text in texts]  # bytes are split at ASCII white space only
-        self.learn(set().union(*split))
-        out = []
-        for words in split:
-            ids: list[int] = []
-            for found in map(self.__getitem__, words):
-                ids += found
-            out.append(np.array(ids, dtype="<u4"))
-        return out
+        flat = list(itertools.chain.from_iterable(split))
+        ids = list(map(self.known.get, flat))
+        if None in ids:
+            self.learn(list({w for w, i in zip(flat, ids) if i is None}))
+            ids = [self.known[w] if i is None else i for w, i in zip(flat, ids)]
+        ends = list(itertools.accumulate(map(len, split), initial=0))
+        return [np.frombuffer(b"".join(ids[s:e]), dtype=np.uint32) for s, e in itertools.pairwise(ends)]
 
 
 class Piece:
@@ -162,16 +164,29 @@ def as_ids(tokenizer, ids: list[np.ndarray]) -> list[list]:
     return [ids]
 
 
+NAMES: dict[int, np.ndarray] = {}
+"""Of the tokenizer in use, by its identity."""
+
+
 def decode(tokenizer, ids: list[np.ndarray]) -> list[str]:
-    return tokenizer.decode_batch([i.tolist() for i in ids], skip_special_tokens=False)
+    """What the tokenizer decodes ids to. One without a decoder puts blanks between its tokens."""
+    if tokenizer.decoder is not None:
+        return tokenizer.decode_batch([i.tolist() for i in ids], skip_special_tokens=False)
+    if id(tokenizer) not in NAMES:
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        names = np.empty(max(vocabulary.values()) + 1, dtype=object)
+        names[list(vocabulary.values())] = list(vocabulary)
+        NAMES.clear()
+        NAMES[id(tokenizer)] = names
+    return [" ".join(NAMES[id(tokenizer)][i].tolist()) for i in ids]
 
 
 def _short(batches: Iterator[pa.RecordBatch], path: str, finish: Finish, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     tokenizer = load(path)
     words = Words(tokenizer)
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
+        for at in range(0, batch.num_rows, TEXTS):
+            part = batch.slice(at, TEXTS)
             columns = finish(tokenizer, words.ids(part.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:])]], schema=schema
@@ -207,8 +222,7 @@ def _encode_pieces(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.
             )
 
 
-def _join_row(table: pa.Table, path: str, finish: Finish, schema: pa.Schema) -> pa.Table:
-    tokenizer = load(path)
+def _join_row(table: pa.Table, tokenizer, finish: Finish, schema: pa.Schema) -> pa.Table:
     rows = table.sort_by("piece").to_pylist()
     once = {r["piece"]: r for r in rows}
     pieces = [Piece(r["start"], r["text"], np.frombuffer(r["tokens"], dtype=np.int64).reshape(-1, 3)) for r in once.values()]
@@ -237,20 +251,24 @@ def encoded(
     schema = pa.schema([("id", pa.int64()), *[(n, t) for n, (_, t) in columns.items()]])
     sql = ", ".join(["id bigint", *[f"{n} {t}" for n, (t, _) in columns.items()]])
 
+    held: list = []  # a task's tokenizer, loaded once for all its texts
+
     def joined(table: pa.Table) -> pa.Table:
-        return _join_row(table, path, finish, schema)
+        if not held:
+            held.append(load(path))
+        return _join_row(table, held[0], finish, schema)
 
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     long = F.char_length("text") > piece_chars
-    short = texts.where(~long).mapInArrow(partial(_short, path=path, finish=finish, schema=schema), sql)
+    short = texts.where(~long).mapInArrow(functools.partial(_short, path=path, finish=finish, schema=schema), sql)
     cut = (
         texts.where(long)
         .select(F.sha2(F.concat_ws(":", F.col("id").cast("string"), "text"), 256).alias("row"), "id", "text")
-        .mapInArrow(partial(_pieces, most=piece_chars), PIECES_SQL)
+        .mapInArrow(functools.partial(_pieces, most=piece_chars), PIECES_SQL)
     )
     return short.unionByName(
         cut.repartition("row", "piece")
-        .mapInArrow(partial(_encode_pieces, path=path), ENCODED_SQL)
+        .mapInArrow(functools.partial(_encode_pieces, path=path), ENCODED_SQL)
         .groupBy("row")
         .applyInArrow(joined, sql)
     )

@@ -167,7 +167,7 @@ def _digests(tokenizer, ids: list) -> list[list]:
     texts = bpe.decode(tokenizer, ids)
     return [
         [len(i) for i in ids],
-        [hashlib.sha256(i.tobytes()).hexdigest() for i in ids],
+        [hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
         [hashlib.sha256(t.encode()).hexdigest() for t in texts],
     ]
 

@@ -413,7 +413,7 @@ def test_joined_encodings(spaces):
 
 def test_long_unsplit_text(spark):
     own = bpe.load(tokenizer_path())
-    texts = [(1, "abcdefghij" * 5000), (2, "q" * 33000), (2, "q" * 33000), (3, None)]
+    texts = [(1, "abcdefghij" * 9000), (2, "q" * 70000), (2, "q" * 70000), (3, None)]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")
     got = sorted((r.id, list(r.ids)) for r in bpe.encoded(docs, tokenizer_path()).collect())
     assert got == sorted((i, own.encode(t or "", add_special_tokens=False).ids) for i, t in texts)
