@@ -333,9 +333,10 @@ def repeated_strings(
         F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("tag"), text.cast("binary").alias("text")
     )
     found = stored(texts.mapInArrow(partial(_anchor_rows, length=length), ANCHORS_SQL), "anchors")
-    again = found.df.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1").select("gram")
+    # Written, so that the join below deals both sides out anew and a hot gram's rows can be split.
+    again = stored(found.df.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1").select("gram"), "again")
     by_text = (
-        found.df.join(again, "gram")
+        found.df.join(again.df, "gram")
         .groupBy(F.col("id").alias("of"), F.col("tag").alias("of_tag"))
         .agg(F.collect_set(F.struct("gram", "place", "low", "high")).alias("found"))
     )
@@ -352,7 +353,7 @@ def repeated_strings(
         .mapInArrow(partial(_cut, length=length, finish=finish, schema=schema, kinds=len(columns)), f"{cut_sql}, {kept_sql}"),
         "cut",
     ).df
-    discard(spark, found)
+    discard(spark, found, again)
 
     around = cut.where("kind = 2")
     members = stored(
@@ -366,7 +367,7 @@ def repeated_strings(
     buckets = members.groupBy("gram").agg(F.count("*").alias("members"), F.min("n").alias("least")).where(
         "members > 1 and least = 1"
     )
-    open_ = members.join(buckets.drop("least"), "gram")
+    open_ = members.join(stored(buckets.drop("least"), "buckets").df, "gram")
     sorted_ = (
         open_.where(F.col("members") <= most_members)
         .select("gram", "n", "id", "tag", "place", "low", "around")
