@@ -2,8 +2,8 @@
 
 N-gram counts are gathered over all training documents and quantised on a logarithmic scale. An n-gram of level q is in
 the filter once for each level up to q, so its level is found by asking for one level after another until one is
-missing. The filter has a fixed number of bits, whatever the corpus; that bounds what is broadcast. Unigrams and bigrams
-of the highest levels are stored, as far down as BITS_PER_ENTRY allows, and the scale of what is left out is 0.
+missing. The filter has BITS_PER_ENTRY bits for each entry and grows with the corpus. It is never held whole: its segments
+have a bounded number of entries, and blocks of texts send the keys of their n-grams to the segments and get levels back.
 
 A bigram's probability is smoothed by its word's: (c(v w) + WEIGHT p(w)) / (c(v) + WEIGHT), with p(w) from the unigram's
 estimated count and add-ADD smoothing. The base score is of exact unigram counts: those of the most frequent words, a
@@ -25,10 +25,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import discard, stored
 
-FILTER_BITS = 1 << 27
-SEGMENTS = 64
+SEGMENT_ENTRIES = 1 << 18  # that a segment of the filter holds, about
+BLOCK = 1 << 20  # tokens of texts that ask for their n-grams' levels together
 PROBES = 5
 BITS_PER_ENTRY = 10
 BASE = 2**0.5
@@ -151,111 +151,197 @@ def build_segment(keys: np.ndarray, levels: np.ndarray, least: int, bits: int) -
     return words
 
 
-def least_level(sizes: list[tuple[int, int]], bits: int) -> int:
-    """The lowest level from which on all entries fit; `sizes` has (level, n-grams of that level)."""
-    for least in range(1, MOST_LEVELS):
-        if sum(n * (level - least + 1) for level, n in sizes if level >= least) * BITS_PER_ENTRY <= bits:
-            return least
-    return MOST_LEVELS
+def _runs(segment: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each segment of sorted ones, and where it stands."""
+    begins = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]])) if len(segment) else []
+    for begin, end in zip(begins, [*begins[1:], len(segment)]):
+        yield int(segment[begin]), slice(begin, end)
 
 
-def log_frequency_filter(counts: DataFrame, bits: int = FILTER_BITS, segments: int = SEGMENTS) -> Filter:
-    """The filter over `counts` (key, n). What reaches the driver has `bits` bits."""
-    levelled = counts.select("key", level_column(F.col("n")).alias("level"))
-    sizes = [tuple(r) for r in levelled.groupBy("level").agg(F.count("*")).collect()]  # a row for each level
-    least = least_level(sizes, bits)
-    own = bits // segments
-
-    def with_segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("key").to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(Filter.segment(keys, segments))], names=["key", "level", "segment"]
-            )
+DEALT_SQL = "segment bigint, block bigint, keys binary, levels binary"
+DEALT = pa.schema([("segment", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("levels", pa.binary())])
+
+
+def _dealt(block: int, keys: np.ndarray, levels: np.ndarray | None, segments: int) -> Iterator[pa.RecordBatch]:
+    """A row for each segment that `keys`, sorted, have part in."""
+    segment = Filter.segment(keys, segments)
+    order = np.argsort(segment, kind="stable")
+    keys, levels = keys[order], levels if levels is None else levels[order].astype(np.uint8)
+    rows = [
+        (of, block, keys[at].tobytes(), levels if levels is None else levels[at].tobytes())
+        for of, at in _runs(segment[order])
+    ]
+    for at in range(0, len(rows), 500):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 500]), DEALT.types)], schema=DEALT)
+
+
+def _entries(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """Keys and levels of n-grams, before all blocks."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        held.append((batch.column("key").to_numpy().view(np.uint64), batch.column("level").to_numpy()))
+        size += batch.num_rows
+        if size >= FLUSH:
+            yield from _dealt(-1, *map(np.concatenate, zip(*held)), segments)
+            held.clear()
+            size = 0
+    if held:
+        yield from _dealt(-1, *map(np.concatenate, zip(*held)), segments)
+
+
+BLOCKS_SQL = "block bigint, ids array<bigint>, held_out array<boolean>, sizes array<bigint>, words binary, places binary"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts in blocks: their words' hashes, each once, and the place among these of every token."""
+    block = TaskContext.get().partitionId() << 33
+    held: list[tuple] = []
+
+    def packed() -> pa.RecordBatch:
+        ids, held_out, each = zip(*held)
+        words, places = np.unique(np.concatenate(each), return_inverse=True)
+        values = [block, ids, held_out, [len(e) for e in each], words.tobytes(), places.astype(np.uint32).tobytes()]
+        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v], t) for v, t in zip(values, types)], names=["block", "ids", "held_out", "sizes", "words", "places"]
+        )
+
+    size = 0
+    for batch in batches:
+        for own, held_out, text in zip(batch.column("id").to_pylist(), batch.column("held_out").to_pylist(), batch.column("text")):
+            held.append((own, held_out, tokens(text.as_py())))
+            size += len(held[-1][2])
+            if size >= BLOCK:
+                yield packed()
+                held.clear()
+                size = 0
+                block += 1
+    if held:
+        yield packed()
+
+
+def _flat(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's words, their places, and its n-grams' keys, sorted."""
+    words, places = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["places"], np.uint32)
+    found = np.unique(np.concatenate([words, [END], pairs(words[places])]))
+    return words, places, found
+
+
+def _asked(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            yield from _dealt(row["block"], _flat(row)[2], None, segments)
 
-    def built(table: pa.Table) -> pa.Table:
-        words = build_segment(
-            table["key"].to_numpy().view(np.uint64), table["level"].to_numpy().astype(np.int64), least, own
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Levels of the keys of each block and segment; a segment's entries come before the blocks that ask for them."""
+    now, held, found_in = None, [], None
+    for batch in batches:
+        out = []
+        for segment, block, keys, levels in zip(*[c.to_pylist() for c in batch.columns]):
+            if segment != now:
+                now, held, found_in = segment, [], None
+            if block < 0:
+                held.append((np.frombuffer(keys, np.uint64), np.frombuffer(levels, np.uint8)))
+                continue
+            if found_in is None:
+                found_in, held = segment_filter(held), []
+            out.append((block, segment, found_in.levels(np.frombuffer(keys, np.uint64)).astype(np.uint8).tobytes()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in out], t) for i, t in enumerate([pa.int64(), pa.int64(), pa.binary()])],
+            names=["of", "segment", "levels"],
         )
-        return pa.table({"segment": table["segment"][:1], "words": pa.array([words.tobytes()], pa.binary())})
-
-    rows = (
-        levelled.where(F.col("level") >= least)
-        .mapInArrow(with_segment, "key bigint, level int, segment bigint")
-        .groupBy("segment")
-        .applyInArrow(built, "segment bigint, words binary")
-        .collect()
+
+
+def segment_filter(entries: list[tuple[np.ndarray, np.ndarray]]) -> Filter:
+    """The filter of one segment from its keys and levels, of BITS_PER_ENTRY bits for each entry."""
+    keys, levels = map(np.concatenate, zip(*entries)) if entries else (np.empty(0, np.uint64), np.empty(0, np.int64))
+    levels = levels.astype(np.int64)
+    bits = -(-max(1, int(levels.sum())) * BITS_PER_ENTRY // 64) * 64
+    return Filter(build_segment(keys, levels, 1, bits)[None, :], 1)
+
+
+def with_levels(blocks: DataFrame, counts: DataFrame, segments: int) -> DataFrame:
+    """`blocks` with `answers`, the levels of each block's n-grams by segment, from a filter over `counts` (key, n)."""
+    levelled = counts.select("key", level_column(F.col("n")).alias("level"))
+    entries = levelled.mapInArrow(partial(_entries, segments=segments), DEALT_SQL)
+    asked = blocks.select("block", "words", "places").mapInArrow(partial(_asked, segments=segments), DEALT_SQL)
+    answers = (
+        entries.union(asked).repartition("segment").sortWithinPartitions("segment", "block")
+        .mapInArrow(_answered, "of bigint, segment bigint, levels binary")
+        .groupBy("of").agg(F.collect_list(F.struct("segment", "levels")).alias("answers"))
     )
-    words = np.zeros((segments, own // 64), np.uint64)
-    for row in rows:
-        words[row["segment"]] = np.frombuffer(row["words"], np.uint64)
-    return Filter(words, least)
+    return blocks.join(answers, blocks["block"] == answers["of"]).drop("of")
 
 
 SCORED_SQL = (
-    "row bigint, id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
+    "block bigint, row bigint, id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
     "rare array<bigint>, times array<bigint>"
 )
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model, total: int, distinct: int, weight: float) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], model, total: int, distinct: int, weight: float, segments: int) -> Iterator[pa.RecordBatch]:
     """Scores of each text, the base score and the known tokens as far as its frequent words go, and its other words."""
-    (words, least), frequent, exact = model.value
-    found_in = Filter(words, least)
+    frequent, exact = model.value
     spread = total + ADD * (distinct + 1)
-    estimate = count_of(found_in.levels(frequent))
-    row = TaskContext.get().partitionId() << 33
-    for whole in batches:
-        for at in range(0, whole.num_rows, 1000):
-            batch = whole.slice(at, 1000)
-            each = [tokens(t) for t in batch.column("text").to_pylist()]
-            flat = np.concatenate(each)
-            starts = np.cumsum([0, *[len(e) for e in each[:-1]]])
+    for batch in batches:
+        for i in range(batch.num_rows):
+            block = batch.slice(i, 1).to_pylist()[0]
+            words, places, keys = _flat(block)
+            levels = np.empty(len(keys), np.int64)
+            order = np.argsort(Filter.segment(keys, segments), kind="stable")
+            levels[order] = np.frombuffer(b"".join(a["levels"] for a in sorted(block["answers"], key=lambda a: a["segment"])), np.uint8)
+            counts = count_of(levels)
+            estimate = lambda asked: counts[np.searchsorted(keys, asked)]  # noqa: B023, E731
+            flat = words[places]
+            sizes = np.array(block["sizes"])
+            starts = np.cumsum([0, *sizes[:-1]])
             if len(frequent):
-                place = np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)
-                known = frequent[place] == flat
+                place = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
+                known = frequent[place] == words
             else:
-                place, known = np.zeros(len(flat), np.int64), np.zeros(len(flat), bool)
-            unigram = np.zeros(len(flat))
-            unigram[known] = estimate[place[known]]
-            others, back = np.unique(flat[~known], return_inverse=True)
-            unigram[~known] = count_of(found_in.levels(others))[back]
-            keys, back = np.unique(pairs(flat), return_inverse=True)
-            bigram = count_of(found_in.levels(keys))[back]
-            end = float(count_of(found_in.levels(np.array([END])))[0])
+                place, known = np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+            own_base = np.where(known, np.log10((exact[place] if len(exact) else 0.0) + ADD) - np.log10(spread), 0.0)
+            base, known = own_base[places], known[places]
+            unigram = estimate(words)[places]
+            bigram = estimate(pairs(flat))
+            end = float(estimate(END))
             context = np.concatenate([[end], unigram[:-1]])
             word = (unigram + ADD) / spread
             likely = (np.minimum(bigram, context) + weight * word) / (context + weight)
-            base = np.zeros(len(flat))
-            base[known] = np.log10((exact[place[known]] + ADD) / spread)
-            of = np.repeat(np.arange(len(each)), [len(e) for e in each])[~known]
+            of = np.repeat(np.arange(len(sizes)), sizes)[~known]
             order = np.lexsort((flat[~known], of))
             rare, of = flat[~known][order], of[order]
             begins = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (of[1:] != of[:-1])])) if len(rare) else np.empty(0, np.int64)
             times = np.diff(np.concatenate([begins, [len(rare)]]))
-            ends = pa.array(np.searchsorted(of[begins], np.arange(len(each) + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
+            ends = pa.array(np.searchsorted(of[begins], np.arange(len(sizes) + 1)).astype(np.int32))
+            whole = pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.arange(row, row + len(each))),
-                    batch.column("id"),
-                    batch.column("held_out"),
-                    pa.array([len(e) for e in each], pa.int64()),
+                    # A block's texts are numbered after it; there are no more of them than tokens.
+                    pa.array([block["block"]] * len(sizes), pa.int64()),
+                    pa.array(np.arange(len(sizes))),
+                    pa.array(block["ids"], pa.int64()),
+                    pa.array(block["held_out"], pa.bool_()),
+                    pa.array(sizes, pa.int64()),
                     pa.array(np.add.reduceat(known.astype(np.int64), starts)),
                     pa.array(np.add.reduceat(base, starts)),
                     pa.array(np.add.reduceat(np.log10(likely), starts)),
                     pa.ListArray.from_arrays(ends, pa.array(rare[begins].view(np.int64))),
                     pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int64))),
                 ],
-                names=["row", "id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
+                names=["block", "row", "id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
             )
-            row += len(each)
+            for at in range(0, whole.num_rows, 1000):
+                yield whole.slice(at, 1000)
 
 
 def scored(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    bits: int = FILTER_BITS,
+    segment_entries: int = SEGMENT_ENTRIES,
     frequent: int = FREQUENT,
     weight: float = WEIGHT,
 ) -> DataFrame:
@@ -275,32 +361,34 @@ def scored(
     ).df
     unigrams = counts.where("key >= 0")
     total, distinct = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    entries = counts.agg(F.sum(level_column(F.col("n")))).first()[0] or 0
+    segments = max(1, -(-entries // segment_entries))
     top = unigrams.orderBy(F.desc("n"), "key").limit(frequent).toArrow().sort_by("key")
-    found_in = log_frequency_filter(counts, bits)
     model = spark.sparkContext.broadcast((
-        (found_in.words, found_in.least),
         top["key"].to_numpy().astype(np.int64).view(np.uint64),
         top["n"].to_numpy().astype(np.float64),
     ))
+    blocks = stored(texts.select("id", "held_out", "text").mapInArrow(_blocks, BLOCKS_SQL), "blocks")
     rows = stored(
-        texts.select("id", "held_out", "text").mapInArrow(
-            partial(_scored, model=model, total=total, distinct=distinct, weight=weight), SCORED_SQL
+        with_levels(blocks.df, counts, segments).mapInArrow(
+            partial(_scored, model=model, total=total, distinct=distinct, weight=weight, segments=segments), SCORED_SQL
         ),
         "scored",
     ).df
+    discard(spark, blocks)
     # Frequent words were looked up; the others meet their counts here.
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", "w.rare", "w.times")
+    rare = rows.select("block", "row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("block", "row", "w.rare", "w.times")
     n = F.coalesce("n", F.lit(0))
     spread = F.lit(float(total + ADD * (distinct + 1)))
     rest = (
         rare.join(unigrams, rare["rare"] == unigrams["key"], "left")
-        .groupBy("row")
+        .groupBy("block", "row")
         .agg(
             F.sum(F.col("times") * F.log10((n + F.lit(ADD)) / spread)).alias("rest"),
             F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rest_known"),
         )
     )
-    return rows.drop("rare", "times").join(rest, "row", "left").select(
+    return rows.drop("rare", "times").join(rest, ["block", "row"], "left").select(
         "id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),

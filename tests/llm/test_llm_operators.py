@@ -372,6 +372,36 @@ def test_rare_words_meet_their_counts(spark):
     assert np.allclose([r[2] for r in all_], [r[2] for r in few])
 
 
+def brute_scores(docs, trained):
+    """Scores from the levels of exact counts."""
+    texts = {i: t.split() + [" "] for i, t in docs}
+    ones = collections.Counter(w for i in trained for w in texts[i])
+    twos = collections.Counter(p for i in trained for p in zip([" ", *texts[i]], texts[i]))
+    near = lambda n: float(lm_scoring.count_of(lm_scoring.level_of(np.array([n])))[0]) if n else 0.0
+    spread, out = ones.total() + lm_scoring.ADD * (len(ones) + 1), {}
+    for i, words in texts.items():
+        out[i] = 0.0
+        for v, w in zip([" ", *words], words):
+            context, word = near(ones[v]), (near(ones[w]) + lm_scoring.ADD) / spread
+            out[i] += np.log10((min(near(twos[v, w]), context) + lm_scoring.WEIGHT * word) / (context + lm_scoring.WEIGHT))
+    return out
+
+
+def far_scores(spark, texts, **options):
+    """How far the scores are from the exact levels', in parts of these."""
+    got = {r.id: r for r in lm_scoring.scored(spark.createDataFrame(texts, "doc_id bigint, text string"), **options).collect()}
+    want = brute_scores(texts, [i for i, r in got.items() if not r.held_out])
+    return np.array([abs(got[i].score / want[i] - 1) for i in want])
+
+
+def test_every_level_is_kept(spark):
+    """Many segments hold the n-grams of the lowest levels too, whatever a segment's size."""
+    texts = [(i, " ".join(f"own{i // 20}x{j} and" for j in range(40))) for i in range(200)]
+    for entries in (1 << 18, 300):
+        far = far_scores(spark, texts, segment_entries=entries)
+        assert np.median(far) < 0.005 and far.max() < 0.05
+
+
 def test_without_labels_of_both_kinds(odd):
     none = odd.selectExpr("doc_id", "cast(null as int) as quality")
     good = odd.selectExpr("doc_id", "1 as quality")
