@@ -3,7 +3,7 @@
 N-gram counts are gathered over all training documents and quantised on a logarithmic scale. An n-gram of level q is in
 the filter once for each level up to q, so its level is found by asking for one level after another until one is
 missing. The filter has BITS_PER_ENTRY bits for each entry and grows with the corpus. It is never held whole: its segments
-have a bounded number of entries, and blocks of texts send the keys of their n-grams to the segments and get levels back.
+have about as many entries at any size, and blocks of texts send the keys of their n-grams to the segments and get levels back.
 
 A bigram's probability is smoothed by its word's: (c(v w) + WEIGHT p(w)) / (c(v) + WEIGHT), with p(w) from the unigram's
 estimated count and add-ADD smoothing. The base score is of exact unigram counts: those of the most frequent words, a
@@ -22,18 +22,17 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import discard, stored
 
-SEGMENT_ENTRIES = 1 << 18  # that a segment of the filter holds, about
+SEGMENT_BYTES = 1 << 22  # of training texts for each segment of the filter
 BLOCK = 1 << 20  # tokens of texts that ask for their n-grams' levels together
 PROBES = 5
 BITS_PER_ENTRY = 10
 BASE = 2**0.5
 MOST_LEVELS = 96
-LEAST_BIGRAM = 2  # a bigram seen once is left to smoothing
 FREQUENT = 1 << 17  # words whose counts are broadcast
 WEIGHT = 500.0
 ADD = 0.1
@@ -66,40 +65,11 @@ def pairs(flat: np.ndarray) -> np.ndarray:
     return mix64(mix64(before * M64) + flat * N64) | PAIR
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[np.ndarray] = []
-
-    def counts() -> Iterator[pa.RecordBatch]:
-        flat = np.concatenate(held)
-        for keys in (flat, pairs(flat)):
-            found, n = np.unique(keys, return_counts=True)
-            for at in range(0, len(found), 100_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[at : at + 100_000].view(np.int64)), pa.array(n[at : at + 100_000])], names=["key", "n"]
-                )
-
-    size = 0
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            held.append(tokens(text))
-            size += len(held[-1])
-            if size >= FLUSH:
-                yield from counts()
-                held.clear()
-                size = 0
-    if held:
-        yield from counts()
-
-
 def level_of(count: np.ndarray) -> np.ndarray:
     """1 for a count of 1, one more for each factor of BASE."""
     return 1 + np.floor(np.log(count) / np.log(BASE) + 1e-9).astype(np.int64)
 
 
-def level_column(count: Column) -> Column:
-    return (1 + F.floor(F.log(count) / F.lit(float(np.log(BASE))) + 1e-9)).cast("int")
-
-
 def count_of(level: np.ndarray) -> np.ndarray:
     """The middle of a level; 0 for none."""
     low = BASE ** (level - 1.0)
@@ -158,36 +128,79 @@ def _runs(segment: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(segment[begin]), slice(begin, end)
 
 
-DEALT_SQL = "segment bigint, block bigint, keys binary, levels binary"
-DEALT = pa.schema([("segment", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("levels", pa.binary())])
+COUNTED_SQL = "segment bigint, keys binary, counts binary"
+COUNTED = pa.schema([("segment", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
-def _dealt(block: int, keys: np.ndarray, levels: np.ndarray | None, segments: int) -> Iterator[pa.RecordBatch]:
-    """A row for each segment that `keys`, sorted, have part in."""
-    segment = Filter.segment(keys, segments)
-    order = np.argsort(segment, kind="stable")
-    keys, levels = keys[order], levels if levels is None else levels[order].astype(np.uint8)
-    rows = [
-        (of, block, keys[at].tobytes(), levels if levels is None else levels[at].tobytes())
-        for of, at in _runs(segment[order])
-    ]
-    for at in range(0, len(rows), 500):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 500]), DEALT.types)], schema=DEALT)
+def _counted(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """A task's counts of n-grams by segment."""
+    held: list[np.ndarray] = []
 
+    def counts() -> Iterator[pa.RecordBatch]:
+        flat = np.concatenate(held)
+        for keys in (flat, pairs(flat)):
+            found, n = np.unique(keys, return_counts=True)
+            segment = Filter.segment(found, segments)
+            order = np.argsort(segment, kind="stable")
+            found, n = found[order], n[order].astype(np.uint32)
+            yield from _rows([(of, found[at].tobytes(), n[at].tobytes()) for of, at in _runs(segment[order])], COUNTED)
 
-def _entries(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
-    """Keys and levels of n-grams, before all blocks."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
     for batch in batches:
-        held.append((batch.column("key").to_numpy().view(np.uint64), batch.column("level").to_numpy()))
-        size += batch.num_rows
-        if size >= FLUSH:
-            yield from _dealt(-1, *map(np.concatenate, zip(*held)), segments)
-            held.clear()
-            size = 0
+        for text in batch.column(0):
+            held.append(tokens(text.as_py()))
+            size += len(held[-1])
+            if size >= FLUSH:
+                yield from counts()
+                held.clear()
+                size = 0
+    if held:
+        yield from counts()
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(rows), 200):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 200]), schema.types)], schema=schema)
+
+
+BUILT_SQL = "segment bigint, words binary, keys binary, counts binary"
+BUILT = pa.schema([("segment", pa.int64()), ("words", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The filter and the exact unigram counts of each segment, whose rows come one after another."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def built(segment: int) -> Iterator[pa.RecordBatch]:
+        keys, n = map(np.concatenate, zip(*held))
+        keys, of = np.unique(keys, return_inverse=True)
+        counts = np.bincount(of, n, len(keys)).astype(np.int64)
+        ones = keys < PAIR
+        yield from _rows([(segment, segment_filter(keys, level_of(counts)).tobytes(), keys[ones].tobytes(), counts[ones].tobytes())], BUILT)
+
+    now = None
+    for batch in batches:
+        for segment, keys, counts in zip(*[batch.column(n).to_pylist() for n in COUNTED.names]):
+            if held and segment != now:
+                yield from built(now)
+                held.clear()
+            now = segment
+            held.append((np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.uint32)))
     if held:
-        yield from _dealt(-1, *map(np.concatenate, zip(*held)), segments)
+        yield from built(now)
+
+
+def segment_filter(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The words of one segment's filter, of BITS_PER_ENTRY bits for each entry."""
+    bits = -(-max(1, int(levels.sum())) * BITS_PER_ENTRY // 64) * 64
+    return build_segment(keys, levels, 1, bits)
+
+
+def _unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
+            both = [pa.array(np.frombuffer(x, np.int64)) for x in (keys, counts)]
+            yield pa.RecordBatch.from_arrays(both, names=["key", "n"])
 
 
 BLOCKS_SQL = "block bigint, ids array<bigint>, held_out array<boolean>, sizes array<bigint>, words binary, places binary"
@@ -228,48 +241,46 @@ def _flat(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, places, found
 
 
+ASKED_SQL = "segment bigint, block bigint, packed binary"
+ASKED = pa.schema([("segment", pa.int64()), ("block", pa.int64()), ("packed", pa.binary())])
+
+
 def _asked(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """The keys of each block's n-grams by segment."""
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            yield from _dealt(row["block"], _flat(row)[2], None, segments)
+            keys = _flat(row)[2]
+            segment = Filter.segment(keys, segments)
+            order = np.argsort(segment, kind="stable")
+            keys = keys[order]
+            yield from _rows([(of, row["block"], keys[at].tobytes()) for of, at in _runs(segment[order])], ASKED)
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Levels of the keys of each block and segment; a segment's entries come before the blocks that ask for them."""
-    now, held, found_in = None, [], None
+    """Levels of the keys of each block and segment; a segment's filter comes before the blocks that ask it."""
+    now, found_in = None, None
     for batch in batches:
         out = []
-        for segment, block, keys, levels in zip(*[c.to_pylist() for c in batch.columns]):
-            if segment != now:
-                now, held, found_in = segment, [], None
+        for segment, block, packed in zip(*[batch.column(n).to_pylist() for n in ASKED.names]):
             if block < 0:
-                held.append((np.frombuffer(keys, np.uint64), np.frombuffer(levels, np.uint8)))
+                now, found_in = segment, Filter(np.frombuffer(packed, np.uint64)[None, :], 1)
                 continue
-            if found_in is None:
-                found_in, held = segment_filter(held), []
-            out.append((block, segment, found_in.levels(np.frombuffer(keys, np.uint64)).astype(np.uint8).tobytes()))
+            keys = np.frombuffer(packed, np.uint64)
+            levels = found_in.levels(keys) if segment == now else np.zeros(len(keys))
+            out.append((block, segment, levels.astype(np.uint8).tobytes()))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in out], t) for i, t in enumerate([pa.int64(), pa.int64(), pa.binary()])],
             names=["of", "segment", "levels"],
         )
 
 
-def segment_filter(entries: list[tuple[np.ndarray, np.ndarray]]) -> Filter:
-    """The filter of one segment from its keys and levels, of BITS_PER_ENTRY bits for each entry."""
-    keys, levels = map(np.concatenate, zip(*entries)) if entries else (np.empty(0, np.uint64), np.empty(0, np.int64))
-    levels = levels.astype(np.int64)
-    bits = -(-max(1, int(levels.sum())) * BITS_PER_ENTRY // 64) * 64
-    return Filter(build_segment(keys, levels, 1, bits)[None, :], 1)
-
-
-def with_levels(blocks: DataFrame, counts: DataFrame, segments: int) -> DataFrame:
-    """`blocks` with `answers`, the levels of each block's n-grams by segment, from a filter over `counts` (key, n)."""
-    levelled = counts.select("key", level_column(F.col("n")).alias("level"))
-    entries = levelled.mapInArrow(partial(_entries, segments=segments), DEALT_SQL)
-    asked = blocks.select("block", "words", "places").mapInArrow(partial(_asked, segments=segments), DEALT_SQL)
+def with_levels(blocks: DataFrame, built: DataFrame, segments: int) -> DataFrame:
+    """`blocks` with `answers`, the levels of each block's n-grams by segment."""
+    filters = built.select("segment", F.lit(-1).cast("bigint").alias("block"), F.col("words").alias("packed"))
+    asked = blocks.select("block", "words", "places").mapInArrow(partial(_asked, segments=segments), ASKED_SQL)
     answers = (
-        entries.union(asked).repartition("segment").sortWithinPartitions("segment", "block")
+        filters.union(asked).repartition("segment").sortWithinPartitions("segment", "block")
         .mapInArrow(_answered, "of bigint, segment bigint, levels binary")
         .groupBy("of").agg(F.collect_list(F.struct("segment", "levels")).alias("answers"))
     )
@@ -341,7 +352,7 @@ def scored(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    segment_entries: int = SEGMENT_ENTRIES,
+    segment_bytes: int = SEGMENT_BYTES,
     frequent: int = FREQUENT,
     weight: float = WEIGHT,
 ) -> DataFrame:
@@ -355,14 +366,13 @@ def scored(
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 10 == 0).alias("held_out"),
     )
-    parts = texts.where("not held_out").select("text").mapInArrow(_counted, "key bigint, n bigint")
-    counts = stored(
-        parts.groupBy("key").agg(F.sum("n").alias("n")).where((F.col("key") >= 0) | (F.col("n") >= LEAST_BIGRAM)), "ngrams"
-    ).df
-    unigrams = counts.where("key >= 0")
+    trained = texts.where("not held_out").select("text")
+    size = trained.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    segments = 1 + size // segment_bytes
+    counted = trained.mapInArrow(partial(_counted, segments=segments), COUNTED_SQL)
+    built = stored(counted.repartition("segment").sortWithinPartitions("segment").mapInArrow(_built, BUILT_SQL), "segments").df
+    unigrams = built.select("keys", "counts").mapInArrow(_unigrams, "key bigint, n bigint")
     total, distinct = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    entries = counts.agg(F.sum(level_column(F.col("n")))).first()[0] or 0
-    segments = max(1, -(-entries // segment_entries))
     top = unigrams.orderBy(F.desc("n"), "key").limit(frequent).toArrow().sort_by("key")
     model = spark.sparkContext.broadcast((
         top["key"].to_numpy().astype(np.int64).view(np.uint64),
@@ -370,7 +380,7 @@ def scored(
     ))
     blocks = stored(texts.select("id", "held_out", "text").mapInArrow(_blocks, BLOCKS_SQL), "blocks")
     rows = stored(
-        with_levels(blocks.df, counts, segments).mapInArrow(
+        with_levels(blocks.df, built, segments).mapInArrow(
             partial(_scored, model=model, total=total, distinct=distinct, weight=weight, segments=segments), SCORED_SQL
         ),
         "scored",

@@ -397,11 +397,16 @@ def far_scores(spark, texts, **options):
 def test_every_level_is_kept(spark):
     """Many segments hold the n-grams of the lowest levels too, whatever a segment's size."""
     texts = [(i, " ".join(f"own{i // 20}x{j} and" for j in range(40))) for i in range(200)]
-    for entries in (1 << 18, 300):
-        far = far_scores(spark, texts, segment_entries=entries)
+    for size in (1 << 22, 3000):
+        far = far_scores(spark, texts, segment_bytes=size)
         assert np.median(far) < 0.005 and far.max() < 0.05
 
 
+def test_bigrams_seen_once_count(spark):
+    far = far_scores(spark, [(i, f"the own{i} and last{i}") for i in range(200)])
+    assert np.median(far) < 0.005 and (far < 0.02).mean() > 0.9
+
+
 def test_without_labels_of_both_kinds(odd):
     none = odd.selectExpr("doc_id", "cast(null as int) as quality")
     good = odd.selectExpr("doc_id", "1 as quality")
