@@ -21,11 +21,12 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import discard, stored
+from millrace.llm.common import Stored, discard, stored
 
 SEGMENT_BYTES = 1 << 22  # of training texts for each segment of the filter
 BLOCK = 1 << 20  # tokens of texts that ask for their n-grams' levels together
@@ -37,6 +38,7 @@ FREQUENT = 1 << 17  # words whose counts are broadcast
 WEIGHT = 500.0
 ADD = 0.1
 FLUSH = 4_000_000  # tokens that a task counts before it hands their counts on
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Multipliers of the mixing functions.
 M64 = np.uint64(0x9E3779B97F4A7C15)
@@ -213,8 +215,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def packed() -> pa.RecordBatch:
         ids, held_out, each = zip(*held)
-        words, places = np.unique(np.concatenate(each), return_inverse=True)
-        values = [block, ids, held_out, [len(e) for e in each], words.tobytes(), places.astype(np.uint32).tobytes()]
+        words, places, n = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
+        # Frequent words first, so that the high bytes of places are mostly 0 and take little room.
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        planes = rank[places].view(np.uint8).reshape(-1, 4).T.tobytes()
+        packer = zstandard.ZstdCompressor(level=1)
+        values = [block, ids, held_out, [len(e) for e in each], words[order].tobytes(), packer.compress(planes)]
         types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays(
             [pa.array([v], t) for v, t in zip(values, types)], names=["block", "ids", "held_out", "sizes", "words", "places"]
@@ -236,7 +244,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _flat(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A block's words, their places, and its n-grams' keys, sorted."""
-    words, places = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["places"], np.uint32)
+    words = np.frombuffer(row["words"], np.uint64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["places"]), np.uint8)
+    places = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
     found = np.unique(np.concatenate([words, [END], pairs(words[places])]))
     return words, places, found
 
@@ -287,6 +297,17 @@ def with_levels(blocks: DataFrame, built: DataFrame, segments: int) -> DataFrame
     return blocks.join(answers, blocks["block"] == answers["of"]).drop("of")
 
 
+def _stored_alone(df: DataFrame, label: str) -> Stored:
+    """`stored`, and what was shuffled for it is deleted."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df, label)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 SCORED_SQL = (
     "block bigint, row bigint, id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
     "rare array<bigint>, times array<bigint>"
@@ -370,7 +391,7 @@ def scored(
     size = trained.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     segments = 1 + size // segment_bytes
     counted = trained.mapInArrow(partial(_counted, segments=segments), COUNTED_SQL)
-    built = stored(counted.repartition("segment").sortWithinPartitions("segment").mapInArrow(_built, BUILT_SQL), "segments").df
+    built = _stored_alone(counted.repartition("segment").sortWithinPartitions("segment").mapInArrow(_built, BUILT_SQL), "segments").df
     unigrams = built.select("keys", "counts").mapInArrow(_unigrams, "key bigint, n bigint")
     total, distinct = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = unigrams.orderBy(F.desc("n"), "key").limit(frequent).toArrow().sort_by("key")
@@ -379,7 +400,7 @@ def scored(
         top["n"].to_numpy().astype(np.float64),
     ))
     blocks = stored(texts.select("id", "held_out", "text").mapInArrow(_blocks, BLOCKS_SQL), "blocks")
-    rows = stored(
+    rows = _stored_alone(
         with_levels(blocks.df, built, segments).mapInArrow(
             partial(_scored, model=model, total=total, distinct=distinct, weight=weight, segments=segments), SCORED_SQL
         ),
