@@ -193,6 +193,17 @@ def digest_of(key: bytes, kind: str, shape: str, canonical: str) -> str:
     return hmac.new(key, f"{kind}\0{shape}\0{canonical}".encode(), hashlib.sha256).hexdigest()[:32]
 
 
+def space_of(kind: str, shape: str) -> str:
+    """Entities of one space must not look alike; names have one for each script."""
+    return f"name {shape.split()[0]}" if kind in ("given", "family") else ""
+
+
+def value_digest(key: bytes, kind: str, shape: str, canonical: str) -> str:
+    """Digest of a value as it is read, whatever its kind and shape."""
+    value = canonical.casefold() if kind in ("given", "family", "email", "hex", "ipv6") else canonical
+    return hmac.new(key, f"value\0{space_of(kind, shape)}\0{value}".encode(), hashlib.sha256).hexdigest()[:32]
+
+
 class Draw:
     """Numbers that follow from a digest and an attempt."""
 
@@ -256,7 +267,7 @@ def render(mention: str, kind: str, canonical: str) -> str:
     return canonical
 
 
-FOUND_SQL = "id bigint, tag bigint, kind string, shape string, digest string"
+FOUND_SQL = "id bigint, tag bigint, kind string, shape string, digest string, value string"
 
 
 def _finder(key: bytes):
@@ -264,11 +275,13 @@ def _finder(key: bytes):
         for batch in batches:
             rows = []
             for own, tag, text in zip(*[c.to_pylist() for c in batch.columns]):
-                known = {(m.kind, m.shape, digest_of(key, m.kind, m.shape, m.canonical)) for m in mentions(text or "")}
+                known = {
+                    (m.kind, m.shape, digest_of(key, *m[2:]), value_digest(key, *m[2:])) for m in mentions(text or "")
+                }
                 rows += [(own, tag, *k) for k in sorted(known)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate([pa.int64()] * 2 + [pa.string()] * 3)],
-                names=["id", "tag", "kind", "shape", "digest"],
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate([pa.int64()] * 2 + [pa.string()] * 4)],
+                names=["id", "tag", "kind", "shape", "digest", "value"],
             )
 
     return find
@@ -279,8 +292,9 @@ def _maker(key: bytes):
         for batch in batches:
             columns = [batch.column(n).to_pylist() for n in ("kind", "shape", "digest", "attempt")]
             made = [surrogate(key, *row) for row in zip(*columns)]
-            again = [digest_of(key, kind, shape, new) for kind, shape, new in zip(columns[0], columns[1], made)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(again, pa.string())], names=[*batch.schema.names, "new"])
+            values = list(zip(columns[0], columns[1], made))
+            more = [pa.array([of(key, *v) for v in values], pa.string()) for of in (value_digest, digest_of)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "new", "same"])
 
     return make
 
@@ -307,20 +321,23 @@ def _writer(key: bytes):
     return write
 
 
-def distinct_attempts(entities: DataFrame, key: bytes) -> DataFrame | None:
+def distinct_attempts(entities: DataFrame, key: bytes, values: DataFrame | None = None) -> DataFrame | None:
     """Rows (digest, attempt) of the entities whose first surrogate is not theirs; None if there are none.
 
-    `entities` has rows (kind, shape, digest).
+    `entities` has rows (kind, shape, digest). Surrogates are compared as they are read, over all kinds and shapes, and
+    with the entities by `values`, rows (value) of all of them; without these, with those of their kind and shape.
     """
     spark = entities.sparkSession
     make = _maker(key)
-    schema = "kind string, shape string, digest string, attempt int, new string"
+    schema = "kind string, shape string, digest string, attempt int, new string, same string"
     own = entities.select("kind", "shape", "digest", F.lit(0).alias("attempt"))
     now = stored(own.mapInArrow(make, schema), "surrogates")
+    taken_by = "same" if values is None else "new"
+    taken = own.select(F.col("digest").alias("same")) if values is None else values.select(F.col("value").alias("new"))
     while True:
         least = now.df.groupBy("new").agg(F.min(F.struct("attempt", "digest")).alias("owner"))
         shared = now.df.join(least, "new").where("digest != owner.digest").select("digest")
-        real = now.df.join(own.select(F.col("digest").alias("new")), "new", "left_semi").select("digest")
+        real = now.df.join(taken, taken_by, "left_semi").select("digest")
         later = stored(shared.union(real).distinct().withColumn("again", F.lit(1)), "shared")
         if later.df.isEmpty():
             break
@@ -339,7 +356,7 @@ def with_surrogates(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_co
     tag = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag")
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), tag, F.col(text_col).alias("text"))
     found = stored(texts.mapInArrow(_finder(key), FOUND_SQL), "entities").df
-    exceptions = distinct_attempts(found.select("kind", "shape", "digest").distinct(), key)
+    exceptions = distinct_attempts(found.select("kind", "shape", "digest").distinct(), key, found.select("value").distinct())
     if exceptions is None:
         with_later = texts.select("id", "text", F.lit(None).cast("array<struct<digest:string,attempt:int>>").alias("later"))
     else:

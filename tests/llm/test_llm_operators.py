@@ -338,6 +338,22 @@ def test_surrogates_are_distinct(spark):
     assert attempts and len(set(made)) == len(own) and not set(made) & set(own)
 
 
+def test_names_are_distinct_over_shapes(spark):
+    """Given and family names of all genders, in texts of their own."""
+    letters = "abcdefghijklmnopqrst"
+    names = [f"Q{a}{b}{c}" for a in letters for b in letters for c in "aeiou"]
+    people = [(t, names[3 * i], names[3 * i + 1]) for i, t in enumerate(["Dr", "Mr", "Mrs"] * 200)]
+    docs = spark.createDataFrame([(i, f"{t} {a} {b}") for i, (t, a, b) in enumerate(people)], "doc_id bigint, text string")
+    new = [w for r in surrogates.with_surrogates(docs, KEY).collect() for w in r.text.split()[1:]]
+    assert len(new) == len(set(new)) == 1200
+
+    # A surrogate is no name of the corpus either, whatever the kind or gender.
+    first = surrogates.with_surrogates(docs, KEY).where("id = 0").first().text.split()[1]
+    more = docs.union(spark.createDataFrame([(9999, f"Mr Qzzz {first}")], docs.schema))
+    taken = {w for r in surrogates.with_surrogates(more, KEY).collect() for w in r.text.split()[1:]}
+    assert first not in taken and len(taken) == 1202
+
+
 def test_documents_with_exceptions(spark):
     """Numbers of a narrow shape in documents: all mentions of one are replaced alike, of two never alike."""
     texts = [(i, f"password: k{i % 700:03d}xy and password: k{(i * 7) % 700:03d}xy") for i in range(900)]
