@@ -8,7 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, cotraining, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, suffix_dedup, surrogates
+from millrace.llm import (
+    bpe, cotraining, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, resampling, sharding, suffix_dedup,
+    surrogates,
+)
 from millrace.llm.common import documents
 from millrace.llm.registry import QUERIES, SQL, query
 
@@ -257,3 +260,91 @@ def op9_cotraining(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     done = cotraining.quality_scores(documents(spark, folder), labels)
     return done.select(F.col("id").alias("doc_id"), "score", (F.col("score") >= KEEP_FROM).alias("kept"))
+
+
+def _crc_of_byte(i: int) -> int:
+    for _ in range(8):
+        i = (i >> 1) ^ (0xEDB88320 if i & 1 else 0)  # fixed value: the polynomial of CRC-32
+    return i
+
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of a text in UTF-8."""
+    table = f"[{', '.join(str(_crc_of_byte(i)) for i in range(256))}]::BIGINT[]"
+    all_bytes = f"list_transform(regexp_extract_all(hex({text}), '..'), lambda b: ('0x' || b)::BIGINT)"
+    step = f"lambda c, x: xor(c // 256, ({table})[(xor(c, x) & 255) + 1])"
+    return f"xor(list_reduce({all_bytes}, {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+@query(f"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+aims AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+own AS (SELECT doc_id, unnest(w) AS word FROM texts),
+ones AS (SELECT word, count(*) AS n FROM own GROUP BY word),
+twos AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM aims) GROUP BY word),
+hashed AS (
+  SELECT word, {_crc32("word")} % 10000 AS bucket FROM (SELECT word FROM ones UNION SELECT word FROM twos)),
+s AS (SELECT bucket, sum(n)::BIGINT AS s FROM ones JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n)::BIGINT AS t FROM twos JOIN hashed USING (word) GROUP BY bucket),
+sums AS (
+  SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE + 10000 AS own, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE + 10000 AS aim),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * sums.own / ((s + 1)::DOUBLE * sums.aim)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket), sums),
+weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM own JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM texts LEFT JOIN weights USING (doc_id)),
+noised AS (
+  SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY n_features >= 20 DESC, score DESC, doc_id) AS place,
+         count(*) FILTER (n_features >= 20) OVER () * 10 // 100 AS drawn
+  FROM noised)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM placed
+""")
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A tenth of the documents, drawn by how much their words resemble those of the benchmark."""
+    done = resampling.resampled(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return done.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+@query(f"""
+WITH keyed AS (
+  SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, ''))::BIGINT + 1 AS size,
+         ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS tk,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS ik
+  FROM documents),
+groups AS (SELECT tk, sum(size)::BIGINT AS size FROM keyed GROUP BY tk),
+units AS (SELECT tk, ik, sum(size)::BIGINT AS size FROM keyed GROUP BY tk, ik),
+group_ends AS (SELECT *, sum(size) OVER (ORDER BY tk)::BIGINT AS upto FROM groups),
+unit_ends AS (SELECT *, sum(size) OVER (ORDER BY tk, ik)::BIGINT AS upto FROM units),
+total AS (
+  SELECT sum(size)::BIGINT AS total, greatest(0.01::DOUBLE * (sum(size)::BIGINT / 8), max(size) / 2) AS tolerance FROM keyed),
+targets AS (SELECT k, total * k / 8 AS target, tolerance FROM total, generate_series(1, 7) t(k)),
+group_edges AS (
+  SELECT k, CASE WHEN target - (upto - size) <= upto - target THEN upto - size ELSE upto END AS edge,
+         least(target - (upto - size), upto - target) <= tolerance AS fits
+  FROM targets JOIN group_ends ON upto - size < target AND target <= upto),
+unit_edges AS (
+  SELECT k, CASE WHEN target - (upto - size) <= upto - target THEN upto - size ELSE upto END AS edge
+  FROM targets JOIN unit_ends ON upto - size < target AND target <= upto),
+splitters AS (SELECT CASE WHEN fits THEN g.edge ELSE u.edge END AS edge FROM group_edges g JOIN unit_edges u USING (k)),
+dealt AS (
+  SELECT tk, ik, (SELECT count(*) FROM splitters WHERE edge <= u.upto - u.size)::INTEGER AS shard FROM unit_ends u)
+SELECT doc_id, size, {_crc32("text")} AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY tk, ik) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM keyed JOIN dealt USING (tk, ik)
+""")
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight shards of near equal bytes; equal texts lie together."""
+    done = sharding.sharded(documents(spark, folder))
+    return done.select(
+        "doc_id", "size", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit(sharding.LAW).alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )

@@ -35,7 +35,8 @@ def odd(spark, odd_rows):
     return spark.createDataFrame(odd_rows, SCHEMA)
 
 
-CLASHES = ["id", "tag", "sha", "size", "host", "kept", "component", "node", "gram", "row", "_id", "_n", "c0", "score", "word", "edge"]
+CLASHES = ["id", "tag", "sha", "size", "host", "kept", "component", "node", "gram", "row", "_id", "_n", "c0", "score", "word", "edge", "bin", "slice",
+           "text_key", "inside", "place", "may"]
 
 
 @pytest.fixture(scope="session")
