@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    bpe, cotraining, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, resampling, sharding, suffix_dedup,
-    surrogates,
+    alignment, bpe, cotraining, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, resampling, sharding,
+    suffix_dedup, surrogates,
 )
 from millrace.llm.common import documents
 from millrace.llm.registry import QUERIES, SQL, query
@@ -348,3 +350,20 @@ def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit(sharding.LAW).alias("law"),
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _groups_digest(groups: Iterable[bytes]) -> str:
+    digest, parts = hashlib.sha256(), iter(groups)
+    while some := b"".join(itertools.islice(parts, 10_000)):
+        digest.update(some)
+    return digest.hexdigest()
+
+
+@query()
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of two tokenizers over the same bytes: groups with common ends, links, and how common the links are."""
+    done = alignment.aligned(
+        documents(spark, folder), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"),
+        finish=_groups_digest, kind=("string", pa.string()),
+    )
+    return done.withColumn("groups_sha256", F.coalesce("groups", F.lit(""))).withColumnRenamed("id", "doc_id").drop("groups")

@@ -10,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    bpe, components, cotraining, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, resampling, sharding,
-    suffix_dedup, surrogates,
+    alignment, bpe, components, cotraining, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, resampling,
+    sharding, suffix_dedup, surrogates,
 )
 from millrace.llm.queries import tokenizer_path
 from llm_tables import clashing, empty_docs, odd, odd_rows, prose  # noqa: F401  (fixtures)
@@ -34,6 +34,9 @@ OPERATORS = {
     "lm_scoring": lambda d: lm_scoring.scored(d),
     "cotraining": lambda d: cotraining.quality_scores(d, d.selectExpr("doc_id", "doc_id % 2 as quality")),
     "bpe": lambda d: bpe.encoded(d, tokenizer_path(), piece_chars=1000),
+    "alignment": lambda d: alignment.aligned(
+        d, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"), long_bytes=5000, chunk_bytes=1000
+    ),
     "resampling": lambda d: resampling.resampled(d, d.where("doc_id > 6"), n=2, least_words=2, stretch=1000),
     "sharding": lambda d: sharding.sharded(d).select("doc_id", "text", "n_chars", F.octet_length("text"), "shard", "slot"),
 }
