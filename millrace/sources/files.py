@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.scratch import written
+from millrace.sources import split
+
 log = logging.getLogger(__name__)
 
 
@@ -18,20 +22,27 @@ def _type(schema: T.DataType | str) -> T.DataType:
 
 # --- JSON --------------------------------------------------------------------------------
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str, whole_file: bool = True) -> DataFrame:
-    """Records of files that each hold one array of objects.
+# A file that is one array is read by one task, which is right for many small files. With `range_bytes` it is read by one
+# task for each so many bytes (see split.py), which is right for large ones. With `whole_file` off every line holds an
+# array of its own, and files are split at lines.
 
-    Such a file cannot be split, so convert large ones to Parquet once. With `whole_file` off
-    every line holds an array of its own, and files are split at lines.
-    """
+def read_json_array(
+    spark: SparkSession, path: str, schema: T.StructType | str, whole_file: bool = True, range_bytes: int | None = None
+) -> DataFrame:
+    """Records of files that each hold one array of objects."""
+    if range_bytes:
+        record = F.from_json("item", _type(schema), {"mode": "FAILFAST"})
+        return split.array_items(spark, path, range_bytes).select(record.alias("record")).select("record.*")
     return spark.read.schema(schema).json(path, multiLine=whole_file)
 
 
-def read_json_records(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
+def read_json_records(spark: SparkSession, path: str, whole_file: bool = True, range_bytes: int | None = None) -> DataFrame:
     """(row, record) of JSON arrays, the records as variants that keep their own field types.
 
     `row` counts from 0 within an array.
     """
+    if range_bytes:
+        return split.array_items(spark, path, range_bytes).select("row", F.parse_json("item").alias("record"))
     texts = spark.read.text(path, wholetext=whole_file).withColumn("_json", F.parse_json("value"))
     return texts.lateralJoin(
         spark.tvf.variant_explode(F.col("_json").outer()).select(F.col("pos").alias("row"), F.col("value").alias("record"))
@@ -39,12 +50,15 @@ def read_json_records(spark: SparkSession, path: str, whole_file: bool = True) -
 
 
 def read_assigned_list(
-    spark: SparkSession, path: str, name: str, schema: T.StructType | str, whole_file: bool = True
+    spark: SparkSession, path: str, name: str, schema: T.StructType | str, whole_file: bool = True, range_bytes: int | None = None
 ) -> DataFrame:
     """Rows of text of the form `name = [ {...}, ... ]`, with their position `row` from 0.
 
     The text is parsed as data and never evaluated. Text without the assignment fails the job.
     """
+    if range_bytes:
+        record = F.from_json("item", _type(schema), {"mode": "FAILFAST"})
+        return split.array_items(spark, path, range_bytes, name).select("row", record.alias("record")).select("row", "record.*")
     body = F.regexp_extract("value", rf"(?s)^\s*{re.escape(name)}\s*=\s*(\[.*\])\s*$", 1)
     found = F.when(body != "", body).otherwise(
         F.raise_error(F.lit(f"no list is assigned to {name}")).cast("string")
@@ -57,8 +71,12 @@ def read_assigned_list(
     )
 
 
-def read_string_list(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
+def read_string_list(spark: SparkSession, path: str, whole_file: bool = True, range_bytes: int | None = None) -> DataFrame:
     """Items of JSON arrays of strings with their position from 0."""
+    if range_bytes:
+        # An item is a list of one string here, as a string alone is not read as JSON.
+        one = F.from_json(F.concat(F.lit("["), "item", F.lit("]")), T.ArrayType(T.StringType()), {"mode": "FAILFAST"})
+        return split.array_items(spark, path, range_bytes).select(F.col("row").alias("position"), one[0].alias("item"))
     items = F.from_json("value", T.ArrayType(T.StringType()), {"mode": "FAILFAST"})
     return spark.read.text(path, wholetext=whole_file).select(F.posexplode(items).alias("position", "item"))
 
@@ -77,17 +95,45 @@ CSV_OPTIONS = {
 }
 
 
-def _csv_fields(spark: SparkSession, path: str, columns: list[str], multi_line: bool) -> DataFrame:
-    """The named columns as text. Files of one path have to agree on their header."""
+def _csv_split(spark: SparkSession, path: str, columns: list[str] | None, range_bytes: int) -> DataFrame:
+    """The columns as text, read in ranges."""
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in CSV_OPTIONS.items() if k not in ("header", "enforceSchema")}
+    # Line breaks in fields stay as they are.
+    options |= {"multiLine": "true", "mode": "FAILFAST"}
+    records = split.csv_records(spark, path, range_bytes)
+    first = F.row_number().over(Window.partitionBy("path").orderBy("row"))
+    heads = written(records.where("row < 100").withColumn("_n", first).where("_n = 1").select("path", "row", "record"), "heads")
+    found = [r[0] for r in heads.select("record").distinct().take(2)]
+    if not found:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns or []))
+    if len(found) > 1:
+        raise ValueError(f"headers of {path} differ: {found}")
+    [names] = csv.reader([found[0]])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rest = records.join(F.broadcast(heads.select("path", "row")), ["path", "row"], "left_anti")  # a row a file
+    fields = rest.select(F.from_csv("record", schema.simpleString(), options).alias("f")).select("f.*")
+    return fields.select(*[f"`{c}`" for c in columns or names])
+
+
+def _csv_fields(
+    spark: SparkSession, path: str, columns: list[str] | None, multi_line: bool, range_bytes: int | None = None
+) -> DataFrame:
+    """The named columns, or all, as text. Files of one path have to agree on their header."""
+    if range_bytes:
+        return _csv_split(spark, path, columns, range_bytes)
     options = CSV_OPTIONS | {"multiLine": multi_line}
     header = spark.read.options(**options).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    return spark.read.options(**options).schema(schema).csv(path).select(*columns)
+    return spark.read.options(**options).schema(schema).csv(path).select(*[f"`{c}`" for c in columns or header])
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: list[str], multi_line: bool = False) -> DataFrame:
+# A file with line breaks in its fields is read by one task, or in ranges by many with `range_bytes` (see split.py).
+
+def read_csv_text(
+    spark: SparkSession, path: str, columns: list[str], multi_line: bool = False, range_bytes: int | None = None
+) -> DataFrame:
     """Every field a string, an empty one the empty string. `multi_line` for fields with line breaks in them."""
-    return _csv_fields(spark, path, columns, multi_line).na.fill("")
+    return _csv_fields(spark, path, columns, multi_line, range_bytes).na.fill("")
 
 
 def read_csv_typed(
@@ -96,11 +142,12 @@ def read_csv_typed(
     schema: T.StructType | str,
     overrides: dict[str, str] | None = None,
     multi_line: bool = False,
+    range_bytes: int | None = None,
 ) -> DataFrame:
     """Typed fields, an empty one null, one that cannot be read an error; `overrides` replaces the type of columns."""
     fields = _type(schema).fields
     types = {f.name: (overrides or {}).get(f.name, f.dataType) for f in fields}
-    text = _csv_fields(spark, path, list(types), multi_line)
+    text = _csv_fields(spark, path, list(types), multi_line, range_bytes)
     return text.select(*[F.nullif(F.col(n), F.lit("")).cast(t).alias(n) for n, t in types.items()])
 
 
