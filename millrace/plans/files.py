@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import money_sum
+from millrace.operators import types
 from millrace.operators.aggregates import totals_by
 from millrace.operators.quality import error_rows, judged, judged_records, positive_number, valid_rows
 from millrace.plans.registry import SALES, query, total
 from millrace.scratch import new_folder, written
-from millrace.sources import files, tables
+from millrace.sources import files, split, tables
 from millrace.sources.tables import Tables
 
 # Records per JSON array in the files written here.
@@ -50,6 +51,63 @@ def string_list_positions(t: Tables) -> DataFrame:
     return files.read_string_list(t.spark, path, whole_file=False)
 
 
+def _one_array(t: Tables, df: DataFrame, key: str, record, before: str = "[") -> str:
+    """One file that is one JSON array of `record` in the order of a unique key. Writing one file is one task by nature."""
+    path = new_folder(t.spark, "one-array")
+    keys = df.select(key)
+    item = F.when(F.col(key) == keys.agg(F.min(key)).scalar(), "").otherwise(",")
+    lines = df.select(F.lit(1).alias("part"), F.col(key).alias("key"), F.concat(item, record).alias("value"))
+    ends = t.spark.range(1).select(F.explode(F.array(
+        F.struct(F.lit(0).alias("part"), F.lit(before).alias("value")), F.struct(F.lit(2).alias("part"), F.lit("]").alias("value"))
+    )).alias("e")).select("e.part", F.lit(None).cast(df.schema[key].dataType).alias("key"), "e.value")
+    # No line breaks between items: the whole file is one line.
+    lines.union(ends).repartition(1).sortWithinPartitions("part", "key").select("value").write.option("lineSep", " ").text(path)
+    return path
+
+
+def _order_record():
+    return F.to_json(F.struct("o_orderkey", "o_orderstatus", "o_totalprice"))
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def split_json_array(t: Tables) -> DataFrame:
+    """One array in a file of one line, read by many tasks."""
+    path = _one_array(t, t.orders, "o_orderkey", _order_record())
+    return files.read_json_array(t.spark, path, ORDER_FIELDS, range_bytes=split.fair_range(t.spark, path))
+
+
+@query("""
+SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row, o_orderkey, o_orderstatus, o_totalprice FROM orders""")
+def split_assigned_list(t: Tables) -> DataFrame:
+    path = _one_array(t, t.orders, "o_orderkey", _order_record(), "sales = [")
+    return files.read_assigned_list(t.spark, path, "sales", ORDER_FIELDS, range_bytes=split.fair_range(t.spark, path))
+
+
+@query("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, text AS item FROM documents")
+def split_string_list(t: Tables) -> DataFrame:
+    """Whole texts, with quotes, commas and escapes in them, as one array of strings."""
+    # An array of one string, without its brackets, is the string as JSON has it.
+    quoted = F.regexp_extract(F.to_json(F.array("text")), r"(?s)^\[(.*)\]$", 1)
+    path = _one_array(t, t.documents, "doc_id", quoted)
+    return files.read_string_list(t.spark, path, range_bytes=split.fair_range(t.spark, path))
+
+
+@query("""
+SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row,
+       CASE WHEN c_acctbal > 0 THEN '' ELSE 'amount: must be a number greater than 0' END AS error
+FROM customer""")
+def split_judged_json(t: Tables) -> DataFrame:
+    """Records of one array that keep their JSON types, judged; every third amount is text that reads as a number."""
+    def record(amount):
+        return F.to_json(F.struct(F.col("c_mktsegment").alias("region"), F.col("c_name").alias("month"), amount.alias("amount")))
+
+    amount = F.col("c_acctbal")
+    text = F.when(F.col("c_custkey") % 3 == 0, record(amount.cast("string"))).otherwise(record(amount))
+    path = _one_array(t, t.customer, "c_custkey", text)
+    records = files.read_json_records(t.spark, path, range_bytes=split.fair_range(t.spark, path))
+    return judged_records(records).select("row", F.array_join("errors", "; ").alias("error"))
+
+
 CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
@@ -74,6 +132,65 @@ def csv_roundtrip(t: Tables) -> DataFrame:
     return files.read_csv_typed(t.spark, path, "doc_id bigint, text string, note string", multi_line=True).na.fill("")
 
 
+@query("SELECT doc_id, '  ' || text || chr(10) || ' \"quoted, twice\" ' AS text, '' AS note FROM documents")
+def split_csv(t: Tables) -> DataFrame:
+    """csv_roundtrip, with files that many tasks read though a field has many lines."""
+    path = new_folder(t.spark, "texts")
+    padded = F.concat(F.lit("  "), "text", F.lit('\n "quoted, twice" '))
+    files.write_csv(t.documents.select("doc_id", F.lit("").alias("note"), padded.alias("text")), path, ["note", "text", "doc_id"], multi_line=True)
+    sized = split.fair_range(t.spark, path)
+    return files.read_csv_typed(t.spark, path, "doc_id bigint, text string, note string", range_bytes=sized).na.fill("")
+
+
+def _late_misfits(t: Tables) -> str:
+    """Columns of all types as text; two of them have one value in the last row that widens them."""
+    path = new_folder(t.spark, "untyped")
+    last = F.col("o_orderkey") == t.orders.select("o_orderkey").agg(F.max("o_orderkey")).scalar()
+    text = t.orders.select(
+        F.col("o_orderkey").cast("string").alias("key"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.col("o_orderstatus").alias("status"),
+        F.when(F.col("o_orderkey") % 10 != 3, F.round("o_totalprice").cast("bigint").cast("string")).alias("gapped"),
+        F.when(last, "1.5").otherwise(F.col("o_custkey").cast("string")).alias("widened"),
+        F.when(last, "n/a").otherwise(F.col("o_custkey").cast("string")).alias("misfit"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+    files.write_csv(text, path, text.columns)
+    return path
+
+
+_LATE = """late AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS key, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS status,
+         CASE WHEN o_orderkey % 10 <> 3 THEN CAST(CAST(round(o_totalprice) AS BIGINT) AS VARCHAR) END AS gapped,
+         CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN '1.5' ELSE CAST(o_custkey AS VARCHAR) END AS widened,
+         CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END AS misfit,
+         CAST(NULL AS VARCHAR) AS nothing
+  FROM orders)"""
+
+
+@query(f"""
+WITH {_LATE}, cells AS (
+  SELECT unnest(['key', 'day', 'status', 'gapped', 'widened', 'misfit', 'nothing']) AS "column",
+         unnest([key, day, status, gapped, widened, misfit, nothing]) AS v FROM late)
+SELECT "column", CASE WHEN count(v) = 0 THEN 'null'
+                      WHEN bool_and(regexp_full_match(v, '[+-]?[0-9]+') AND TRY_CAST(v AS BIGINT) IS NOT NULL) FILTER (v IS NOT NULL) THEN 'bigint'
+                      WHEN bool_and(regexp_full_match(v, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?')) THEN 'double'
+                      WHEN bool_and(regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST(v AS DATE) IS NOT NULL) FILTER (v IS NOT NULL) THEN 'date'
+                      ELSE 'string' END AS type, count(v) AS "values", count(*) - count(v) AS nulls
+FROM cells GROUP BY 1""")
+def csv_types(t: Tables) -> DataFrame:
+    """The type of each column, from all values."""
+    return types.value_types(files.read_csv_text(t.spark, _late_misfits(t), None), ["key", "day", "status", "gapped", "widened", "misfit", "nothing"])
+
+
+@query(f"""
+WITH {_LATE}
+SELECT CAST(key AS BIGINT) AS key, CAST(day AS DATE) AS day, status, CAST(gapped AS BIGINT) AS gapped,
+       CAST(widened AS DOUBLE) AS widened, misfit, nothing FROM late""")
+def read_csv_inferred(t: Tables) -> DataFrame:
+    return files.read_csv_inferred(t.spark, _late_misfits(t))
+
+
 SALE_FIELDS = "date date, region string, amount bigint, category string"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators import types
 from millrace.scratch import written
 from millrace.sources import split
 
@@ -130,9 +131,9 @@ def _csv_fields(
 # A file with line breaks in its fields is read by one task, or in ranges by many with `range_bytes` (see split.py).
 
 def read_csv_text(
-    spark: SparkSession, path: str, columns: list[str], multi_line: bool = False, range_bytes: int | None = None
+    spark: SparkSession, path: str, columns: list[str] | None, multi_line: bool = False, range_bytes: int | None = None
 ) -> DataFrame:
-    """Every field a string, an empty one the empty string. `multi_line` for fields with line breaks in them."""
+    """The named columns, or all: every field a string, an empty one the empty string. `multi_line` for fields with line breaks in them."""
     return _csv_fields(spark, path, columns, multi_line, range_bytes).na.fill("")
 
 
@@ -146,18 +147,31 @@ def read_csv_typed(
 ) -> DataFrame:
     """Typed fields, an empty one null, one that cannot be read an error; `overrides` replaces the type of columns."""
     fields = _type(schema).fields
-    types = {f.name: (overrides or {}).get(f.name, f.dataType) for f in fields}
-    text = _csv_fields(spark, path, list(types), multi_line, range_bytes)
-    return text.select(*[F.nullif(F.col(n), F.lit("")).cast(t).alias(n) for n, t in types.items()])
+    wanted = {f.name: (overrides or {}).get(f.name, f.dataType) for f in fields}
+    text = _csv_fields(spark, path, list(wanted), multi_line, range_bytes)
+    return text.select(*[F.nullif(F.col(n), F.lit("")).cast(t).alias(n) for n, t in wanted.items()])
+
+
+def read_csv_inferred(
+    spark: SparkSession, path: str, multi_line: bool = False, range_bytes: int | None = None, dates: bool = True
+) -> DataFrame:
+    """All columns, each with the narrowest type that holds every one of its values; an empty field is null.
+
+    The types come from all values, none is sampled (see types.value_types). With `dates` off, dates stay text. A column
+    without values is text.
+    """
+    text = _csv_fields(spark, path, None, multi_line, range_bytes)
+    found = types.inferred_types(text, text.columns, dates)
+    return text.select(*[F.nullif(F.col(f"`{n}`"), F.lit("")).cast(t).alias(n) for n, t in found.items()])
 
 
 def csv_misfits(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
     """Rows (column, value) of the fields that read_csv_typed would fail at."""
-    types = {f.name: f.dataType.simpleString() for f in _type(schema).fields}
-    text = _csv_fields(spark, path, list(types), multi_line)
+    wanted = {f.name: f.dataType.simpleString() for f in _type(schema).fields}
+    text = _csv_fields(spark, path, list(wanted), multi_line)
     bad = [
         F.when((F.col(n) != "") & F.expr(f"try_cast(`{n}` AS {t})").isNull(), F.struct(F.lit(n).alias("column"), F.col(n).alias("value")))
-        for n, t in types.items()
+        for n, t in wanted.items()
     ]
     return text.select(F.explode(F.array_compact(F.array(*bad))).alias("bad")).select("bad.*")
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.scratch import written
+from millrace.session import path_bytes
 
 RANGE_BYTES = 64 * 2**20
 SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
@@ -40,6 +41,12 @@ MARKS = DEPTH != 0
 MARKS[COMMA] = True
 
 
+def fair_range(spark: SparkSession, path: str, tasks_a_core: int = 3, least: int = 1 << 16) -> int:
+    """Bytes of a range, so that all cores have some, and no range is larger than RANGE_BYTES."""
+    ranges = spark.sparkContext.defaultParallelism * tasks_a_core
+    return max(least, min(RANGE_BYTES, path_bytes(spark, path) // ranges))
+
+
 # --- JSON ----------------------------------------------------------------------------------
 
 def _quotes(data: np.ndarray, escaped: bool) -> tuple[np.ndarray, bool]:

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace.operators import quality as Q
+from millrace.operators import types
 from millrace.sources import files, tables
 
 FIELDS = "region string, month string, amount double, category string"
@@ -157,3 +158,33 @@ def test_catalog_table_is_replaced(spark, tmp_path):
 def test_reload_count(spark):
     report = files.reload_matches(spark.range(4), spark.range(3)).first()
     assert (report.written, report.reloaded, report.same) == (4, 3, False)
+
+
+def test_types_from_all_values(spark):
+    columns = {
+        "whole": ["1", "-2", "+3", "007"], "double": ["1", "2.5", "1e3", "-.5"], "beyond": ["1", "9223372036854775808", "2", "3"],
+        "words": ["1", "inf", "NaN", "2"], "day": ["2024-02-29", "1999-12-31", "", None], "not_day": ["2024-02-30", "2024-01-01", "", ""],
+        "mixed": ["2024-01-01", "5", "", ""], "spaced": [" 1", "2", "3", "4"], "none": ["", None, "", None], "text": ["1", "2", "x", "4"],
+        "odd `name`": ["1", "", "", "2"],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), [c for c in columns])
+    found = {r.column: (r.type, r["values"], r.nulls) for r in types.value_types(df, list(columns)).collect()}
+    assert {c: t for c, (t, _, _) in found.items()} == {
+        "whole": "bigint", "double": "double", "beyond": "double", "words": "double", "day": "date", "not_day": "string",
+        "mixed": "string", "spaced": "string", "none": "null", "text": "string", "odd `name`": "bigint",
+    }
+    assert found["day"][1:] == (2, 2) and found["none"][1:] == (0, 4)
+    assert types.inferred_types(df, ["day", "none"], dates=False) == {"day": "string", "none": "string"}
+    assert types.inferred_types(df.where("false"), ["whole"]) == {"whole": "string"}
+
+
+@pytest.mark.parametrize("last, wanted", [("12", "bigint"), ("1.5", "double"), ("n/a", "string")])
+def test_a_late_misfit_widens_its_column(spark, tmp_path, last, wanted):
+    """As every value counts, the last of 20,000 rows decides, also where the file is read in ranges."""
+    lines = ["id,amount,day", *[f"{i},{i * 3},2024-01-0{i % 9 + 1}" for i in range(20_000)], f"20000,{last},"]
+    path = put(tmp_path / "a.csv", "\n".join(lines) + "\n")
+    for options in ({}, {"range_bytes": 1 << 15}):
+        df = files.read_csv_inferred(spark, path, **options)
+        assert dict(df.dtypes) == {"id": "bigint", "amount": wanted, "day": "date"}
+        assert df.where("id = 20000").first().amount == {"bigint": 12, "double": 1.5, "string": "n/a"}[wanted]
+        assert df.where("day is null").count() == 1
