@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import discard, stored
 
-BLOCK_BYTES = 1 << 23
+BLOCK_BYTES = 1 << 22
 LONG_BYTES = 1 << 16
 CHUNK_BYTES = 1 << 15
 FAN = 16  # fragments joined in one step
-MOST_STRETCHES = 200_000  # kept for the next time, then begun anew
+MOST_STRETCHES = 150_000  # kept for the next time, then begun anew
 
 # Unicode's white space, as the pattern of tokenizer A has it, and that pattern.
 BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
@@ -61,21 +61,13 @@ class ByteLevel:
     """Tokenizer A. Special tokens are plain text."""
 
     def __init__(self, path: str) -> None:
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.own = Tokenizer.from_file(path)
-        self.own.encode_special_tokens = True
-        self.own.no_truncation()
-        self.own.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as file:
             known = json.load(file)
         model, before = known["model"], known.get("pre_tokenizer") or {}
         of = _bytes_of_characters()
-        added = {t["content"] for t in known.get("added_tokens", [])}
-        names = {i: t.encode() if t in added else bytes(of[c] for c in t) for t, i in self.own.get_vocab().items()}
+        added = {t["content"]: t["id"] for t in known.get("added_tokens", [])}
+        names = {i: t.encode() if t in added else bytes(of[c] for c in t) for t, i in (model["vocab"] | added).items()}
         self.bytes = [names.get(i, b"") for i in range(max(names) + 1)]
         merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
         self.fast = None
@@ -87,6 +79,20 @@ class ByteLevel:
             ranks = {names[i]: i for t, i in model["vocab"].items() if t not in added}
             self.fast = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
+    @functools.cached_property
+    def own(self):
+        """The tokenizer of the file itself."""
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.encode_special_tokens = True
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     def encode(self, text: str) -> list[int]:
         if self.fast is None or len(text) > LONG_STRETCH:
             return self.own.encode(text, add_special_tokens=False).ids
