@@ -111,8 +111,10 @@ def _csv_split(spark: SparkSession, path: str, columns: list[str] | None, range_
         raise ValueError(f"headers of {path} differ: {found}")
     [names] = csv.reader([found[0]])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rest = records.join(F.broadcast(heads.select("path", "row")), ["path", "row"], "left_anti")  # a row a file
-    fields = rest.select(F.from_csv("record", schema.simpleString(), options).alias("f")).select("f.*")
+    marked = records.join(F.broadcast(heads.select("path", "row", F.lit(True).alias("head"))), ["path", "row"], "left")  # a row a file
+    # A condition on a field may be looked at before headers are left out, so they have no fields.
+    record = F.when(F.col("head").isNull(), F.col("record"))
+    fields = marked.where("head is null").select(F.from_csv(record, schema.simpleString(), options).alias("f")).select("f.*")
     return fields.select(*[f"`{c}`" for c in columns or names])
 
 

@@ -332,6 +332,8 @@ def array_items(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES,
     items = items.join(F.broadcast(empty), "path", "left_anti")
     other = F.raise_error(F.concat(F.lit("not a JSON array: "), "path")).cast("string")
     item = F.when((F.col("n") == 1) | F.startswith("text", F.lit(",")), F.substr("text", F.lit(2))).otherwise(other)
+    # A condition on an item may be looked at before what lies around the array is left out.
+    item = F.when((F.col("n") > 0) & (F.col("n") < F.col("last")), item)
     return items.select("path", (F.col("n") - 1).alias("row"), item.alias("item"))
 
 
