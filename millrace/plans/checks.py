@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import predicates as P
+from millrace.operators import dependencies as D
 from millrace.operators import quality as Q
 from millrace.plans.registry import query
 from millrace.scratch import written
@@ -155,6 +157,60 @@ def lossless_rejoin(t: Tables) -> DataFrame:
     return Q.same_rows(wide, Q.rejoined(n["lines"], parents, WIDE))
 
 
+def _sets(most: int) -> list[tuple[str, ...]]:
+    return [own for level in range(most + 1) for own in itertools.combinations(WIDE, level)]
+
+
+def _distinct(own: tuple[str, ...]) -> str:
+    """SQL for the number of distinct values of a set of columns, nulls included."""
+    ordered = [c for c in WIDE if c in own]
+    return f"d_{'_'.join(str(WIDE.index(c)) for c in ordered)}"
+
+
+_COUNTS = f"""{_WIDE}, counts AS (
+  SELECT COUNT(*) AS n, LEAST(COUNT(*), 1) AS d_,
+         {', '.join(f"COUNT(DISTINCT row({', '.join(own)})) AS {_distinct(own)}" for own in _sets(3) if own)}
+  FROM wide)"""
+_HOLDS = f"""{_COUNTS}, holds AS (
+  {' UNION ALL '.join(
+      f"SELECT '{','.join(own)}' AS determinant, '{c}' AS dependent, {[','.join(p) for k in range(len(own)) for p in itertools.combinations(own, k)]}::VARCHAR[] AS parts "
+      f"FROM counts WHERE {_distinct(own)} = {_distinct((*own, c))}"
+      for own in _sets(2) for c in WIDE if c not in own)})"""
+
+
+@query(f"""
+WITH {_HOLDS}
+SELECT determinant, dependent FROM holds h
+WHERE NOT EXISTS (SELECT 1 FROM holds p WHERE p.dependent = h.dependent AND list_contains(h.parts, p.determinant))""")
+def found_dependencies(t: Tables) -> DataFrame:
+    """Minimal dependencies of the wide table, with two columns at most on the left."""
+    found = D.find_dependencies(_wide(t), WIDE)
+    return t.spark.createDataFrame([(",".join(own), c) for own, c in found.dependencies], "determinant string, dependent string")
+
+
+@query(f"""
+WITH {_COUNTS}, keys AS (
+  {' UNION ALL '.join(
+      f"SELECT '{','.join(own)}' AS columns, {[','.join(p) for k in range(len(own)) for p in itertools.combinations(own, k)]}::VARCHAR[] AS parts "
+      f"FROM counts WHERE {_distinct(own)} = n"
+      for own in _sets(2))})
+SELECT columns FROM keys k WHERE NOT EXISTS (SELECT 1 FROM keys p WHERE list_contains(k.parts, p.columns))""")
+def found_keys(t: Tables) -> DataFrame:
+    """Minimal keys of the wide table, of two columns at most."""
+    found = D.find_dependencies(_wide(t), WIDE)
+    return t.spark.createDataFrame([(",".join(k),) for k in found.keys], "columns string")
+
+
+@query(f"WITH {_WIDE} SELECT DISTINCT {', '.join(WIDE)} FROM wide")
+def split_rejoined(t: Tables) -> DataFrame:
+    """The wide table split as its dependencies propose, and joined again."""
+    wide = written(_wide(t), "wide")
+    found = D.find_dependencies(wide, WIDE)
+    split = D.proposed_split(WIDE, found)
+    order = D.join_order(WIDE, split, D.minimal_cover(found.dependencies))
+    return D.rejoin_split(Q.split_tables(wide, split), order, WIDE)
+
+
 @query("SELECT c_custkey AS row, 'c_acctbal: must not be below 0' AS error FROM customer WHERE NOT c_acctbal >= 0")
 def check_constraint(t: Tables) -> DataFrame:
     return Q.error_rows(Q.judged(t.customer, [Q.not_below("c_acctbal", 0)]), "c_custkey")
