@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.operators.ordered import running
 from millrace.scratch import written
 
-# Steps per chunk, and chunks of one account that are folded one after another in a round.
 CHUNK_ROWS = 50_000
-STRETCH = 40
+MOST_PIECES = 100  # of a chunk's map, before it is cut
 
 
 def _known(accounts: DataFrame, transfers: DataFrame) -> DataFrame:
@@ -75,11 +78,12 @@ def compare_writes(accounts: DataFrame, writes: DataFrame) -> DataFrame:
 #
 # A movement is refused when it would take the balance below zero, which depends on all earlier
 # ones, yet an account may be far too long for one task. So it is cut into chunks. A chunk that
-# is entered with at least `needs` refuses nothing, and its effect is a plain sum. Walking the
-# chunks' sums along an account finds the first chunk entered with less; from there a stretch of
-# chunks is folded step by step, and the walk goes on behind it in the next round. Every chunk
-# is folded at most once, a task folds at most one stretch of an account, and only stretches
-# with refusals in them have to wait for one another.
+# is entered with at least `needs` refuses nothing, and its effect is a plain sum; a first walk
+# along an account's chunks settles all up to one that may refuse. What every later chunk does to
+# any balance it may be entered with is a map of pieces (from this balance on: so much more, so
+# many refused), and all maps are made at once. A map that gets too many pieces is cut into maps
+# one after the other. A second walk looks each entering balance up in its map. So the number of
+# jobs does not depend on how much is refused, and a task folds a chunk, never an account.
 
 
 def _steps(movements: DataFrame, unit: str | None) -> DataFrame:
@@ -92,92 +96,190 @@ def _steps(movements: DataFrame, unit: str | None) -> DataFrame:
     )
 
 
-def _fold(batches: Iterator[pd.DataFrame], rows: bool) -> Iterator[pd.DataFrame]:
-    """Apply steps that arrive sorted by (account, chunk, at); only the balance is kept.
-
-    A chunk marked `first` starts from its entering balance, any other goes on from the chunk
-    before. Yields one summary per chunk, or with `rows` one decision per step.
-    """
-    names = ["account", "seq", "accepted", "balance"] if rows else ["account", "chunk", "entering", "net", "refused"]
-    key = None
-    balance = start = refused = 0
+def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Decide on steps that arrive sorted by (account, chunk, at); only the balance is kept."""
+    key, balance = None, 0
     for batch in batches:
         out = []
-        columns = ("account", "chunk", "seq", "net", "low", "entering", "first")
-        for account, chunk, seq, net, low, entering, first in zip(*(batch[c].tolist() for c in columns)):
+        columns = ("account", "chunk", "seq", "net", "low", "entering")
+        for account, chunk, seq, net, low, entering in zip(*(batch[c].tolist() for c in columns)):
             if (account, chunk) != key:
-                if key and not rows:
-                    out.append((*key, start, balance - start, refused))
-                key, refused = (account, chunk), 0
-                balance = start = entering if first else balance
+                key, balance = (account, chunk), entering
             accepted = balance + low >= 0
             if accepted:
                 balance += net
-            else:
-                refused += 1
-            if rows:
-                out.append((account, seq, accepted, balance))
-        yield pd.DataFrame(out, columns=names)
-    if key and not rows:
-        yield pd.DataFrame([(*key, start, balance - start, refused)], columns=names)
-
-
-def _folded(steps: DataFrame, chunks: DataFrame, rows: bool) -> DataFrame:
-    """Fold the steps of the given chunks(account, chunk, entering, first)."""
-    account = steps.schema["account"].dataType.simpleString()
-    seq = steps.schema["seq"].dataType.simpleString()
-    schema = (
-        f"account {account}, seq {seq}, accepted boolean, balance bigint"
-        if rows
-        else f"account {account}, chunk bigint, entering bigint, net bigint, refused bigint"
-    )
-    # Decisions need one chunk at a time; a stretch has to stay together.
-    together = ["account", "chunk"] if rows else ["account"]
+            out.append((account, seq, accepted, balance))
+        yield pd.DataFrame(out, columns=["account", "seq", "accepted", "balance"])
+
+
+def _decided(steps: DataFrame, chunks: DataFrame) -> DataFrame:
+    """A decision for each step of the given chunks(account, chunk, entering)."""
+    types = {c: steps.schema[c].dataType.simpleString() for c in ("account", "seq")}
     placed = (
-        steps.join(chunks.select("account", "chunk", "entering", "first"), ["account", "chunk"])
-        .select("account", "chunk", "at", "seq", "net", "low", "entering", "first")
-        .repartition(*together)
+        steps.join(chunks.select("account", "chunk", "entering"), ["account", "chunk"])
+        .select("account", "chunk", "at", "seq", "net", "low", "entering")
+        .repartition("account", "chunk")
         .sortWithinPartitions("account", "chunk", "at")
     )
-    return placed.mapInPandas(lambda batches: _fold(batches, rows), schema)
+    return placed.mapInPandas(_fold, f"account {types['account']}, seq {types['seq']}, accepted boolean, balance bigint")
 
 
-SETTLED, NEXT, WAITING = 0, 1, 2
-
-
-def _walk(batches: Iterator[pd.DataFrame], stretch: int) -> Iterator[pd.DataFrame]:
-    """Carry each account's balance over its chunks, which arrive sorted by (account, chunk)."""
-    account, balance, stopped = None, 0, 0
+def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Carry each account's balance over its chunks, sorted by (account, chunk), to the first that may refuse."""
+    account, balance, settled = None, 0, True
     for batch in batches:
-        entering, status, first = [], [], []
-        columns = ("account", "opening", "net", "needs", "folded")
-        for key, opening, net, needs, folded in zip(*(batch[c].tolist() for c in columns)):
+        entering, done = [], []
+        for key, opening, net, needs in zip(*(batch[c].tolist() for c in ("account", "opening", "net", "needs"))):
             if key != account:
-                account, balance, stopped = key, opening, 0
-            entering.append(balance)
-            if stopped or not (folded or balance >= needs):
-                stopped += 1
-                status.append(NEXT if stopped <= stretch else WAITING)
-            else:
-                balance += net
-                status.append(SETTLED)
-            # The balance is known up to where the walk stopped, and not behind that.
-            first.append(stopped <= 1)
-        yield batch.assign(entering=entering, status=status, first=first)
+                account, balance, settled = key, opening, True
+            # The balance is known up to the first chunk that may refuse, and not behind it.
+            entering.append(balance if settled else None)
+            settled = settled and balance >= needs
+            done.append(settled)
+            balance += net
+        yield batch.assign(entering=pd.array(entering, dtype="Int64"), settled=done)
 
 
-CHUNK = ["account", "chunk", "opening", "net", "needs", "refused", "folded"]
+CHUNK = ["account", "chunk", "opening", "net", "needs"]
 
 
-def _walked(chunks: DataFrame, stretch: int) -> DataFrame:
-    """Add the entering balance and status of every chunk; there is one row per chunk here."""
+def _walked(chunks: DataFrame) -> DataFrame:
+    """Chunks with their entering balance and whether they are settled; there is one row per chunk here."""
     account = chunks.schema["account"].dataType.simpleString()
-    schema = (
-        f"account {account}, chunk bigint, opening bigint, net bigint, needs bigint, refused bigint,"
-        " folded boolean, entering bigint, status bigint, first boolean"
+    schema = f"account {account}, chunk bigint, opening bigint, net bigint, needs bigint, entering bigint, settled boolean"
+    return chunks.select(*CHUNK).repartition("account").sortWithinPartitions("account", "chunk").mapInPandas(_walk, schema)
+
+
+class Pieces:
+    """What steps do to any balance of at least zero: from `low` on, `shift` more and `refused` steps refused."""
+
+    def __init__(self) -> None:
+        # One column a piece, and one more where the next would begin.
+        self.n, self.table = 1, np.zeros((3, 64), dtype=np.int64)
+        self.table[0, 1] = FAR
+
+    low = property(lambda self: self.table[0, : self.n])
+    shift = property(lambda self: self.table[1, : self.n])
+    refused = property(lambda self: self.table[2, : self.n])
+
+    def step(self, net: int, low: int) -> None:
+        """A step that is refused where the balance would go below zero by `low`."""
+        if low >= 0:
+            self.shift[:] += net
+            return
+        need = -low
+        least = need - self.shift  # the entering balances that it accepts
+        accepts = self.low >= least
+        cut = np.flatnonzero((self.table[0, 1 : self.n + 1] > least) ^ accepts)
+        if len(cut):
+            self._cut(cut.tolist(), least)
+            accepts = self.low + self.shift >= need
+        self.shift[accepts] += net
+        self.refused[~accepts] += 1
+
+    def _cut(self, pieces: list[int], at: np.ndarray) -> None:
+        """Cut pieces where they begin to hold the entering balances `at`."""
+        if self.n + len(pieces) + 1 > self.table.shape[1]:
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)], axis=1)
+        for piece in reversed(pieces):
+            self.table[:, piece + 1 : self.n + 2] = self.table[:, piece : self.n + 1]
+            self.table[0, piece + 1] = at[piece]
+            self.n += 1
+
+    def after(self, balance: int) -> tuple[int, int]:
+        return looked_up(balance, self.low, self.shift, self.refused)
+
+
+def looked_up(balance: int, low: np.ndarray, shift: np.ndarray, refused: np.ndarray) -> tuple[int, int]:
+    """The balance behind a map, and the steps refused."""
+    at = int(np.searchsorted(low, balance, side="right")) - 1
+    return balance + int(shift[at]), int(refused[at])
+
+
+FAR = 1 << 62
+PIECES = ["low", "shift", "refused"]
+
+
+def _maps(batches: Iterator[pa.RecordBatch], most: int, account_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Maps of chunks whose steps arrive sorted by (account, chunk, at): one, or more in a row numbered by `part`."""
+    schema = pa.schema([("account", account_type), ("chunk", pa.int64()), ("part", pa.int64()), *[(n, pa.list_(pa.int64())) for n in PIECES]])
+    key, part, pieces = None, 0, Pieces()
+
+    def row() -> pa.RecordBatch:
+        values = {"account": key[0], "chunk": key[1], "part": part, **{n: getattr(pieces, n) for n in PIECES}}
+        return pa.RecordBatch.from_arrays([pa.array([values[f.name]], f.type) for f in schema], schema=schema)
+
+    for batch in batches:
+        for account, chunk, net, low in zip(*(batch.column(c).to_pylist() for c in ("account", "chunk", "net", "low"))):
+            if (account, chunk) != key:
+                if key:
+                    yield row()
+                key, part, pieces = (account, chunk), 0, Pieces()
+            elif pieces.n > most:
+                yield row()
+                part, pieces = part + 1, Pieces()
+            pieces.step(net, low)
+    if key:
+        yield row()
+
+
+def _mapped(steps: DataFrame, chunks: DataFrame, most: int) -> DataFrame:
+    """Rows (account, chunk, part, low, shift, refused) of the given chunks(account, chunk, net, needs)."""
+    kind = steps.schema["account"].dataType
+    plain = chunks.where("needs <= 0").select(
+        "account", "chunk", F.lit(0).cast("long").alias("part"), F.array(F.lit(0).cast("long")).alias("low"),
+        F.array("net").alias("shift"), F.array(F.lit(0).cast("long")).alias("refused"),
+    )
+    placed = (
+        steps.join(chunks.where("needs > 0").select("account", "chunk"), ["account", "chunk"])
+        .select("account", "chunk", "at", F.col("net").cast("long"), F.col("low").cast("long"))
+        .repartition("account", "chunk")
+        .sortWithinPartitions("account", "chunk", "at")
+    )
+    schema = f"account {kind.simpleString()}, chunk bigint, part bigint, low array<bigint>, shift array<bigint>, refused array<bigint>"
+    folded = placed.mapInArrow(functools.partial(_maps, most=most, account_type=to_arrow_type(kind)), schema)
+    return folded.union(plain)
+
+
+def _walk_maps(batches: Iterator[pa.RecordBatch], account_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Look balances up in maps sorted by (account, chunk, part); the first of an account has its entering balance."""
+    schema = pa.schema([("account", account_type), *[(n, pa.int64()) for n in ("chunk", "entering", "net", "refused")]])
+    key, balance, entering, refused = None, 0, 0, 0
+    for batch in batches:
+        out = []
+        for i in range(batch.num_rows):
+            now = (batch.column("account")[i].as_py(), batch.column("chunk")[i].as_py())
+            if now != key:
+                if key:
+                    out.append((*key, entering, balance - entering, refused))
+                if not key or key[0] != now[0]:
+                    balance = batch.column("entering")[i].as_py()
+                key, entering, refused = now, balance, 0
+            balance, more = looked_up(balance, *(batch.column(n)[i].values.to_numpy() for n in PIECES))
+            refused += more
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+    if key:
+        last = (*key, entering, balance - entering, refused)
+        yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(last, schema)], schema=schema)
+
+
+def _settled(steps: DataFrame, chunks: DataFrame, most: int) -> DataFrame:
+    """Rows (account, chunk, entering, net, refused) of all chunks."""
+    walked = written(_walked(chunks), "chunks")
+    done = walked.where("settled").select("account", "chunk", "entering", "net", F.lit(0).cast("long").alias("refused"))
+    open_ = walked.where("not settled")
+    maps = written(_mapped(steps, open_, most), "maps")
+    placed = (
+        maps.join(open_.select("account", "chunk", "entering"), ["account", "chunk"])
+        .select("account", "chunk", "part", "entering", *PIECES)
+        .repartition("account")
+        .sortWithinPartitions("account", "chunk", "part")
     )
-    placed = chunks.select(*CHUNK).repartition("account").sortWithinPartitions("account", "chunk")
-    return placed.mapInPandas(lambda batches: _walk(batches, stretch), schema)
+    kind = steps.schema["account"].dataType
+    schema = f"account {kind.simpleString()}, chunk bigint, entering bigint, net bigint, refused bigint"
+    later = placed.mapInArrow(functools.partial(_walk_maps, account_type=to_arrow_type(kind)), schema)
+    return done.union(later)
 
 
 def apply_in_order(
@@ -185,7 +287,7 @@ def apply_in_order(
     movements: DataFrame,
     unit: str | None = None,
     chunk_rows: int = CHUNK_ROWS,
-    stretch: int = STRETCH,
+    most_pieces: int = MOST_PIECES,
 ) -> tuple[DataFrame, DataFrame]:
     """Apply each account's movements in `seq` order, refusing what would go below zero.
 
@@ -211,19 +313,8 @@ def apply_in_order(
     chunks = sums.join(openings, "account").select(
         "account", "chunk", "opening", "net",
         F.greatest(F.lit(0), F.col("_before") - F.col("_lowest")).cast("long").alias("needs"),
-        F.lit(0).cast("long").alias("refused"),
-        F.lit(False).alias("folded"),
     )
-    state = written(_walked(chunks, stretch), "chunks")
-    while not state.filter(F.col("status") != SETTLED).isEmpty():
-        due = state.filter(F.col("status") == NEXT)
-        fresh = (
-            _folded(steps, due, rows=False)
-            .join(openings, "account")
-            .select("account", "chunk", "opening", "net", F.lit(0).cast("long").alias("needs"), "refused", F.lit(True).alias("folded"))
-        )
-        rest = state.filter(F.col("status") != NEXT).select(*CHUNK)
-        state = written(_walked(rest.unionByName(fresh), stretch), "chunks")
+    state = written(_settled(steps, chunks, most_pieces), "settled")
 
     net = state.groupBy("account").agg(F.sum("net").alias("_net"), F.sum("refused").alias("_refused"))
     balances = openings.join(net, "account", "left").select(
@@ -239,5 +330,4 @@ def apply_in_order(
         "account", "seq", F.lit(True).alias("accepted"),
         (F.col("entering") + F.col("_sum") - F.col("_before")).cast("long").alias("balance"),
     )
-    decided = _folded(steps, state.filter("refused > 0").withColumn("first", F.lit(True)), rows=True)
-    return balances, untouched.unionByName(decided)
+    return balances, untouched.unionByName(_decided(steps, state.filter("refused > 0")))

@@ -35,13 +35,13 @@ def tables(spark, opening, movements):
 
 
 @pytest.mark.parametrize("by_unit", [False, True])
-@pytest.mark.parametrize("chunk_rows, stretch", [(9, 3), (20, 1), (50_000, 40)])
+@pytest.mark.parametrize("chunk_rows, pieces", [(9, 3), (20, 1), (50_000, 40)])
 @pytest.mark.parametrize("lean", [-8, 2])
-def test_in_order(spark, by_unit, chunk_rows, stretch, lean):
+def test_in_order(spark, by_unit, chunk_rows, pieces, lean):
     rng = random.Random(lean)
     opening = {1: 100, 2: 0, 3: 50, 4: 7}
     movements = [(rng.choice([1, 1, 1, 2, 3, 5]), s, rng.randint(-50 + lean, 50 + lean), s // 25) for s in range(150)]
-    balances, decisions = G.apply_in_order(*tables(spark, opening, movements), "unit" if by_unit else None, chunk_rows, stretch)
+    balances, decisions = G.apply_in_order(*tables(spark, opening, movements), "unit" if by_unit else None, chunk_rows, pieces)
     expected = walk(opening, movements, by_unit)
     assert rows(balances) == expected[0]
     assert rows(decisions) == expected[1]
@@ -75,3 +75,40 @@ def test_transfers_conserve(spark):
     assert rows(after) == [(1, 70), (2, 10), (3, 70)]
     assert G.conserved(accounts, after).first().same
     assert rows(G.refused_transfers(accounts, moves)) == [(1, 9, 30), (8, 2, 5), (None, 1, 4)]
+
+
+@pytest.mark.parametrize("lean", [-20, 0, 20])
+def test_pieces_are_the_fold(lean):
+    """A map says for every entering balance what one step after another would do."""
+    rng = random.Random(lean)
+    steps = []
+    for _ in range(120):
+        net = rng.randint(-60 + lean, 60 + lean)
+        steps.append((net, min(net, rng.randint(-80, 10))))
+    pieces = G.Pieces()
+    for step in steps:
+        pieces.step(*step)
+    for entering in [*range(400), 10**6]:
+        balance, refused = entering, 0
+        for net, low in steps:
+            if balance + low >= 0:
+                balance += net
+            else:
+                refused += 1
+        assert pieces.after(entering) == (balance, refused)
+
+
+def test_jobs_do_not_grow_with_refusals(spark, monkeypatch):
+    """Half of all movements of one account are refused; the tables written are as many as without refusals."""
+    made = []
+    monkeypatch.setattr(G, "written", lambda df, label, own=G.written: made.append(label) or own(df, label))
+    rng = random.Random(5)
+    counts = []
+    for amounts in ([1], [-100, 1]):
+        made.clear()
+        movements = [(1, i, rng.choice(amounts), 0) for i in range(4000)]
+        balances, decisions = G.apply_in_order(*tables(spark, {1: 50}, movements), None, 100, 20)
+        expected = walk({1: 50}, movements, False)
+        assert rows(balances) == expected[0] and rows(decisions) == expected[1]
+        counts.append(len(made))
+    assert counts[0] == counts[1] and expected[0][0][2] > 1000
