@@ -3,14 +3,16 @@
 N-gram counts are gathered over all training documents and quantised on a logarithmic scale. An n-gram of level q is in
 the filter once for each level up to q, so its level is found by asking for one level after another until one is
 missing. The filter has BITS_PER_ENTRY bits for each entry and grows with the corpus. It is never held whole: its segments
-have about as many entries at any size, and blocks of texts send the keys of their n-grams to the segments and get levels back.
+have about as many entries at any size, and blocks of texts send the keys of their n-grams to the segments and get levels
+back. Keys are hashes, of BIGRAM_BITS bits for a bigram; they travel sorted, as differences, packed.
 
 A bigram's probability is smoothed by its word's: (c(v w) + WEIGHT p(w)) / (c(v) + WEIGHT), with p(w) from the unigram's
-estimated count and add-ADD smoothing. The base score is of exact unigram counts: those of the most frequent words, a
-fixed number, are broadcast, and the other words of a document meet their counts in a join.
+estimated count and add-ADD smoothing. The base score is of exact unigram counts, which a segment keeps beside its part of
+the filter and sends back with the levels.
 
-Null texts count as empty: a single end token. A null identifier is held out. Repeated rows are scored, and counted, each
-on their own. Without training documents all counts are 0.
+Texts are split into words once, into blocks that hold every word's hash and the places of the tokens; counting and
+scoring read these. Null texts count as empty: a single end token. A null identifier is held out. Repeated rows are
+scored, and counted, each on their own. Without training documents all counts are 0.
 """
 
 from __future__ import annotations
@@ -28,13 +30,14 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import Stored, discard, stored
 
-SEGMENT_BYTES = 1 << 22  # of training texts for each segment of the filter
+SEGMENT_BYTES = 1 << 22  # of training texts for each segment of the filter, at TOKEN_BYTES for a token
+TOKEN_BYTES = 6
 BLOCK = 1 << 20  # tokens of texts that ask for their n-grams' levels together
 PROBES = 5
 BITS_PER_ENTRY = 10
 BASE = 2**0.5
 MOST_LEVELS = 96
-FREQUENT = 1 << 17  # words whose counts are broadcast
+BIGRAM_BITS = 50
 WEIGHT = 500.0
 ADD = 0.1
 FLUSH = 4_000_000  # tokens that a task counts before it hands their counts on
@@ -64,7 +67,33 @@ def tokens(text: str | None) -> np.ndarray:
 def pairs(flat: np.ndarray) -> np.ndarray:
     """Keys of the bigrams that end at each token; a text begins after an end."""
     before = np.concatenate([[END], flat[:-1]])
-    return mix64(mix64(before * M64) + flat * N64) | PAIR
+    return (mix64(mix64(before * M64) + flat * N64) & np.uint64((1 << BIGRAM_BITS) - 1)) | PAIR
+
+
+def sorted_once(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys, in order."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Byte planes, most of which are zeros for small numbers."""
+    planes = np.ascontiguousarray(numbers.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Of sorted keys."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint64)
 
 
 def level_of(count: np.ndarray) -> np.ndarray:
@@ -95,7 +124,10 @@ class Filter:
 
     @staticmethod
     def segment(keys: np.ndarray, segments: int) -> np.ndarray:
-        return (mix64(keys + M64) % np.uint64(segments)).astype(np.int64)
+        """Ranges of keys, so that a segment's keys lie close together."""
+        of_pair = keys >= PAIR
+        share = np.where(of_pair, (keys & ~PAIR) / 2.0**BIGRAM_BITS, keys / 2.0**63)
+        return np.minimum((share * segments).astype(np.int64), segments - 1)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The highest level up to which all levels are there; 0 for none."""
@@ -135,28 +167,27 @@ COUNTED = pa.schema([("segment", pa.int64()), ("keys", pa.binary()), ("counts",
 
 
 def _counted(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
-    """A task's counts of n-grams by segment."""
+    """A task's counts of n-grams of training texts by segment."""
     held: list[np.ndarray] = []
 
     def counts() -> Iterator[pa.RecordBatch]:
         flat = np.concatenate(held)
         for keys in (flat, pairs(flat)):
             found, n = np.unique(keys, return_counts=True)
-            segment = Filter.segment(found, segments)
-            order = np.argsort(segment, kind="stable")
-            found, n = found[order], n[order].astype(np.uint32)
-            yield from _rows([(of, found[at].tobytes(), n[at].tobytes()) for of, at in _runs(segment[order])], COUNTED)
+            runs = _runs(Filter.segment(found, segments))
+            yield from _rows([(of, packed_keys(found[at]), packed(n[at])) for of, at in runs], COUNTED)
 
     size = 0
     for batch in batches:
-        for text in batch.column(0):
-            held.append(tokens(text.as_py()))
+        for row in _each(batch):
+            words, places = _tokens_of(row)
+            held.append(words[places[np.repeat(~np.array(row["held_out"]), row["sizes"])]])
             size += len(held[-1])
             if size >= FLUSH:
                 yield from counts()
                 held.clear()
                 size = 0
-    if held:
+    if size:
         yield from counts()
 
 
@@ -165,8 +196,10 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 200]), schema.types)], schema=schema)
 
 
-BUILT_SQL = "segment bigint, words binary, keys binary, counts binary"
-BUILT = pa.schema([("segment", pa.int64()), ("words", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
+BUILT_SQL = "segment bigint, words binary, keys binary, counts binary, total bigint, known bigint"
+BUILT = pa.schema([
+    ("segment", pa.int64()), ("words", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary()), ("total", pa.int64()), ("known", pa.int64()),
+])
 
 
 def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +211,9 @@ def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, of = np.unique(keys, return_inverse=True)
         counts = np.bincount(of, n, len(keys)).astype(np.int64)
         ones = keys < PAIR
-        yield from _rows([(segment, segment_filter(keys, level_of(counts)).tobytes(), keys[ones].tobytes(), counts[ones].tobytes())], BUILT)
+        words = segment_filter(keys, level_of(counts)).tobytes()
+        exact = counts[ones]
+        yield from _rows([(segment, words, packed_keys(keys[ones]), packed(exact), int(exact.sum()), len(exact))], BUILT)
 
     now = None
     for batch in batches:
@@ -187,7 +222,7 @@ def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from built(now)
                 held.clear()
             now = segment
-            held.append((np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.uint32)))
+            held.append((unpacked_keys(keys), unpacked(counts)))
     if held:
         yield from built(now)
 
@@ -198,13 +233,6 @@ def segment_filter(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return build_segment(keys, levels, 1, bits)
 
 
-def _unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-            both = [pa.array(np.frombuffer(x, np.int64)) for x in (keys, counts)]
-            yield pa.RecordBatch.from_arrays(both, names=["key", "n"])
-
-
 BLOCKS_SQL = "block bigint, ids array<bigint>, held_out array<boolean>, sizes array<bigint>, words binary, places binary"
 
 
@@ -242,57 +270,75 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed()
 
 
-def _flat(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's words, their places, and its n-grams' keys, sorted."""
-    words = np.frombuffer(row["words"], np.uint64)
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one at a time, as they are large."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _tokens_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """A block's words, and their places."""
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["places"]), np.uint8)
-    places = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
-    found = np.unique(np.concatenate([words, [END], pairs(words[places])]))
-    return words, places, found
+    return np.frombuffer(row["words"], np.uint64), np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
+
 
+def _flat(row: dict, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+    """A block's words, their places, and its n-grams' keys: of words first, each sorted; and the runs of a segment."""
+    words, places = _tokens_of(row)
+    keys = sorted_once(np.concatenate([words, [END], pairs(words[places])]))
+    return words, places, keys, list(_runs(Filter.segment(keys, segments)))
 
-ASKED_SQL = "segment bigint, block bigint, packed binary"
-ASKED = pa.schema([("segment", pa.int64()), ("block", pa.int64()), ("packed", pa.binary())])
+
+ASKED_SQL = "segment bigint, block bigint, run bigint, packed binary, keys binary, counts binary"
+ASKED = pa.schema([
+    ("segment", pa.int64()), ("block", pa.int64()), ("run", pa.int64()), ("packed", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary()),
+])
 
 
 def _asked(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
     """The keys of each block's n-grams by segment."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
-            keys = _flat(row)[2]
-            segment = Filter.segment(keys, segments)
-            order = np.argsort(segment, kind="stable")
-            keys = keys[order]
-            yield from _rows([(of, row["block"], keys[at].tobytes()) for of, at in _runs(segment[order])], ASKED)
+        for row in _each(batch):
+            _, _, keys, runs = _flat(row, segments)
+            yield from _rows([(of, row["block"], i, packed_keys(keys[at]), None, None) for i, (of, at) in enumerate(runs)], ASKED)
+
+
+ANSWERED = pa.schema([("of", pa.int64()), ("run", pa.int64()), ("levels", pa.binary()), ("counts", pa.binary())])
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Levels of the keys of each block and segment; a segment's filter comes before the blocks that ask it."""
-    now, found_in = None, None
+    """Levels of the keys of each block and segment, and exact counts of words; a segment comes before the blocks that ask it."""
+    now, found_in, known, exact = None, None, None, None
     for batch in batches:
         out = []
-        for segment, block, packed in zip(*[batch.column(n).to_pylist() for n in ASKED.names]):
+        for segment, block, run, data, keys, counts in zip(*[batch.column(n).to_pylist() for n in ASKED.names]):
             if block < 0:
-                now, found_in = segment, Filter(np.frombuffer(packed, np.uint64)[None, :], 1)
+                now, found_in = segment, Filter(np.frombuffer(data, np.uint64)[None, :], 1)
+                known, exact = unpacked_keys(keys), unpacked(counts)
                 continue
-            keys = np.frombuffer(packed, np.uint64)
-            levels = found_in.levels(keys) if segment == now else np.zeros(len(keys))
-            out.append((block, segment, levels.astype(np.uint8).tobytes()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in out], t) for i, t in enumerate([pa.int64(), pa.int64(), pa.binary()])],
-            names=["of", "segment", "levels"],
-        )
+            asked = unpacked_keys(data)
+            levels, times = np.zeros(len(asked), np.int64), np.zeros(0, np.int64)
+            if segment == now:
+                levels = found_in.levels(asked)
+            if len(asked) and asked[0] < PAIR:  # a run of words
+                times = np.zeros(len(asked), np.int64)
+                if segment == now and len(known):
+                    place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+                    times = np.where(known[place] == asked, exact[place], 0)
+            out.append((block, run, zstandard.ZstdCompressor(level=1).compress(levels.astype(np.uint8).tobytes()), packed(times)))
+        yield from _rows(out, ANSWERED)
 
 
 def with_levels(blocks: DataFrame, built: DataFrame, segments: int) -> DataFrame:
-    """`blocks` with `answers`, the levels of each block's n-grams by segment."""
-    filters = built.select("segment", F.lit(-1).cast("bigint").alias("block"), F.col("words").alias("packed"))
+    """`blocks` with `answers`, the levels and counts of each run of a block's n-grams."""
+    filters = built.select(
+        "segment", F.lit(-1).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("run"), F.col("words").alias("packed"), "keys", "counts"
+    )
     asked = blocks.select("block", "words", "places").mapInArrow(partial(_asked, segments=segments), ASKED_SQL)
     answers = (
         filters.union(asked).repartition("segment").sortWithinPartitions("segment", "block")
-        .mapInArrow(_answered, "of bigint, segment bigint, levels binary")
-        .groupBy("of").agg(F.collect_list(F.struct("segment", "levels")).alias("answers"))
+        .mapInArrow(_answered, "of bigint, run bigint, levels binary, counts binary")
+        .groupBy("of").agg(F.collect_list(F.struct("run", "levels", "counts")).alias("answers"))
     )
     return blocks.join(answers, blocks["block"] == answers["of"]).drop("of")
 
@@ -308,62 +354,43 @@ def _stored_alone(df: DataFrame, label: str) -> Stored:
         conf.set(CLEANUP, before)
 
 
-SCORED_SQL = (
-    "block bigint, row bigint, id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
-    "rare array<bigint>, times array<bigint>"
-)
+SCORED_SQL = "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model, total: int, distinct: int, weight: float, segments: int) -> Iterator[pa.RecordBatch]:
-    """Scores of each text, the base score and the known tokens as far as its frequent words go, and its other words."""
-    frequent, exact = model.value
+def _scored(batches: Iterator[pa.RecordBatch], total: int, distinct: int, weight: float, segments: int) -> Iterator[pa.RecordBatch]:
+    """Scores of each text of a block."""
     spread = total + ADD * (distinct + 1)
     for batch in batches:
-        for i in range(batch.num_rows):
-            block = batch.slice(i, 1).to_pylist()[0]
-            words, places, keys = _flat(block)
-            levels = np.empty(len(keys), np.int64)
-            order = np.argsort(Filter.segment(keys, segments), kind="stable")
-            levels[order] = np.frombuffer(b"".join(a["levels"] for a in sorted(block["answers"], key=lambda a: a["segment"])), np.uint8)
+        for block in _each(batch):
+            words, places, keys, runs = _flat(block, segments)
+            levels, times = np.empty(len(keys), np.int64), np.zeros(len(keys), np.int64)
+            for answer in block["answers"]:
+                _, at = runs[answer["run"]]
+                levels[at] = np.frombuffer(zstandard.ZstdDecompressor().decompress(answer["levels"]), np.uint8)
+                if len(exact := unpacked(answer["counts"])):
+                    times[at] = exact
             counts = count_of(levels)
-            estimate = lambda asked: counts[np.searchsorted(keys, asked)]  # noqa: B023, E731
-            flat = words[places]
+            of_word = np.searchsorted(keys, words)
             sizes = np.array(block["sizes"])
             starts = np.cumsum([0, *sizes[:-1]])
-            if len(frequent):
-                place = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
-                known = frequent[place] == words
-            else:
-                place, known = np.zeros(len(words), np.int64), np.zeros(len(words), bool)
-            own_base = np.where(known, np.log10((exact[place] if len(exact) else 0.0) + ADD) - np.log10(spread), 0.0)
-            base, known = own_base[places], known[places]
-            unigram = estimate(words)[places]
-            bigram = estimate(pairs(flat))
-            end = float(estimate(END))
-            context = np.concatenate([[end], unigram[:-1]])
+            base = (np.log10(times[of_word] + ADD) - np.log10(spread))[places]
+            known = (times[of_word] > 0)[places]
+            unigram = counts[of_word][places]
+            bigram = counts[np.searchsorted(keys, pairs(words[places]))]
+            context = np.concatenate([[counts[np.searchsorted(keys, END)]], unigram[:-1]])
             word = (unigram + ADD) / spread
             likely = (np.minimum(bigram, context) + weight * word) / (context + weight)
-            of = np.repeat(np.arange(len(sizes)), sizes)[~known]
-            order = np.lexsort((flat[~known], of))
-            rare, of = flat[~known][order], of[order]
-            begins = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (of[1:] != of[:-1])])) if len(rare) else np.empty(0, np.int64)
-            times = np.diff(np.concatenate([begins, [len(rare)]]))
-            ends = pa.array(np.searchsorted(of[begins], np.arange(len(sizes) + 1)).astype(np.int32))
             whole = pa.RecordBatch.from_arrays(
                 [
-                    # A block's texts are numbered after it; there are no more of them than tokens.
-                    pa.array([block["block"]] * len(sizes), pa.int64()),
-                    pa.array(np.arange(len(sizes))),
                     pa.array(block["ids"], pa.int64()),
                     pa.array(block["held_out"], pa.bool_()),
                     pa.array(sizes, pa.int64()),
                     pa.array(np.add.reduceat(known.astype(np.int64), starts)),
+                    pa.array(np.full(len(sizes), total, np.int64)),
                     pa.array(np.add.reduceat(base, starts)),
                     pa.array(np.add.reduceat(np.log10(likely), starts)),
-                    pa.ListArray.from_arrays(ends, pa.array(rare[begins].view(np.int64))),
-                    pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int64))),
                 ],
-                names=["block", "row", "id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
+                names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
             for at in range(0, whole.num_rows, 1000):
                 yield whole.slice(at, 1000)
@@ -374,55 +401,24 @@ def scored(
     id_col: str = "doc_id",
     text_col: str = "text",
     segment_bytes: int = SEGMENT_BYTES,
-    frequent: int = FREQUENT,
     weight: float = WEIGHT,
 ) -> DataFrame:
     """Rows (id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of `docs`.
 
     A tenth of the documents, by the CRC-32 of the identifier, is held out from training.
     """
-    spark = docs.sparkSession
     texts = docs.select(
         F.col(id_col).cast("bigint").alias("id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 10 == 0).alias("held_out"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    trained = texts.where("not held_out").select("text")
-    size = trained.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    segments = 1 + size // segment_bytes
-    counted = trained.mapInArrow(partial(_counted, segments=segments), COUNTED_SQL)
+    blocks = stored(texts.mapInArrow(_blocks, BLOCKS_SQL), "blocks").df
+    trained = F.filter(F.arrays_zip("held_out", "sizes"), lambda d: ~d["held_out"])
+    size = blocks.agg(F.sum(F.aggregate(trained, F.lit(0).cast("bigint"), lambda a, d: a + d["sizes"]))).first()[0] or 0
+    segments = 1 + size * TOKEN_BYTES // segment_bytes
+    counted = blocks.select("held_out", "sizes", "words", "places").mapInArrow(partial(_counted, segments=segments), COUNTED_SQL)
     built = _stored_alone(counted.repartition("segment").sortWithinPartitions("segment").mapInArrow(_built, BUILT_SQL), "segments").df
-    unigrams = built.select("keys", "counts").mapInArrow(_unigrams, "key bigint, n bigint")
-    total, distinct = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = unigrams.orderBy(F.desc("n"), "key").limit(frequent).toArrow().sort_by("key")
-    model = spark.sparkContext.broadcast((
-        top["key"].to_numpy().astype(np.int64).view(np.uint64),
-        top["n"].to_numpy().astype(np.float64),
-    ))
-    blocks = stored(texts.select("id", "held_out", "text").mapInArrow(_blocks, BLOCKS_SQL), "blocks")
-    rows = _stored_alone(
-        with_levels(blocks.df, built, segments).mapInArrow(
-            partial(_scored, model=model, total=total, distinct=distinct, weight=weight, segments=segments), SCORED_SQL
-        ),
-        "scored",
-    ).df
-    discard(spark, blocks)
-    # Frequent words were looked up; the others meet their counts here.
-    rare = rows.select("block", "row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("block", "row", "w.rare", "w.times")
-    n = F.coalesce("n", F.lit(0))
-    spread = F.lit(float(total + ADD * (distinct + 1)))
-    rest = (
-        rare.join(unigrams, rare["rare"] == unigrams["key"], "left")
-        .groupBy("block", "row")
-        .agg(
-            F.sum(F.col("times") * F.log10((n + F.lit(ADD)) / spread)).alias("rest"),
-            F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rest_known"),
-        )
-    )
-    return rows.drop("rare", "times").join(rest, ["block", "row"], "left").select(
-        "id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"),
-        "score",
+    total, distinct = built.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
+    return with_levels(blocks, built, segments).mapInArrow(
+        partial(_scored, total=total, distinct=distinct, weight=weight, segments=segments), SCORED_SQL
     )

@@ -386,13 +386,30 @@ def test_levels_are_found_again():
     assert np.allclose(lm_scoring.count_of(levels[counts <= 2]), counts[counts <= 2], atol=0.6)
 
 
-def test_rare_words_meet_their_counts(spark):
-    texts = [(i, prose(i, 60)) for i in range(60)] + [(100, "never seen before")]
+def test_words_meet_their_counts(spark):
+    """Exact counts come back from every segment, however many there are."""
+    texts = [(i, prose(i, 60)) for i in range(60)] + [(100, "never seen before"), (101, "")]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")
-    all_ = sorted_rows(lm_scoring.scored(docs).select("id", "n_known", "base_score"))
-    few = sorted_rows(lm_scoring.scored(docs, frequent=3).select("id", "n_known", "base_score"))
-    assert [r[:2] for r in all_] == [r[:2] for r in few]
-    assert np.allclose([r[2] for r in all_], [r[2] for r in few])
+    rows = lm_scoring.scored(docs).collect()
+    words = {i: t.lower().split() + [""] for i, t in texts}
+    counts = collections.Counter(w for r in rows if not r.held_out for w in words[r.id])
+    for r in rows:
+        want = sum(np.log10((counts[w] + 0.1) / (counts.total() + 0.1 * (len(counts) + 1))) for w in words[r.id])
+        assert r.n_known == sum(counts[w] > 0 for w in words[r.id]) and np.isclose(r.base_score, want, rtol=1e-12)
+        assert r.train_tokens == counts.total()
+    many = lm_scoring.scored(docs, segment_bytes=300).collect()
+    assert sorted((r.id, r.n_known, r.base_score) for r in many) == sorted((r.id, r.n_known, r.base_score) for r in rows)
+
+
+def test_packed_keys():
+    pick = np.random.default_rng(4)
+    flat = np.concatenate([pick.integers(0, 2**63, 300, dtype=np.uint64), [lm_scoring.END]])
+    keys = lm_scoring.sorted_once(np.concatenate([flat, lm_scoring.pairs(flat), flat]))
+    assert np.array_equal(keys, np.unique(keys)) and len(keys) == len(np.unique(np.concatenate([flat, lm_scoring.pairs(flat)])))
+    assert np.array_equal(lm_scoring.unpacked_keys(lm_scoring.packed_keys(keys)), keys)
+    assert len(lm_scoring.unpacked_keys(lm_scoring.packed_keys(keys[:0]))) == 0
+    segment = lm_scoring.Filter.segment(keys, 7)
+    assert set(segment) == set(range(7)) and all((np.diff(segment[part]) >= 0).all() for part in (keys < lm_scoring.PAIR, keys >= lm_scoring.PAIR))
 
 
 def brute_scores(docs, trained):
