@@ -464,13 +464,42 @@ def test_views_teach_each_other():
         words = [f"{pick.choice(vocabulary)}{pick.randrange(12)}" for _ in range(12)]
         rows.append((" ".join(words), "en", "good" if good else "bad"))
         truth.append(float(good))
-    labels = np.array([t if i < 60 else -1.0 for i, t in enumerate(truth)])
+    labels = np.array([t if i < 60 else -1 for i, t in enumerate(truth)]).astype(int)
     views = cotraining.both_views(*map(list, zip(*rows)))
-    model = cotraining.cotrain(views, labels)
+    held = (labels >= 0) & (np.arange(600) % 5 == 0)
+    batch = cotraining.Batch.begun(views, labels, held)
+    some = [r.take(np.arange(60)) for r in views]
+    model = cotraining.cotrain(cotraining.Local([batch]), cotraining.Local([cotraining.Batch.begun(some, labels[:60], held[:60])]), 540)
     scores = cotraining.combined(model, views)
     assert ((scores >= 0.5) == (np.array(truth) == 1))[60:].mean() > 0.97
 
 
+def test_sums_in_tasks_are_those_in_memory(spark, odd):
+    """One round of sums, thresholds and marks over a written table and in memory."""
+    pick = random.Random(8)
+    rows = [(i, prose(i, 20) + (" spam" * pick.randrange(3)), "en", "s", i % 2 if i < 40 else -1, i % 5 == 0 and i < 40) for i in range(200)]
+    docs = spark.createDataFrame(rows, "id bigint, text string, lang string, source string, label int, held boolean").repartition(5)
+    table = cotraining.stored(docs.mapInArrow(cotraining._featured, cotraining.FEATURES_SQL), "test").df
+    spread = cotraining.Spread(table)
+    local = cotraining.Local([cotraining._unpacked(b) for b in table.toArrow().combine_chunks().to_batches()])
+    size = cotraining.SIZE
+    assert np.array_equal(spread.total(cotraining.class_sums, 4 * size + 4), local.total(cotraining.class_sums, 4 * size + 4))
+    models = [np.random.default_rng(v).normal(size=size + 1) for v in range(2)]
+    each = np.full((2, 2, 2), 0.01)
+    of = lambda b: cotraining.slopes(b, models, each)
+    assert np.allclose(spread.total(of, 2 * size + 2), local.total(of, 2 * size + 2), atol=400)  # batches are rounded apart
+    scales = [(1.0, 0.0), (0.5, 0.1)]
+    counts = lambda b: cotraining.odds_counts(b, models, scales)
+    found = spread.total(counts, 2 * (2 * 30 * 256 + 1)).reshape(2, -1)
+    assert found.sum() == 320 and np.array_equal(found, local.total(counts, found.size).reshape(2, -1))
+    odds = np.sort(cotraining.steps_of(local.batches[0].odds(models)[0])[local.batches[0].label < 0])
+    bounds, n_good, n_bad = cotraining.bounds_of(found[0], 40, 0.5)
+    assert n_good == (odds >= bounds[1]).sum() <= 20 and n_bad == (odds <= bounds[0]).sum() <= 20
+    more = spread.marked(lambda b: cotraining.taught_marks(b, models, scales, [bounds, (-99999, 99999)]), cotraining.Spread(table.limit(0)))
+    marks = collections.Counter(r.learn1 for r in more.df.collect())
+    assert marks == {k: n for k, n in ((1, n_good), (0, n_bad)) if n}
+
+
 ALPHABET = ["a", "the", "ing", "'s", "'", "!!", "1", "é", "é", "́", "中文", "한", "<|endoftext|>", "<|end", "ABC", "İ", " ", "\x1c", "🙂", "ﬁ", "Σ"]
 
 
