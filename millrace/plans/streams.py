@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,30 @@ def daily_completions_streamed(t: Tables) -> DataFrame:
     return jobs.latest(t.spark, f"{out}/rows", ["day", "user_id"])
 
 
+_PARTS = """parts AS (
+  SELECT CAST(ts AS DATE) AS day, user_id, ts, event_id % 3 AS b FROM events WHERE event_type = 'purchase'),
+marks AS (
+  SELECT (SELECT MAX(ts) FROM parts WHERE b = 0) - INTERVAL 2 DAY AS w1, (SELECT MAX(ts) FROM parts WHERE b < 2) - INTERVAL 2 DAY AS w2,
+         (SELECT MAX(ts) FROM parts) - INTERVAL 2 DAY AS w3),
+kinds AS (
+  SELECT day, user_id, CASE WHEN b = 1 AND day + 1 <= w1 OR b = 2 AND day + 1 <= w2 THEN 'late'
+                            WHEN day + 1 <= w3 THEN 'final' ELSE 'open' END AS kind
+  FROM parts, marks)"""
+
+
+@query(f"WITH {_PARTS} SELECT kind, day, user_id, COUNT(*) AS n FROM kinds GROUP BY ALL")
+def daily_closed_streamed(t: Tables) -> DataFrame:
+    """Three deliveries of the purchases; a day is final two days after it ended, and rows that come later are kept apart."""
+    out = new_folder(t.spark, "closed")
+    purchases = t.events.filter(F.col("event_type") == "purchase")
+    for part in range(3):
+        purchases.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{out}/in")
+        stream = jobs.file_stream(t.spark, f"{out}/in", purchases.schema)
+        jobs.close_days(stream, "ts", "user_id", f"{out}/days", f"{out}/checkpoint", dt.timedelta(days=2)).awaitTermination()
+    late = jobs.late_rows(t.spark, f"{out}/days").groupBy(F.to_date("ts").alias("day"), "user_id").agg(F.count("*").alias("n"))
+    return jobs.closed_days(t.spark, f"{out}/days").unionByName(late.withColumn("kind", F.lit("late"))).select("kind", "day", "user_id", "n")
+
+
 def _streamed_counts(t: Tables) -> DataFrame:
     out = new_folder(t.spark, "points")
     counts = jobs.completions_by_user(_purchases(t), "user_id")

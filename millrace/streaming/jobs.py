@@ -3,6 +3,7 @@ replaces its own output."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -179,3 +180,59 @@ def ingest(stream: DataFrame, rules: list[Rule], row: str, valid_path: str, erro
             checked.unpersist()
 
     return _start(stream, batch, checkpoint, "append")
+
+
+# --- days that are closed once, with late rows kept ------------------------------------------
+#
+# A batch is held against the watermark that the batches before it have left: the latest time seen less `late`. Rows of
+# days that ended by then are late and go to a table of their own, whole. The others are counted into the days that are
+# open; rows without a time stay there. Days that end by the watermark this batch leaves are final: they are written once and are no longer carried. What
+# a batch reads is what the batch before it wrote, so a batch that is repeated writes the same again, and what is carried
+# is a count for each user of an open day.
+
+def close_days(
+    events: DataFrame, ts: str, user: str, path: str, checkpoint: str, late: dt.timedelta = dt.timedelta(days=1)
+) -> StreamingQuery:
+    """Counts per day and user: final/ once a day is over, open/ until then, late/ for the rows that came after that."""
+    delay = F.lit(late)
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        # The latest batch before this one; numbers may be left out, as an empty batch has none.
+        before = max((n for n in _numbers(spark, f"{path}/marks", "batch") if n < batch_id), default=None)
+        mark = spark.read.parquet(f"{path}/marks/batch={before}").first()["latest"] if before is not None else None
+        day = F.to_date(ts)
+        ends = (F.date_add(day, 1)).cast("timestamp_ntz")
+        is_late = F.coalesce(ends <= F.lit(mark).cast("timestamp_ntz") - delay, F.lit(False))
+        df.where(is_late).write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+        counts = df.where(~is_late).groupBy(day.alias("day"), user).agg(F.count("*").alias("n"), F.max(ts).cast("timestamp_ntz").alias("latest"))
+        counts.write.mode("overwrite").parquet(f"{path}/new/batch={batch_id}")
+        new = spark.read.parquet(f"{path}/new/batch={batch_id}")
+        latest = new.agg(F.max("latest")).first()[0]
+        latest = max((x for x in (latest, mark) if x is not None), default=None)
+        spark.range(1).select(F.lit(latest).cast("timestamp_ntz").alias("latest")).write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
+        carried = new.drop("latest")
+        if before is not None:
+            carried = carried.unionByName(spark.read.parquet(f"{path}/open/batch={before}"))
+        carried = carried.groupBy("day", user).agg(F.sum("n").alias("n"))
+        over = F.coalesce(F.date_add("day", 1).cast("timestamp_ntz") <= F.lit(latest).cast("timestamp_ntz") - delay, F.lit(False))
+        carried.where(over).write.mode("overwrite").parquet(f"{path}/final/batch={batch_id}")
+        carried.where(~over).write.mode("overwrite").parquet(f"{path}/open/batch={batch_id}")
+        for name in ("open", "new"):
+            for n in _numbers(spark, f"{path}/{name}", "batch"):
+                if before is not None and n < before:
+                    _remove(spark, f"{path}/{name}/batch={n}")
+
+    return _start(events, batch, checkpoint, "append")
+
+
+def closed_days(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (kind, day, user, n): final days, and those open after the last batch."""
+    last = max(_numbers(spark, f"{path}/marks", "batch"))
+    final = spark.read.parquet(f"{path}/final").drop("batch")
+    return final.withColumn("kind", F.lit("final")).unionByName(spark.read.parquet(f"{path}/open/batch={last}").withColumn("kind", F.lit("open")))
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that came after their day was final, with their batch."""
+    return spark.read.parquet(f"{path}/late")

@@ -116,6 +116,34 @@ def test_events_behind_the_watermark_are_dropped(spark, tmp_path):
     assert counts == {9: 2, 10: 2, 11: 1}
 
 
+def test_days_are_closed_once(spark, tmp_path):
+    """Every row is counted once: in a final day, in an open one, or among the late rows."""
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    schema = "ts timestamp_ntz, user_id bigint, note string"
+
+    def run(*stamps):
+        data = [(s, u, f"{s}") for s, u in stamps]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.file_stream(spark, source, spark.createDataFrame([], schema).schema)
+        jobs.close_days(stream, "ts", "user_id", out, checkpoint, dt.timedelta(days=1)).awaitTermination()
+        found = sorted((r.kind, r.day.day if r.day else 0, r.user_id, r.n) for r in jobs.closed_days(spark, out).collect())
+        return found, sorted(r.ts.day for r in jobs.late_rows(spark, out).collect())
+
+    def at(day, hour=0):
+        return dt.datetime(2024, 1, day, hour)
+
+    assert run((at(10, 12), 1), (at(9, 13), 1), (at(3), 2)) == ([("final", 3, 2, 1), ("open", 9, 1, 1), ("open", 10, 1, 1)], [])
+    # Day 9 is open while the latest row is before the end of day 10; a row of day 3 is late, and is kept.
+    assert run((at(9, 23), 1), (at(3, 5), 1), (at(10, 23), 2)) == (
+        [("final", 3, 2, 1), ("open", 9, 1, 2), ("open", 10, 1, 1), ("open", 10, 2, 1)], [3]
+    )
+    found, late = run((at(12), 3), (at(9, 1), 2))
+    assert found == [("final", 3, 2, 1), ("final", 9, 1, 2), ("final", 9, 2, 1), ("final", 10, 1, 1), ("final", 10, 2, 1), ("open", 12, 3, 1)]
+    found, late = run((at(9, 2), 2), (None, 5))  # a row without a time stays open
+    assert late == [3, 9] and ("open", 0, 5, 1) in found
+    assert sum(n for *_, n in found) + len(late) == 10
+
+
 def test_ingest(spark, tmp_path):
     source, valid, errors, checkpoint = (str(tmp_path / n) for n in ("in", "valid", "errors", "checkpoint"))
     schema = "row bigint, region string, amount string"
