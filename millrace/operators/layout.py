@@ -28,6 +28,59 @@ def write_by_month(df: DataFrame, path: str, date: str) -> None:
     )
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
+    """A catalog table whose files are dealt out and sorted by `key`.
+
+    Joins and groups of such tables by `key`, with equally many buckets, move no rows. A bucket is one task then, and it
+    is never split, so look at `bucket_rows` first: with a hot key a shuffled join, which is split, is the better one.
+    """
+    spread = df.repartition(buckets, key)  # one file a bucket
+    spread.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def bucket_rows(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows (bucket, n) that write_bucketed would put into each bucket; a partial count a task."""
+    return df.groupBy(F.pmod(F.hash(key), F.lit(buckets)).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+def largest_share(sizes: DataFrame) -> float:
+    """The largest bucket's share of all rows times the number of buckets in use: 1 if they are even."""
+    row = sizes.agg(F.max("n").alias("most"), F.avg("n").alias("mean")).first()
+    return row["most"] / row["mean"] if row["mean"] else 1.0
+
+
+def write_with_filters(df: DataFrame, path: str, keys: list[str], rows_a_group: int | None = None) -> None:
+    """Parquet with a Bloom filter on each key and row group, so that a lookup by an unsorted key skips groups without it.
+
+    `rows_a_group` is how many distinct keys a filter is made for; without it the writer's own estimate holds.
+    """
+    writer = df.write.mode("overwrite")
+    for key in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        if rows_a_group:
+            writer = writer.option(f"parquet.bloom.filter.expected.ndv#{key}", rows_a_group)
+    writer.parquet(path)
+
+
+def rows_read(df: DataFrame) -> int:
+    """Rows that the scans of a query hand on, after running it."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    todo, total = [plan], 0
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(node.plan())
+        elif name.startswith("Scan"):
+            total += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
 def analyze(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Refresh a catalog table's statistics and report them per column."""
     spark = df.sparkSession

@@ -36,6 +36,45 @@ def streaks(done: DataFrame, user: str, day: str, as_of: dt.date) -> DataFrame:
     return numbered.groupBy(user).agg(F.count_if(unbroken).alias("streak"))
 
 
+def month_bits(done: DataFrame, user: str, day: str) -> DataFrame:
+    """Rows (user, month, bits): the days of a month with activity, the first of the month as bit 0.
+
+    This is all that runs of days need of a history. Parts of it, over any split of the rows, in any order and however
+    often they are repeated, merge by `merged_bits`.
+    """
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(day) - 1)
+    month = F.trunc(F.col(day).cast("date"), "month")
+    return done.where(F.col(day).isNotNull()).groupBy(F.col(user), month.alias("month")).agg(F.bit_or(bit).alias("bits"))
+
+
+def merged_bits(parts: DataFrame, user: str) -> DataFrame:
+    return parts.groupBy(user, "month").agg(F.bit_or("bits").alias("bits"))
+
+
+def runs_of_days(bits: DataFrame, user: str, as_of: dt.date) -> DataFrame:
+    """Rows (user, streak, longest, days) up to `as_of`: the run that ends there, the longest one, and all active days.
+
+    A user's months are bounded by the calendar, and only they meet.
+    """
+    days = F.transform(
+        F.filter(F.sequence(F.lit(0), F.lit(30)), lambda i: F.call_function("shiftright", F.col("bits"), i).bitwiseAND(1) == 1),
+        lambda i: F.date_add("month", i),
+    )
+    past = bits.where(F.col("month") <= F.lit(as_of)).select(user, "month", F.filter(days, lambda d: d <= F.lit(as_of)).alias("days"))
+    months = F.array_sort(F.collect_list(F.struct("month", "days")))
+    none = F.struct(F.lit(0).alias("run"), F.lit(0).alias("longest"), F.lit(None).cast("date").alias("last"))
+
+    def step(a: Column, d: Column) -> Column:
+        run = F.when(F.date_add(a["last"], 1) == d, a["run"] + 1).otherwise(1)
+        return F.struct(run.alias("run"), F.greatest(a["longest"], run).alias("longest"), d.alias("last"))
+
+    folded = past.groupBy(user).agg(F.flatten(F.transform(months, lambda m: m["days"])).alias("days")).where(F.size("days") > 0).select(
+        user, F.size("days").alias("days"), F.aggregate("days", none, step).alias("runs")
+    )
+    streak = F.when(F.col("runs.last") == F.lit(as_of), F.col("runs.run")).otherwise(0)
+    return folded.select(user, streak.cast("bigint").alias("streak"), F.col("runs.longest").cast("bigint").alias("longest"), F.col("days").cast("bigint").alias("days"))
+
+
 def daily_activity(done: DataFrame, day: str, as_of: dt.date, days: int = 84) -> DataFrame:
     """One row for each of the last `days` days with its count and level, empty days included."""
     first = as_of - dt.timedelta(days=days - 1)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import goals as G
-from millrace.operators.sequences import daily_activity, streaks
+from millrace.operators.sequences import daily_activity, month_bits, runs_of_days, streaks
 from millrace.plans.registry import query
 from millrace.sources.tables import Tables
 
@@ -32,6 +32,21 @@ def streak(t: Tables) -> DataFrame:
     return streaks(completions(t), "user_id", "day", AS_OF)
 
 
+RUNS_SQL = """
+WITH days AS (
+  SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'purchase' AND CAST(ts AS DATE) <= DATE '2024-01-30'),
+runs AS (
+  SELECT user_id, COUNT(*) AS n, MAX(day) AS last
+  FROM (SELECT *, day - CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INTEGER) AS run FROM days) GROUP BY user_id, run)
+SELECT user_id, COALESCE(MAX(n) FILTER (last = DATE '2024-01-30'), 0) AS streak, MAX(n) AS longest, CAST(SUM(n) AS BIGINT) AS days FROM runs GROUP BY 1"""
+
+
+@query(RUNS_SQL)
+def runs_from_months(t: Tables) -> DataFrame:
+    """Streaks from a number a user and month, without the history."""
+    return runs_of_days(month_bits(completions(t), "user_id", "day"), "user_id", AS_OF)
+
+
 @query("""
 SELECT day, COALESCE(n, 0) AS n, CAST(LEAST(COALESCE(n, 0), 3) AS INTEGER) AS level
 FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-30' - 83, DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS day)

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.predicates import since
+from millrace.functions.scalars import money_sum
 from millrace.operators import layout as O
 from millrace.plans.registry import USAGE, query
-from millrace.scratch import new_folder
+from millrace.scratch import new_folder, written
 from millrace.sources.tables import Tables, reload_table
 
 
@@ -55,3 +56,45 @@ def table_statistics(t: Tables) -> DataFrame:
     t.spark.sql(f"DROP TABLE {name}")
     return report
 
+
+# Buckets of the tables below; a production table has as many as its tasks are to be.
+BUCKETS = 16
+
+
+@query("""
+SELECT o_custkey, c_name, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""")
+def bucketed_join(t: Tables) -> DataFrame:
+    """Orders and customers, both dealt out by customer once: the join and the sums after it move nothing."""
+    names = [f"{n}_{uuid.uuid4().hex}" for n in ("orders", "customer")]
+    orders = O.write_bucketed(t.orders.select("o_custkey", "o_totalprice"), names[0], "o_custkey", BUCKETS, new_folder(t.spark, "buckets"))
+    people = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    people = O.write_bucketed(people, names[1], "o_custkey", BUCKETS, new_folder(t.spark, "buckets"))
+    joined = orders.hint("merge").join(people, "o_custkey")
+    out = joined.groupBy("o_custkey", "c_name").agg(F.count("*").alias("n"), money_sum("o_totalprice").cast("double").alias("total"))
+    for name in names:  # the files stay, as the tables are external
+        t.spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@query("""
+SELECT o_orderkey AS usage_id, o_orderdate AS use_dt, strftime(o_orderdate, '%Y-%m') AS month FROM orders
+WHERE month(o_orderdate) BETWEEN 4 AND 6 AND strftime(o_orderdate, '%Y-%m') IN (
+  SELECT strftime(o_orderdate, '%Y-%m') FROM orders WHERE o_orderstatus = 'F')""")
+def months_of_dimension(t: Tables) -> DataFrame:
+    """Months chosen by another table: only their folders are read."""
+    path = new_folder(t.spark, "months")
+    O.write_by_month(t.usage(), path, "use_dt")
+    months = t.spark.read.schema("usage_id bigint, use_dt timestamp_ntz, month string").parquet(path)
+    closed = t.orders.where("o_orderstatus = 'F'").select(F.date_format("o_orderdate", "yyyy-MM").alias("month")).distinct()
+    chosen = written(closed, "calendar").where(F.substring("month", 6, 2).between("04", "06"))
+    return months.join(chosen, "month").select("usage_id", "use_dt", "month")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (7, 24, 1000000007)")
+def looked_up_by_filter(t: Tables) -> DataFrame:
+    """A few customers' orders by Bloom filters of the row groups."""
+    path = new_folder(t.spark, "filters")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    O.write_with_filters(orders, path, ["o_custkey"])
+    return t.spark.read.schema(orders.schema).parquet(path).where(F.col("o_custkey").isin(7, 24, 1000000007))

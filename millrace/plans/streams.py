@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import goals as G
 from millrace.operators.quality import not_below, positive_number
-from millrace.plans.activity import DAILY_SQL, GOALS_SQL, LEVELS_SQL, POINTS_SQL, goal_events
+from millrace.operators.sequences import runs_of_days
+from millrace.plans.activity import AS_OF, DAILY_SQL, GOALS_SQL, LEVELS_SQL, POINTS_SQL, RUNS_SQL, goal_events
 from millrace.plans.registry import query
 from millrace.scratch import new_folder
 from millrace.sources.tables import Tables
@@ -85,6 +86,14 @@ def goals_streamed(t: Tables) -> DataFrame:
 
 
 
+@query(RUNS_SQL)
+def runs_streamed(t: Tables) -> DataFrame:
+    out = new_folder(t.spark, "months")
+    done = _purchases(t).select("user_id", F.to_date("ts").alias("day"))
+    jobs.fold_months(done, "user_id", "day", f"{out}/state", f"{out}/checkpoint").awaitTermination()
+    return runs_of_days(jobs.latest_months(t.spark, f"{out}/state", "user_id"), "user_id", AS_OF)
+
+
 def _ingested(t: Tables) -> tuple[DataFrame, DataFrame]:
     out = new_folder(t.spark, "ingest")
     rules = [positive_number("c_acctbal"), not_below("c_nationkey", 5)]

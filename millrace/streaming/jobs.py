@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.goals import current, merged, registers
 from millrace.operators.quality import Rule, error_rows, judged, valid_rows
+from millrace.operators.sequences import merged_bits, month_bits
 from millrace.session import at_most_partitions
 
 
@@ -167,6 +168,20 @@ def latest_goals(spark: SparkSession, path: str) -> DataFrame:
     return current(_state(spark, path, merged))
 
 
+# --- days of activity --------------------------------------------------------------------
+
+def fold_months(done: DataFrame, user: str, day: str, path: str, checkpoint: str, every: int | None = None) -> StreamingQuery:
+    """Write each batch's active days by user and month, and now and then those of all batches; no history is kept."""
+    def merge(rows: DataFrame) -> DataFrame:
+        return merged_bits(rows, user)
+
+    return _kept(done, path, checkpoint, "append", lambda df: month_bits(df, user, day), merge, every)
+
+
+def latest_months(spark: SparkSession, path: str, user: str) -> DataFrame:
+    return _state(spark, path, lambda rows: merged_bits(rows, user))
+
+
 # --- continuous validation ---------------------------------------------------------------
 
 def ingest(stream: DataFrame, rules: list[Rule], row: str, valid_path: str, errors_path: str, checkpoint: str) -> StreamingQuery:

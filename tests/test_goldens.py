@@ -14,7 +14,7 @@ from millrace.operators import aggregates as A
 from millrace.operators import cleaning as C
 from millrace.operators import joins as J
 from millrace.operators import quality as Q
-from millrace.operators.sequences import before_marker, daily_activity, streaks
+from millrace.operators.sequences import before_marker, daily_activity, merged_bits, month_bits, runs_of_days, streaks
 
 DIRTY = [
     ("2023-03-01", "north", 10, "tea"), ("2023-03-02", "south", 20, "tea"), ("2023-03-03", "east", None, "cocoa"),
@@ -244,3 +244,27 @@ def test_places_of_sums(spark):
     assert df.select(S.money_sum("x", 3)).first()[0] == Decimal("0.012")
     with pytest.raises(Exception, match="more than 2 places"):
         df.select(S.money_sum("x")).collect()
+
+
+def test_runs_merge_from_any_parts(spark):
+    """However a history is split, repeated and ordered, its months give the same runs as its days."""
+    rng = random.Random(6)
+    first = dt.date(2023, 11, 20)
+    history = {u: sorted({first + dt.timedelta(days=rng.randrange(80)) for _ in range(rng.choice([1, 30, 200]))}) for u in range(12)}
+    data = [(u, d) for u, days in history.items() for d in days] + [(None, first), (1, None)]
+    rng.shuffle(data)
+    make = lambda part: spark.createDataFrame(part, "u int, day date")
+    parts = [month_bits(make(p), "u", "day") for p in (data[:40], data[30:200], data[150:])]
+    merged = merged_bits(parts[2].union(parts[0]).union(parts[1]), "u")
+    assert rows(merged) == rows(month_bits(make(data), "u", "day"))
+    as_of = dt.date(2024, 1, 31)
+    found = {r.u: (r.streak, r.longest, r.days) for r in runs_of_days(merged, "u", as_of).collect()}
+    plain = {r.u: r.streak for r in streaks(make([r for r in data if r[1]]), "u", "day", as_of).collect()}
+    assert {u: s for u, (s, _, _) in found.items()} == plain
+    for u, days in history.items():
+        past, longest, run = [d for d in days if d <= as_of], 0, 0
+        for i, d in enumerate(past):
+            run = run + 1 if i and past[i - 1] == d - dt.timedelta(days=1) else 1
+            longest = max(longest, run)
+        if past:
+            assert found[u][1:] == (longest, len(past))

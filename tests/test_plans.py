@@ -200,3 +200,45 @@ def test_month_positions_do_not_shuffle_by_month(spark, folder):
     monthly = W.monthly_totals(usage, "o_custkey", "o_orderdate", "o_totalprice")
     plan = plan_text(W.numbered_in_month(monthly, "o_custkey"))
     assert "hashpartitioning(month" not in plan
+
+
+def test_bucketed_tables_join_in_place(spark, folder, orders):
+    joined = QUERIES["bucketed_join"](spark, folder)
+    rows_of = lambda df: sorted(map(tuple, df.collect()))
+    assert "Exchange" not in plan_text(joined) and "SortMergeJoin" in plan_text(joined)
+    plain = orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
+    assert rows_of(joined.select("o_custkey", "n")) == rows_of(plain)
+    assert "Exchange" in plan_text(plain)
+
+
+def test_a_hot_key_shows_in_its_bucket(spark, orders, tmp_path):
+    hot = orders.select(F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey")).alias("key"), "o_orderkey")
+    even, uneven = (O.largest_share(O.bucket_rows(df, key, 8)) for df, key in ((orders, "o_orderkey"), (hot, "key")))
+    assert even < 1.5 < 2.5 < uneven
+    O.write_bucketed(hot, "millrace_hot", "key", 8, str(tmp_path / "hot"))
+    try:
+        held = spark.table("millrace_hot").groupBy(F.regexp_extract(F.input_file_name(), r"_(\d+)\.c000", 1).cast("int").alias("bucket")).count()
+        assert sorted(map(tuple, held.collect())) == sorted(map(tuple, O.bucket_rows(hot, "key", 8).collect()))
+    finally:
+        spark.sql("DROP TABLE millrace_hot")
+
+
+def test_months_are_pruned_by_the_dimension(spark, folder):
+    df = QUERIES["months_of_dimension"](spark, folder)
+    assert "dynamicpruning" in plan_features(df)["partition_filters"]
+    read = O.rows_read(df)
+    all_rows = spark.read.parquet(f"{folder}/orders.parquet").count()
+    assert df.count() <= read < all_rows / 2
+
+
+def test_filters_skip_row_groups(spark, tmp_path):
+    """Unsorted keys: their ranges rule out nothing, the filters rule out every group without the key."""
+    keys = spark.range(0, 200_000, 1, 8).select(F.xxhash64("id").alias("key"), "id")
+    there = keys.first()["key"]
+    plain, filtered = str(tmp_path / "plain"), str(tmp_path / "filtered")
+    keys.write.parquet(plain)
+    O.write_with_filters(keys, filtered, ["key"], 30_000)
+    for value, most in ((there, 25_000), (there + 1, 0)):
+        look = lambda path: spark.read.parquet(path).where(F.col("key") == value)  # noqa: B023, E731
+        assert sorted(map(tuple, look(plain).collect())) == sorted(map(tuple, look(filtered).collect()))
+        assert O.rows_read(look(filtered)) <= most < O.rows_read(look(plain))
