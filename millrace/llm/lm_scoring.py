@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import Stored, discard, stored
 
-SEGMENT_BYTES = 1 << 22  # of training texts for each segment of the filter, at TOKEN_BYTES for a token
+SEGMENT_BYTES = 1 << 24  # of training texts for each segment of the filter, at TOKEN_BYTES for a token
 TOKEN_BYTES = 6
 BLOCK = 1 << 20  # tokens of texts that ask for their n-grams' levels together
 PROBES = 5
@@ -38,6 +38,7 @@ BITS_PER_ENTRY = 10
 BASE = 2**0.5
 MOST_LEVELS = 96
 BIGRAM_BITS = 50
+PROBED = 1 << 19  # keys that are looked up at a time
 WEIGHT = 500.0
 ADD = 0.1
 FLUSH = 4_000_000  # tokens that a task counts before it hands their counts on
@@ -307,27 +308,47 @@ ANSWERED = pa.schema([("of", pa.int64()), ("run", pa.int64()), ("levels", pa.bin
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Levels of the keys of each block and segment, and exact counts of words; a segment comes before the blocks that ask it."""
-    now, found_in, known, exact = None, None, None, None
-    for batch in batches:
+    """Levels of the keys of each block and segment, and exact counts of words; a segment comes before the blocks that ask it.
+
+    Blocks are answered together, as many as ask for PROBED keys, since a level costs the same for few keys as for many.
+    """
+    now, found_in, known, exact = None, None, np.empty(0, np.uint64), np.empty(0, np.uint64)
+    held: list[tuple[int, int, np.ndarray]] = []
+
+    def answers() -> Iterator[pa.RecordBatch]:
+        keys = np.concatenate([asked for *_, asked in held])
+        levels = found_in.levels(keys).astype(np.uint8) if found_in else np.zeros(len(keys), np.uint8)
+        ends = np.cumsum([len(asked) for *_, asked in held])
         out = []
-        for segment, block, run, data, keys, counts in zip(*[batch.column(n).to_pylist() for n in ASKED.names]):
-            if block < 0:
-                now, found_in = segment, Filter(np.frombuffer(data, np.uint64)[None, :], 1)
-                known, exact = unpacked_keys(keys), unpacked(counts)
-                continue
-            asked = unpacked_keys(data)
-            levels, times = np.zeros(len(asked), np.int64), np.zeros(0, np.int64)
-            if segment == now:
-                levels = found_in.levels(asked)
+        for (block, run, asked), end in zip(held, ends.tolist()):
+            times = np.zeros(0, np.int64)
             if len(asked) and asked[0] < PAIR:  # a run of words
                 times = np.zeros(len(asked), np.int64)
-                if segment == now and len(known):
+                if len(known):
                     place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
                     times = np.where(known[place] == asked, exact[place], 0)
-            out.append((block, run, zstandard.ZstdCompressor(level=1).compress(levels.astype(np.uint8).tobytes()), packed(times)))
+            packed_levels = zstandard.ZstdCompressor(level=1).compress(levels[end - len(asked) : end].tobytes())
+            out.append((block, run, packed_levels, packed(times)))
         yield from _rows(out, ANSWERED)
 
+    size = 0
+    for batch in batches:
+        for segment, block, run, data, keys, counts in zip(*[batch.column(n).to_pylist() for n in ASKED.names]):
+            if held and (segment != now or size >= PROBED):
+                yield from answers()
+                held.clear()
+                size = 0
+            if segment != now:
+                now, found_in, known, exact = segment, None, np.empty(0, np.uint64), np.empty(0, np.uint64)
+            if block < 0:
+                found_in = Filter(np.frombuffer(data, np.uint64)[None, :], 1)
+                known, exact = unpacked_keys(keys), unpacked(counts)
+                continue
+            held.append((block, run, unpacked_keys(data)))
+            size += len(held[-1][2])
+    if held:
+        yield from answers()
+
 
 def with_levels(blocks: DataFrame, built: DataFrame, segments: int) -> DataFrame:
     """`blocks` with `answers`, the levels and counts of each run of a block's n-grams."""
