@@ -95,12 +95,12 @@ def exact_groups(
     text = normalise(F.coalesce(F.col(text_col), F.lit("")))
     ordered = _content_sorted(docs, text, id_col, largest, []).select("_sha", "_text", "_id")
     members = stored(ordered.mapInArrow(_members, GROUPS_SQL), "exact").df
-    # Two rows a slice at most, which bounds what is broadcast.
+    # Two rows a slice at most; Spark broadcasts them while they are few, and splits a hot group where they are not.
     edges = members.where("edge and head").groupBy("sha").agg(
         F.min("slice").alias("first_slice"), F.min_by("keep", "slice").alias("all_keep"), F.sum("size").alias("all_size")
     )
     found = F.col("first_slice").isNotNull()
-    return members.join(F.broadcast(edges), "sha", "left").select(
+    return members.join(edges, "sha", "left").select(
         "id",
         F.when(found, F.col("all_keep")).otherwise(F.col("keep")).alias("keep_id"),
         F.when(found, F.col("all_size")).otherwise(F.col("size")).alias("group_size"),
@@ -165,6 +165,6 @@ def exact_dedup(
     kept = stored(ordered.mapInArrow(heads, schema), "exact-rows").df
     # The first row of every slice and its last group: two rows a slice at most.
     later = kept.where("_edge").groupBy("_sha").agg(F.min("_slice").alias("_first"))
-    whole = kept.join(F.broadcast(later), "_sha", "left").where("_first is null or _slice = _first")
+    whole = kept.join(later, "_sha", "left").where("_first is null or _slice = _first")
     back = F.when(~F.col("_null"), F.col("_text")) if not normalise else F.col(names[at])
     return whole.select(*[(back if i == at else F.col(c)).alias(docs.columns[i]) for i, c in enumerate(names)])
