@@ -50,7 +50,8 @@ def dropped_lines(
         keys.select("id", "tag", "pos", F.unhex(F.substring(F.sha2("key", 256), 1, HASH_HEX)).alias("hash")), "lines"
     )
 
-    band = F.shiftright("id", BAND_BITS)
+    # Rows without an identifier are dealt out by their text.
+    band = F.coalesce(F.shiftright("id", BAND_BITS), -1 - F.pmod("tag", F.lit(1 << BAND_BITS)))
     stretch = Window.partitionBy("hash", "band").orderBy(F.asc_nulls_last("id"), "tag", "pos")
     streamed = stored(
         hashed.df.withColumn("band", band)
