@@ -8,7 +8,7 @@ the same places and with the same ids; from there on either side stands. Joining
 length.
 
 Null texts count as empty and have no ids. Texts that look like special tokens are encoded as the tokenizer encodes
-them. Repeated rows are encoded each on their own.
+them. A long text that repeats is encoded once, a short one each time.
 """
 
 from __future__ import annotations
@@ -194,20 +194,19 @@ def _short(batches: Iterator[pa.RecordBatch], path: str, finish: Finish, schema:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Rows (row, id, piece, start, text) of the pieces."""
+    """Rows (row, piece, start, text) of the pieces."""
     for batch in batches:
-        for row, own, text in zip(*[c.to_pylist() for c in batch.columns]):
+        for row, text in zip(*[c.to_pylist() for c in batch.columns]):
             cut = halves(text, most)
             yield pa.RecordBatch.from_pydict({
                 "row": [row] * len(cut),
-                "id": pa.array([own] * len(cut), pa.int64()),
                 "piece": pa.array(range(len(cut)), pa.int32()),
                 "start": pa.array([s for s, _ in cut], pa.int64()),
                 "text": [t for _, t in cut],
             })
 
 
-PIECES_SQL = "row string, id bigint, piece int, start bigint, text string"
+PIECES_SQL = "row string, piece int, start bigint, text string"
 ENCODED_SQL = PIECES_SQL + ", tokens binary"
 
 
@@ -223,14 +222,12 @@ def _encode_pieces(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.
 
 
 def _join_row(table: pa.Table, tokenizer, finish: Finish, schema: pa.Schema) -> pa.Table:
+    """The row of a text from its pieces."""
     rows = table.sort_by("piece").to_pylist()
-    once = {r["piece"]: r for r in rows}
-    pieces = [Piece(r["start"], r["text"], np.frombuffer(r["tokens"], dtype=np.int64).reshape(-1, 3)) for r in once.values()]
+    pieces = [Piece(r["start"], r["text"], np.frombuffer(r["tokens"], dtype=np.int64).reshape(-1, 3)) for r in rows]
     ids = join_all(tokenizer, pieces).tokens[:, 0].astype("<u4")
-    columns = finish(tokenizer, [ids])
-    times = len(rows) // len(once)  # repeated rows share a key
-    values = [[rows[0]["id"]], *columns]
-    return pa.Table.from_arrays([pa.array(list(c) * times, f.type) for c, f in zip(values, schema)], schema=schema)
+    values = [[rows[0]["row"]], *finish(tokenizer, [ids])]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(values, schema)], schema=schema)
 
 
 def encoded(
@@ -251,24 +248,25 @@ def encoded(
     schema = pa.schema([("id", pa.int64()), *[(n, t) for n, (_, t) in columns.items()]])
     sql = ", ".join(["id bigint", *[f"{n} {t}" for n, (t, _) in columns.items()]])
 
+    joined_schema = pa.schema([("row", pa.string()), *list(schema)[1:]])
+    joined_sql = ", ".join(["row string", *[f"{n} {t}" for n, (t, _) in columns.items()]])
     held: list = []  # a task's tokenizer, loaded once for all its texts
 
     def joined(table: pa.Table) -> pa.Table:
         if not held:
             held.append(load(path))
-        return _join_row(table, held[0], finish, schema)
+        return _join_row(table, held[0], finish, joined_schema)
 
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     long = F.char_length("text") > piece_chars
     short = texts.where(~long).mapInArrow(functools.partial(_short, path=path, finish=finish, schema=schema), sql)
-    cut = (
-        texts.where(long)
-        .select(F.sha2(F.concat_ws(":", F.col("id").cast("string"), "text"), 256).alias("row"), "id", "text")
-        .mapInArrow(functools.partial(_pieces, most=piece_chars), PIECES_SQL)
-    )
-    return short.unionByName(
+    # A long text is encoded once, however often it is there; its rows then meet their ids.
+    keyed = texts.where(long).select(F.sha2("text", 256).alias("row"), "id", "text")
+    cut = keyed.groupBy("row").agg(F.first("text").alias("text")).mapInArrow(functools.partial(_pieces, most=piece_chars), PIECES_SQL)
+    once = (
         cut.repartition("row", "piece")
         .mapInArrow(functools.partial(_encode_pieces, path=path), ENCODED_SQL)
         .groupBy("row")
-        .applyInArrow(joined, sql)
+        .applyInArrow(joined, joined_sql)
     )
+    return short.unionByName(keyed.select("row", "id").join(once, "row").select("id", *columns))
