@@ -16,8 +16,8 @@ At the default 40 bands of 5 rows two sets of similarity 0.85 share no bucket wi
 similarity 0.8 with 1.3e-7.
 
 Null or empty texts, and texts of white space only, have no shingles and are linked with nothing. A text of fewer words
-than a shingle is a single shingle. Rows that share an identifier are one document. A row with a null identifier is
-linked with nothing.
+than a shingle is a single shingle. Rows that share an identifier and have different sets are nodes of their own. A row
+with a null identifier is linked with nothing.
 """
 
 from __future__ import annotations
@@ -270,10 +270,10 @@ def near_groups(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """Rows (id, tag, n_shingles, component) of every row of `docs`.
+    """Rows (id, tag, n_shingles, component, component_tag) of every row of `docs`.
 
     Documents are linked if they share at least `percent` of all shingles of both. `component` is the smallest
-    identifier that links lead to. `tag` tells texts under one identifier apart.
+    identifier that links lead to. `tag` tells texts under one identifier apart, `component_tag` that of `component`.
     """
     spark = docs.sparkSession
     texts = docs.select(
@@ -283,22 +283,27 @@ def near_groups(
     )
     prepared = stored(texts.mapInArrow(partial(_prepared, words=words, bands=bands, rows=rows), PREPARED_SQL), "prepared").df
     own = F.struct("id", "tag")
-    classes = stored(
+    # An identifier that more than one class begins with names none of them; such classes go by their sets.
+    first_of = stored(
         prepared.where("n_shingles > 0 and id is not null")
         .groupBy("set_hash")
         .agg(F.min(own).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-        .select("set_hash", F.col("first.id").alias("node"), F.col("first.tag").alias("tag"), "n", "bands"),
+        .select("set_hash", F.col("first.id").alias("id"), F.col("first.tag").alias("tag"), "n", "bands"),
         "classes",
     ).df
+    shared = first_of.groupBy(F.col("id").alias("shared")).agg(F.count("*").alias("times")).where("times > 1").select("shared")
+    classes = first_of.join(shared, first_of["id"] == shared["shared"], "left").withColumn(
+        "node", F.when(F.col("shared").isNull(), F.col("id")).otherwise(F.xxhash64("set_hash", F.lit(1)))
+    ).drop("shared")
 
     # Buckets with at least two members, and how many other members each node meets.
     exploded = classes.select("node", "n", F.explode("bands").alias("bucket"))
     sizes = exploded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(exploded.join(sizes, "bucket"), "buckets")
     meets = members.df.groupBy("node").agg(F.sum("size").alias("meets"))
-    needed = meets.select("node").join(classes.select("node", "tag"), "node")
+    needed = meets.select("node").join(classes.select("node", F.col("id").alias("own_id"), F.col("tag").alias("own_tag")), "node")
     compared = stored(
-        texts.join(needed, (texts["id"] == needed["node"]) & (texts["tag"] == needed["tag"])).select("node", "text")
+        texts.join(needed, (texts["id"] == needed["own_id"]) & (texts["tag"] == needed["own_tag"])).select("node", "text")
         .mapInArrow(_packed, "node bigint, packed binary"),
         "compared",
     )
@@ -339,10 +344,17 @@ def near_groups(
         settled = components(links.union(more))
     discard(spark, star, parted, compared)
 
-    components_of = classes.select("set_hash", "node").join(settled.df, "node", "left").select(
-        "set_hash", F.coalesce("component", "node").alias("component")
-    )
+    joined = stored(
+        classes.select("set_hash", "node", "id", "tag").join(settled.df, "node", "left")
+        .select("set_hash", F.struct("id", "tag").alias("own"), F.coalesce("component", "node").alias("of")),
+        "joined",
+    ).df
+    # A component is known by the smallest identifier in it.
+    least = joined.groupBy("of").agg(F.min("own").alias("least"))
+    components_of = joined.join(least, "of").select("set_hash", "least")
+    linked = (F.col("n_shingles") > 0) & F.col("id").isNotNull()
     return prepared.join(components_of, "set_hash", "left").select(
         "id", "tag", "n_shingles",
-        F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component"),
+        F.when(linked, F.col("least.id")).otherwise(F.col("id")).alias("component"),
+        F.when(linked, F.col("least.tag")).otherwise(F.col("tag")).alias("component_tag"),
     )
