@@ -2,8 +2,10 @@
 
 import collections
 
+import pytest
+
 import corpus_pipeline as pipeline
-from millrace.llm import quality_rules
+from millrace.llm import mixing, quality_rules
 from millrace.llm.common import stored
 from millrace.llm.queries import tokenizer_path
 from llm_tables import clashing, empty_docs, odd, odd_rows  # noqa: F401  (fixtures)
@@ -60,5 +62,20 @@ def test_odd_tables(spark, odd, clashing, empty_docs):
 
 
 def test_one_of_repeated_rows(spark, odd):
-    left = [r.doc_id for r in pipeline.keep_one_of_alike(spark, odd, "").collect() if r.doc_id is not None]
-    assert len(left) == len(set(left))
+    """A row that repeats stays once; two texts that share an identifier are two documents."""
+    left = [(r.doc_id, r.text) for r in pipeline.keep_one_of_alike(spark, odd, "").collect() if r.doc_id is not None]
+    assert len(left) == len(set(left)) and len({t for i, t in left if i == 13}) == 2
+
+
+@pytest.mark.parametrize("words", [20, 70_000])
+def test_every_source_meets_its_target(spark, words):
+    """Also where a document is as long as a shard, and each is taken in part."""
+    docs = [(i, f"w{i} " * (words + i % 3), "en", "abc"[i % 3], 0) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    want = collections.Counter()
+    for r in mixing.mixed(df).collect():
+        want[r.source] += r.taken
+    got = collections.Counter()
+    for r in pipeline.mix(spark, df, "").select("source", "text").collect():
+        got[r.source] += r.text.count(" ")
+    assert all(abs(got[s] - want[s]) <= words + 2 for s in "abc") and len(set(want.values())) > 1

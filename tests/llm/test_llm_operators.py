@@ -156,6 +156,20 @@ def test_near_copies_of_odd_rows(odd):
     assert found[11] == found[12] == {11}  # two words are one shingle
 
 
+def test_texts_that_share_an_identifier(spark):
+    """Each keeps its own links, in any order of the rows."""
+    a, b, c = prose(1, 120), prose(2, 120), prose(3, 120)
+    texts = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, c), (4, b + " stop"), (5, c + " end"), (4, b + " stop")]
+    want = {(1, a): 1, (1, b): 1, (2, a + " end"): 1, (3, b + " end"): 1, (4, c): 4, (4, b + " stop"): 1, (5, c + " end"): 4}
+    for rows in (texts, texts[::-1]):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        tags = {(r.doc_id, r.tag): r.text for r in docs.select("doc_id", "text", F.xxhash64("text").alias("tag")).collect()}
+        found = minhash.near_groups(docs).collect()
+        assert {(r.id, tags[r.id, r.tag]): r.component for r in found} == want and len(found) == 8
+        stays = [r for r in found if r.id == r.component and r.tag == r.component_tag]
+        assert sorted(r.id for r in stays) == [1, 1, 4]  # both texts of 1, as they are not alike
+
+
 def test_counts_of_common_elements():
     pick = np.random.default_rng(5)
     sets = [np.unique(pick.integers(0, 400, pick.integers(0, 200), dtype=np.uint64)) for _ in range(30)]
@@ -515,6 +529,26 @@ def test_joined_encodings(spaces):
         assert bpe.Words(own).ids([text])[0].tolist() == want
 
 
+def test_copies_of_a_long_text(spark):
+    """Rows without identifiers share one encoding and stay rows of their own."""
+    own = bpe.load(tokenizer_path())
+    text = "copied " * 60
+    docs = spark.createDataFrame([(None, text)] * 5 + [(1, text), (2, text + "x")], "doc_id bigint, text string")
+    got = bpe.encoded(docs, tokenizer_path(), piece_chars=100).collect()
+    want = own.encode(text, add_special_tokens=False).ids
+    assert sorted(str(r.id) for r in got) == ["1", "2", *["None"] * 5]
+    assert all(list(r.ids) == want for r in got if r.id != 2)
+
+
+def test_lines_without_identifiers(spark):
+    """All rows lack one: nothing is dropped; a known identifier comes first."""
+    texts = [(None, f"a line in all of them\nown line number {i}") for i in range(50)]
+    make = lambda rows: spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.n_dropped for r in line_dedup.line_dedup(make(texts)).collect()} == {0}
+    more = line_dedup.line_dedup(make([*texts, (7, "a line in all of them")])).collect()
+    assert sorted(r.n_dropped for r in more) == [0] + [1] * 50
+
+
 def test_long_unsplit_text(spark):
     own = bpe.load(tokenizer_path())
     texts = [(1, "abcdefghij" * 9000), (2, "q" * 70000), (2, "q" * 70000), (3, None)]
