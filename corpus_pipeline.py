@@ -13,7 +13,7 @@ import os
 import sys
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from millrace.llm import bpe, exact_dedup, minhash, mixing, quality_rules  # noqa: E402
 from millrace.llm.common import documents, stored  # noqa: E402
 from millrace.llm.queries import tokenizer_path  # noqa: E402
+from millrace.operators.ordered import running  # noqa: E402
 from millrace.session import prepare  # noqa: E402
 
 NEAR_PERCENT = 80
@@ -66,25 +67,42 @@ def keep_one_of_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     prepare(spark)
     rows, names = _tagged(docs)
     groups = minhash.near_groups(docs, percent=NEAR_PERCENT)
-    # Of rows that share an identifier the first text stands for the document; a null identifier is no document's.
-    first = groups.where("id = component").groupBy("id").agg(F.min("tag").alias("tag"))
+    # Texts that share an identifier are told apart by their tags; a null identifier is no document's.
+    first = groups.where("id = component and tag = component_tag").select("id", "tag").distinct()
     none = groups.where("id is null").select("id", "tag").distinct()
     kept = stored(first.union(none), "kept").df
-    once = Window.partitionBy("_id", "_tag").orderBy(*[f"c{i}" for i in range(len(names))])
     alike = _joined(rows, kept, "left_semi")
-    return _named(alike.withColumn("_n", F.row_number().over(once)).where("_n = 1 or _id is null"), names)
+    once = alike.where("_id is not null").groupBy("_id", "_tag").agg(F.min(F.struct(*[f"c{i}" for i in range(len(names))])).alias("row"))
+    return _named(once.select("row.*").union(alike.where("_id is null").drop("_id", "_tag")), names)
+
+
+# Parts of a document, as whole numbers.
+PARTS = 1 << 40
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents as often as the mix takes them, rounded: none, once or twice."""
+    """Whole documents as often as the mix takes them: none, once or twice.
+
+    Documents that are taken in part are rounded along a running total over their source, from the longest to the
+    shortest, so that a source's words come within its longest such document of what the mix takes, however long the
+    documents are.
+    """
     prepare(spark)
     rows, names = _tagged(docs)
-    taken = mixing.mixed(docs).where("size > 0").select(
-        "id", "tag", F.col("source").alias("host"), F.floor(F.col("taken") / F.col("size") + 0.5).alias("times")
-    )
-    # Repeated rows are taken alike, as often as the first of them.
-    times = taken.groupBy("id", "tag", "host").agg(F.max("times").alias("times")).where("times > 0")
-    found = _joined(rows, times, "inner", [f"c{names.index('source')}"])
+    taken = stored(
+        mixing.mixed(docs).where("size > 0").select("id", "tag", F.col("source").alias("host"), "size", "taken")
+        # Repeated rows are taken alike, as often as the first of them.
+        .groupBy("id", "tag", "host").agg(F.max("size").alias("size"), F.max("taken").alias("taken")), "taken",
+    ).df
+    whole = F.floor(F.col("taken") / F.col("size"))
+    part = F.floor((F.col("taken") - whole * F.col("size")) / F.col("size") * PARTS)
+    split = taken.select("id", "tag", "host", "size", whole.alias("times"), part.alias("part"))
+    order = [F.desc("size"), F.asc_nulls_last("id"), F.col("tag")]
+    summed = running(split.where("part > 0"), order, {"upto": F.col("part")}, ["host"])
+    step = lambda c: F.floor((c + PARTS // 2) / PARTS)
+    rounded = summed.withColumn("times", F.col("times") + step(F.col("upto")) - step(F.col("upto") - F.col("part")))
+    times = split.where("part = 0").select("id", "tag", "host", "times").union(rounded.select("id", "tag", "host", "times"))
+    found = _joined(rows, times.where("times > 0"), "inner", [f"c{names.index('source')}"])
     return _named(found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times")))), names)
 
 
