@@ -14,7 +14,7 @@ from millrace.plans.activity import AS_OF, DAILY_SQL, GOALS_SQL, LEVELS_SQL, POI
 from millrace.plans.registry import query
 from millrace.scratch import new_folder
 from millrace.sources.tables import Tables
-from millrace.streaming import jobs
+from millrace.streaming import jobs, states
 
 
 def _stream(t: Tables, name: str) -> DataFrame:
@@ -37,6 +37,27 @@ def daily_completions_streamed(t: Tables) -> DataFrame:
     return jobs.latest(t.spark, f"{out}/rows", ["day", "user_id"])
 
 
+@query(GOALS_SQL)
+def goals_in_state(t: Tables) -> DataFrame:
+    """The goals as state that the engine keeps, from a log in two deliveries with a restart between."""
+    out = new_folder(t.spark, "goal-state")
+    events = t.events
+    for part in (1, 0):  # the later half of the ids first
+        events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{out}/in")
+        stream = jobs.file_stream(t.spark, f"{out}/in", events.schema)
+        states.goals_in_state(goal_events(stream), f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return jobs.latest(t.spark, f"{out}/rows", ["goal_id"]).where("alive").drop("alive")
+
+
+@query(POINTS_SQL)
+def points_in_state(t: Tables) -> DataFrame:
+    """Points from the state itself, as the stream has left it."""
+    out = new_folder(t.spark, "point-state")
+    states.points_in_state(_purchases(t), "user_id", f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    kept = states.state_of(t.spark, f"{out}/checkpoint", "points").withColumnRenamed("owner", "user_id")
+    return G.points(kept, "user_id", "n")
+
+
 _PARTS = """parts AS (
   SELECT CAST(ts AS DATE) AS day, user_id, ts, event_id % 3 AS b FROM events WHERE event_type = 'purchase'),
 marks AS (

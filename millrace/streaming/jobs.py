@@ -26,12 +26,13 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
     return reader.parquet(f"{folder}/{{{name}}}")
 
 
-# A stateful stream keeps one state store per shuffle partition for as long as it lives.
+# A stateful stream keeps one state store per shuffle partition for as long as it lives, and cannot change their number
+# later: give it as many as the keys that are expected call for. No more are started than the session's shuffles have.
 STATE_PARTITIONS = 1_000
 
 
 def _start(
-    stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str, stateful: bool = False
+    stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str, state_partitions: int | None = None
 ) -> StreamingQuery:
     writer = (
         stream.writeStream.outputMode(mode)
@@ -39,9 +40,9 @@ def _start(
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    if not stateful:
+    if not state_partitions:
         return writer.start()
-    with at_most_partitions(stream.sparkSession, STATE_PARTITIONS):
+    with at_most_partitions(stream.sparkSession, state_partitions):
         return writer.start()
 
 
@@ -67,14 +68,18 @@ def completions_by_user(events: DataFrame, user: str) -> DataFrame:
     return events.groupBy(user).agg(F.count("*").alias("n"))
 
 
-def keep_updates(counts: DataFrame, path: str, checkpoint: str, keys: list[str], every: int | None = None) -> StreamingQuery:
-    """Write each batch's changed counts, and now and then the last count of every key."""
-    return _kept(counts, path, checkpoint, "update", lambda df: df, lambda rows: _last(rows, keys), every, stateful=True)
+def keep_updates(
+    counts: DataFrame, path: str, checkpoint: str, keys: list[str], every: int | None = None, state_partitions: int = STATE_PARTITIONS
+) -> StreamingQuery:
+    """Write each batch's changed rows, and now and then the last row of every key."""
+    return _kept(counts, path, checkpoint, "update", lambda df: df, lambda rows: _last(rows, keys), every, state_partitions)
 
 
 def _last(rows: DataFrame, keys: list[str]) -> DataFrame:
     values = [c for c in rows.columns if c not in (*keys, "batch")]
-    return rows.groupBy(*keys).agg(*[F.max_by(c, "batch").alias(c) for c in values])
+    # As one struct: a field that is null in the last row is null.
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_last"))
+    return last.select(*keys, "_last.*")
 
 
 def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
@@ -132,7 +137,7 @@ def _kept(
     reduce: Callable[[DataFrame], DataFrame],
     merge: Callable[[DataFrame], DataFrame],
     every: int | None,
-    stateful: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     every = every or SNAPSHOT_EVERY
 
@@ -150,7 +155,7 @@ def _kept(
             if n < before:
                 _remove(spark, f"{path}/snapshots/upto={n}")
 
-    return _start(stream, batch, checkpoint, mode, stateful)
+    return _start(stream, batch, checkpoint, mode, state_partitions)
 
 
 # --- goals -------------------------------------------------------------------------------

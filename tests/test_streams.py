@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import goals as G
 from millrace.operators.quality import filled_text, positive_number
-from millrace.streaming import jobs
+from millrace.streaming import jobs, states
 
 GOAL = "goal_id bigint, seq bigint, op string, title string, category string, due date, done boolean, day date"
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -46,6 +46,21 @@ def test_goal_stream(spark, tmp_path, every):
     assert rows(jobs.latest_goals(spark, state)) == GOALS
 
 
+@pytest.mark.parametrize("order", ["as it is", "backwards", "mixed"])
+def test_goals_in_the_engine_state(spark, tmp_path, order):
+    """A log out of order, with repeats and a restart in the middle, gives the goals of the whole log."""
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    log = {"as it is": LOG, "backwards": LOG[::-1], "mixed": LOG[1::2] + LOG[::2]}[order]
+    for part in (log[:6], log[4:]):  # two rows come twice
+        spark.createDataFrame(part, GOAL).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.file_stream(spark, source, spark.createDataFrame([], GOAL).schema)
+        states.goals_in_state(stream, out, checkpoint, state_partitions=3).awaitTermination()
+    assert rows(jobs.latest(spark, out, ["goal_id"]).where("alive").drop("alive")) == GOALS
+    kept = {r.goal_id: r for r in states.state_of(spark, checkpoint, "goal").collect()}
+    assert {g for g, r in kept.items() if r.life == "add"} == {g[0] for g in GOALS}
+    assert kept[3].life == "delete" and kept[3].life_seq == 10 and kept[1].title == "one"
+
+
 def test_points(spark):
     counts = spark.createDataFrame([(1, 4), (2, 5), (3, 12)], "u int, n bigint")
     assert rows(G.points(counts, "u", "n")) == [(1, 4, 40, 1, 80), (2, 5, 50, 2, 0), (3, 12, 120, 3, 40)]
