@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,6 +18,39 @@ def write_clustered(df: DataFrame, path: str, key: str, date: str) -> None:
     df.repartitionByRange(F.col(key), F.col(date), F.xxhash64(*df.columns)).sortWithinPartitions(key, date).write.mode("overwrite").parquet(path)
 
 
+# Ranges of each column along the curve: 2 ** CURVE_BITS.
+CURVE_BITS = 6
+
+
+def curve_position(columns: list[Column], cuts: list[list[Any]], bits: int = CURVE_BITS) -> Column:
+    """A row's place on a Z-order curve: the bits of its columns' ranges, taken in turn from the highest on.
+
+    `cuts` are the values that begin each column's ranges but the first, in order. Null is in the first range.
+    """
+    place = F.lit(0).cast("bigint")
+    for i, (column, own) in enumerate(zip(columns, cuts)):
+        rank = sum((F.coalesce(column >= F.lit(c), F.lit(False)).cast("bigint") for c in own), F.lit(0).cast("bigint"))
+        for bit in range(bits):
+            one = F.call_function("shiftright", rank, F.lit(bit)).bitwiseAND(1)
+            place = place + F.call_function("shiftleft", one, F.lit(bit * len(columns) + len(columns) - 1 - i))
+    return place
+
+
+def write_curved(df: DataFrame, path: str, columns: list[str], files: int, bits: int = CURVE_BITS) -> None:
+    """Files along a Z-order curve over the ranks of `columns`, numbers or dates: a filter on any one of them reads few.
+
+    The ranges of a column hold about equally many rows, so skewed values do not crowd the curve; their limits come from
+    one pass of mergeable sketches and only decide which rows lie together. A hash of the row is the last part of the
+    order, so that a place on the curve that fills many files is spread over them.
+    """
+    shares = [i / 2**bits for i in range(1, 2**bits)]
+    cuts = df.agg(*[F.percentile_approx(c, shares, 100 * 2**bits).alias(f"p{i}") for i, c in enumerate(columns)]).first()
+    limits = [sorted(set(cuts[f"p{i}"] or [])) for i in range(len(columns))]
+    curved = df.withColumn("_curve", curve_position([F.col(c) for c in columns], limits, bits))
+    spread = curved.repartitionByRange(files, F.col("_curve"), F.xxhash64(*df.columns)).sortWithinPartitions("_curve", *columns)
+    spread.drop("_curve").write.mode("overwrite").parquet(path)
+
+
 def write_by_month(df: DataFrame, path: str, date: str) -> None:
     """One folder per month; a month of any size is written in files of the advisory size."""
     (

@@ -16,6 +16,10 @@ from millrace.scratch import new_folder, written
 from millrace.sources.tables import Tables, reload_table
 
 
+# Buckets or files of the tables below; a production table has as many as its tasks are to be.
+BUCKETS = 16
+
+
 def _clustered(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "clustered")
     O.write_clustered(t.usage(), path, "sub_id", "use_dt")
@@ -32,6 +36,23 @@ def covered_read(t: Tables) -> DataFrame:
     return clustered_read(t).select("use_dt", "mb")
 
 
+def _curved(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "curved")
+    O.write_curved(t.usage(), path, ["sub_id", "use_dt"], BUCKETS)
+    return t.spark.read.parquet(path)
+
+
+@query(f"WITH {USAGE} SELECT * FROM usage WHERE sub_id = 24")
+def curved_by_key(t: Tables) -> DataFrame:
+    return _curved(t).where("sub_id = 24")
+
+
+@query(f"WITH {USAGE} SELECT * FROM usage WHERE use_dt >= '1998-06-01'")
+def curved_by_date(t: Tables) -> DataFrame:
+    """The same files, by the other column alone."""
+    return _curved(t).where(since("use_dt", dt.date(1998, 6, 1)))
+
+
 @query(f"WITH {USAGE} SELECT usage_id, use_dt, strftime(use_dt, '%Y-%m') AS month FROM usage WHERE use_dt >= '1997-03-01' AND use_dt < '1997-06-01'")
 def month_partitions(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "months")
@@ -57,10 +78,6 @@ def table_statistics(t: Tables) -> DataFrame:
     return report
 
 
-# Buckets of the tables below; a production table has as many as its tasks are to be.
-BUCKETS = 16
-
-
 @query("""
 SELECT o_custkey, c_name, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""")

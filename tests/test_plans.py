@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 from millrace.functions import predicates as P
@@ -242,3 +243,25 @@ def test_filters_skip_row_groups(spark, tmp_path):
         look = lambda path: spark.read.parquet(path).where(F.col("key") == value)  # noqa: B023, E731
         assert sorted(map(tuple, look(plain).collect())) == sorted(map(tuple, look(filtered).collect()))
         assert O.rows_read(look(filtered)) <= most < O.rows_read(look(plain))
+
+
+def test_either_column_alone_reads_few_groups(spark, tmp_path):
+    """Files along the curve; a third of all rows have one key, and a date may be missing."""
+    df = spark.range(120_000).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000))).alias("key"),
+        F.when(F.col("id") % 50 > 0, F.date_add(F.lit(dt.date(2020, 1, 1)), F.pmod(F.hash("id"), F.lit(1000)))).alias("day"), "id",
+    )
+    path = str(tmp_path / "curved")
+    O.write_curved(df, path, ["key", "day"], 64)
+    curved = spark.read.parquet(path)
+    assert sorted(curved.agg(F.sum("id"), F.count("*")).first()) == sorted(df.agg(F.sum("id"), F.count("*")).first())
+    for condition in (F.col("key") == 700, P.since("day", dt.date(2022, 7, 1))):
+        found = curved.where(condition)
+        assert O.rows_read(found) < 120_000 / 3
+        assert rows(found.select("id")) == rows(df.where(condition).select("id"))
+
+
+def test_places_on_the_curve(spark):
+    df = spark.createDataFrame([(0, 0), (1, 0), (0, 1), (1, 1), (2, 3), (3, 3), (None, 3)], "a int, b int")
+    place = O.curve_position([F.col("a"), F.col("b")], [[1, 2, 3], [1, 2, 3]], 2)
+    assert [r[0] for r in df.select(place).collect()] == [0, 2, 1, 3, 13, 15, 5]
