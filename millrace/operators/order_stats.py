@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import math
+import os
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 from fractions import Fraction
@@ -24,6 +25,9 @@ from millrace.functions.predicates import literal
 SMALL = 100_000
 ACCURACY = 10_000
 SAMPLE = 4_000  # rows, on average, that cut points of text are taken from
+PREFIX = 64  # characters of each that come to the driver
+SMALL_TEXTS = 5_000  # texts may be long, so fewer of them are sorted in one place
+LAST = "\U0010ffff"
 
 
 @dataclass(frozen=True)
@@ -81,19 +85,20 @@ def _sorted_out(df: DataFrame, searches: Searches) -> dict[tuple[str, int], Any]
 
 def _proposed(df: DataFrame, searches: Searches) -> dict[_Interval, list]:
     """Cut points around the wanted ranks of every interval, in order and among its rows."""
-    aggregates, proposed = [], {}
+    aggregates, around = [], {}
     for n, (interval, ranks) in enumerate(searches.items()):
         shares = [(rank - interval.below) / interval.inside for rank in ranks]
         text = isinstance(interval.data_type, T.StringType)
         margin = 4 / math.sqrt(SAMPLE) if text else 2 / ACCURACY
-        around = sorted({min(1.0, max(0.0, s + d)) for s in shares for d in (-margin, margin)})
+        around[n] = sorted({min(1.0, max(0.0, s + d)) for s in shares for d in (-margin, margin)})
         value = F.when(interval.holds(), F.col(interval.column))
-        if text:
-            proposed[f"p{n}"] = _sampled(df, interval, around)
-        else:
-            aggregates.append(F.percentile_approx(value, around, ACCURACY).alias(f"p{n}"))
+        if not text:
+            aggregates.append(F.percentile_approx(value, around[n], ACCURACY).alias(f"p{n}"))
         aggregates += [F.min(value).alias(f"min{n}"), F.max(value).alias(f"max{n}")]
-    row = _aggregate(df, searches, aggregates).first().asDict() | proposed
+    row = _aggregate(df, searches, aggregates).first().asDict()
+    for n, interval in enumerate(searches):
+        if isinstance(interval.data_type, T.StringType):
+            row[f"p{n}"] = _sampled(df, interval, around[n], row[f"min{n}"], row[f"max{n}"])
     # The approximation works on doubles, so a cut point may lie outside the rows.
     return {
         interval: _in_order({min(max(v, row[f"min{n}"], key=_sort_key), row[f"max{n}"], key=_sort_key) for v in row[f"p{n}"]})
@@ -110,12 +115,19 @@ def _in_order(values) -> list:
     return sorted(values, key=_sort_key)
 
 
-def _sampled(df: DataFrame, interval: _Interval, shares: list[float]) -> list[str]:
-    """Values near the given shares of an interval, from a sample of about SAMPLE rows."""
-    held = df.filter(interval.holds()).select(interval.column)
+def _sampled(df: DataFrame, interval: _Interval, shares: list[float], least: str, largest: str) -> list[str]:
+    """Cut points near the given shares of an interval, from beginnings of about SAMPLE texts in it.
+
+    What all its texts begin with is left out of the sample. Each beginning that is chosen gives two cut points, around
+    all texts with it, so that these, if they are many, are an interval of their own in the next round, where what they
+    begin with is longer.
+    """
+    same = os.path.commonprefix([least, largest])
+    held = df.filter(interval.holds()).select(F.substring(interval.column, len(same) + 1, PREFIX))
     drawn = held.sample(min(1.0, SAMPLE / interval.inside), seed=interval.inside).limit(4 * SAMPLE).collect()
-    values = _in_order(r[0] for r in drawn) or [held.first()[0]]
-    return [values[min(len(values) - 1, int(s * len(values)))] for s in shares]
+    values = _in_order(r[0] for r in drawn) or [largest[len(same) : len(same) + PREFIX]]
+    chosen = {values[min(len(values) - 1, int(s * len(values)))] for s in shares}
+    return [same + v + end for v in chosen for end in ("", LAST)]
 
 
 def _narrowed(df: DataFrame, searches: Searches) -> tuple[Searches, dict[tuple[str, int], Any]]:
@@ -151,7 +163,10 @@ def _solve(df: DataFrame, searches: Searches, small: int) -> dict[tuple[str, int
     """Values by (column, rank)."""
     found = {}
     while searches:
-        ready = {i: ranks for i, ranks in searches.items() if i.inside <= small}
+        ready = {
+            i: ranks for i, ranks in searches.items()
+            if i.inside <= (min(small, SMALL_TEXTS) if isinstance(i.data_type, T.StringType) else small)
+        }
         if ready:
             found |= _sorted_out(df, ready)
             searches = {i: ranks for i, ranks in searches.items() if i not in ready}

@@ -149,3 +149,13 @@ def test_row_key_of_dates(spark):
 def test_codes(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",), ("c",)], "x string")
     assert rows(encoded(df, "x"), "x", "code") == [("a", 0), ("b", 1), ("b", 1), ("c", 2), (None, -1)]
+
+
+@pytest.mark.parametrize("same", [0, 70, 300])
+def test_text_keys_with_long_beginnings(spark, same):
+    """Most texts share their first characters, a few come before and after; only short parts of them are sampled."""
+    texts = ["a", "zz", "z"] + ["m" * same + f"{i % 700:04d}" + "t" * (i % 3) for i in range(3000)] + ["m" * same] * 40
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "name string, id int").repartition(4)
+    ordered = sorted((t, i) for i, t in enumerate(texts))
+    for index in (0, 1, 700, 2222, len(texts) - 1):
+        assert tuple(row_key_at(df, [("name", False), ("id", False)], index, small=10)) == ordered[index]
