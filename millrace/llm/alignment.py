@@ -43,6 +43,8 @@ CHUNK_BYTES = 1 << 15
 FAN = 16  # fragments joined in one step
 MOST_STRETCHES = 150_000  # kept for the next time, then begun anew
 
+LEARNT = 20_000  # stretches encoded at a time, which bounds the lists of their ids
+
 # Unicode's white space, as the pattern of tokenizer A has it, and that pattern.
 BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -229,7 +231,8 @@ class Stretches:
             self.begin()
         found = list(map(self.place.get, stretches))
         if None in found:
-            self.learn(list({s for s, i in zip(stretches, found) if i is None}))
+            for some in itertools.batched({s for s, i in zip(stretches, found) if i is None}, LEARNT):
+                self.learn(list(some))
             found = list(map(self.place.__getitem__, stretches))
         return np.array(found, dtype=np.int64)
 
