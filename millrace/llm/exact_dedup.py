@@ -95,18 +95,18 @@ def exact_groups(
     text = normalise(F.coalesce(F.col(text_col), F.lit("")))
     ordered = _content_sorted(docs, text, id_col, largest, []).select("_sha", "_text", "_id")
     members = stored(ordered.mapInArrow(_members, GROUPS_SQL), "exact").df
-    # Two rows a slice at most; Spark broadcasts them while they are few, and splits a hot group where they are not.
+    # Only groups at the edges of slices may go on; the others are whole.
     edges = members.where("edge and head").groupBy("sha").agg(
         F.min("slice").alias("first_slice"), F.min_by("keep", "slice").alias("all_keep"), F.sum("size").alias("all_size")
     )
-    found = F.col("first_slice").isNotNull()
-    return members.join(edges, "sha", "left").select(
-        "id",
-        F.when(found, F.col("all_keep")).otherwise(F.col("keep")).alias("keep_id"),
-        F.when(found, F.col("all_size")).otherwise(F.col("size")).alias("group_size"),
-        (F.col("head") & (~found | (F.col("slice") == F.col("first_slice")))).alias("kept"),
-        "sha",
+    at_edge = members.where("edge").join(edges, "sha").select(
+        "id", F.col("all_keep").alias("keep_id"), F.col("all_size").alias("group_size"),
+        (F.col("head") & (F.col("slice") == F.col("first_slice"))).alias("kept"), "sha",
     )
+    inner = members.where("not edge").select(
+        "id", F.col("keep").alias("keep_id"), F.col("size").alias("group_size"), F.col("head").alias("kept"), "sha"
+    )
+    return inner.union(at_edge)
 
 
 def exact_dedup(
@@ -163,8 +163,9 @@ def exact_dedup(
             yield flagged(held, True)
 
     kept = stored(ordered.mapInArrow(heads, schema), "exact-rows").df
-    # The first row of every slice and its last group: two rows a slice at most.
+    # The first row of every slice and its last group: two rows a slice at most, the only ones that are joined.
     later = kept.where("_edge").groupBy("_sha").agg(F.min("_slice").alias("_first"))
-    whole = kept.join(later, "_sha", "left").where("_first is null or _slice = _first")
+    at_edge = kept.where("_edge").join(later, "_sha").where("_slice = _first").select(*kept.columns)
+    whole = kept.where("not _edge").union(at_edge)
     back = F.when(~F.col("_null"), F.col("_text")) if not normalise else F.col(names[at])
     return whole.select(*[(back if i == at else F.col(c)).alias(docs.columns[i]) for i, c in enumerate(names)])
