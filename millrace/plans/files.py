@@ -52,16 +52,20 @@ def string_list_positions(t: Tables) -> DataFrame:
 
 
 def _one_array(t: Tables, df: DataFrame, key: str, record, before: str = "[") -> str:
-    """One file that is one JSON array of `record` in the order of a unique key. Writing one file is one task by nature."""
+    """One JSON array of `record` in the order of a unique key, cut behind commas into files that many tasks write.
+
+    The last file, of one row, has the last item and the array's end.
+    """
     path = new_folder(t.spark, "one-array")
-    keys = df.select(key)
-    item = F.when(F.col(key) == keys.agg(F.min(key)).scalar(), "").otherwise(",")
-    lines = df.select(F.lit(1).alias("part"), F.col(key).alias("key"), F.concat(item, record).alias("value"))
-    ends = t.spark.range(1).select(F.explode(F.array(
-        F.struct(F.lit(0).alias("part"), F.lit(before).alias("value")), F.struct(F.lit(2).alias("part"), F.lit("]").alias("value"))
-    )).alias("e")).select("e.part", F.lit(None).cast(df.schema[key].dataType).alias("key"), "e.value")
-    # No line breaks between items: the whole file is one line.
-    lines.union(ends).repartition(1).sortWithinPartitions("part", "key").select("value").write.option("lineSep", " ").text(path)
+    least, last = df.agg(F.min(key), F.max(key)).first()  # one row
+    item = F.concat(F.when(F.col(key) == F.lit(least), before).otherwise(""), record)
+    # No line breaks between items: the whole text is one line. Spark names the files of a sorted table in its order.
+    items = df.where(F.col(key) < F.lit(last)).select(F.col(key).alias("key"), item.alias("value")).orderBy("key")
+    items.select("value").write.option("lineSep", ",").text(f"{path}/part=0")
+    end = t.spark.range(1).select(F.lit(f"{before}]").alias("value"))
+    if last is not None:
+        end = df.where(F.col(key) == F.lit(last)).select(F.concat(item, F.lit("]")).alias("value"))
+    end.coalesce(1).write.option("lineSep", " ").text(f"{path}/part=1")
     return path
 
 
@@ -71,16 +75,16 @@ def _order_record():
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def split_json_array(t: Tables) -> DataFrame:
-    """One array in a file of one line, read by many tasks."""
+    """One array on one line, written and read by many tasks."""
     path = _one_array(t, t.orders, "o_orderkey", _order_record())
-    return files.read_json_array(t.spark, path, ORDER_FIELDS, range_bytes=split.fair_range(t.spark, path))
+    return files.read_json_array(t.spark, path, ORDER_FIELDS, range_bytes=split.fair_range(t.spark, path), one_text=True)
 
 
 @query("""
 SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row, o_orderkey, o_orderstatus, o_totalprice FROM orders""")
 def split_assigned_list(t: Tables) -> DataFrame:
     path = _one_array(t, t.orders, "o_orderkey", _order_record(), "sales = [")
-    return files.read_assigned_list(t.spark, path, "sales", ORDER_FIELDS, range_bytes=split.fair_range(t.spark, path))
+    return files.read_assigned_list(t.spark, path, "sales", ORDER_FIELDS, range_bytes=split.fair_range(t.spark, path), one_text=True)
 
 
 @query("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, text AS item FROM documents")
@@ -89,7 +93,7 @@ def split_string_list(t: Tables) -> DataFrame:
     # An array of one string, without its brackets, is the string as JSON has it.
     quoted = F.regexp_extract(F.to_json(F.array("text")), r"(?s)^\[(.*)\]$", 1)
     path = _one_array(t, t.documents, "doc_id", quoted)
-    return files.read_string_list(t.spark, path, range_bytes=split.fair_range(t.spark, path))
+    return files.read_string_list(t.spark, path, range_bytes=split.fair_range(t.spark, path), one_text=True)
 
 
 @query("""
@@ -104,7 +108,7 @@ def split_judged_json(t: Tables) -> DataFrame:
     amount = F.col("c_acctbal")
     text = F.when(F.col("c_custkey") % 3 == 0, record(amount.cast("string"))).otherwise(record(amount))
     path = _one_array(t, t.customer, "c_custkey", text)
-    records = files.read_json_records(t.spark, path, range_bytes=split.fair_range(t.spark, path))
+    records = files.read_json_records(t.spark, path, range_bytes=split.fair_range(t.spark, path), one_text=True)
     return judged_records(records).select("row", F.array_join("errors", "; ").alias("error"))
 
 

@@ -24,26 +24,30 @@ def _type(schema: T.DataType | str) -> T.DataType:
 # --- JSON --------------------------------------------------------------------------------
 
 # A file that is one array is read by one task, which is right for many small files. With `range_bytes` it is read by one
-# task for each so many bytes (see split.py), which is right for large ones. With `whole_file` off every line holds an
+# task for each so many bytes (see split.py), which is right for large ones; with `one_text` too, the files of a folder are
+# one array that was cut behind commas, in the order of their paths. With `whole_file` off every line holds an
 # array of its own, and files are split at lines.
 
 def read_json_array(
-    spark: SparkSession, path: str, schema: T.StructType | str, whole_file: bool = True, range_bytes: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str, whole_file: bool = True, range_bytes: int | None = None,
+    one_text: bool = False,
 ) -> DataFrame:
     """Records of files that each hold one array of objects."""
     if range_bytes:
         record = F.from_json("item", _type(schema), {"mode": "FAILFAST"})
-        return split.array_items(spark, path, range_bytes).select(record.alias("record")).select("record.*")
+        return split.array_items(spark, path, range_bytes, one_text=one_text).select(record.alias("record")).select("record.*")
     return spark.read.schema(schema).json(path, multiLine=whole_file)
 
 
-def read_json_records(spark: SparkSession, path: str, whole_file: bool = True, range_bytes: int | None = None) -> DataFrame:
+def read_json_records(
+    spark: SparkSession, path: str, whole_file: bool = True, range_bytes: int | None = None, one_text: bool = False
+) -> DataFrame:
     """(row, record) of JSON arrays, the records as variants that keep their own field types.
 
     `row` counts from 0 within an array.
     """
     if range_bytes:
-        return split.array_items(spark, path, range_bytes).select("row", F.parse_json("item").alias("record"))
+        return split.array_items(spark, path, range_bytes, one_text=one_text).select("row", F.parse_json("item").alias("record"))
     texts = spark.read.text(path, wholetext=whole_file).withColumn("_json", F.parse_json("value"))
     return texts.lateralJoin(
         spark.tvf.variant_explode(F.col("_json").outer()).select(F.col("pos").alias("row"), F.col("value").alias("record"))
@@ -51,7 +55,8 @@ def read_json_records(spark: SparkSession, path: str, whole_file: bool = True, r
 
 
 def read_assigned_list(
-    spark: SparkSession, path: str, name: str, schema: T.StructType | str, whole_file: bool = True, range_bytes: int | None = None
+    spark: SparkSession, path: str, name: str, schema: T.StructType | str, whole_file: bool = True, range_bytes: int | None = None,
+    one_text: bool = False,
 ) -> DataFrame:
     """Rows of text of the form `name = [ {...}, ... ]`, with their position `row` from 0.
 
@@ -59,7 +64,7 @@ def read_assigned_list(
     """
     if range_bytes:
         record = F.from_json("item", _type(schema), {"mode": "FAILFAST"})
-        return split.array_items(spark, path, range_bytes, name).select("row", record.alias("record")).select("row", "record.*")
+        return split.array_items(spark, path, range_bytes, name, one_text).select("row", record.alias("record")).select("row", "record.*")
     body = F.regexp_extract("value", rf"(?s)^\s*{re.escape(name)}\s*=\s*(\[.*\])\s*$", 1)
     found = F.when(body != "", body).otherwise(
         F.raise_error(F.lit(f"no list is assigned to {name}")).cast("string")
@@ -72,12 +77,14 @@ def read_assigned_list(
     )
 
 
-def read_string_list(spark: SparkSession, path: str, whole_file: bool = True, range_bytes: int | None = None) -> DataFrame:
+def read_string_list(
+    spark: SparkSession, path: str, whole_file: bool = True, range_bytes: int | None = None, one_text: bool = False
+) -> DataFrame:
     """Items of JSON arrays of strings with their position from 0."""
     if range_bytes:
         # An item is a list of one string here, as a string alone is not read as JSON.
         one = F.from_json(F.concat(F.lit("["), "item", F.lit("]")), T.ArrayType(T.StringType()), {"mode": "FAILFAST"})
-        return split.array_items(spark, path, range_bytes).select(F.col("row").alias("position"), one[0].alias("item"))
+        return split.array_items(spark, path, range_bytes, one_text=one_text).select(F.col("row").alias("position"), one[0].alias("item"))
     items = F.from_json("value", T.ArrayType(T.StringType()), {"mode": "FAILFAST"})
     return spark.read.text(path, wholetext=whole_file).select(F.posexplode(items).alias("position", "item"))
 

@@ -8,8 +8,11 @@ import random
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
+from millrace.plans.files import _one_array
 from millrace.sources import files, split
+from millrace.sources.tables import Tables
 
 TRICKY = ['a,b', 'say "hi"', 'back\\slash', '\\', '\\\\"', '[not, an array]', '{"k": [1, 2]}', 'line\nbreak', 'crlf\r\nend', '', ' ', '서울,부산', '"', '",', ' ', '}]']
 
@@ -167,3 +170,37 @@ def test_ranges_are_tasks(spark, tmp_path):
         assert parts.select("start").distinct().count() >= 20
     assert files.read_json_array(spark, path, "n bigint", range_bytes=1 << 17).agg({"n": "sum"}).first()[0] == sum(range(30_000))
     assert np.array_equal(split.DEPTH[[91, 93, 123, 125]], [1, -1, 1, -1])
+
+
+@pytest.mark.parametrize("name", [None, "sales"])
+def test_one_array_in_many_files(spark, tmp_path, name):
+    """An array cut behind commas, also within strings and records, is read as if it were one file."""
+    values = TRICKY * 6 + [{"a": [1, "x,y"], "b": ","}, [1, [2, 3]]]
+    text = ("sales = " if name else "") + json.dumps(values, ensure_ascii=False) + "\n"
+    places = [i + 1 for i, c in enumerate(text) if c == ","][2::7]
+    for i, (a, b) in enumerate(zip([0, *places], [*places, len(text)])):
+        folder = tmp_path / f"part={i // 10}"
+        folder.mkdir(exist_ok=True)
+        put(folder / f"part-{i:05}.txt", text[a:b])
+    for range_bytes in (60, 1 << 20):
+        got = sorted((r.row, json.loads(r.item)) for r in split.array_items(spark, str(tmp_path), range_bytes, name, one_text=True).collect())
+        assert got == list(enumerate(values))
+    (tmp_path / "part=9").mkdir()
+    put(tmp_path / "part=9" / "part-0.txt", "]")
+    with pytest.raises(Exception, match="not a JSON array|no list is assigned"):
+        split.array_items(spark, str(tmp_path), 1 << 20, name, one_text=True).collect()
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5_000])
+def test_one_array_is_written_by_many_tasks(spark, tmp_path, n):
+    table = spark.range(n).withColumn("t", F.lit('x, "y"\n')).repartition(4)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        path = _one_array(Tables(spark, str(tmp_path)), table, "id", F.to_json(F.struct("id", "t")))
+    finally:
+        spark.conf.unset(coalesce)
+    files_of = spark.read.format("binaryFile").load(path).orderBy("path").collect()
+    assert json.loads(b"".join(f.content for f in files_of)) == [{"id": i, "t": 'x, "y"\n'} for i in range(n)]
+    if n > 2:  # no task has the whole array
+        assert len(files_of) > 4 and max(f.length for f in files_of) < sum(f.length for f in files_of) / 2
