@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import path_bytes, size_shuffles
+from millrace.session import path_bytes, size_hash_tables
 
 
 # Declared types, so that no job has to look into the files first.
@@ -39,7 +39,7 @@ class Tables:
     sizes: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        size_shuffles(self.spark, 0)
+        size_hash_tables(self.spark, 0)
 
     def path(self, name: str) -> str:
         return f"{self.folder.rstrip('/')}/{name}.parquet"
@@ -49,7 +49,7 @@ class Tables:
             raise AttributeError(name)
         if name not in self.sizes:  # shuffles are sized by the tables that a query reads
             self.sizes[name] = path_bytes(self.spark, self.path(name))
-            size_shuffles(self.spark, sum(self.sizes.values()))
+            size_hash_tables(self.spark, sum(self.sizes.values()))
         reader = self.spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else self.spark.read
         return reader.parquet(self.path(name))
 

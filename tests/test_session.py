@@ -5,7 +5,7 @@ import os
 import pytest
 
 from millrace import scratch
-from millrace.session import SHUFFLE_PARTITIONS, at_most_partitions, path_bytes, size_shuffles, wanted_partitions
+from millrace.session import SHUFFLE_PARTITIONS, at_most_partitions, path_bytes, prepare, size_shuffles, wanted_partitions
 from millrace.sources.tables import Tables
 
 
@@ -55,3 +55,15 @@ def test_clear(spark):
     [path] = [p for p in scratch._made if p in before.inputFiles()[0]]
     scratch.clear(spark)
     assert not os.path.exists(path) and scratch._made == []
+
+
+def test_hash_tables_of_large_tables_are_small(spark, folder, monkeypatch):
+    """At 6 GB a task gets 10 MB of a table's files, and merged partitions stay small; operators on texts keep theirs."""
+    monkeypatch.setattr("millrace.sources.tables.path_bytes", lambda *_: 6 * 2**30)
+    try:
+        Tables(spark, folder).lineitem
+        assert int(spark.conf.get(SHUFFLE_PARTITIONS)) == 600
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    finally:
+        size_shuffles(prepare(spark), 0)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "64m"
