@@ -5,9 +5,9 @@ pairs, up to `most` columns. A set is left out if a smaller one is a key, or if
 as nothing minimal can come of it; of a set only those columns are looked at that no smaller set determines.
 
 A set is held against all its open columns at once. First on some of its groups, those where the hash of its most varied
-column falls on zero: whole groups, so what they contradict is wrong for the table. What is left is held against all rows
-by one hash aggregate (a group with two hashes of a column contradicts), and what that leaves is confirmed by comparing
-values. Rows are pre-aggregated by the set before they move, so a hot group is a row a task; the driver sees a row a set.
+column falls on zero: whole groups, so what they contradict is wrong for the table. These rows are written once, by that
+column, for all sets that look at them. What is left is held against all rows by one hash aggregate (a group with two
+hashes of a column contradicts), and what that leaves is confirmed by comparing values, of all columns of a set at once. Rows are pre-aggregated by the set before they move, so a hot group is a row a task; the driver sees a row a set.
 
 Null is a value like others. The empty table and a table of one row have the empty set as their key.
 """
@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.quality import dependency_violations
-from millrace.scratch import written
+from millrace.scratch import new_folder, written
 
 MOST_COLUMNS = 2
 SOME_ROWS = 1_000_000  # held against a set at first
 SETS_A_JOB = 40
+SAMPLE_OF = "_sample_of"
 
 Columns = tuple[str, ...]
 
@@ -47,10 +48,29 @@ def _hash(column: str) -> Column:
     return F.xxhash64(_name(column), _name(column).isNull())
 
 
-def _contradicted(df: DataFrame, sets: dict[Columns, list[str]], share: int, varied: dict[str, int]) -> dict[Columns, set]:
+def _some(column: str, share: int) -> Column:
+    """Whether a row's group by `column` is among one in `share` of them."""
+    return F.pmod(_hash(column), F.lit(share)) == 0
+
+
+def _samples(df: DataFrame, columns: list[str], share: int) -> dict[str, DataFrame]:
+    """For each column the rows of some of its groups, from one pass over the table."""
+    if not columns:
+        return {}
+    path = new_folder(df.sparkSession, "some")
+    of = F.array_compact(F.array(*[F.when(_some(c, share), F.lit(i)) for i, c in enumerate(columns)]))
+    some = df.select(*[_name(c) for c in df.columns], F.explode(of).alias(SAMPLE_OF))
+    some.write.partitionBy(SAMPLE_OF).parquet(path)
+    back = df.sparkSession.read.schema(some.schema).parquet(path)
+    return {c: back.where(F.col(SAMPLE_OF) == i).drop(SAMPLE_OF) for i, c in enumerate(columns)}
+
+
+def _contradicted(
+    df: DataFrame, sets: dict[Columns, list[str]], share: int, varied: dict[str, int], samples: dict[str, DataFrame] | None = None
+) -> dict[Columns, set]:
     """For each set the columns that take two values within a group, and "" if a group has two rows.
 
-    Looks at one in `share` of the groups by the hash of the most varied column of a set.
+    Looks at one in `share` of the groups by the hash of the most varied column of a set, in `samples` if it has them.
     """
     out: dict[Columns, set] = {}
     todo = list(sets.items())
@@ -59,7 +79,8 @@ def _contradicted(df: DataFrame, sets: dict[Columns, list[str]], share: int, var
         for number, (own, others) in enumerate(todo[at : at + SETS_A_JOB]):
             some = df
             if own and share > 1:
-                some = df.where(F.pmod(_hash(max(own, key=lambda c: varied[c])), F.lit(share)) == 0)
+                by = max(own, key=lambda c: varied[c])
+                some = samples[by] if samples and by in samples else df.where(_some(by, share))
             values = [F.min(_hash(c)) != F.max(_hash(c)) for c in others]
             groups = some.groupBy(*[_name(c) for c in own]).agg(F.array(F.count("*") > 1, *values).alias("broken"))
             broken = F.array(*[F.coalesce(F.bool_or(F.col("broken")[i]), F.lit(False)) for i in range(len(others) + 1)])
@@ -70,11 +91,16 @@ def _contradicted(df: DataFrame, sets: dict[Columns, list[str]], share: int, var
     return out
 
 
-def _confirmed(df: DataFrame, own: Columns, other: str) -> bool:
+def _confirmed(df: DataFrame, own: Columns, others: list[str]) -> list[str]:
+    """The columns that take one value in every group."""
+    if not others:
+        return []
     if not own:
-        return df.select(_name(other)).distinct().limit(2).count() < 2
+        return [c for c in others if df.select(_name(c)).distinct().limit(2).count() < 2]
     quoted = [f"`{c}`" for c in own]
-    return dependency_violations(df, quoted, [f"`{other}`"]).isEmpty()
+    if dependency_violations(df, quoted, [f"`{c}`" for c in others]).isEmpty():
+        return others
+    return [c for c in others if dependency_violations(df, quoted, [f"`{c}`"]).isEmpty()] if len(others) > 1 else []
 
 
 def _determined(own: Columns, found: list[tuple[Columns, str]]) -> set[str]:
@@ -82,13 +108,19 @@ def _determined(own: Columns, found: list[tuple[Columns, str]]) -> set[str]:
     return {c for parts, c in found if set(parts) <= set(own)}
 
 
-def find_dependencies(df: DataFrame, columns: list[str] | None = None, most: int = MOST_COLUMNS, some_rows: int = SOME_ROWS) -> Found:
-    """Minimal keys and dependencies with at most `most` columns on the left."""
+def find_dependencies(
+    df: DataFrame, columns: list[str] | None = None, most: int = MOST_COLUMNS, some_rows: int = SOME_ROWS, is_written: bool = False
+) -> Found:
+    """Minimal keys and dependencies with at most `most` columns on the left. A table that is a written one already is not copied."""
     columns = columns or df.columns
-    rows = written(df.select(*[_name(c) for c in columns]), "dependencies")
+    rows = df.select(*[_name(c) for c in columns])
+    rows = rows if is_written else written(rows, "dependencies")
     varied = rows.agg(*[F.approx_count_distinct(_name(c)).alias(f"v{i}") for i, c in enumerate(columns)], F.count("*").alias("n")).first()
     share = max(1, varied["n"] // some_rows)
     by_name = {c: varied[f"v{i}"] for i, c in enumerate(columns)}
+    # Worth their writing if they are small together; of a column with few values one in `share` may be most rows.
+    few = share >= 2 * len(columns)
+    samples = _samples(rows, [c for c in columns if by_name[c] > share], share) if few else {}
     found = Found()
     for level in range(most + 1):
         sets: dict[Columns, list[str]] = {}
@@ -102,7 +134,7 @@ def find_dependencies(df: DataFrame, columns: list[str] | None = None, most: int
         if not sets:
             break
         if share > 1:
-            wrong = _contradicted(rows, sets, share, by_name)
+            wrong = _contradicted(rows, sets, share, by_name, samples)
             sets = {own: [c for c in others if c not in wrong[own]] for own, others in sets.items()}
             sets = {own: others for own, others in sets.items() if others or "" not in wrong[own]}
         wrong = _contradicted(rows, sets, 1, by_name) if sets else {}
@@ -111,7 +143,7 @@ def find_dependencies(df: DataFrame, columns: list[str] | None = None, most: int
             if is_key:
                 found.keys.append(own)
             held = [c for c in others if c not in wrong[own]]
-            found.dependencies += [(own, c) for c in held if is_key or _confirmed(rows, own, c)]
+            found.dependencies += [(own, c) for c in (held if is_key else _confirmed(rows, own, held))]
     return found
 
 

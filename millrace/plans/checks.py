@@ -205,7 +205,7 @@ def found_keys(t: Tables) -> DataFrame:
 def split_rejoined(t: Tables) -> DataFrame:
     """The wide table split as its dependencies propose, and joined again."""
     wide = written(_wide(t), "wide")
-    found = D.find_dependencies(wide, WIDE)
+    found = D.find_dependencies(wide, WIDE, is_written=True)
     split = D.proposed_split(WIDE, found)
     order = D.join_order(WIDE, split, D.minimal_cover(found.dependencies))
     return D.rejoin_split(Q.split_tables(wide, split), order, WIDE)

@@ -94,3 +94,17 @@ def test_cover_and_closure():
     assert D.minimal_cover(deps) == [(("a",), "b"), (("b",), "c"), (("a", "d"), "e")]
     split = D.proposed_split(["a", "b", "c", "d", "e", "k"], D.Found([], [*deps, ((), "k")]))
     assert split == {"a": ["a", "b"], "b": ["b", "c"], "a_d": ["a", "d", "e", "k"]}
+
+
+def test_some_rows_are_written_once_for_all_sets(spark, monkeypatch):
+    """Whole groups, from one pass; what they contradict and what is found stay the same."""
+    table = spark.range(6_000).selectExpr("id div 2 AS a", "id div 4 AS b", "id % 3000 AS `c d`")
+    made = []
+    samples = D._samples
+    monkeypatch.setattr(D, "_samples", lambda *args: made.append(samples(*args)) or made[-1])
+    found = D.find_dependencies(table, some_rows=500, is_written=True)
+    assert found == D.find_dependencies(table, some_rows=10_000)
+    assert (("a",), "b") in found.dependencies and ("a", "c d") in found.keys
+    assert sorted(made[0]) == ["a", "b", "c d"]
+    for c, some in made[0].items():
+        assert sorted(some.collect()) == sorted(table.where(D._some(c, 12)).collect())
