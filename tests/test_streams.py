@@ -61,6 +61,36 @@ def test_goals_in_the_engine_state(spark, tmp_path, order):
     assert kept[3].life == "delete" and kept[3].life_seq == 10 and kept[1].title == "one"
 
 
+def test_goals_in_the_engine_state_call_no_python(spark, tmp_path):
+    """A store that Python asks key by key takes milliseconds a key; null keys and settings of one number keep their rows."""
+    log = [(None, 1, "add", "none", "JS", None, None, D1), (7, 2, "add", "seven", "JS", D2, None, D1), (7, 2, "add", "seven", "JS", D2, None, D1),
+           (8, 3, "toggle", None, None, None, True, D1), (9, None, "add", "no number", "JS", None, None, D1)]
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    spark.createDataFrame(log, GOAL).coalesce(1).write.parquet(source)
+    stream = jobs.file_stream(spark, source, spark.createDataFrame([], GOAL).schema)
+    query = states.goals_in_state(stream, out, checkpoint, state_partitions=2)
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "StateStoreSave" in plan and "Python" not in plan and "TransformWithState" not in plan
+    assert any(n.startswith("rocksdb") for n in query.recentProgress[0]["stateOperators"][0]["customMetrics"])
+    assert rows(jobs.latest(spark, out, ["goal_id"]).where("alive").drop("alive")) == [
+        (7, "seven", "JS", D2, False, None), (None, "none", "JS", None, False, None),
+    ]
+    assert {r.goal_id: r.life_seq for r in states.state_of(spark, checkpoint, "goal").collect()} == {None: 1, 7: 2, 8: None, 9: None}
+
+
+def test_points_in_the_engine_state(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    for users in ([1, 1, 2, None], [1, 3]):
+        spark.createDataFrame([(u,) for u in users], "u int").coalesce(1).write.mode("append").parquet(source)
+        query = states.points_in_state(jobs.file_stream(spark, source, spark.createDataFrame([], "u int").schema), "u", out, checkpoint, state_partitions=2)
+        query.awaitTermination()
+    assert "TransformWithState" not in query._jsq.explainInternal(False)
+    expected = [(1, 3), (2, 1), (3, 1), (None, 1)]
+    assert rows(states.state_of(spark, checkpoint, "points")) == expected
+    assert rows(jobs.latest(spark, out, ["owner"])) == [(u, n, 10 * n) for u, n in expected]
+
+
 def test_points(spark):
     counts = spark.createDataFrame([(1, 4), (2, 5), (3, 12)], "u int, n bigint")
     assert rows(G.points(counts, "u", "n")) == [(1, 4, 40, 1, 80), (2, 5, 50, 2, 0), (3, 12, 120, 3, 40)]
