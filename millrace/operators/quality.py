@@ -125,11 +125,35 @@ def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     return both.groupBy(*columns).agg(F.sum("_n").alias("surplus")).filter("surplus <> 0")
 
 
-def same_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One row: how many distinct rows differ, and whether none does."""
-    return row_differences(left, right).agg(F.count("*").alias("different")).withColumn(
-        "same", F.col("different") == 0
+def rejoined_differences(wide: DataFrame, items: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Row differences between a wide table and the join of `items` with `parent` on `key`.
+
+    `items` has the key, and `parent` all columns of the wide table that `items` lacks. Both sides are shuffled once, by
+    the key: wide rows pass the join without a match, and equal rows meet in the task that joins them.
+    """
+    columns, own = wide.columns, set(items.columns)
+    lacking = [c for c in columns if c not in own]
+    blank = [F.col(c) if c in own else F.lit(None).cast(wide.schema[c].dataType).alias(c) for c in columns]
+    both = wide.select(*columns, F.lit(1).cast("long").alias("_n")).unionAll(
+        items.select(*blank, F.lit(-1).cast("long").alias("_n"))
     )
+    known = parent.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in lacking])
+    met = both.join(known, (F.col(key) == F.col("_key")) & (F.col("_n") < 0), "left")
+    back = met.where("_n > 0 OR _key IS NOT NULL").select(
+        *[F.when(F.col("_n") < 0, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in lacking else c for c in columns], "_n"
+    )
+    return back.groupBy(*columns).agg(F.sum("_n").alias("surplus")).filter("surplus <> 0")
+
+
+def counted_differences(differences: DataFrame) -> DataFrame:
+    """One row: how many rows differ, each as often as it is in surplus, and whether none does."""
+    n = F.coalesce(F.sum(F.abs("surplus")), F.lit(0).cast("long"))
+    return differences.agg(n.alias("different")).withColumn("same", F.col("different") == 0)
+
+
+def same_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row: how many rows one side has more of than the other, and whether there are none."""
+    return counted_differences(row_differences(left, right))
 
 
 def guarded_titles(df: DataFrame, title: str) -> DataFrame:

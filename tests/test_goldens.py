@@ -136,6 +136,30 @@ def test_normal_forms(spark):
     assert Q.dependency_violations(wide, ["part"], ["label", "price"]).isEmpty()
 
 
+def test_differences_count_as_often_as_a_row_is_in_surplus(spark):
+    left = spark.createDataFrame([(1, None), (1, None), (1, None), (2, "b")], "k int, v string")
+    right = spark.createDataFrame([(1, None), (3, "c"), (3, "c")], "k int, v string")
+    sql = "SELECT COUNT(*) FROM ((SELECT * FROM l EXCEPT ALL SELECT * FROM r) UNION ALL (SELECT * FROM r EXCEPT ALL SELECT * FROM l))"
+    left.createOrReplaceTempView("l")
+    right.createOrReplaceTempView("r")
+    assert rows(Q.same_rows(left, right)) == [(spark.sql(sql).first()[0], False)] == [(5, False)]
+    assert rows(Q.same_rows(left, left)) == rows(Q.same_rows(left.limit(0), left.limit(0))) == [(0, True)]
+
+
+def test_rejoined_differences_are_those_of_the_join(spark):
+    """Null keys and parents, keys without a parent or with two, a row that occurs twice, and rows of one side only."""
+    items = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 9), (5, None), (6, 3)], "line int, k int")
+    parent = spark.createDataFrame([(1, "one"), (2, None), (3, "three"), (3, "drei"), (None, "none"), (8, "eight")], "k int, name string")
+    wide = spark.createDataFrame(
+        [("one", 1, 1), ("one", 1, 1), ("ONE", 2, 1), (None, 3, 2), (None, 5, None), ("three", 6, 3), ("x", 7, 8)], "name string, line int, k int"
+    )
+    back = Q.rejoined(items, [(parent, "k")], wide.columns)
+    found = rows(Q.rejoined_differences(wide, items, parent, "k"))
+    assert found == rows(Q.row_differences(wide, back)) and len(found) == 6
+    assert rows(Q.rejoined_differences(back, items, parent, "k")) == []
+    assert rows(Q.rejoined_differences(wide.limit(0), items, parent, "k")) == rows(Q.row_differences(wide.limit(0), back))
+
+
 def test_keys_and_orphans(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (None, 2), (3, None), (4, 9), (4, 9)], "k int, p int")
     assert rows(Q.key_violations(df, ["k"])) == [(1, 2), (4, 2), (None, 1)]

@@ -1,6 +1,7 @@
 """What reaches the scan and how joins and aggregates run."""
 
 import datetime as dt
+import re
 
 import pytest
 from conftest import rows
@@ -196,6 +197,26 @@ def test_hot_key_meets_checks_as_one_row(spark, tiny_partitions):
     assert plan.index("HashAggregate") < plan.index("Exchange") or "partial_count" in plan
 
 
+def test_wide_rows_are_shuffled_once_to_be_compared(spark, folder, tiny_partitions):
+    compared = QUERIES["lossless_rejoin"](spark, folder)
+    # The only shuffle of p_name with c_name, which only whole rows have both of, would be by all columns.
+    shuffles = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: (hashpartitioning\(.*?\)), ", plan_text(compared))
+    whole = [by for columns, by in shuffles if "c_name" in columns and "p_name" in columns]
+    assert len(whole) == 1 and re.fullmatch(r"hashpartitioning\(l_orderkey#\d+L?, \d+\)", whole[0])
+    assert compared.collect()[0].asDict() == {"different": 0, "same": True}
+
+
+def test_hot_key_is_split_when_rows_are_compared(spark, tiny_partitions):
+    facts = hot_facts(spark)
+    dim = spark.range(997).select(F.col("id").alias("k"), F.concat(F.lit("name"), "id").alias("name"))
+    other = dim.withColumn("name", F.when(F.col("k") == 7, "none").otherwise(F.col("name")))
+    wide = facts.join(dim, "k").select("v", "k", "name")
+    n = facts.filter("k = 7").count()
+    found = Q.counted_differences(Q.rejoined_differences(wide, facts, other, "k"))
+    assert [tuple(r) for r in found.collect()] == [(2 * n, False)]
+    assert "skew=true" in plan_text(found)
+
+
 def test_month_positions_do_not_shuffle_by_month(spark, folder):
     usage = spark.read.parquet(f"{folder}/orders.parquet")
     monthly = W.monthly_totals(usage, "o_custkey", "o_orderdate", "o_totalprice")
