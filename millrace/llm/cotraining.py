@@ -347,22 +347,29 @@ class Spread:
         self.df, self.own = df, own
 
     def total(self, of: Callable[[Batch], np.ndarray], size: int) -> np.ndarray:
-        """Sums over all documents; a task hands on one array, and REDUCERS arrays come to the driver."""
+        """Sums over all documents; a task hands on one array in REDUCERS parts, and each part's sum comes to the driver."""
         def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(size, np.int64)
             for batch in _parts(batches):
                 total += of(_unpacked(batch))
-            yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
+            yield handed_on(dict(enumerate(np.array_split(total, REDUCERS))))
 
         def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(size, np.int64)
+            totals: dict[int, np.ndarray] = {}
             for batch in batches:
-                for i in range(batch.num_rows):
-                    total += np.frombuffer(batch.column(0)[i].as_py(), np.int64)
-            yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
-
-        parts = self.df.mapInArrow(summed, "sums binary").repartition(REDUCERS).mapInArrow(added, "sums binary").collect()
-        return sum((np.frombuffer(r.sums, np.int64) for r in parts), np.zeros(size, np.int64))
+                for i, part in enumerate(batch.column("part").to_pylist()):
+                    own = np.frombuffer(batch.column("sums")[i].as_py(), np.int64)
+                    totals[part] = totals[part] + own if part in totals else own
+            yield handed_on(totals)
+
+        def handed_on(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
+            sums = pa.array([x.tobytes() for x in parts.values()], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), sums], names=["part", "sums"])
+
+        columns = "part int, sums binary"
+        found = dict(self.df.mapInArrow(summed, columns).repartition("part").mapInArrow(added, columns).collect())
+        parts = np.array_split(np.zeros(size, np.int64), REDUCERS)
+        return np.concatenate([np.frombuffer(found[i], np.int64) if i in found else x for i, x in enumerate(parts)])
 
     def marked(self, by: Callable[[Batch], Batch], more: Spread) -> Spread:
         """Those that `by` marks, written down, and `more`."""

@@ -514,6 +514,20 @@ def test_sums_in_tasks_are_those_in_memory(spark, odd):
     assert marks == {k: n for k, n in ((1, n_good), (0, n_bad)) if n}
 
 
+def test_each_part_of_a_sum_comes_to_the_driver_once(spark, monkeypatch):
+    """However many tasks there are."""
+    rows = [(i, prose(i, 20), "en", "s", i % 2, i % 5 == 0) for i in range(100)]
+    docs = spark.createDataFrame(rows, "id bigint, text string, lang string, source string, label int, held boolean").repartition(20)
+    table = cotraining.stored(docs.mapInArrow(cotraining._featured, cotraining.FEATURES_SQL), "test").df
+    seen, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: seen.extend(found := collect(df)) or found)
+    size = 4 * cotraining.SIZE + 4
+    total = cotraining.Spread(table).total(cotraining.class_sums, size)
+    assert total[-4:].tolist() == [40, 40, 10, 10] and sum(len(r.sums) for r in seen) == 8 * size
+    none = cotraining.Spread(table.limit(0)).total(cotraining.class_sums, size)
+    assert len(none) == size and not none.any()
+
+
 ALPHABET = ["a", "the", "ing", "'s", "'", "!!", "1", "é", "é", "́", "中文", "한", "<|endoftext|>", "<|end", "ABC", "İ", " ", "\x1c", "🙂", "ﬁ", "Σ"]
 
 
