@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from millrace.llm.common import Stored, discard, stored
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has a single edge and is no smaller end."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    apart = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return apart.agg(F.count(F.when(F.col("up") + F.col("down") > 1, 1)).alias("n")).first().n == 0
 
 
 def _with_least(edges: DataFrame, of: str, other: str) -> DataFrame:
@@ -22,27 +27,25 @@ def components(edges: DataFrame) -> Stored:
     """Rows (node, component) of every node of `edges` (u, v); a component is known by its least node.
 
     Large-star and small-star in turn: a node's larger neighbours move to its least neighbour, then its smaller ones do.
-    The number of rounds grows with the logarithm of the graph. A node's neighbours are reduced to their least before
-    they meet; a hub's edges are joined to that single row, which adaptive execution can split.
+    The number of rounds grows with the logarithm of the graph; they end when all edges lead to roots, which a further
+    round would not change. A node's neighbours are reduced to their least before they meet; a hub's edges are joined to
+    that single row, which adaptive execution can split.
     """
     spark = edges.sparkSession
     own = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = stored(own, "edges")
-    state = _state(now.df)
-    while True:
+    while not _are_stars(now.df):
         # Edges point from the larger node u to the smaller v.
         both = now.df.union(now.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_least(both, "u", "v").where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        starred = stored(large.where("u != v").distinct(), "large-star")
+        starred = stored(large.where("u != v"), "large-star")  # an edge each; equal ones are dropped below
         small = _with_least(starred.df, "u", "v")
         moved = small.select(F.col("v").alias("u"), F.col("least").alias("v")).union(
             small.select("u", F.col("least").alias("v"))
         )
         after = stored(moved.where("u != v").distinct(), "small-star")
         discard(spark, now, starred)
-        now, before, state = after, state, _state(after.df)
-        if state == before:
-            break
+        now = after
     roots = now.df.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     labels = stored(now.df.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots), "components")
     discard(spark, now)

@@ -340,8 +340,11 @@ def near_groups(
         )
         more = _compared(_across_parts(stored(labelled, "labelled").df), compared.df, words, percent)
         more = stored(more, "more-links").df
-        discard(spark, settled)
-        settled = components(links.union(more))
+        if not more.isEmpty():
+            # What is linked already goes on as one edge a node.
+            first = settled
+            settled = components(first.df.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
+            discard(spark, first)
     discard(spark, star, parted, compared)
 
     joined = stored(
