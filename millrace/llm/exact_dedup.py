@@ -14,7 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from millrace.llm.common import stored
 
 SPLITTER_CHARS = 32
 BATCH_ROWS = 2000
+BATCH = "4m"  # of texts, to a Python worker at a time
 
 
 def _runs(batches: Iterator[pa.RecordBatch], emit: Callable[[list, int, bool, bool], Iterator]) -> Iterator:
@@ -109,6 +112,17 @@ def exact_groups(
     return inner.union(at_edge)
 
 
+def _first_rows(batch: pa.RecordBatch, before: tuple | None) -> np.ndarray:
+    """Places of the rows whose first two columns are not those of the row before; `before` has them of an earlier batch's last."""
+    new = np.zeros(batch.num_rows, bool)
+    new[0] = before != tuple(c[0].as_py() for c in batch.columns[:2])
+    for column in batch.columns[:2]:
+        a, b = column.slice(0, batch.num_rows - 1), column.slice(1)
+        differs = pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b)))
+        new[1:] |= differs.to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
 def exact_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -142,11 +156,10 @@ def exact_dedup(
             )
 
         for batch in batches:
-            new = []
-            for i, now in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                if now != before:
-                    new.append(i)
-                    before = now
+            if not batch.num_rows:
+                continue
+            new = _first_rows(batch, before).tolist()
+            before = tuple(c[batch.num_rows - 1].as_py() for c in batch.columns[:2])
             if not new:
                 continue
             if held is not None:
@@ -162,7 +175,7 @@ def exact_dedup(
         if held is not None:
             yield flagged(held, True)
 
-    kept = stored(ordered.mapInArrow(heads, schema), "exact-rows").df
+    kept = stored(ordered.mapInArrow(heads, schema), "exact-rows", BATCH).df
     # The first row of every slice and its last group: two rows a slice at most, the only ones that are joined.
     later = kept.where("_edge").groupBy("_sha").agg(F.min("_slice").alias("_first"))
     at_edge = kept.where("_edge").join(later, "_sha").where("_slice = _first").select(*kept.columns)

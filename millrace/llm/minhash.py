@@ -39,6 +39,7 @@ WORDS = 5
 PERCENT = 85
 BANDS = 40
 ROWS = 5
+BATCH = "4m"  # of texts, to a Python worker at a time
 CHUNK = 1 << 15  # shingles that are permuted at a time
 STAR = 512  # members of a star, or of a part of one
 STAR_SHINGLES = 1_000_000  # of a star's members together
@@ -281,7 +282,9 @@ def near_groups(
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    prepared = stored(texts.mapInArrow(partial(_prepared, words=words, bands=bands, rows=rows), PREPARED_SQL), "prepared").df
+    prepared = stored(
+        texts.mapInArrow(partial(_prepared, words=words, bands=bands, rows=rows), PREPARED_SQL), "prepared", BATCH
+    ).df
     own = F.struct("id", "tag")
     # An identifier that more than one class begins with names none of them; such classes go by their sets.
     first_of = stored(
@@ -305,7 +308,7 @@ def near_groups(
     compared = stored(
         texts.join(needed, (texts["id"] == needed["own_id"]) & (texts["tag"] == needed["own_tag"])).select("node", "text")
         .mapInArrow(_packed, "node bigint, packed binary"),
-        "compared",
+        "compared", BATCH,
     )
     # A bucket's centre, and the stars of all centres.
     met = members.df.join(meets, "node")

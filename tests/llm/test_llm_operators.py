@@ -6,11 +6,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    alignment, bpe, components, cotraining, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, resampling,
+    alignment, bpe, common, components, cotraining, exact_dedup, line_dedup, lm_scoring, minhash, mixing, quality_rules, resampling,
     sharding, suffix_dedup, surrogates,
 )
 from millrace.llm.queries import tokenizer_path
@@ -337,6 +338,23 @@ def test_kept_rows_have_their_columns(clashing):
     assert len({t or "" for t in texts}) == len(texts)
 
 
+def test_first_rows_of_runs():
+    """Of two columns, nulls equal nulls; a run may go on from an earlier batch."""
+    batch = pa.RecordBatch.from_pydict({"sha": ["a", "a", "a", None, None, "b", "b"], "text": ["x", "x", "y", None, None, None, "z"]})
+    for before, first in ((None, [0]), (("a", "x"), []), (("a", "y"), [0])):
+        assert exact_dedup._first_rows(batch, before).tolist() == [*first, 2, 3, 5, 6]
+    assert exact_dedup._first_rows(batch.slice(6), ("b", None)).tolist() == [0]
+    assert exact_dedup._first_rows(batch.slice(4), (None, None)).tolist() == [1, 2]
+
+
+def test_texts_come_in_small_batches(spark):
+    """A worker gets texts by their bytes, not thousands at a time."""
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+    texts = spark.range(0, 2000, 1, 1).selectExpr("repeat('x', 1000) as text")
+    found = common.stored(texts.mapInArrow(sizes, "n bigint"), "test", "100k").df.collect()
+    assert sum(r.n for r in found) == 2000 and max(r.n for r in found) <= 200
+
+
 NAMED = (
     "Mr. John Smith (john.smith@mail.example.com, JOHN.smith@mail.example.com) called +1 (663) 555-6869 and 1-663-555-6869 "
     "from 10.0.0.1. Smith paid with 4111 1111 1111 1111 and 4111111111111111. Frau Anna Müller, Г-жа Иванова, 王伟先生. "
