@@ -355,6 +355,17 @@ def test_texts_come_in_small_batches(spark):
     assert sum(r.n for r in found) == 2000 and max(r.n for r in found) <= 200
 
 
+def test_shuffles_go_when_a_table_is_written(spark):
+    """Their files do not wait for the driver's garbage collection."""
+    on_disk = lambda: {
+        str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",").split(",") if "shuffle_" in f
+    }
+    before = on_disk()
+    table = common.stored(spark.range(10000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "test").df
+    assert not on_disk() - before and table.count() == 7
+    assert spark.conf.get(common.SHUFFLES_GO, "false") == "false"
+
+
 NAMED = (
     "Mr. John Smith (john.smith@mail.example.com, JOHN.smith@mail.example.com) called +1 (663) 555-6869 and 1-663-555-6869 "
     "from 10.0.0.1. Smith paid with 4111 1111 1111 1111 and 4111111111111111. Frau Anna Müller, Г-жа Иванова, 王伟先生. "
