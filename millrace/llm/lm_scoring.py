@@ -17,7 +17,7 @@ scored, and counted, each on their own. Without training documents all counts ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
@@ -28,11 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Stored, discard, stored
+from millrace.llm.common import discard, stored
 
 SEGMENT_BYTES = 1 << 24  # of training texts for each segment of the filter, at TOKEN_BYTES for a token
 TOKEN_BYTES = 6
 BLOCK = 1 << 20  # tokens of texts that ask for their n-grams' levels together
+BATCH = "4m"  # of blocks, keys or answers, to a Python worker at a time
+OUT_BYTES = 1 << 20  # of keys or counts, from a Python worker at a time
+PIECE = 1 << 16  # tokens whose keys are worked out at a time
 PROBES = 5
 BITS_PER_ENTRY = 10
 BASE = 2**0.5
@@ -42,7 +45,6 @@ PROBED = 1 << 19  # keys that are looked up at a time
 WEIGHT = 500.0
 ADD = 0.1
 FLUSH = 4_000_000  # tokens that a task counts before it hands their counts on
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Multipliers of the mixing functions.
 M64 = np.uint64(0x9E3779B97F4A7C15)
@@ -67,16 +69,46 @@ def tokens(text: str | None) -> np.ndarray:
 
 def pairs(flat: np.ndarray) -> np.ndarray:
     """Keys of the bigrams that end at each token; a text begins after an end."""
-    before = np.concatenate([[END], flat[:-1]])
-    return (mix64(mix64(before * M64) + flat * N64) & np.uint64((1 << BIGRAM_BITS) - 1)) | PAIR
+    keys = np.concatenate([[END], flat])[:-1]
+    for at in range(0, len(keys), PIECE):
+        before, now = keys[at : at + PIECE], flat[at : at + PIECE]
+        before[:] = (mix64(mix64(before * M64) + now * N64) & np.uint64((1 << BIGRAM_BITS) - 1)) | PAIR
+    return keys
 
 
 def sorted_once(keys: np.ndarray) -> np.ndarray:
-    """The distinct keys, in order."""
-    keys = np.sort(keys)
+    """The distinct keys, in order. Sorts `keys` in place."""
+    keys.sort()
     return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
 
 
+def with_times(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, in order, and the sums of their times; how often they are there, if none are given. May sort `keys` in place."""
+    if not len(keys):
+        return keys, np.empty(0, np.int64)
+    if times is None:
+        keys.sort()
+    else:
+        order = np.argsort(keys, kind="stable")  # merges runs that are sorted already
+        keys, times = keys[order], times[order]
+        del order
+    new = np.concatenate([[True], keys[1:] != keys[:-1]])
+    begins, keys = np.flatnonzero(new), keys[new]
+    if times is not None:
+        return keys, np.add.reduceat(times, begins).astype(np.int64, copy=False)
+    sums = np.empty(len(begins), np.int64)
+    np.subtract(begins[1:], begins[:-1], out=sums[:-1])
+    sums[-1] = len(new) - begins[-1]
+    return keys, sums
+
+
+def joined(held: list[np.ndarray]) -> np.ndarray:
+    """What is held, as one array; it is held no longer."""
+    out = np.concatenate(held)
+    held.clear()
+    return out
+
+
 def packed(numbers: np.ndarray) -> bytes:
     """Byte planes, most of which are zeros for small numbers."""
     planes = np.ascontiguousarray(numbers.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8).T)
@@ -126,9 +158,12 @@ class Filter:
     @staticmethod
     def segment(keys: np.ndarray, segments: int) -> np.ndarray:
         """Ranges of keys, so that a segment's keys lie close together."""
-        of_pair = keys >= PAIR
-        share = np.where(of_pair, (keys & ~PAIR) / 2.0**BIGRAM_BITS, keys / 2.0**63)
-        return np.minimum((share * segments).astype(np.int64), segments - 1)
+        out = np.empty(len(keys), np.int64)
+        for at in range(0, len(keys), PIECE):
+            piece = keys[at : at + PIECE]
+            share = np.where(piece >= PAIR, (piece & ~PAIR) / 2.0**BIGRAM_BITS, piece / 2.0**63)
+            out[at : at + PIECE] = np.minimum((share * segments).astype(np.int64), segments - 1)
+        return out
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The highest level up to which all levels are there; 0 for none."""
@@ -169,32 +204,46 @@ COUNTED = pa.schema([("segment", pa.int64()), ("keys", pa.binary()), ("counts",
 
 def _counted(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
     """A task's counts of n-grams of training texts by segment."""
-    held: list[np.ndarray] = []
+    held: list[np.ndarray] = []  # keys of bigrams
+    words_held: list[np.ndarray] = []
+    times_held: list[np.ndarray] = []  # of the words
 
     def counts() -> Iterator[pa.RecordBatch]:
-        flat = np.concatenate(held)
-        for keys in (flat, pairs(flat)):
-            found, n = np.unique(keys, return_counts=True)
+        for of_pairs in (False, True):
+            found, n = with_times(joined(held)) if of_pairs else with_times(joined(words_held), joined(times_held))
             runs = _runs(Filter.segment(found, segments))
-            yield from _rows([(of, packed_keys(found[at]), packed(n[at])) for of, at in runs], COUNTED)
+            yield from _rows(((of, packed_keys(found[at]), packed(n[at])) for of, at in runs), COUNTED)
 
     size = 0
     for batch in batches:
         for row in _each(batch):
             words, places = _tokens_of(row)
-            held.append(words[places[np.repeat(~np.array(row["held_out"]), row["sizes"])]])
-            size += len(held[-1])
+            places = places[np.repeat(~np.array(row["held_out"]), row["sizes"])]
+            n = np.bincount(places, minlength=len(words))
+            words_held.append(words[n > 0])
+            times_held.append(n[n > 0])
+            held.append(pairs(words[places]))
+            size += len(places)
             if size >= FLUSH:
                 yield from counts()
-                held.clear()
                 size = 0
     if size:
         yield from counts()
 
 
-def _rows(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(rows), 200):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 200]), schema.types)], schema=schema)
+def _rows(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """A few hundred rows together, or fewer if they are large."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, bytes))
+        if len(held) == 200 or size >= OUT_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
+            held.clear()
+            size = 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
 
 
 BUILT_SQL = "segment bigint, words binary, keys binary, counts binary, total bigint, known bigint"
@@ -205,12 +254,11 @@ BUILT = pa.schema([
 
 def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The filter and the exact unigram counts of each segment, whose rows come one after another."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[np.ndarray] = []
+    times: list[np.ndarray] = []
 
     def built(segment: int) -> Iterator[pa.RecordBatch]:
-        keys, n = map(np.concatenate, zip(*held))
-        keys, of = np.unique(keys, return_inverse=True)
-        counts = np.bincount(of, n, len(keys)).astype(np.int64)
+        keys, counts = with_times(joined(held), joined(times))
         ones = keys < PAIR
         words = segment_filter(keys, level_of(counts)).tobytes()
         exact = counts[ones]
@@ -221,9 +269,9 @@ def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for segment, keys, counts in zip(*[batch.column(n).to_pylist() for n in COUNTED.names]):
             if held and segment != now:
                 yield from built(now)
-                held.clear()
             now = segment
-            held.append((unpacked_keys(keys), unpacked(counts)))
+            held.append(unpacked_keys(keys))
+            times.append(unpacked(counts))
     if held:
         yield from built(now)
 
@@ -301,10 +349,10 @@ def _asked(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.Reco
     for batch in batches:
         for row in _each(batch):
             _, _, keys, runs = _flat(row, segments)
-            yield from _rows([(of, row["block"], i, packed_keys(keys[at]), None, None) for i, (of, at) in enumerate(runs)], ASKED)
+            yield from _rows(((of, row["block"], i, packed_keys(keys[at]), None, None) for i, (of, at) in enumerate(runs)), ASKED)
 
 
-ANSWERED = pa.schema([("of", pa.int64()), ("run", pa.int64()), ("levels", pa.binary()), ("counts", pa.binary())])
+ANSWERED = pa.schema([("block", pa.int64()), ("run", pa.int64()), ("packed_levels", pa.binary()), ("counts", pa.binary())])
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,71 +398,79 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from answers()
 
 
-def with_levels(blocks: DataFrame, built: DataFrame, segments: int) -> DataFrame:
-    """`blocks` with `answers`, the levels and counts of each run of a block's n-grams."""
-    filters = built.select(
-        "segment", F.lit(-1).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("run"), F.col("words").alias("packed"), "keys", "counts"
-    )
-    asked = blocks.select("block", "words", "places").mapInArrow(partial(_asked, segments=segments), ASKED_SQL)
-    answers = (
-        filters.union(asked).repartition("segment").sortWithinPartitions("segment", "block")
-        .mapInArrow(_answered, "of bigint, run bigint, levels binary, counts binary")
-        .groupBy("of").agg(F.collect_list(F.struct("run", "levels", "counts")).alias("answers"))
-    )
-    return blocks.join(answers, blocks["block"] == answers["of"]).drop("of")
-
-
-def _stored_alone(df: DataFrame, label: str) -> Stored:
-    """`stored`, and what was shuffled for it is deleted."""
-    conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
-    try:
-        return stored(df, label)
-    finally:
-        conf.set(CLEANUP, before)
-
-
 SCORED_SQL = "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
 def _scored(batches: Iterator[pa.RecordBatch], total: int, distinct: int, weight: float, segments: int) -> Iterator[pa.RecordBatch]:
-    """Scores of each text of a block."""
+    """Scores of each text; a block comes before the answers to it."""
     spread = total + ADD * (distinct + 1)
-    for batch in batches:
-        for block in _each(batch):
-            words, places, keys, runs = _flat(block, segments)
-            levels, times = np.empty(len(keys), np.int64), np.zeros(len(keys), np.int64)
-            for answer in block["answers"]:
-                _, at = runs[answer["run"]]
-                levels[at] = np.frombuffer(zstandard.ZstdDecompressor().decompress(answer["levels"]), np.uint8)
-                if len(exact := unpacked(answer["counts"])):
-                    times[at] = exact
-            counts = count_of(levels)
-            of_word = np.searchsorted(keys, words)
-            sizes = np.array(block["sizes"])
-            starts = np.cumsum([0, *sizes[:-1]])
-            base = (np.log10(times[of_word] + ADD) - np.log10(spread))[places]
-            known = (times[of_word] > 0)[places]
-            unigram = counts[of_word][places]
-            bigram = counts[np.searchsorted(keys, pairs(words[places]))]
-            context = np.concatenate([[counts[np.searchsorted(keys, END)]], unigram[:-1]])
+    count_at = count_of(np.arange(MOST_LEVELS + 1))
+    held: list[dict] = []
+
+    def scores() -> Iterator[pa.RecordBatch]:
+        block, *answers = held
+        words, places, keys, runs = _flat(block, segments)
+        levels, times = np.zeros(len(keys), np.uint8), np.zeros(np.searchsorted(keys, PAIR), np.int64)
+        for answer in answers:
+            _, at = runs[answer["run"]]
+            levels[at] = np.frombuffer(zstandard.ZstdDecompressor().decompress(answer["packed_levels"]), np.uint8)
+            if len(exact := unpacked(answer["counts"])):  # of words, with which the run begins
+                times[at] = exact[: len(times) - at.start]
+        of_word = np.searchsorted(keys, words)
+        base_of = np.log10(times[of_word] + ADD) - np.log10(spread)
+        known_of = (times[of_word] > 0).astype(np.int64)
+        unigram_of = count_at[levels[of_word]]
+        before = count_at[levels[np.searchsorted(keys, END)]]
+        sizes = np.array(block["sizes"])
+        ends = np.cumsum(sizes)
+        first = 0
+        while first < len(sizes):  # whole texts, of PIECE tokens if they are not longer
+            begin = ends[first] - sizes[first]
+            last = max(first + 1, int(np.searchsorted(ends, begin + PIECE, "right")))
+            here, starts = places[begin : ends[last - 1]], ends[first:last] - sizes[first:last] - begin
+            unigram = unigram_of[here]
+            bigram = count_at[levels[np.searchsorted(keys, pairs(words[here]))]]
+            context = np.concatenate([[before], unigram[:-1]])
             word = (unigram + ADD) / spread
             likely = (np.minimum(bigram, context) + weight * word) / (context + weight)
-            whole = pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(block["ids"], pa.int64()),
-                    pa.array(block["held_out"], pa.bool_()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(np.add.reduceat(known.astype(np.int64), starts)),
-                    pa.array(np.full(len(sizes), total, np.int64)),
-                    pa.array(np.add.reduceat(base, starts)),
+                    pa.array(block["ids"][first:last], pa.int64()),
+                    pa.array(block["held_out"][first:last], pa.bool_()),
+                    pa.array(sizes[first:last], pa.int64()),
+                    pa.array(np.add.reduceat(known_of[here], starts)),
+                    pa.array(np.full(last - first, total, np.int64)),
+                    pa.array(np.add.reduceat(base_of[here], starts)),
                     pa.array(np.add.reduceat(np.log10(likely), starts)),
                 ],
                 names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
-            for at in range(0, whole.num_rows, 1000):
-                yield whole.slice(at, 1000)
+            first = last
+
+    for batch in batches:
+        for row in _each(batch):
+            if row["run"] < 0 and held:
+                yield from scores()
+                held.clear()
+            held.append(row)
+    if held:
+        yield from scores()
+
+
+def _with_answers(blocks: DataFrame, built: DataFrame, segments: int) -> DataFrame:
+    """Each of `blocks`, of run -1, and after it the levels and counts of each run of its n-grams."""
+    filters = built.select(
+        "segment", F.lit(-1).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("run"), F.col("words").alias("packed"), "keys", "counts"
+    )
+    asked = blocks.select("block", "words", "places").mapInArrow(partial(_asked, segments=segments), ASKED_SQL)
+    answers = (
+        filters.union(asked).repartition("segment").sortWithinPartitions("segment", "block")
+        .mapInArrow(_answered, "block bigint, run bigint, packed_levels binary, counts binary")
+    )
+    return (
+        blocks.withColumn("run", F.lit(-1).cast("bigint")).unionByName(answers, allowMissingColumns=True)
+        .repartition("block").sortWithinPartitions("block", "run")
+    )
 
 
 def scored(
@@ -433,13 +489,20 @@ def scored(
         (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 10 == 0).alias("held_out"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    blocks = stored(texts.mapInArrow(_blocks, BLOCKS_SQL), "blocks").df
+    kept = stored(texts.mapInArrow(_blocks, BLOCKS_SQL), "blocks", BATCH)
+    blocks = kept.df
     trained = F.filter(F.arrays_zip("held_out", "sizes"), lambda d: ~d["held_out"])
     size = blocks.agg(F.sum(F.aggregate(trained, F.lit(0).cast("bigint"), lambda a, d: a + d["sizes"]))).first()[0] or 0
     segments = 1 + size * TOKEN_BYTES // segment_bytes
     counted = blocks.select("held_out", "sizes", "words", "places").mapInArrow(partial(_counted, segments=segments), COUNTED_SQL)
-    built = _stored_alone(counted.repartition("segment").sortWithinPartitions("segment").mapInArrow(_built, BUILT_SQL), "segments").df
-    total, distinct = built.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
-    return with_levels(blocks, built, segments).mapInArrow(
-        partial(_scored, total=total, distinct=distinct, weight=weight, segments=segments), SCORED_SQL
-    )
+    built = stored(counted.repartition("segment").sortWithinPartitions("segment").mapInArrow(_built, BUILT_SQL), "segments", BATCH)
+    total, distinct = built.df.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
+    # Written, so that the workers get small batches, and nothing but the scores is left on disk.
+    rows = stored(
+        _with_answers(blocks, built.df, segments).mapInArrow(
+            partial(_scored, total=total, distinct=distinct, weight=weight, segments=segments), SCORED_SQL
+        ),
+        "scores", BATCH,
+    ).df
+    discard(docs.sparkSession, kept, built)
+    return rows

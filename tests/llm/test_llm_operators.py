@@ -4,9 +4,13 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
+import types
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -505,6 +509,78 @@ def test_bigrams_seen_once_count(spark):
     assert np.median(far) < 0.005 and (far < 0.02).mean() > 0.9
 
 
+def scoring_steps(monkeypatch, texts, segments):
+    """Scores without Spark, and the most bytes that counting and scoring held, input and arrays of Arrow left out."""
+    here = types.SimpleNamespace(partitionId=lambda: 0)
+    monkeypatch.setattr(lm_scoring, "TaskContext", types.SimpleNamespace(get=lambda: here))
+    docs = pa.RecordBatch.from_pydict({"id": [i for i, _ in texts], "held_out": [i % 10 == 0 for i, _ in texts], "text": [t for _, t in texts]})
+    by = lambda batches, *keys: pa.Table.from_batches(batches).sort_by([(k, "ascending") for k in keys]).to_batches()
+    peaks = []
+
+    def traced(batches):
+        tracemalloc.start()
+        out = list(batches)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        return out
+
+    blocks = list(lm_scoring._blocks(iter([docs])))
+    counted = traced(lm_scoring._counted(iter([b.select(["held_out", "sizes", "words", "places"]) for b in blocks]), segments))
+    built = list(lm_scoring._built(iter(by(counted, "segment"))))
+    filters = [
+        pa.RecordBatch.from_arrays([b["segment"], pa.array([-1] * len(b)), pa.array([0] * len(b)), b["words"], b["keys"], b["counts"]], schema=lm_scoring.ASKED)
+        for b in built
+    ]
+    asked = list(lm_scoring._asked(iter(blocks), segments))
+    answers = list(lm_scoring._answered(iter(by(filters + asked, "segment", "block"))))
+    blocks = [b.append_column("run", pa.array([-1] * len(b))) for b in blocks]
+    of = lambda b: pc.equal(pa.Table.from_batches(answers)["block"], b["block"][0])
+    rows = [x for b in blocks for x in [b, *pa.Table.from_batches(answers).filter(of(b)).to_batches()]]
+    total, distinct = (sum(sum(b[c].to_pylist()) for b in built) for c in ("total", "known"))
+    found = traced(lm_scoring._scored(iter(rows), total, distinct, lm_scoring.WEIGHT, segments))
+    return sorted(map(tuple, pa.Table.from_batches(found).to_pandas().values.tolist())), peaks
+
+
+@pytest.mark.parametrize("segments", [1, 5])
+def test_scores_by_pieces(monkeypatch, segments):
+    """Pieces and blocks of any size score alike, with texts longer and shorter than a piece, empty ones too."""
+    texts = [(i, " ".join(f"w{(i * j) % 37}" for j in range(i % 23))) for i in range(120)] + [(500, "long " * 200), (501, "")]
+    whole, _ = scoring_steps(monkeypatch, texts, segments)
+    assert [r[0] for r in whole] == [i for i, _ in texts]
+    monkeypatch.setattr(lm_scoring, "PIECE", 7)
+    monkeypatch.setattr(lm_scoring, "OUT_BYTES", 1)
+    assert scoring_steps(monkeypatch, texts, segments)[0] == whole
+    monkeypatch.setattr(lm_scoring, "BLOCK", 50)
+    monkeypatch.setattr(lm_scoring, "FLUSH", 90)
+    assert scoring_steps(monkeypatch, texts, segments)[0] == whole
+
+
+def test_blocks_that_are_all_held_out(spark):
+    ids = [i for i in range(300) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows = lm_scoring.scored(spark.createDataFrame([(i, "a b a") for i in ids], "doc_id bigint, text string").repartition(3)).collect()
+    assert [(r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in rows] == [(True, 4, 0, 0)] * len(ids) and ids
+    assert not len(lm_scoring.pairs(np.empty(0, np.uint64)))
+
+
+def test_scoring_holds_little(monkeypatch):
+    """A worker holds few bytes for each token that it counts or scores."""
+    pick = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(60_000)])
+    texts = [(i, " ".join(words[(pick.pareto(0.6, 400) * 50).astype(np.int64) % len(words)])) for i in range(1000)]
+    rows, (counting, scoring) = scoring_steps(monkeypatch, texts, 20)
+    tokens = sum(r[2] for r in rows)
+    assert tokens == 401_000
+    assert counting < 40 * tokens and scoring < 40 * tokens
+
+
+def test_scoring_goes_by_small_batches(spark, monkeypatch):
+    """Blocks, segments and scores are all worked out in batches of few bytes."""
+    seen = []
+    monkeypatch.setattr(lm_scoring, "stored", lambda df, label, *size: seen.append((label, *size)) or common.stored(df, label, *size))
+    assert lm_scoring.scored(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")).count() == 2
+    assert seen == [(label, lm_scoring.BATCH) for label in ("blocks", "segments", "scores")]
+
+
 def test_without_labels_of_both_kinds(odd):
     none = odd.selectExpr("doc_id", "cast(null as int) as quality")
     good = odd.selectExpr("doc_id", "1 as quality")
